@@ -46,22 +46,31 @@ def topic_starter(posts: DataFrame, topic=TOPIC) -> DataFrame:
                  .withColumn("starter", F.first("author_id").over(w.rowsBetween(Window.unboundedPreceding, 0))))
 
 
-def chain_segments(posts: DataFrame, quote_posts: DataFrame | None = None, topic=TOPIC) -> DataFrame:
-    """Chain posts with ``iss`` (starter post), ``seg`` and ``ctext``.
+def flag_posts(posts: DataFrame, quote_arrays: DataFrame | None = None, topic=TOPIC) -> DataFrame:
+    """D5 + D6: posts (without html) with ``is_first``, ``starter`` and ``qpairs``.
 
-    ``quote_posts`` holds the keys ``(source, topic_id, pos)`` of posts that
-    produced at least one quote pair; those leave the chain (not the first
-    post, which is never checked for quotes).
+    ``quote_arrays`` is ``quotes.quote_pair_arrays`` output (one row per post
+    with a quote rule). Both the chain and the quote dialogue read this one
+    DataFrame, so its topic shuffle is done once.
     """
     p = posts.select(*topic, "pos", "author_id", "text")
-    if quote_posts is not None:
-        qk = quote_posts.select(*topic, "pos").distinct().withColumn("is_quote", F.lit(True))
-        p = p.join(qk, [*topic, "pos"], "left")
+    if quote_arrays is not None:
+        p = p.join(quote_arrays.select(*topic, "pos", "qpairs"), [*topic, "pos"], "left")
     else:
-        p = p.withColumn("is_quote", F.lit(None).cast("boolean"))
-    p = topic_starter(p, topic)
-    plain = ~F.coalesce(F.col("is_quote"), F.lit(False)) & F.col("text").isNotNull() & (F.col("text") != "")
-    c = p.filter(F.col("is_first") | plain)
+        p = p.withColumn("qpairs", F.lit(None).cast(
+            "array<struct<speaker0_text:string,speaker1_text:string>>"))
+    return topic_starter(p, topic)
+
+
+def chain_segments(flagged: DataFrame, topic=TOPIC) -> DataFrame:
+    """D7 + D8: chain posts with ``iss`` (starter post), ``seg`` and ``ctext``.
+
+    Posts with at least one quote pair leave the chain, except the first
+    post, which is never checked for quotes.
+    """
+    is_quote = F.coalesce(F.size("qpairs") > 0, F.lit(False))
+    plain = ~is_quote & F.col("text").isNotNull() & (F.col("text") != "")
+    c = flagged.filter(F.col("is_first") | plain)
     w = _wt(topic)
     c = c.withColumn("iss", F.col("is_first") | F.coalesce(F.col("author_id") == F.col("starter"), F.lit(False)))
     brk = F.col("iss") & ~F.col("is_first") & ~F.lag("iss").over(w)
@@ -93,11 +102,13 @@ def first_answers(segs: DataFrame, max_answers: int | None = 5, topic=TOPIC) ->
     return a
 
 
-def dialog_starter_chain(posts: DataFrame, quote_posts: DataFrame | None = None,
+def dialog_starter_chain(posts: DataFrame, quote_arrays: DataFrame | None = None,
                          max_answers: int | None = 5, flush_tail: bool = False,
-                         topic=TOPIC) -> DataFrame:
+                         topic=TOPIC, flagged: DataFrame | None = None) -> DataFrame:
     """Chain pairs ``source, topic_id, emit_pos, emit_k, kind, speaker0_text, speaker1_text``."""
-    segs = chain_segments(posts, quote_posts, topic)
+    if flagged is None:
+        flagged = flag_posts(posts, quote_arrays, topic)
+    segs = chain_segments(flagged, topic)
     q = segment_questions(segs, topic)
     wq = Window.partitionBy(*topic).orderBy("seg")
     q = q.withColumn("emit_pos", F.lead("seg_start").over(wq))
@@ -110,12 +121,23 @@ def dialog_starter_chain(posts: DataFrame, quote_posts: DataFrame | None = None,
                         F.col("question").alias("speaker0_text"), F.col("answer").alias("speaker1_text"))
 
 
-def quote_dialog(quote_pairs_df: DataFrame, posts: DataFrame, topic=TOPIC) -> DataFrame:
-    """Quote pairs as dialogue rows; quote pairs of a topic's first post are dropped."""
-    first = posts.groupBy(*topic).agg(F.min("pos").alias("first_pos"))
-    q = quote_pairs_df.join(first, list(topic)).filter(F.col("pos") != F.col("first_pos"))
+def quote_dialog(flagged: DataFrame, topic=TOPIC) -> DataFrame:
+    """Quote pairs as dialogue rows, emitted at the quoting post (the first
+    post of a topic is never checked for quotes)."""
+    q = flagged.filter(~F.col("is_first") & (F.size(F.coalesce("qpairs", F.array())) > 0))
+    q = q.select(*topic, "pos", F.posexplode("qpairs").alias("k", "pair"))
     return q.select(*topic, F.col("pos").cast("bigint").alias("emit_pos"), F.col("k").cast("bigint").alias("emit_k"),
-                    F.lit("quote").alias("kind"), "speaker0_text", "speaker1_text")
+                    F.lit("quote").alias("kind"), F.col("pair")["speaker0_text"].alias("speaker0_text"),
+                    F.col("pair")["speaker1_text"].alias("speaker1_text"))
+
+
+def dialog_pairs(posts: DataFrame, quote_arrays: DataFrame | None = None, max_answers: int | None = 5,
+                 flush_tail: bool = False, topic=TOPIC) -> DataFrame:
+    """Variant 2 in full: chain pairs plus quote pairs."""
+    flagged = flag_posts(posts, quote_arrays, topic)
+    chain = dialog_starter_chain(posts, max_answers=max_answers, flush_tail=flush_tail, topic=topic,
+                                 flagged=flagged)
+    return chain.unionByName(quote_dialog(flagged, topic))
 
 
 # ---------------------------------------------------------------------------

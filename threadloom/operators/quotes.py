@@ -83,86 +83,126 @@ def quote_tokens(posts: DataFrame, key_cols: Sequence[str] = POST_KEY) -> DataFr
     return t
 
 
-def _pairs_site_a(t: DataFrame, key) -> DataFrame:
-    g = (t.filter(F.col("rule") == "a").groupBy(*key)
-          .agg(_sorted_texts(F.col("a_quote")).alias("q"), _sorted_texts(F.col("a_reply")).alias("r")))
-    nq, nr = F.size("q"), F.size("r")
-    r2 = F.when((nr > nq) & (strip_ws(F.element_at("r", 1)) == ""), F.slice("r", 2, nr)).otherwise(F.col("r"))
-    g = g.filter((nq > 0) & (nr > 0)).withColumn("r", r2)
-    n = F.least(F.size("q"), F.size("r"))
-    z = F.arrays_zip(F.slice("q", 1, n).alias("q"), F.slice("r", 1, n).alias("r"))
-    return (g.select(*key, F.posexplode(z).alias("k", "qr"))
-             .select(*key, F.col("k").cast("bigint").alias("k"),
-                     clean_text(F.col("qr")["q"]).alias("speaker0_text"),
-                     clean_text(F.col("qr")["r"]).alias("speaker1_text")))
-
-
-def _body_texts(t: DataFrame, key, rule: str, cond) -> DataFrame:
-    return (t.filter(F.col("rule") == rule).groupBy(*key)
-             .agg(_sorted_texts(cond & (F.col("stext") != ""), "stext").alias("text_all")))
-
-
-def _pairs_site_b(t: DataFrame, key) -> DataFrame:
-    tb = t.filter(F.col("rule") == "b")
-    body = _body_texts(t, key, "b", (F.col("kind") == "text") & (F.col("in_b_body") > 0))
-    frag_ok = ((F.col("kind") == "text") & (F.col("b_qid") >= 0) & (F.col("stext") != "")
-               & (F.instr(F.col("stext"), WROTE_MARKER) == 0))
-    quotes = (tb.filter(frag_ok).groupBy(*key, "b_qid")
-                .agg(_sorted_texts(F.lit(True), "stext").alias("frags")))
-    j = quotes.join(body, list(key))
-    last = F.element_at("frags", -1)
-    s = F.array_position("text_all", last)  # 1-based first equal text
-    tail = F.slice("text_all", s + 1, F.greatest(F.size("text_all") - s, F.lit(0)))
-    j = j.withColumn("tail", tail)
-    m = F.array_position(F.transform("tail", lambda x: F.instr(x, WROTE_MARKER) > 0), True)
-    reply = F.when(m == 0, F.col("tail")).otherwise(F.slice("tail", 1, m - 1))
-    wk = Window.partitionBy(*key).orderBy("b_qid")
-    return j.select(*key, (F.row_number().over(wk) - 1).alias("k"),
-                    clean_text(F.array_join("frags", "\n")).alias("speaker0_text"),
-                    clean_text(F.array_join(reply, "\n")).alias("speaker1_text"))
-
-
-def _pairs_site_c(t: DataFrame, key) -> DataFrame:
-    tc = t.filter(F.col("rule") == "c")
-    body = _body_texts(t, key, "c", (F.col("kind") == "text") & (F.col("in_c_body") > 0)
-                       & (F.col("in_p") > 0))
-    tops = tc.filter(F.col("c_top_open")).select(*key, F.col("tpos").alias("c_qid"))
-    frag_ok = ((F.col("kind") == "text") & (F.col("c_qid") >= 0) & (F.col("in_p") > 0)
-               & (F.col("stext") != ""))
-    frags = (tc.filter(frag_ok).groupBy(*key, "c_qid")
-               .agg(_sorted_texts(F.lit(True), "stext").alias("frags")))
-    q = tops.join(frags, list(key) + ["c_qid"], "left")
-    wq = Window.partitionBy(*key).orderBy("c_qid")
-    q = q.withColumn("next_first", F.lead(F.element_at("frags", 1)).over(wq))
-    q = q.filter(F.size(F.coalesce("frags", F.array())) > 0)
-    j = q.join(body, list(key))
-    last = F.element_at("frags", -1)
-    p = F.array_position(F.transform("text_all", lambda x: F.instr(x, last) > 0), True)
-    j = j.withColumn("p", p).filter((F.col("p") > 0) & (F.col("p") < F.size("text_all")))
-    j = j.withColumn("tail", F.slice("text_all", F.col("p") + 1, F.size("text_all") - F.col("p")))
-    e = F.coalesce(F.array_position("tail", F.col("next_first")), F.lit(0))
-    reply = F.when(e == 0, F.col("tail")).otherwise(F.slice("tail", 1, e - 1))
-    wk = Window.partitionBy(*key).orderBy("c_qid")
-    return j.select(*key, (F.row_number().over(wk) - 1).alias("k"),
-                    clean_text(F.array_join("frags", "\n")).alias("speaker0_text"),
-                    clean_text(F.array_join(reply, "\n")).alias("speaker1_text"))
+def _texts_of(arr_col: F.Column) -> F.Column:
+    """Sort an array of (tpos, v) structs by tpos and keep v."""
+    return F.transform(F.array_sort(arr_col), lambda x: x["v"])
+
+
+def _coll(cond, value: str) -> F.Column:
+    return F.collect_list(F.when(cond, F.struct(F.col("tpos"), F.col(value).alias("v"))))
+
+
+def post_quote_arrays(t: DataFrame, key) -> DataFrame:
+    """Per post: the text arrays every rule needs, from two aggregations.
+
+    Level 1 groups tokens by (post, top-level quote); level 2 by post. Both
+    reuse the token table's hash partitioning on the post key.
+    """
+    is_text = F.col("kind") == "text"
+    qid = (F.when(F.col("rule") == "b", F.col("b_qid")).when(F.col("rule") == "c", F.col("c_qid")))
+    t = t.withColumn("qid", F.coalesce(qid, F.lit(-1)))
+    frag_b = is_text & (F.col("stext") != "") & (F.instr(F.col("stext"), WROTE_MARKER) == 0)
+    frag_c = is_text & (F.col("in_p") > 0) & (F.col("stext") != "")
+    body_b = is_text & (F.col("in_b_body") > 0) & (F.col("stext") != "")
+    body_c = is_text & (F.col("in_c_body") > 0) & (F.col("in_p") > 0) & (F.col("stext") != "")
+    rb, rc = F.col("rule") == "b", F.col("rule") == "c"
+    l1 = (t.groupBy(*key, "rule", "qid")
+           .agg(_coll((F.col("qid") >= 0) & ((rb & frag_b) | (rc & frag_c)), "stext").alias("frags"),
+                _coll((rb & body_b) | (rc & body_c), "stext").alias("body"),
+                _coll(F.col("a_quote"), "text").alias("aq"),
+                _coll(F.col("a_reply"), "text").alias("ar"),
+                F.max((rb & F.col("b_top_open")) | (rc & F.col("c_top_open"))).alias("is_top")))
+    quote = F.struct(F.col("qid"), _texts_of(F.col("frags")).alias("frags"))
+    return (l1.groupBy(*key, "rule")
+              .agg(_texts_of(F.flatten(F.collect_list("body"))).alias("text_all"),
+                   F.array_sort(F.collect_list(F.when(F.col("is_top") & (F.col("qid") >= 0), quote))).alias("quotes"),
+                   _texts_of(F.flatten(F.collect_list("aq"))).alias("q"),
+                   _texts_of(F.flatten(F.collect_list("ar"))).alias("r")))
+
+
+def _pair(q: F.Column, r: F.Column) -> F.Column:
+    return F.struct(clean_text(q).alias("speaker0_text"), clean_text(r).alias("speaker1_text"))
+
+
+def _pairs_a() -> F.Column:
+    """Q1: zip quote nodes with body nodes (a blank first body node is dropped
+    when there are more body nodes than quotes); shorter list wins."""
+    q, r = F.col("q"), F.col("r")
+    nq, nr = F.size(q), F.size(r)
+    r2 = F.when((nr > nq) & (strip_ws(F.try_element_at(r, F.lit(1))) == ""), F.slice(r, 2, nr)).otherwise(r)
+    n = F.least(nq, F.size(r2))
+    zipped = F.arrays_zip(F.slice(q, 1, n).alias("q"), F.slice(r2, 1, n).alias("r"))
+    out = F.transform(zipped, lambda x: _pair(x["q"], x["r"]))
+    return F.when((nq > 0) & (nr > 0), out).otherwise(F.array())
+
+
+def _pairs_b() -> F.Column:
+    """Q2: reply starts after the first body text equal to the quote's last
+    fragment and ends before the next body text holding the marker."""
+    text_all = F.col("text_all")
+    quotes = F.filter(F.col("quotes"), lambda x: F.size(x["frags"]) > 0)
+
+    def one(x):
+        s = F.array_position(text_all, F.try_element_at(x["frags"], F.lit(-1)))
+        tail = F.slice(text_all, s + 1, F.greatest(F.size(text_all) - s, F.lit(0)))
+        m = F.array_position(F.transform(tail, lambda y: F.instr(y, WROTE_MARKER) > 0), True)
+        reply = F.when(m == 0, tail).otherwise(F.slice(tail, 1, m - 1))
+        return _pair(F.array_join(x["frags"], "\n"), F.array_join(reply, "\n"))
+    return F.transform(quotes, one)
+
+
+def _pairs_c() -> F.Column:
+    """Q3: reply starts after the first body text containing the quote's last
+    fragment (skipped if none or nothing follows) and ends before the first
+    later text equal to the next quote's first fragment."""
+    text_all = F.col("text_all")
+    n_all = F.size(text_all)
+    quotes = F.col("quotes")
+
+    def annotate(x, i):
+        nxt = F.try_element_at(F.try_element_at(quotes, i + 2)["frags"], F.lit(1))
+        last = F.try_element_at(x["frags"], F.lit(-1))
+        p = F.array_position(F.transform(text_all, lambda y: F.instr(y, last) > 0), True)
+        return F.struct(x["frags"].alias("frags"), nxt.alias("nxt"), p.alias("p"))
+
+    def one(x):
+        tail = F.slice(text_all, x["p"] + 1, F.greatest(n_all - x["p"], F.lit(0)))
+        e = F.coalesce(F.array_position(tail, x["nxt"]), F.lit(0))
+        reply = F.when(e == 0, tail).otherwise(F.slice(tail, 1, e - 1))
+        return _pair(F.array_join(x["frags"], "\n"), F.array_join(reply, "\n"))
+    ann = F.transform(F.when(F.size(quotes) > 0, quotes).otherwise(F.array()), annotate)
+    ok = F.filter(ann, lambda x: (F.size(x["frags"]) > 0) & (x["p"] > 0) & (x["p"] < n_all))
+    return F.transform(ok, one)
+
+
+def quote_pair_arrays(posts: DataFrame, key_cols: Sequence[str] = POST_KEY) -> DataFrame:
+    """Per post with a quote rule: ``key..., rule, qpairs`` (array of pairs)."""
+    key = list(key_cols)
+    per_post = post_quote_arrays(quote_tokens(posts, key), key)
+    pairs = (F.when(F.col("rule") == "a", _pairs_a()).when(F.col("rule") == "b", _pairs_b())
+              .otherwise(_pairs_c()))
+    return per_post.select(*key, "rule", pairs.alias("qpairs"))
+
+
+def explode_pairs(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    out = df.select(*key_cols, F.posexplode("qpairs").alias("k", "pair"))
+    return out.select(*key_cols, F.col("k").cast("bigint").alias("k"),
+                      F.col("pair")["speaker0_text"].alias("speaker0_text"),
+                      F.col("pair")["speaker1_text"].alias("speaker1_text"))
 
 
 def quote_pairs(posts: DataFrame, key_cols: Sequence[str] = POST_KEY) -> DataFrame:
-    """Q4: union of the three site rules -> ``key..., rule, k, speaker0_text, speaker1_text``."""
+    """Q4: pairs of all three site rules -> ``key..., rule, k, speaker0_text, speaker1_text``.
+
+    ``k`` numbers the pairs of one post in emission order.
+    """
     key = list(key_cols)
-    t = quote_tokens(posts, key)
-    out = None
-    for rule, fn in (("a", _pairs_site_a), ("b", _pairs_site_b), ("c", _pairs_site_c)):
-        part = fn(t, key).select(*key, F.lit(rule).alias("rule"), F.col("k").cast("bigint").alias("k"),
-                                 "speaker0_text", "speaker1_text")
-        out = part if out is None else out.unionByName(part)
-    return out
+    out = quote_pair_arrays(posts, key).select(*key, "rule", F.posexplode("qpairs").alias("k", "pair"))
+    return out.select(*key, "rule", F.col("k").cast("bigint").alias("k"),
+                      F.col("pair")["speaker0_text"].alias("speaker0_text"),
+                      F.col("pair")["speaker1_text"].alias("speaker1_text"))
 
 
 def quotes_site(posts: DataFrame, rule: str, key_cols: Sequence[str] = POST_KEY) -> DataFrame:
     """One site rule alone (Q1, Q2 or Q3)."""
-    key = list(key_cols)
-    t = quote_tokens(posts, key)
-    fn = {"a": _pairs_site_a, "b": _pairs_site_b, "c": _pairs_site_c}[rule]
-    return fn(t, key).select(*key, F.col("k").cast("bigint").alias("k"), "speaker0_text", "speaker1_text")
+    return quote_pairs(posts, key_cols).filter(F.col("rule") == rule).drop("rule")

@@ -36,10 +36,7 @@ def doc_posts(spark: SparkSession, sf: str) -> DataFrame:
 
 def dialog_pairs(posts: DataFrame, max_answers: int | None = 5, flush_tail: bool = False) -> DataFrame:
     """Variant 2 over posts: chain pairs plus quote pairs."""
-    qp = quotes.quote_pairs(posts)
-    chain = chains.dialog_starter_chain(posts, quote_posts=qp, max_answers=max_answers,
-                                        flush_tail=flush_tail)
-    return chain.unionByName(chains.quote_dialog(qp, posts))
+    return chains.dialog_pairs(posts, quotes.quote_pair_arrays(posts), max_answers, flush_tail)
 
 
 # --------------------------------------------------------------------------
@@ -53,7 +50,7 @@ def q_dialog_dataset(spark, sf):
 @query("dialog_starter_chain")
 def q_dialog_starter_chain(spark, sf):
     posts = conv_posts(spark, sf)
-    return chains.dialog_starter_chain(posts, quote_posts=quotes.quote_pairs(posts))
+    return chains.dialog_starter_chain(posts, quotes.quote_pair_arrays(posts))
 
 
 @query("dialog_starter_chain_docs")
