@@ -428,3 +428,158 @@ ORACLE["dialog_starter_chain_docs"] = with_(doc_posts_cte(), chain_ctes(qpairs=N
 ORACLE["quote_pairs"] = with_(conv_posts_cte(), quote_pairs_ctes(), select="SELECT * FROM qpairs")
 ORACLE["dialog_two_speaker"] = with_(conv_posts_cte(), two_speaker_ctes(), select="SELECT * FROM v1")
 ORACLE["dialog_two_speaker_docs"] = with_(doc_posts_cte(), two_speaker_ctes(), select="SELECT * FROM v1")
+
+
+# --------------------------------------------------------------------------
+# chain steps
+# --------------------------------------------------------------------------
+CONV = conv_posts_cte()
+DOCS = doc_posts_cte()
+QP = quote_pairs_ctes()
+DK = "source, topic_id, emit_pos, emit_k, kind"
+PAIRS = "pairs AS (SELECT * FROM chain UNION ALL SELECT * FROM qdialog)"
+LINES = f"lines AS (SELECT {DK}, line FROM ({encode_select('pairs')}))"
+
+ORACLE["first_two_speakers"] = with_(CONV, two_speaker_ctes(),
+                                     select="SELECT source, topic_id, speaker0, speaker1 FROM v1_sp")
+ORACLE["speaker_runs"] = with_(CONV, two_speaker_ctes(), select="""
+SELECT r.source, r.topic_id, CAST(r.run AS BIGINT) AS run, CAST(s.spk AS BIGINT) AS spk, r.run_pos, r.run_text
+FROM v1_runs r JOIN (SELECT DISTINCT source, topic_id, run, spk FROM v1_r) s USING (source, topic_id, run)""")
+ORACLE["topic_starter"] = with_(CONV, select="""
+SELECT source, topic_id, pos AS first_pos, author_id AS starter FROM (
+  SELECT *, row_number() OVER (PARTITION BY source, topic_id ORDER BY pos) AS rn FROM posts) WHERE rn = 1""")
+ORACLE["chain_segments"] = with_(CONV, QP, chain_ctes(), select="""
+SELECT source, topic_id, pos, iss, CAST(seg AS BIGINT) AS seg, ctext FROM chain_s""")
+ORACLE["segment_question"] = with_(CONV, QP, chain_ctes(), select="""
+SELECT source, topic_id, CAST(seg AS BIGINT) AS seg, seg_start, question FROM chain_q""")
+ORACLE["first_answers"] = with_(DOCS, chain_ctes(qpairs=None), select="""
+SELECT source, topic_id, CAST(seg AS BIGINT) AS seg, author_id, first_pos, answer, CAST(answer_k AS BIGINT) AS answer_k
+FROM chain_a""")
+ORACLE["top5_answers"] = with_(DOCS, chain_ctes(qpairs=None), select="""
+SELECT source, topic_id, CAST(seg AS BIGINT) AS seg, author_id, answer, CAST(answer_k AS BIGINT) AS answer_k
+FROM chain_a WHERE answer_k < 5""")
+ORACLE["emit_order"] = with_(CONV, QP, chain_ctes(), quote_dialog_cte(), PAIRS, select=f"""
+SELECT {DK}, CAST(row_number() OVER (ORDER BY {DK}) - 1 AS BIGINT) AS line_no FROM pairs""")
+
+# --------------------------------------------------------------------------
+# cleaning, text scalars
+# --------------------------------------------------------------------------
+ORACLE["scan_posts"] = with_(CONV, select="""
+SELECT source, topic_id, url, author_id, author_name, text, pos FROM posts WHERE coalesce(topic_id <> 'topic_id', true)""")
+ORACLE["dedup_posts"] = with_(DOCS, select="""
+SELECT source, topic_id, pos, author_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY source, topic_id, text ORDER BY pos) AS rn FROM posts) WHERE rn = 1""")
+ORACLE["normalize_ws"] = f"SELECT conv_id, turn, {c1('text')} AS mapped FROM conversations"
+ORACLE["strip_ws"] = f"SELECT doc_id, {strip('text')} AS stripped FROM documents"
+ORACLE["token_count"] = f"SELECT doc_id, CAST({tokens('text')} AS BIGINT) AS n_tokens FROM documents"
+ORACLE["length_code"] = f"SELECT doc_id, {lcode('text')} AS len_code FROM documents"
+ORACLE["encode_pairs"] = with_(CONV, two_speaker_ctes(), select=encode_select("v1"))
+
+# --------------------------------------------------------------------------
+# statistics and contracts
+# --------------------------------------------------------------------------
+BOTH = "allposts AS (SELECT * FROM posts UNION ALL SELECT * FROM dposts)"
+ORACLE["topic_count"] = with_(CONV, doc_posts_cte("dposts"), BOTH, select="""
+SELECT source, count(DISTINCT topic_id) AS n_topics FROM allposts GROUP BY source""")
+ORACLE["topic_yield"] = with_(CONV, QP, chain_ctes(), quote_dialog_cte(), PAIRS, select="""
+SELECT p.source, p.topic_id, p.n_posts, CAST(coalesce(q.n_pairs, 0) AS BIGINT) AS n_pairs
+FROM (SELECT source, topic_id, count(*) AS n_posts FROM posts GROUP BY ALL) p
+LEFT JOIN (SELECT source, topic_id, count(*) AS n_pairs FROM pairs GROUP BY ALL) q USING (source, topic_id)""")
+ORACLE["topic_progress"] = with_(CONV, doc_posts_cte("dposts"), BOTH, select="""
+SELECT source, topic_id, topic_index, n_topics, topic_index / n_topics AS progress FROM (
+  SELECT source, topic_id, CAST(row_number() OVER (PARTITION BY source ORDER BY topic_id) - 1 AS BIGINT) AS topic_index,
+         count(*) OVER (PARTITION BY source) AS n_topics
+  FROM (SELECT DISTINCT source, topic_id FROM allposts))""")
+ORACLE["running_size"] = with_(CONV, QP, chain_ctes(), quote_dialog_cte(), PAIRS, select="""
+SELECT source, n_lines, CAST(sum(n_lines) OVER (ORDER BY source) AS BIGINT) AS running_lines
+FROM (SELECT source, count(*) AS n_lines FROM pairs GROUP BY source)""")
+_pcols = ["source", "topic_id", "url", "author_id", "author_name", "text", "pos"]
+ORACLE["profile"] = with_(CONV, select="SELECT count(*) AS n_rows, " + ", ".join(
+    f"count({c}) AS nonnull_{c}" for c in _pcols) + " FROM posts")
+LOSS = "losses AS (SELECT event_id + 1 AS step, value / 100.0 AS loss FROM events)"
+ORACLE["perplexity"] = with_(LOSS, select="SELECT round(exp(avg(loss)), 6) AS perplexity, count(*) AS n_batches FROM losses")
+ORACLE["loss_windows"] = with_(LOSS, select="""
+SELECT * FROM (SELECT CAST(floor((step - 1) / 500) AS BIGINT) AS window, round(avg(loss), 6) AS mean_loss,
+                      count(*) AS n_steps FROM losses GROUP BY 1) WHERE n_steps = 500""")
+ORACLE["harvest_rate"] = """
+SELECT source, n_items, seconds, round(CASE WHEN seconds > 0 THEN n_items / seconds END, 6) AS items_per_sec FROM (
+  SELECT event_type AS source, count(*) AS n_items, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds
+  FROM events GROUP BY event_type)"""
+_req = ["author_id", "author_name", "text", "topic_id", "url", "html"]
+ORACLE["contract_fields"] = with_(CONV, select="SELECT source, count(*) AS n_posts, " + ", ".join(
+    f"count_if({c} IS NULL) AS missing_{c}" for c in _req) + " FROM posts GROUP BY source")
+ORACLE["contract_rows"] = with_(CONV, select="""
+SELECT p.source, p.url, p.n_rows, e.expected, coalesce(p.n_rows >= e.expected, true) AS ok
+FROM (SELECT source, url, count(*) AS n_rows FROM posts GROUP BY ALL) p
+LEFT JOIN (VALUES ('psy_su', 20), ('b17_ru', 50), ('psycheforum_ru', 30), ('psyhelp24_org', 1)) e(source, expected)
+USING (source)""")
+
+# --------------------------------------------------------------------------
+# sampling, splitting, packing
+# --------------------------------------------------------------------------
+_h = f"md5(concat_ws(':', '1234', source, topic_id, CAST(emit_pos AS VARCHAR), CAST(emit_k AS VARCHAR), kind))"
+RANKED = f"""ranked AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY {_h}, {DK}) - 1 AS BIGINT) AS shuffle_rank, count(*) OVER () AS n_total
+  FROM lines)"""
+LINE_CTES = (CONV, QP, chain_ctes(), quote_dialog_cte(), PAIRS, LINES, RANKED)
+ORACLE["shuffle"] = with_(*LINE_CTES, select=f"SELECT {DK}, line, shuffle_rank FROM ranked")
+ORACLE["cap_sample"] = with_(*LINE_CTES, select=f"SELECT {DK}, line, shuffle_rank FROM ranked WHERE shuffle_rank < 300000")
+ORACLE["cap_sample_100"] = with_(*LINE_CTES, select=f"SELECT {DK}, line, shuffle_rank FROM ranked WHERE shuffle_rank < 100")
+SPLIT = f"""splitted AS (
+  SELECT {DK}, line, shuffle_rank,
+         CASE WHEN shuffle_rank < CAST(floor(least(n_total, 300000) * 0.8 + 0.5) AS BIGINT) THEN 'train' ELSE 'test' END AS split
+  FROM ranked WHERE shuffle_rank < least(n_total, 300000))"""
+ORACLE["split_train"] = with_(*LINE_CTES, SPLIT, select="SELECT * FROM splitted WHERE split = 'train'")
+ORACLE["split_test"] = with_(*LINE_CTES, SPLIT, select="SELECT * FROM splitted WHERE split = 'test'")
+ORACLE["split_sizes"] = with_(*LINE_CTES, SPLIT, select="SELECT split, count(*) AS n_rows FROM splitted GROUP BY split")
+
+
+def pack_sql(src: str, order: str, text: str, size: int) -> str:
+    return f"""
+pk_l AS (
+  SELECT {order}, list_append(regexp_extract_all({c1(text)}, {sql_str(PRETOKEN_RE2)}), chr(10)) AS toks FROM {src}
+),
+pk_o AS (
+  SELECT *, coalesce(sum(len(toks)) OVER (ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM pk_l
+),
+pk_t AS (SELECT start + u.i - 1 AS off, u.tok FROM pk_o, unnest(toks) WITH ORDINALITY AS u(tok, i)),
+blocks AS (
+  SELECT CAST(floor(off / {size}) AS BIGINT) AS block_id, CAST(count(*) AS BIGINT) AS n_tokens,
+         string_agg(tok, '' ORDER BY off) AS block_text
+  FROM pk_t GROUP BY 1 HAVING count(*) = {size}
+)"""
+
+
+ORACLE["pack_blocks"] = with_(*LINE_CTES[:-1], pack_sql("lines", DK, "line", 2048), select="SELECT * FROM blocks")
+ORACLE["pack_blocks_docs"] = with_(pack_sql("documents", "doc_id", "text", 1024), select="SELECT * FROM blocks")
+ORACLE["pad_batches"] = with_(pack_sql("documents", "doc_id", "text", 1024), select="""
+SELECT block_id, batch_id, n_tokens, padded_len, CAST(padded_len - n_tokens AS BIGINT) AS n_pad FROM (
+  SELECT *, max(n_tokens) OVER (PARTITION BY batch_id) AS padded_len FROM (
+    SELECT *, CAST(floor(block_id / 4) AS BIGINT) AS batch_id FROM blocks))""")
+
+# --------------------------------------------------------------------------
+# prompts and replies
+# --------------------------------------------------------------------------
+TURNS = """turns AS (
+  SELECT conv_id, turn, CASE role WHEN 'user' THEN 0 WHEN 'assistant' THEN 1 END AS speaker, text
+  FROM conversations WHERE role IN ('user', 'assistant'))"""
+
+
+def prompt_sql(frame: str) -> str:
+    lc = lcode("coalesce(text, '')")
+    piece = f"'|' || CAST(speaker AS VARCHAR) || '|' || {lc} || '|' || coalesce(text, '')"
+    return with_(TURNS, select=f"""
+SELECT conv_id, turn, prompt FROM (
+  SELECT conv_id, turn, speaker,
+         string_agg(piece, '' ORDER BY turn) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN {frame} AND CURRENT ROW)
+           || '|1|-|' AS prompt
+  FROM (SELECT *, {piece} AS piece FROM turns)) WHERE speaker = 0""")
+
+
+ORACLE["prompt_last5"] = prompt_sql("4 PRECEDING")
+ORACLE["prompt_full"] = prompt_sql("UNBOUNDED PRECEDING")
+ORACLE["parse_reply"] = with_(*LINE_CTES[:-1], select=f"SELECT {DK}, string_split(line, '|')[-1] AS reply FROM lines")
+ORACLE["pick_reply"] = with_(DOCS, chain_ctes(qpairs=None), select="""
+SELECT source, topic_id, emit_pos, o[1] AS reply, CAST(len(o) - 1 AS BIGINT) AS n_alternatives FROM (
+  SELECT source, topic_id, emit_pos, list(speaker1_text ORDER BY emit_k) AS o FROM chain GROUP BY ALL)""")

@@ -71,3 +71,251 @@ def q_dialog_two_speaker(spark, sf):
 @query("dialog_two_speaker_docs")
 def q_dialog_two_speaker_docs(spark, sf):
     return chains.dialog_two_speaker(doc_posts(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# chain steps (D1, D2, D5, D8-D11, D13) on the conversation posts
+# --------------------------------------------------------------------------
+from threadloom.operators import clean, contracts, packing, sampling, stats  # noqa: E402
+from threadloom.functions import text as T  # noqa: E402
+
+DATASET_KEY = ["source", "topic_id", "emit_pos", "emit_k", "kind"]
+
+
+@query("first_two_speakers")
+def q_first_two_speakers(spark, sf):
+    p = conv_posts(spark, sf).filter(F.col("text").isNotNull())
+    return chains.first_two_speakers(p)
+
+
+@query("speaker_runs")
+def q_speaker_runs(spark, sf):
+    return chains.speaker_runs(conv_posts(spark, sf)).select(
+        "source", "topic_id", F.col("run").cast("bigint").alias("run"), F.col("spk").cast("bigint").alias("spk"),
+        "run_pos", "run_text")
+
+
+@query("topic_starter")
+def q_topic_starter(spark, sf):
+    p = chains.topic_starter(conv_posts(spark, sf).select("source", "topic_id", "pos", "author_id"))
+    return p.filter("is_first").select("source", "topic_id", F.col("pos").alias("first_pos"), "starter")
+
+
+def _conv_segments(spark, sf):
+    posts = conv_posts(spark, sf)
+    return chains.chain_segments(chains.flag_posts(posts, quotes.quote_pair_arrays(posts)))
+
+
+@query("chain_segments")
+def q_chain_segments(spark, sf):
+    return _conv_segments(spark, sf).select("source", "topic_id", "pos", "iss", F.col("seg").cast("bigint").alias("seg"),
+                                            "ctext")
+
+
+@query("segment_question")
+def q_segment_question(spark, sf):
+    return chains.segment_questions(_conv_segments(spark, sf)).select(
+        "source", "topic_id", F.col("seg").cast("bigint").alias("seg"), "seg_start", "question")
+
+
+@query("first_answers")
+def q_first_answers(spark, sf):
+    a = chains.first_answers(chains.chain_segments(chains.flag_posts(doc_posts(spark, sf))), max_answers=None)
+    return a.select("source", "topic_id", F.col("seg").cast("bigint").alias("seg"), "author_id", "first_pos",
+                    "answer", F.col("answer_k").cast("bigint").alias("answer_k"))
+
+
+@query("top5_answers")
+def q_top5_answers(spark, sf):
+    a = chains.first_answers(chains.chain_segments(chains.flag_posts(doc_posts(spark, sf))), max_answers=5)
+    return a.select("source", "topic_id", F.col("seg").cast("bigint").alias("seg"), "author_id", "answer",
+                    F.col("answer_k").cast("bigint").alias("answer_k"))
+
+
+@query("emit_order")
+def q_emit_order(spark, sf):
+    """Dataset lines with their global position in dataset order."""
+    d = dialog_pairs(conv_posts(spark, sf)).select(*DATASET_KEY)
+    from threadloom.operators.ranking import global_offsets
+    return global_offsets(d, DATASET_KEY, out_col="line_no")
+
+
+# --------------------------------------------------------------------------
+# cleaning, text scalars
+# --------------------------------------------------------------------------
+@query("scan_posts")
+def q_scan_posts(spark, sf):
+    """S1 + C3 + C4: posts as a string table, header rows dropped, no topic_name."""
+    return clean.drop_header_rows(conv_posts(spark, sf)).select(
+        "source", "topic_id", "url", "author_id", "author_name", "text", "pos")
+
+
+@query("dedup_posts")
+def q_dedup_posts(spark, sf):
+    return clean.dedup_posts(doc_posts(spark, sf)).select("source", "topic_id", "pos", "author_id")
+
+
+@query("normalize_ws")
+def q_normalize_ws(spark, sf):
+    c = read_table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", T.normalize_ws(F.col("text")).alias("mapped"))
+
+
+@query("strip_ws")
+def q_strip_ws(spark, sf):
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", T.strip_ws(F.col("text")).alias("stripped"))
+
+
+@query("token_count")
+def q_token_count(spark, sf):
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", T.token_count(F.col("text")).cast("bigint").alias("n_tokens"))
+
+
+@query("length_code")
+def q_length_code(spark, sf):
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", T.length_code(T.token_count(F.col("text"))).alias("len_code"))
+
+
+@query("encode_pairs")
+def q_encode_pairs(spark, sf):
+    return encode.encode_pairs(chains.dialog_two_speaker(conv_posts(spark, sf)))
+
+
+# --------------------------------------------------------------------------
+# statistics and contracts
+# --------------------------------------------------------------------------
+@query("topic_count")
+def q_topic_count(spark, sf):
+    return stats.topic_count(conv_posts(spark, sf).unionByName(doc_posts(spark, sf)))
+
+
+@query("topic_yield")
+def q_topic_yield(spark, sf):
+    posts = conv_posts(spark, sf)
+    return stats.topic_yield(posts, dialog_pairs(posts))
+
+
+@query("topic_progress")
+def q_topic_progress(spark, sf):
+    return stats.topic_progress(conv_posts(spark, sf).unionByName(doc_posts(spark, sf)))
+
+
+@query("running_size")
+def q_running_size(spark, sf):
+    return stats.running_size(dialog_pairs(conv_posts(spark, sf)))
+
+
+@query("profile")
+def q_profile(spark, sf):
+    return stats.profile(conv_posts(spark, sf).drop("html"))
+
+
+@query("perplexity")
+def q_perplexity(spark, sf):
+    return stats.perplexity(stats.loss_table(read_table(spark, sf, "events")))
+
+
+@query("loss_windows")
+def q_loss_windows(spark, sf):
+    return stats.loss_windows(stats.loss_table(read_table(spark, sf, "events")))
+
+
+@query("harvest_rate")
+def q_harvest_rate(spark, sf):
+    return stats.harvest_rate(read_table(spark, sf, "events"), source_col="event_type")
+
+
+@query("contract_fields")
+def q_contract_fields(spark, sf):
+    return contracts.contract_fields(conv_posts(spark, sf))
+
+
+@query("contract_rows")
+def q_contract_rows(spark, sf):
+    return contracts.contract_rows(conv_posts(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# sampling, splitting, packing (on the encoded dataset lines)
+# --------------------------------------------------------------------------
+def dataset_lines(spark, sf):
+    return encode.encode_pairs(dialog_pairs(conv_posts(spark, sf))).select(*DATASET_KEY, "line")
+
+
+@query("shuffle")
+def q_shuffle(spark, sf):
+    return sampling.shuffle(dataset_lines(spark, sf), DATASET_KEY)
+
+
+@query("cap_sample")
+def q_cap_sample(spark, sf):
+    return sampling.cap_sample(dataset_lines(spark, sf), DATASET_KEY)
+
+
+@query("cap_sample_100")
+def q_cap_sample_100(spark, sf):
+    return sampling.cap_sample(dataset_lines(spark, sf), DATASET_KEY, n=100)
+
+
+@query("split_train")
+def q_split_train(spark, sf):
+    return sampling.split(dataset_lines(spark, sf), DATASET_KEY).filter(F.col("split") == "train")
+
+
+@query("split_test")
+def q_split_test(spark, sf):
+    return sampling.split(dataset_lines(spark, sf), DATASET_KEY).filter(F.col("split") == "test")
+
+
+@query("split_sizes")
+def q_split_sizes(spark, sf):
+    return stats.split_sizes(sampling.split(dataset_lines(spark, sf), DATASET_KEY))
+
+
+@query("pack_blocks")
+def q_pack_blocks(spark, sf):
+    return packing.pack_blocks(dataset_lines(spark, sf), DATASET_KEY, size=packing.BLOCK_SIZE)
+
+
+@query("pack_blocks_docs")
+def q_pack_blocks_docs(spark, sf):
+    return packing.pack_blocks(read_table(spark, sf, "documents"), ["doc_id"], text_col="text", size=1024)
+
+
+@query("pad_batches")
+def q_pad_batches(spark, sf):
+    blocks = packing.pack_blocks(read_table(spark, sf, "documents"), ["doc_id"], text_col="text", size=1024)
+    return packing.pad_batches(blocks)
+
+
+# --------------------------------------------------------------------------
+# prompts and replies
+# --------------------------------------------------------------------------
+@query("prompt_last5")
+def q_prompt_last5(spark, sf):
+    return encode.prompts(encode.chat_turns(read_table(spark, sf, "conversations")), history=5)
+
+
+@query("prompt_full")
+def q_prompt_full(spark, sf):
+    return encode.prompts(encode.chat_turns(read_table(spark, sf, "conversations")), history=None)
+
+
+@query("parse_reply")
+def q_parse_reply(spark, sf):
+    return dataset_lines(spark, sf).select(*DATASET_KEY, encode.parse_reply("line").alias("reply"))
+
+
+@query("pick_reply")
+def q_pick_reply(spark, sf):
+    """F8 over the answers of each question (several answerers = alternatives)."""
+    c = chains.dialog_starter_chain(doc_posts(spark, sf))
+    g = c.groupBy("source", "topic_id", "emit_pos").agg(
+        F.array_sort(F.collect_list(F.struct("emit_k", "speaker1_text"))).alias("o"))
+    outs = F.transform("o", lambda x: x["speaker1_text"])
+    reply, alts = encode.pick_reply(outs)
+    return g.select("source", "topic_id", "emit_pos", reply.alias("reply"),
+                    F.size(alts).cast("bigint").alias("n_alternatives"))
