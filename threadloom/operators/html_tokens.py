@@ -39,7 +39,9 @@ PAGE_CONTAINERS = ("html", "body", "div", "td", "tr", "table", "tbody", "thead",
                    "header", "footer", "section", "main", "title", "head")
 # Named entities decoded in text (&amp; last so "&amp;lt;" stays "&lt;").
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&#160;", " "), ("&amp;", "&"))
+            ("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"),
+            ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"), ("&hellip;", "\u2026"), ("&mdash;", "\u2014"),
+            ("&ndash;", "\u2013"), ("&amp;", "&"))
 
 TOKEN_PATTERN = r"<[^>]*>|[^<]+"
 DROP_PATTERN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"

@@ -583,3 +583,132 @@ ORACLE["parse_reply"] = with_(*LINE_CTES[:-1], select=f"SELECT {DK}, string_spli
 ORACLE["pick_reply"] = with_(DOCS, chain_ctes(qpairs=None), select="""
 SELECT source, topic_id, emit_pos, o[1] AS reply, CAST(len(o) - 1 AS BIGINT) AS n_alternatives FROM (
   SELECT source, topic_id, emit_pos, list(speaker1_text ORDER BY emit_k) AS o FROM chain GROUP BY ALL)""")
+
+
+# --------------------------------------------------------------------------
+# pages
+# --------------------------------------------------------------------------
+from threadloom.operators.html_tokens import PAGE_CONTAINERS  # noqa: E402
+from threadloom.operators.links import HREF_PATTERN, LINK_RULES, TOPIC_ID_IN_URL  # noqa: E402
+
+PTOK = token_ctes("pages", ["page_id"], [], name="ptok", ancestors=1, count_tags=PAGE_CONTAINERS)
+PTOK0 = token_ctes("pages", ["page_id"], [], name="ptok", ancestors=0, count_tags=PAGE_CONTAINERS)
+PK = "page_id"
+
+ORACLE["scan_pages"] = r"""
+SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) AS host,
+       CAST(length(html) AS BIGINT) AS n_chars FROM pages"""
+ORACLE["html_tokens"] = with_(PTOK, select="""
+SELECT page_id, CAST(tpos AS BIGINT) AS tpos, kind, tag, CAST(d_before AS BIGINT) AS depth,
+       CASE WHEN is_elem OR (kind = 'close' AND delta = -1) THEN anc1.tag ELSE anc0.tag END AS parent_tag, text
+FROM ptok""")
+ORACLE["html_depth"] = with_(PTOK0, select="""
+SELECT page_id, count(*) AS n_tokens, count_if(is_elem) AS n_elements, CAST(max(d_after) AS BIGINT) AS max_depth,
+       CAST(arg_max(d_after, tpos) AS BIGINT) AS end_depth
+FROM ptok GROUP BY page_id""")
+
+
+def _agg_text(cond: str, value: str, sep: str) -> str:
+    return f"coalesce(string_agg({value}, {sep} ORDER BY tpos) FILTER (WHERE {cond}), '')"
+
+
+ORACLE["element_text"] = with_(PTOK0, select=f"""
+SELECT page_id, {_agg_text("kind = 'text' AND in_a > 0", 'text', 'chr(10)')} AS article_text FROM (
+  SELECT *, {_inside(_pred('anc0', 'article'), PK)} AS in_a FROM ptok) GROUP BY page_id""")
+ORACLE["direct_text"] = with_(PTOK0, select=f"""
+SELECT page_id, {_agg_text("kind = 'text' AND " + _pred('anc0', 'h1'), 'text', "''")} AS h1_text
+FROM ptok GROUP BY page_id""")
+ORACLE["element_attr"] = with_(PTOK0, select=f"""
+SELECT page_id, min({{'tpos': tpos, 'v': {_attr('lang')}}}) FILTER (WHERE kind = 'open' AND tag = 'html').v AS lang
+FROM ptok GROUP BY page_id""")
+_own_article = f"((is_elem OR (kind = 'close' AND delta = -1)) AND {_pred('anc0', 'article')})"
+ORACLE["element_html"] = with_(PTOK0, select=f"""
+SELECT page_id, {_agg_text('in_a > 0 OR ' + _own_article, 'tok', "''")} AS article_html FROM (
+  SELECT *, {_inside(_pred('anc0', 'article'), PK)} AS in_a FROM ptok) GROUP BY page_id""")
+ORACLE["field_join"] = with_(PTOK0, select=f"""
+SELECT page_id, CAST(len(m) AS BIGINT) AS n_values, array_to_string(m, '-') AS joined,
+       list_filter(v, lambda x: x IS NOT NULL AND x <> '')[1] AS first_value FROM (
+  SELECT page_id, v, list_filter(list_transform(v, lambda x: nullif({strip('x')}, '')), lambda x: x IS NOT NULL) AS m
+  FROM (SELECT page_id, coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND in_nav > 0), []) AS v
+        FROM (SELECT *, {_inside(_pred('anc0', 'nav'), PK)} AS in_nav FROM ptok) GROUP BY page_id))""")
+ORACLE["topic_title"] = with_(PTOK0, select=f"""
+SELECT page_id, h1d[1] AS title_a,
+       array_to_string(list_filter(list_transform(h1, lambda x: nullif({strip('x')}, '')), lambda x: x IS NOT NULL), '-') AS title_b,
+       {strip("array_to_string(h1, ' ')")} AS title_c, h2[1] AS title_d FROM (
+  SELECT page_id,
+         coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND {_pred('anc0', 'h1')}), []) AS h1d,
+         coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND in_h1 > 0), []) AS h1,
+         coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND in_h2 > 0), []) AS h2
+  FROM (SELECT *, {_inside(_pred('anc0', 'h1'), PK)} AS in_h1, {_inside(_pred('anc0', 'h2'), PK)} AS in_h2 FROM ptok)
+  GROUP BY page_id)""")
+
+LINKS_CTE = f"""plinks AS (
+  SELECT page_id, url, CAST(u.i - 1 AS BIGINT) AS link_no, {_decode('u.h')} AS href
+  FROM pages, unnest(regexp_extract_all(regexp_replace(html, {sql_str(DROP_RE)}, '', 'g'), {sql_str(HREF_PATTERN)}, 1))
+       WITH ORDINALITY AS u(h, i))"""
+
+
+def url_join_sql(base: str, href: str) -> str:
+    sch = f"regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1)"
+    origin = f"regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1)"
+    folder = f"regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^?#]*/)', 1)"
+    no_frag = f"regexp_extract({base}, '^([^#]*)', 1)"
+    no_query = f"regexp_extract({base}, '^([^?#]*)', 1)"
+    return f"""(CASE WHEN regexp_matches({href}, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN {href}
+      WHEN starts_with({href}, '//') THEN {sch} || ':' || {href}
+      WHEN starts_with({href}, '/') THEN {origin} || {href}
+      WHEN starts_with({href}, '?') THEN {no_query} || {href}
+      WHEN starts_with({href}, '#') THEN {no_frag} || {href}
+      WHEN {href} = '' THEN {no_frag}
+      ELSE (CASE WHEN {folder} <> '' THEN {folder} ELSE {origin} || '/' END) || {href} END)"""
+
+
+def link_rule_sql(u: str) -> str:
+    out = "NULL"
+    for name, allow, deny, ids in reversed(LINK_RULES):
+        ok = f"regexp_matches({u}, {sql_str(allow)})"
+        if deny:
+            ok += f" AND NOT regexp_matches({u}, {sql_str(deny)})"
+        if ids:
+            idl = ", ".join(sql_str(i) for i in ids)
+            ok += f" AND NOT coalesce(regexp_extract({u}, {sql_str(TOPIC_ID_IN_URL)}, 1) IN ({idl}), false)"
+        out = f"CASE WHEN {ok} THEN '{name}' ELSE {out} END"
+    return out
+
+
+RESOLVED = f"rlinks AS (SELECT *, {url_join_sql('url', 'href')} AS abs_url FROM plinks)"
+REGION = with_  # alias for readability below
+NAV_LINKS = f"""navlinks AS (
+  SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY tpos) - 1 AS BIGINT) AS link_no,
+         {_decode(_attr('href'))} AS href
+  FROM (SELECT *, {_inside(_pred('anc0', 'nav'), PK)} AS in_nav FROM ptok)
+  WHERE kind = 'open' AND tag = 'a' AND in_nav > 0)"""
+PAGER = """pager AS (
+  SELECT p.page_id, p.url, n.pager FROM pages p
+  LEFT JOIN (SELECT page_id, list(href ORDER BY link_no) AS pager FROM navlinks GROUP BY page_id) n USING (page_id))"""
+
+ORACLE["links"] = with_(LINKS_CTE, select="SELECT page_id, url, link_no, href FROM plinks")
+ORACLE["links_in_region"] = with_(PTOK0, NAV_LINKS, select="SELECT * FROM navlinks")
+ORACLE["url_join"] = with_(LINKS_CTE, RESOLVED, select="SELECT page_id, link_no, abs_url FROM rlinks")
+ORACLE["link_rules"] = with_(LINKS_CTE, RESOLVED, select=f"""
+SELECT *, {link_rule_sql('abs_url')} AS rule FROM (
+  SELECT page_id, link_no, abs_url FROM rlinks UNION ALL SELECT page_id, CAST(-1 AS BIGINT), url FROM pages)""")
+_path = r"regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/$', '')"
+ORACLE["next_page"] = with_(PTOK0, NAV_LINKS, PAGER, select=f"""
+SELECT page_id, CASE WHEN len(coalesce(pager, [])) = 0 THEN NULL
+                     WHEN list_position(pager, {_path}) IS NULL THEN pager[1]
+                     ELSE pager[list_position(pager, {_path}) + 1] END AS next_href
+FROM pager""")
+ORACLE["next_topic_page"] = with_(PTOK0, NAV_LINKS, PAGER, select=r"""
+SELECT page_id, CASE WHEN len(coalesce(pager, [])) = 0 THEN NULL
+                     WHEN strpos(url, '?page=') = 0 THEN pager[1]
+                     WHEN regexp_extract(url, '\?page=(\d+)', 1) <> ''
+                          AND CAST(regexp_extract(url, '\?page=(\d+)', 1) AS INTEGER) >= 1
+                       THEN pager[CAST(regexp_extract(url, '\?page=(\d+)', 1) AS INTEGER)] END AS next_href
+FROM pager""")
+ORACLE["frontier"] = with_(LINKS_CTE, RESOLVED, select=r"""
+SELECT DISTINCT url FROM (
+  SELECT regexp_replace(abs_url, '#.*$', '') AS url FROM rlinks) c
+WHERE lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) IN
+      (SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) FROM pages)
+  AND url NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)""")

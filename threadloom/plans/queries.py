@@ -319,3 +319,105 @@ def q_pick_reply(spark, sf):
     reply, alts = encode.pick_reply(outs)
     return g.select("source", "topic_id", "emit_pos", reply.alias("reply"),
                     F.size(alts).cast("bigint").alias("n_alternatives"))
+
+
+# --------------------------------------------------------------------------
+# pages: structure (T1-T6), fields (X1-X3), links (L1-L8), titles
+# --------------------------------------------------------------------------
+from threadloom.operators import links as L  # noqa: E402
+from threadloom.operators import pages as PG  # noqa: E402
+from threadloom.operators.html_tokens import is_el  # noqa: E402
+
+
+def _pages(spark, sf):
+    return read_table(spark, sf, "pages")
+
+
+@query("scan_pages")
+def q_scan_pages(spark, sf):
+    p = _pages(spark, sf)
+    return p.select("page_id", "url", L.url_host(F.col("url")).alias("host"),
+                    F.length("html").cast("bigint").alias("n_chars"))
+
+
+@query("html_tokens")
+def q_html_tokens(spark, sf):
+    return PG.token_table(PG.page_tokens(_pages(spark, sf)))
+
+
+@query("html_depth")
+def q_html_depth(spark, sf):
+    return PG.depth_summary(PG.page_tokens(_pages(spark, sf), ancestors=0))
+
+
+@query("element_text")
+def q_element_text(spark, sf):
+    return PG.element_texts(PG.page_tokens(_pages(spark, sf), ancestors=0), is_el("article"), "article_text")
+
+
+@query("direct_text")
+def q_direct_text(spark, sf):
+    return PG.direct_texts(PG.page_tokens(_pages(spark, sf), ancestors=0), is_el("h1"), "h1_text")
+
+
+@query("element_attr")
+def q_element_attr(spark, sf):
+    return PG.element_attr(PG.page_tokens(_pages(spark, sf), ancestors=0), "html", "lang")
+
+
+@query("element_html")
+def q_element_html(spark, sf):
+    return PG.element_html(PG.page_tokens(_pages(spark, sf), ancestors=0), is_el("article"), "article_html")
+
+
+@query("field_join")
+def q_field_join(spark, sf):
+    return PG.nav_fields(PG.page_tokens(_pages(spark, sf), ancestors=0))
+
+
+@query("topic_title")
+def q_topic_title(spark, sf):
+    return PG.topic_titles(PG.page_tokens(_pages(spark, sf), ancestors=0))
+
+
+@query("links")
+def q_links(spark, sf):
+    return L.links(_pages(spark, sf))
+
+
+@query("links_in_region")
+def q_links_in_region(spark, sf):
+    return L.region_links(_pages(spark, sf), is_el("nav"), count_tags=PG.PAGE_CONTAINERS)
+
+
+@query("url_join")
+def q_url_join(spark, sf):
+    return L.resolved_links(_pages(spark, sf)).select("page_id", "link_no", "abs_url")
+
+
+@query("link_rules")
+def q_link_rules(spark, sf):
+    """L2 over every resolved link and every page url."""
+    ln = L.resolved_links(_pages(spark, sf)).select("page_id", "link_no", "abs_url")
+    pg = _pages(spark, sf).select("page_id", F.lit(-1).cast("bigint").alias("link_no"), F.col("url").alias("abs_url"))
+    u = ln.unionByName(pg)
+    return u.withColumn("rule", L.link_rule(F.col("abs_url")))
+
+
+@query("next_page")
+def q_next_page(spark, sf):
+    p = _pages(spark, sf)
+    return L.next_page(p, L.region_links(p, is_el("nav"), count_tags=PG.PAGE_CONTAINERS))
+
+
+@query("next_topic_page")
+def q_next_topic_page(spark, sf):
+    p = _pages(spark, sf)
+    return L.next_topic_page(p, L.region_links(p, is_el("nav"), count_tags=PG.PAGE_CONTAINERS))
+
+
+@query("frontier")
+def q_frontier(spark, sf):
+    p = _pages(spark, sf)
+    hosts = p.select(L.url_host(F.col("url")).alias("host"))
+    return L.frontier(L.resolved_links(p), p, hosts)
