@@ -151,3 +151,30 @@ def is_el(tag: str, cls: str | None = None, role: str | None = None, eid: str |
             c = c & (d["eid"] == eid)
         return F.coalesce(c, F.lit(False))
     return pred
+
+
+def region_id(key_cols: Sequence[str], flag: Column) -> Column:
+    """tpos of the flagged element a token lies in (its open and close tags
+    included), -1 outside. Flagged elements must not nest in each other.
+    """
+    w = Window.partitionBy(*key_cols).orderBy("tpos").rowsBetween(Window.unboundedPreceding, 0)
+    opened = F.last(F.when(flag, F.col("tpos")), ignorenulls=True).over(w)
+    is_own_close = (F.col("kind") == "close") & (F.col("delta") == -1) & (F.col("anc0")["tpos"] == opened)
+    ev = F.when(flag, F.col("tpos")).when(is_own_close, F.lit(-1))
+    cur = F.coalesce(F.last(ev, ignorenulls=True).over(w), F.lit(-1))
+    return F.when(is_own_close, F.col("anc0")["tpos"]).otherwise(cur)
+
+
+def sibling_indexes(t: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """``parent_tpos``, ``child_index`` (nth-child among element siblings,
+    void tags included) and ``tag_index`` (position among same-tag siblings)
+    for open tags; null for other tokens."""
+    is_open = F.col("kind") == "open"
+    t = t.withColumn("parent_tpos", F.when(is_open, F.when(F.col("is_elem"), F.col("anc1")["tpos"])
+                                                    .otherwise(F.col("anc0")["tpos"])))
+    t = t.withColumn("_o", F.when(is_open, F.lit(0)).otherwise(F.lit(1)))
+    w1 = Window.partitionBy(*key_cols, "_o", "parent_tpos").orderBy("tpos")
+    w2 = Window.partitionBy(*key_cols, "_o", "parent_tpos", "tag").orderBy("tpos")
+    t = t.withColumn("child_index", F.when(is_open, F.row_number().over(w1)))
+    t = t.withColumn("tag_index", F.when(is_open, F.row_number().over(w2)))
+    return t.drop("_o")

@@ -421,3 +421,107 @@ def q_frontier(spark, sf):
     p = _pages(spark, sf)
     hosts = p.select(L.url_host(F.col("url")).alias("host"))
     return L.frontier(L.resolved_links(p), p, hosts)
+
+
+# --------------------------------------------------------------------------
+# forum pages -> posts (E1-E15), on topic pages rendered from conversations
+# --------------------------------------------------------------------------
+from threadloom.operators import extract as X  # noqa: E402
+from threadloom.sources.forum_pages import forum_pages_from_conversations  # noqa: E402
+
+POST_OUT = ["source", "topic_id", "page_no", "rec_no", "author_href", "author_name", "text", "html"]
+
+
+def forum_pages(spark, sf):
+    return forum_pages_from_conversations(read_table(spark, sf, "conversations"))
+
+
+def _site_posts(spark, sf, site):
+    r = X.posts_from_pages(forum_pages(spark, sf)).filter(F.col("ready") & (F.col("source") == site))
+    return r.select(*POST_OUT)
+
+
+@query("posts_site_a")
+def q_posts_site_a(spark, sf):
+    return _site_posts(spark, sf, X.A)
+
+
+@query("posts_site_b")
+def q_posts_site_b(spark, sf):
+    return _site_posts(spark, sf, X.B)
+
+
+@query("posts_site_c")
+def q_posts_site_c(spark, sf):
+    return _site_posts(spark, sf, X.C)
+
+
+@query("posts_site_d")
+def q_posts_site_d(spark, sf):
+    r = X.posts_from_pages(forum_pages(spark, sf)).filter(F.col("source") == X.D)
+    return r.select(*POST_OUT, "role")
+
+
+@query("page_yield")
+def q_page_yield(spark, sf):
+    return X.page_yield(X.posts_from_pages(forum_pages(spark, sf)))
+
+
+@query("drop_repeat_opening")
+def q_drop_repeat_opening(spark, sf):
+    """b17 opening posts that later pages repeat (and extraction skips)."""
+    t = X.forum_tokens(forum_pages(spark, sf))
+    rep = t.filter((F.col("source") == X.B) & (F.col("page_no") > 1) & F.col("is_elem") & (F.col("tag") == "tr")
+                   & is_el("div", eid="table-forum-post")(F.col("anc3")))
+    return rep.select(*X.PAGE_KEY, F.col("tpos").cast("bigint").alias("tpos"))
+
+
+@query("guest_ids")
+def q_guest_ids(spark, sf):
+    r = X.posts_from_pages(forum_pages(spark, sf)).filter("ready")
+    r = r.withColumn("author_id", X.author_id_from_link(F.col("source"), F.col("author_href")))
+    return X.guest_ids(r)
+
+
+@query("name_carry")
+def q_name_carry(spark, sf):
+    r = X.posts_from_pages(forum_pages(spark, sf)).filter(F.col("source") == X.D)
+    return r.select(*X.PAGE_KEY, "rec_no", "role", "author_name")
+
+
+@query("strip_colon")
+def q_strip_colon(spark, sf):
+    r = X.posts_from_pages(forum_pages(spark, sf)).filter(F.col("source") == X.D)
+    return r.select(*X.PAGE_KEY, "rec_no", "text")
+
+
+@query("topic_id")
+def q_topic_id(spark, sf):
+    p = forum_pages(spark, sf)
+    return p.select(*X.PAGE_KEY, X.topic_id_from_url(F.col("source"), F.col("url")).alias("url_topic_id"))
+
+
+@query("author_id")
+def q_author_id(spark, sf):
+    r = X.posts_from_pages(forum_pages(spark, sf)).filter("ready")
+    return r.select(*X.PAGE_KEY, "rec_no", X.author_id_from_link(F.col("source"), F.col("author_href")).alias("author_id"))
+
+
+@query("reject_pages")
+def q_reject_pages(spark, sf):
+    """E14 over the forum pages plus the raw ``pages`` table read as psycheforum pages."""
+    raw = read_table(spark, sf, "pages").select(F.lit(X.C).alias("source"), F.col("page_id").cast("string").alias("topic_id"),
+                                                 F.lit(1).alias("page_no"), "url", "html")
+    return X.rejected_pages(forum_pages(spark, sf).unionByName(raw))
+
+
+@query("post_seq")
+def q_post_seq(spark, sf):
+    return X.extract_posts(forum_pages(spark, sf)).select("source", "topic_id", "page_no", "pos", "author_id")
+
+
+@query("forum_dialog")
+def q_forum_dialog(spark, sf):
+    """Pages -> posts -> dialogue lines, end to end (E-ops, then D/Q/F ops)."""
+    posts = X.extract_posts(forum_pages(spark, sf))
+    return encode.encode_pairs(dialog_pairs(posts))
