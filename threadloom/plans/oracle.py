@@ -712,3 +712,244 @@ SELECT DISTINCT url FROM (
 WHERE lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) IN
       (SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) FROM pages)
   AND url NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)""")
+
+
+# --------------------------------------------------------------------------
+# forum pages rendered from conversations, and extraction back to posts
+# --------------------------------------------------------------------------
+def forum_pages_cte(name: str = "fpages", per_page: int = 3) -> str:
+    a, b, c, d = SITE_SOURCES
+    tid = "CAST(conv_id AS VARCHAR)"
+    t = esc("coalesce(text, '')")
+    cells = (f"'<td><p class=\"fio\"><a href=\"/' || role || '/\">' || role || '</a></p></td><td>' || {t} || '</td>'")
+    prof = "(CASE WHEN role = 'user' THEN '11' WHEN role = 'assistant' THEN '22' END)"
+    link = (f"(CASE WHEN {prof} IS NOT NULL THEN '<a href=\"https://psycheforum.ru/profile/' || {prof} || '-' || role "
+            f"|| '/\">' || role || '</a>' ELSE '<a href=\"#\">' || role || '_' || {tid} || '</a>' END)")
+    row = f"""CASE WHEN source = '{a}' THEN '<tr><td class="author"><span>#</span><img src="/i.png"><a href="/club/profile/' || role || '/">' || role || '</a></td><td><div class="text">' || {t} || '</div></td></tr>'
+      WHEN source = '{b}' THEN '<div><table><tr>' || {cells} || '</tr></table></div>'
+      WHEN source = '{c}' THEN '<article><aside><h3><strong>' || {link} || '</strong></h3></aside><div data-role="commentContent"><p>' || {t} || '</p></div></article>'
+      ELSE (CASE WHEN role = 'assistant' THEN '<blockquote><p><strong>' || role || '</strong>: ' || {t} || '</p></blockquote>'
+                 WHEN role = 'user' THEN '<p><strong>' || role || '</strong>: ' || {t} || '</p>'
+                 ELSE '<p>' || {t} || '</p>' END) END"""
+    title = esc(f"'Topic ' || {tid}")
+    head = f"'<html><head><title>' || {title} || '</title></head><body>'"
+    return f"""
+{name}_c AS (
+  SELECT *, CASE WHEN source = '{d}' THEN 1 ELSE CAST(floor(turn / {per_page}) AS INTEGER) + 1 END AS page_no,
+         {row} AS row_html
+  FROM (SELECT conv_id, turn, role, text, {tid} AS topic_id,
+               CASE WHEN {hexd(tid)} IN ('0','1','2','3') THEN '{a}' WHEN {hexd(tid)} IN ('4','5','6','7') THEN '{b}'
+                    WHEN {hexd(tid)} IN ('8','9','a','b') THEN '{c}' ELSE '{d}' END AS source
+        FROM conversations)
+),
+{name}_r AS (
+  SELECT source, topic_id, conv_id, page_no,
+         coalesce(string_agg(row_html, '' ORDER BY turn) FILTER (WHERE NOT (source = '{b}' AND turn = 0)), '') AS body
+  FROM {name}_c GROUP BY source, topic_id, conv_id, page_no
+),
+{name}_o AS (SELECT {tid} AS topic_id, '<tr>' || {cells} || '</tr>' AS opening FROM conversations WHERE turn = 0),
+{name} AS (
+  SELECT source, topic_id, page_no,
+    CASE WHEN source = '{a}' THEN 'https://psy.su/club/forum/topic/' || topic_id || '/' || CASE WHEN page_no > 1 THEN '?page=' || CAST(page_no AS VARCHAR) ELSE '' END
+         WHEN source = '{b}' THEN 'https://www.b17.ru/forum/topic.php?id=' || topic_id || CASE WHEN page_no > 1 THEN '&page=' || CAST(page_no AS VARCHAR) ELSE '' END
+         WHEN source = '{c}' THEN 'https://psycheforum.ru/topic/' || topic_id || '-t/' || CASE WHEN page_no > 1 THEN 'page/' || CAST(page_no AS VARCHAR) || '/' ELSE '' END
+         ELSE 'https://psyhelp24.org/psihologicheskaya-konsultatsiya-' || topic_id || '/' END AS url,
+    CASE WHEN source = '{a}' THEN {head} || '<h1>' || {title} || '</h1><table class="forum"><tr><th>Author</th><th>Text</th></tr>' || body || '</table></body></html>'
+         WHEN source = '{b}' THEN {head} || '<h1> ' || {title} || ' </h1><div class="body_padding"><div id="table-forum-post"><div><table>' || coalesce(opening, '') || '</table></div></div><div id="topic_post_list">' || body || '</div></div></body></html>'
+         WHEN source = '{c}' THEN {head} || '<h1>' || {title} || '</h1>' || body || '</body></html>'
+         ELSE {head} || '<h2>' || {title} || '</h2><div class="post-content"><p>' || {title} || '</p><p>Psychologist</p><p><img src="/p.jpg"></p>' || body || '</div></body></html>' END AS html
+  FROM {name}_r LEFT JOIN {name}_o USING (topic_id)
+)"""
+
+
+FK = ["source", "topic_id", "page_no"]
+FKS = ", ".join(FK)
+_W = f"(PARTITION BY {FKS} ORDER BY tpos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+def _region_stages(src: str, name: str, flag: str) -> tuple[str, str]:
+    """Two CTEs computing region column ``name`` for elements where ``flag``."""
+    s1 = f"""{src}_{name}1 AS (
+  SELECT *, ({flag}) AS {name}_flag, last_value(CASE WHEN {flag} THEN tpos END IGNORE NULLS) OVER {_W} AS {name}_opened
+  FROM {src})"""
+    own = f"(kind = 'close' AND delta = -1 AND anc0.tpos = {name}_opened)"
+    s2 = f"""{src}_{name} AS (
+  SELECT * EXCLUDE ({name}_flag, {name}_opened, {name}_cur),
+         CASE WHEN {own} THEN anc0.tpos ELSE {name}_cur END AS {name} FROM (
+    SELECT *, coalesce(last_value(CASE WHEN {name}_flag THEN tpos WHEN {own} THEN -1 END IGNORE NULLS) OVER {_W}, -1)
+              AS {name}_cur
+    FROM {src}_{name}1))"""
+    return s1, s2
+
+
+def _href(x: str) -> str:
+    return f"regexp_extract({x}, {sql_str(r'(?i)\s' + 'href' + r'\s*=\s*\"([^\"]*)\"')}, 1)"
+
+
+def extraction_ctes(pages: str = "fpages") -> list[str]:
+    a, b, c, d = SITE_SOURCES
+    ctes = [token_ctes(pages, FK, [], name="ft", ancestors=3)]
+    ctes.append(f"""ft_s AS (
+  SELECT *, CASE WHEN kind = 'open' THEN (CASE WHEN is_elem THEN anc1.tpos ELSE anc0.tpos END) END AS parent_tpos FROM ft)""")
+    ctes.append(f"""ft_i AS (
+  SELECT *,
+    CASE WHEN kind = 'open' THEN row_number() OVER (PARTITION BY {FKS}, kind = 'open', parent_tpos ORDER BY tpos) END AS child_index,
+    CASE WHEN kind = 'open' THEN row_number() OVER (PARTITION BY {FKS}, kind = 'open', parent_tpos, tag ORDER BY tpos) END AS tag_index
+  FROM ft_s)""")
+    ctes.append(f"""ft_f AS (
+  SELECT *, {_inside(_pred('anc0', 'table', 'forum'), FKS)} AS in_forum,
+            {_inside(_pred('anc0', 'p', 'fio'), FKS)} AS in_fio,
+            {_inside(_pred('anc0', 'td', 'author'), FKS)} AS in_author
+  FROM ft_i)""")
+    rec = f"""coalesce(CASE WHEN source = '{a}' THEN is_elem AND tag = 'tr' AND in_forum > 0
+      WHEN source = '{b}' THEN is_elem AND tag = 'tr' AND tag_index = 1 AND {_pred('anc1', 'table')} AND {_pred('anc2', 'div')}
+           AND ({_pred('anc3', 'div', eid='topic_post_list')} OR (page_no = 1 AND {_pred('anc3', 'div', eid='table-forum-post')}))
+      WHEN source = '{c}' THEN is_elem AND tag = 'article'
+      ELSE is_elem AND tag IN ('p', 'blockquote') AND {_pred('anc1', 'div', 'post-content')} END, false)"""
+    ctes.append(f"ft_r AS (SELECT *, {rec} AS rec_open FROM ft_f)")
+    prev = "ft_r"
+    for nm, flag in (("rec", "rec_open"), ("dt", f"is_elem AND {_pred('anc0', 'div', 'text')}"),
+                     ("cc", f"is_elem AND {_pred('anc0', 'div', role='commentContent')}")):
+        s1, s2 = _region_stages(prev, nm, flag)
+        ctes += [s1, s2]
+        prev = f"{prev}_{nm}"
+    s1, s2 = _region_stages(prev, "td", "is_elem AND tag = 'td' AND anc1.tpos = rec")
+    ctes += [s1, s2]
+    prev = f"{prev}_td"
+    ctes.append(f"ftok AS (SELECT * FROM {prev})")
+    ctes.append(f"""recs AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY {FKS} ORDER BY rec) - 1 AS BIGINT) AS rec_no FROM (
+    SELECT {FKS}, rec, list({{'tpos': tpos, 'kind': kind, 'tok': tok, 'text': text, 'tag': tag, 'p0': anc0.tpos,
+                             't0': anc0.tag, 'p1': anc1.tpos, 't1': anc1.tag, 't2': anc2.tag, 'child_index': child_index,
+                             'dt': dt, 'cc': cc, 'td': td, 'in_fio': in_fio, 'in_author': in_author,
+                             'rec_open': rec_open}} ORDER BY tpos) AS toks
+    FROM ftok WHERE rec >= 0 GROUP BY {FKS}, rec))""")
+    txt = "lambda x: x.text"
+    ctes.append(f"""recs_a AS (
+  SELECT *,
+    list_filter(toks, lambda x: x.kind = 'open' AND x.tag = 'a' AND x.child_index = 3 AND x.t1 = 'td' AND x.in_author > 0)[1] AS a_link,
+    list_transform(list_filter(toks, lambda x: x.kind = 'text' AND x.dt >= 0), {txt}) AS a_parts,
+    list_min(list_transform(list_filter(toks, lambda x: x.dt >= 0), lambda x: x.dt)) AS a_first_dt,
+    list_sort(list_distinct(list_transform(list_filter(toks, lambda x: x.td >= 0), lambda x: x.td))) AS b_tds,
+    list_filter(toks, lambda x: x.kind = 'open' AND x.tag = 'a' AND x.t1 = 'strong' AND x.t2 = 'h3')[1] AS c_link,
+    list_filter(toks, lambda x: x.rec_open)[1].tag = 'blockquote' AS d_quote
+  FROM recs)""")
+    ctes.append(f"""fields AS (
+  SELECT {FKS}, rec, rec_no,
+    CASE WHEN source = '{a}' THEN CASE WHEN a_link IS NOT NULL THEN {_href('a_link.tok')} END
+         WHEN source = '{b}' THEN list_transform(list_filter(toks, lambda x: x.kind = 'open' AND x.td = b_tds[1] AND x.in_fio > 0
+                                   AND {_href('x.tok')} <> ''), lambda x: {_href('x.tok')})[1]
+         WHEN source = '{c}' THEN CASE WHEN c_link IS NOT NULL THEN {_href('c_link.tok')} END END AS author_href,
+    CASE WHEN source = '{a}' THEN list_transform(list_filter(toks, lambda x: x.kind = 'text' AND x.p0 = a_link.tpos), {txt})[1]
+         WHEN source = '{b}' THEN {strip(f"list_transform(list_filter(toks, lambda x: x.kind = 'text' AND x.td = b_tds[1] AND x.in_fio > 0), {txt})[1]")}
+         WHEN source = '{c}' THEN list_transform(list_filter(toks, lambda x: x.kind = 'text' AND x.p0 = c_link.tpos), {txt})[1]
+         ELSE list_transform(list_filter(toks, lambda x: x.kind = 'text' AND x.t0 = 'strong'), {txt})[1] END AS author_name,
+    CASE WHEN source = '{a}' THEN {strip("array_to_string(a_parts, chr(10))")}
+         WHEN source = '{b}' THEN array_to_string(list_transform(list_filter(toks, lambda x: x.kind = 'text' AND x.td = b_tds[2]), lambda x: {strip('x.text')}), chr(10))
+         WHEN source = '{c}' THEN array_to_string(list_transform(list_filter(toks, lambda x: x.kind = 'text' AND x.cc >= 0), lambda x: {strip('x.text')}), chr(10))
+         ELSE array_to_string(list_transform(list_filter(toks, lambda x: x.kind = 'text' AND CASE WHEN d_quote THEN x.t0 = 'p' AND x.p1 = rec ELSE x.p0 = rec END), {txt}), chr(10)) END AS text,
+    CASE WHEN source = '{a}' THEN array_to_string(list_transform(list_filter(toks, lambda x: x.dt = a_first_dt), lambda x: x.tok), '')
+         WHEN source = '{b}' THEN {strip("array_to_string(list_transform(list_filter(toks, lambda x: x.td = b_tds[2]), lambda x: x.tok), '')")}
+         WHEN source = '{c}' THEN {strip("array_to_string(list_transform(list_filter(toks, lambda x: x.cc >= 0), lambda x: x.tok), '')")}
+         ELSE array_to_string(list_transform(toks, lambda x: x.tok), '') END AS html,
+    CASE WHEN source = '{a}' THEN len(a_parts) > 0 ELSE true END AS has_text,
+    CASE WHEN source = '{d}' THEN CASE WHEN d_quote THEN '1' ELSE '0' END END AS role
+  FROM recs_a)""")
+    ctes.append(f"""fx1 AS (
+  SELECT * FROM (
+    SELECT *, CASE WHEN coalesce(max(CASE WHEN rec_no = 3 THEN role = '1' END) OVER (PARTITION BY {FKS}), false) THEN 4 ELSE 3 END AS d_start
+    FROM fields WHERE NOT (source = '{a}' AND rec_no = 0))
+  WHERE source <> '{d}' OR rec_no >= d_start)""")
+    ctes.append(f"""fx2 AS (
+  SELECT * EXCLUDE (author_name),
+    CASE WHEN source = '{d}' THEN first_value(author_name IGNORE NULLS) OVER (PARTITION BY {FKS}, role ORDER BY rec_no
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) ELSE author_name END AS author_name
+  FROM fx1)""")
+    ctes.append(f"""extracted AS (
+  SELECT * EXCLUDE (text),
+    CASE WHEN source = '{d}' THEN (CASE WHEN starts_with(text, ':') THEN {strip('substring(text, 2)')} ELSE {strip('text')} END)
+         ELSE text END AS text,
+    (source <> '{a}' OR (has_text AND text <> '')) AS ready
+  FROM fx2 WHERE source <> '{d}' OR coalesce(length(text) >= 2, false))""")
+    return ctes
+
+
+def topic_id_sql(src: str, url: str) -> str:
+    from threadloom.operators.extract import TOPIC_ID_PATTERNS
+    d = SITE_SOURCES[3]
+    parts = []
+    for site, pat in TOPIC_ID_PATTERNS:
+        v = f"regexp_extract({url}, {sql_str(pat)}, 1)"
+        v = f"(CASE WHEN {v} <> '' THEN {v} ELSE '0' END)" if site == d else f"nullif({v}, '')"
+        parts.append(f"WHEN {src} = '{site}' THEN {v}")
+    return "(CASE " + " ".join(parts) + " END)"
+
+
+def author_id_sql(src: str, href: str) -> str:
+    from threadloom.operators.extract import AUTHOR_ID_PATTERNS
+    b = SITE_SOURCES[1]
+    parts = []
+    for site, pat in AUTHOR_ID_PATTERNS:
+        h = strip(href) if site == b else href
+        parts.append(f"WHEN {src} = '{site}' THEN nullif(regexp_extract({h}, {sql_str(pat)}, 1), '')")
+    return "(CASE " + " ".join(parts) + " END)"
+
+
+FP = forum_pages_cte()
+EX = extraction_ctes()
+_POST_OUT = "source, topic_id, page_no, rec_no, author_href, author_name, text, html"
+for _k, _s in (("posts_site_a", 0), ("posts_site_b", 1), ("posts_site_c", 2)):
+    ORACLE[_k] = with_(FP, *EX, select=f"SELECT {_POST_OUT} FROM extracted WHERE ready AND source = '{SITE_SOURCES[_s]}'")
+ORACLE["posts_site_d"] = with_(FP, *EX, select=f"SELECT {_POST_OUT}, role FROM extracted WHERE source = '{SITE_SOURCES[3]}'")
+ORACLE["page_yield"] = with_(FP, *EX, select=f"""
+SELECT {FKS}, count(*) AS n_rows, count_if(ready) AS n_ready FROM extracted WHERE source = '{SITE_SOURCES[0]}' GROUP BY {FKS}""")
+ORACLE["drop_repeat_opening"] = with_(FP, *EX, select=f"""
+SELECT {FKS}, CAST(tpos AS BIGINT) AS tpos FROM ftok
+WHERE source = '{SITE_SOURCES[1]}' AND page_no > 1 AND is_elem AND tag = 'tr' AND {_pred('anc3', 'div', eid='table-forum-post')}""")
+GUESTS = f"""guests AS (
+  SELECT author_name, '{'gst_'}' || CAST(row_number() OVER (ORDER BY f.source, f.topic_id, f.page_no, f.rec_no) - 1 AS VARCHAR) AS guest_id
+  FROM (SELECT author_name, min({{'source': source, 'topic_id': topic_id, 'page_no': page_no, 'rec_no': rec_no}}) AS f
+        FROM extracted WHERE ready AND source = '{SITE_SOURCES[2]}' AND {author_id_sql('source', 'author_href')} IS NULL
+        GROUP BY author_name))"""
+ORACLE["guest_ids"] = with_(FP, *EX, GUESTS, select="SELECT author_name, guest_id FROM guests")
+ORACLE["name_carry"] = with_(FP, *EX, select=f"SELECT {FKS}, rec_no, role, author_name FROM extracted WHERE source = '{SITE_SOURCES[3]}'")
+ORACLE["strip_colon"] = with_(FP, *EX, select=f"SELECT {FKS}, rec_no, text FROM extracted WHERE source = '{SITE_SOURCES[3]}'")
+ORACLE["topic_id"] = with_(FP, select=f"SELECT {FKS}, {topic_id_sql('source', 'url')} AS url_topic_id FROM fpages")
+ORACLE["author_id"] = with_(FP, *EX, select=f"""
+SELECT {FKS}, rec_no, {author_id_sql('source', 'author_href')} AS author_id FROM extracted WHERE ready""")
+
+
+def reject_sql(pages: str) -> list[str]:
+    b, c = SITE_SOURCES[1], SITE_SOURCES[2]
+    return [token_ctes(pages, FK, [], name="rt", ancestors=0), f"""rtitles AS (
+  SELECT {FKS}, array_to_string(list_filter(list_transform(h1, lambda x: {strip('x')}), lambda x: x <> ''), '-') AS title_b,
+         {strip("array_to_string(h1, ' ')")} AS title_c FROM (
+    SELECT {FKS}, coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND in_h1 > 0), []) AS h1
+    FROM (SELECT *, {_inside(_pred('anc0', 'h1'), FKS)} AS in_h1 FROM rt) GROUP BY {FKS}))""", f"""rejected AS (
+  SELECT {FKS}, url, CASE WHEN tid IS NULL THEN 'topic_id' ELSE 'title' END AS reason FROM (
+    SELECT p.source, p.topic_id, p.page_no, p.url, {topic_id_sql('p.source', 'p.url')} AS tid,
+           CASE WHEN p.source = '{b}' THEN t.title_b WHEN p.source = '{c}' THEN t.title_c END AS title
+    FROM {pages} p LEFT JOIN rtitles t USING ({FKS}))
+  WHERE source IN ('{b}', '{c}') AND (tid IS NULL OR coalesce(title, '') = ''))"""]
+
+
+ALLPAGES = f"""allpages AS (
+  SELECT source, topic_id, page_no, url, html FROM fpages
+  UNION ALL SELECT '{SITE_SOURCES[2]}', 'page-' || CAST(page_id AS VARCHAR), 1, url, html FROM pages)"""
+ORACLE["reject_pages"] = with_(FP, ALLPAGES, *reject_sql("allpages"), select="SELECT * FROM rejected")
+XPOSTS = f"""xposts AS (
+  SELECT source, topic_id, url, author_id, author_name, text, html, page_no,
+         CAST(row_number() OVER (PARTITION BY source, topic_id ORDER BY page_no, rec_no) - 1 AS BIGINT) AS pos FROM (
+    SELECT e.source, {topic_id_sql('e.source', 'p.url')} AS topic_id, p.url,
+           coalesce(CASE WHEN e.source = '{SITE_SOURCES[3]}' THEN e.role ELSE {author_id_sql('e.source', 'e.author_href')} END,
+                    CASE WHEN e.source = '{SITE_SOURCES[2]}' THEN g.guest_id END) AS author_id,
+           e.author_name, e.text, e.html, e.page_no, e.rec_no
+    FROM extracted e JOIN fpages p USING ({FKS})
+    LEFT JOIN guests g ON e.author_name IS NOT DISTINCT FROM g.author_name
+    WHERE e.ready AND NOT EXISTS (SELECT 1 FROM rejected r WHERE r.source = e.source AND r.topic_id = e.topic_id
+                                  AND r.page_no = e.page_no)))"""
+ORACLE["post_seq"] = with_(FP, *EX, GUESTS, *reject_sql("fpages"), XPOSTS,
+                           select="SELECT source, topic_id, page_no, pos, author_id FROM xposts")
+ORACLE["forum_dialog"] = with_(FP, *EX, GUESTS, *reject_sql("fpages"), XPOSTS,
+                               quote_pairs_ctes(posts="xposts"), chain_ctes(posts="xposts"),
+                               quote_dialog_cte(posts="xposts"), PAIRS, select=encode_select("pairs"))

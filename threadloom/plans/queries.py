@@ -510,7 +510,7 @@ def q_author_id(spark, sf):
 @query("reject_pages")
 def q_reject_pages(spark, sf):
     """E14 over the forum pages plus the raw ``pages`` table read as psycheforum pages."""
-    raw = read_table(spark, sf, "pages").select(F.lit(X.C).alias("source"), F.col("page_id").cast("string").alias("topic_id"),
+    raw = read_table(spark, sf, "pages").select(F.lit(X.C).alias("source"), F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("topic_id"),
                                                  F.lit(1).alias("page_no"), "url", "html")
     return X.rejected_pages(forum_pages(spark, sf).unionByName(raw))
 
