@@ -953,3 +953,15 @@ ORACLE["post_seq"] = with_(FP, *EX, GUESTS, *reject_sql("fpages"), XPOSTS,
 ORACLE["forum_dialog"] = with_(FP, *EX, GUESTS, *reject_sql("fpages"), XPOSTS,
                                quote_pairs_ctes(posts="xposts"), chain_ctes(posts="xposts"),
                                quote_dialog_cte(posts="xposts"), PAIRS, select=encode_select("pairs"))
+
+
+# --------------------------------------------------------------------------
+# sinks and streams: what is read back equals the batch result
+# --------------------------------------------------------------------------
+ORACLE["write_posts"] = with_(CONV, select="SELECT source, topic_id, url, author_id, author_name, text, html, pos FROM posts")
+ORACLE["roundtrip_dataset"] = with_(*LINE_CTES[:-1], select="SELECT line FROM lines")
+ORACLE["write_split"] = with_(*LINE_CTES, SPLIT, select="SELECT split, unnest(string_split(line, chr(10))) AS value FROM splitted")
+ORACLE["block_cache"] = ORACLE["pack_blocks"]
+ORACLE["stream_ingest"] = ORACLE["write_posts"]
+ORACLE["stream_extract"] = with_(FP, *EX, select=f"SELECT {_POST_OUT} FROM extracted WHERE ready")
+ORACLE["stream_prompts"] = ORACLE["prompt_last5"]

@@ -525,3 +525,83 @@ def q_forum_dialog(spark, sf):
     """Pages -> posts -> dialogue lines, end to end (E-ops, then D/Q/F ops)."""
     posts = X.extract_posts(forum_pages(spark, sf))
     return encode.encode_pairs(dialog_pairs(posts))
+
+
+# --------------------------------------------------------------------------
+# sinks (S4-S8) and streams (U1-U3); outputs live under the checkpoint folder
+# --------------------------------------------------------------------------
+import hashlib  # noqa: E402
+
+from threadloom.session import job_dir  # noqa: E402
+from threadloom.sources import sinks  # noqa: E402
+from threadloom.streaming import jobs  # noqa: E402
+
+POST_COLS = ["source", "topic_id", "url", "author_id", "author_name", "text", "html", "pos"]
+
+
+@query("write_posts")
+def q_write_posts(spark, sf):
+    path = job_dir(spark, "posts")
+    sinks.write_posts(conv_posts(spark, sf), path)
+    return sinks.read_posts(spark, path).select(*POST_COLS)
+
+
+@query("roundtrip_dataset")
+def q_roundtrip_dataset(spark, sf):
+    """S5 + S6: write the dataset CSV in dataset order, read it back."""
+    path = job_dir(spark, "dataset")
+    sinks.write_dataset(dataset_lines(spark, sf), path, DATASET_KEY)
+    return sinks.read_dataset(spark, path)
+
+
+@query("write_split")
+def q_write_split(spark, sf):
+    path = job_dir(spark, "split")
+    sinks.write_split(sampling.split(dataset_lines(spark, sf), DATASET_KEY), path)
+    return sinks.read_split(spark, path).select("split", "value")
+
+
+@query("block_cache")
+def q_block_cache(spark, sf):
+    """Blocks of the dataset lines, built once per (block size, input)."""
+    key = hashlib.md5(f"dataset_lines:{sf}".encode()).hexdigest()[:16]
+    root = job_dir(spark, "block_cache", unique=False)
+    return sinks.cached_blocks(spark, root, packing.BLOCK_SIZE, key,
+                               lambda: packing.pack_blocks(dataset_lines(spark, sf), DATASET_KEY))
+
+
+def _stage(df, path, n_files):
+    df.repartition(n_files).write.mode("overwrite").parquet(path)
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf):
+    """Harvested post files arrive in a folder; the stream appends each once."""
+    base = job_dir(spark, "ingest")
+    posts = conv_posts(spark, sf)
+    for i, site in enumerate(["psy_su", "b17_ru", "psycheforum_ru", "psyhelp24_org"]):
+        _stage(posts.filter(F.col("source") == site), f"{base}/in/part{i}", 2)
+    out = jobs.stream_ingest(spark, f"{base}/in/*", posts.schema, f"{base}/sink", f"{base}/ckpt", max_files=2)
+    return out.select(*POST_COLS)
+
+
+@query("stream_extract")
+def q_stream_extract(spark, sf):
+    """Page files -> posts, micro-batch by micro-batch."""
+    base = job_dir(spark, "extract")
+    pages = forum_pages(spark, sf)
+    _stage(pages, f"{base}/in", 4)
+    out = jobs.stream_extract(spark, f"{base}/in", pages.schema, f"{base}/sink", f"{base}/ckpt", max_files=1)
+    return out.select(*POST_OUT)
+
+
+@query("stream_prompts")
+def q_stream_prompts(spark, sf):
+    """Turns arrive in turn ranges; prompts keep the last 5 turns in state."""
+    base = job_dir(spark, "prompts")
+    conv = read_table(spark, sf, "conversations")
+    bucket = F.floor(F.col("turn") / 4)
+    n_buckets = conv.select(F.max(bucket)).first()[0] or 0
+    for b in range(int(n_buckets) + 1):  # one folder per turn range, written in order
+        conv.filter(bucket == b).repartition(2, "conv_id").write.mode("overwrite").parquet(f"{base}/in/b{b:04d}")
+    return jobs.stream_prompts(spark, f"{base}/in/*", conv.schema, f"{base}/sink", f"{base}/ckpt", max_files=2)

@@ -53,3 +53,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def job_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
+    """A folder for job output / streaming checkpoints inside the shared
+    checkpoint folder (never a machine-local temp dir on a cluster)."""
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = "/".join([base, "threadloom", *parts])
+    return f"{path}/{uuid.uuid4().hex}" if unique else path
