@@ -98,7 +98,11 @@ def fold_variant1(posts):
     return dialog
 
 
-def test_property_against_fold(spark):
+import pytest
+
+
+@pytest.mark.parametrize("bucket_size", [1 << 20, 2, 3])
+def test_property_against_fold(spark, bucket_size):
     rng = random.Random(7)
     texts = ["x", "y z", " ", "", None, "w\nv", "q\tq", "  pad  "]
     topics = []
@@ -114,10 +118,10 @@ def test_property_against_fold(spark):
     df = spark.createDataFrame(rows, "source string, topic_id string, url string, author_id string, "
                                      "author_name string, text string, html string, pos bigint")
     got2 = {}
-    for r in chains.dialog_starter_chain(df).collect():
+    for r in chains.dialog_starter_chain(df, bucket_size=bucket_size).collect():
         got2.setdefault(r.topic_id, []).append((r.emit_pos, r.emit_k, r.speaker0_text, r.speaker1_text))
     got1 = {}
-    for r in chains.dialog_two_speaker(df).collect():
+    for r in chains.dialog_two_speaker(df, bucket_size=bucket_size).collect():
         got1.setdefault(r.topic_id, []).append((r.emit_k, r.speaker0_text, r.speaker1_text))
     for tid, ps in enumerate(topics):
         exp2 = fold_variant2(ps)

@@ -29,29 +29,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import clean_text, normalize_ws, strip_ws
+from threadloom.operators.ranking import DEFAULT_BUCKET, scan_first, scan_prev, scan_sum, with_bucket
 
 TOPIC = ("source", "topic_id")
 
 PAIR_COLUMNS = ["source", "topic_id", "emit_pos", "emit_k", "kind", "speaker0_text", "speaker1_text"]
 
 
-def _wt(topic=TOPIC):
-    return Window.partitionBy(*topic).orderBy("pos")
-
-
-def topic_starter(posts: DataFrame, topic=TOPIC) -> DataFrame:
+def topic_starter(posts: DataFrame, topic=TOPIC, bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
     """Add ``is_first`` and ``starter`` (author of the topic's first post)."""
-    w = _wt(topic)
-    return (posts.withColumn("is_first", F.row_number().over(w) == 1)
-                 .withColumn("starter", F.first("author_id").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    p = with_bucket(posts, "pos", bucket_size)
+    p = scan_first(p, list(topic), "pos", "author_id", "starter")
+    return p.withColumn("is_first", F.col("pos") == F.col("starter_pos")).drop("starter_pos")
 
 
-def flag_posts(posts: DataFrame, quote_arrays: DataFrame | None = None, topic=TOPIC) -> DataFrame:
+def flag_posts(posts: DataFrame, quote_arrays: DataFrame | None = None, topic=TOPIC,
+               bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
     """D5 + D6: posts (without html) with ``is_first``, ``starter`` and ``qpairs``.
 
     ``quote_arrays`` is ``quotes.quote_pair_arrays`` output (one row per post
     with a quote rule). Both the chain and the quote dialogue read this one
-    DataFrame, so its topic shuffle is done once.
+    DataFrame.
     """
     p = posts.select(*topic, "pos", "author_id", "text")
     if quote_arrays is not None:
@@ -59,25 +57,26 @@ def flag_posts(posts: DataFrame, quote_arrays: DataFrame | None = None, topic=TO
     else:
         p = p.withColumn("qpairs", F.lit(None).cast(
             "array<struct<speaker0_text:string,speaker1_text:string>>"))
-    return topic_starter(p, topic)
+    return topic_starter(p, topic, bucket_size)
 
 
 def chain_segments(flagged: DataFrame, topic=TOPIC) -> DataFrame:
     """D7 + D8: chain posts with ``iss`` (starter post), ``seg`` and ``ctext``.
 
     Posts with at least one quote pair leave the chain, except the first
-    post, which is never checked for quotes.
+    post, which is never checked for quotes. ``lag`` and the running segment
+    count are bucketed scans, so a hot topic spreads over many tasks.
     """
     is_quote = F.coalesce(F.size("qpairs") > 0, F.lit(False))
     plain = ~is_quote & F.col("text").isNotNull() & (F.col("text") != "")
     c = flagged.filter(F.col("is_first") | plain)
-    w = _wt(topic)
     c = c.withColumn("iss", F.col("is_first") | F.coalesce(F.col("author_id") == F.col("starter"), F.lit(False)))
-    brk = F.col("iss") & ~F.col("is_first") & ~F.lag("iss").over(w)
+    c = scan_prev(c, list(topic), "pos", "iss", "prev_iss")
+    brk = F.col("iss") & ~F.col("is_first") & ~F.coalesce(F.col("prev_iss"), F.lit(True))
     c = c.withColumn("brk", brk.cast("int"))
-    c = c.withColumn("seg", F.sum("brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    c = scan_sum(c, list(topic), "pos", "brk", "seg")
     ctext = F.when(F.col("is_first"), strip_ws(F.coalesce(F.col("text"), F.lit("")))).otherwise(clean_text(F.col("text")))
-    return c.withColumn("ctext", ctext).drop("brk")
+    return c.withColumn("ctext", ctext).drop("brk", "prev_iss")
 
 
 def segment_questions(segs: DataFrame, topic=TOPIC) -> DataFrame:
@@ -104,16 +103,17 @@ def first_answers(segs: DataFrame, max_answers: int | None = 5, topic=TOPIC) ->
 
 def dialog_starter_chain(posts: DataFrame, quote_arrays: DataFrame | None = None,
                          max_answers: int | None = 5, flush_tail: bool = False,
-                         topic=TOPIC, flagged: DataFrame | None = None) -> DataFrame:
+                         topic=TOPIC, flagged: DataFrame | None = None,
+                         bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
     """Chain pairs ``source, topic_id, emit_pos, emit_k, kind, speaker0_text, speaker1_text``."""
     if flagged is None:
-        flagged = flag_posts(posts, quote_arrays, topic)
+        flagged = flag_posts(posts, quote_arrays, topic, bucket_size)
     segs = chain_segments(flagged, topic)
     q = segment_questions(segs, topic)
-    wq = Window.partitionBy(*topic).orderBy("seg")
-    q = q.withColumn("emit_pos", F.lead("seg_start").over(wq))
-    if not flush_tail:
-        q = q.filter(F.col("emit_pos").isNotNull())
+    # the segment is emitted where the next one starts (a join on (topic, seg),
+    # not a window over the whole topic)
+    nxt = q.select(*topic, (F.col("seg") - 1).alias("seg"), F.col("seg_start").alias("emit_pos"))
+    q = q.join(nxt, [*topic, "seg"], "inner" if not flush_tail else "left")
     a = first_answers(segs, max_answers, topic)
     pairs = q.join(a, [*topic, "seg"])
     return pairs.select(*topic, F.col("emit_pos").cast("bigint").alias("emit_pos"),
@@ -132,9 +132,9 @@ def quote_dialog(flagged: DataFrame, topic=TOPIC) -> DataFrame:
 
 
 def dialog_pairs(posts: DataFrame, quote_arrays: DataFrame | None = None, max_answers: int | None = 5,
-                 flush_tail: bool = False, topic=TOPIC) -> DataFrame:
+                 flush_tail: bool = False, topic=TOPIC, bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
     """Variant 2 in full: chain pairs plus quote pairs."""
-    flagged = flag_posts(posts, quote_arrays, topic)
+    flagged = flag_posts(posts, quote_arrays, topic, bucket_size)
     chain = dialog_starter_chain(posts, max_answers=max_answers, flush_tail=flush_tail, topic=topic,
                                  flagged=flagged)
     return chain.unionByName(quote_dialog(flagged, topic))
@@ -156,12 +156,13 @@ def first_two_speakers(posts: DataFrame, topic=TOPIC) -> DataFrame:
                      F.col("s1")["author_id"].alias("speaker1")))
 
 
-def speaker_runs(posts: DataFrame, topic=TOPIC) -> DataFrame:
+def speaker_runs(posts: DataFrame, topic=TOPIC, bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
     """Merged runs of consecutive posts by one of the two speakers.
 
     Texts get the whitespace map but no strip; a run joins its texts with one
     space, except that no space is added while the run text is still empty.
     Null-text posts are dropped first; topics with one speaker yield nothing.
+    The run number is a bucketed scan (``lag`` + running sum).
     """
     p = posts.filter(F.col("text").isNotNull()).select(*topic, "pos", "author_id", "text")
     sp = first_two_speakers(p, topic).filter(F.col("speaker1").isNotNull())
@@ -169,9 +170,10 @@ def speaker_runs(posts: DataFrame, topic=TOPIC) -> DataFrame:
     # the first speaker may be null (a null author never equals anything)
     p = p.filter(F.col("author_id").eqNullSafe(F.col("speaker0")) | (F.col("author_id") == F.col("speaker1")))
     p = p.withColumn("spk", F.when(F.col("author_id").eqNullSafe(F.col("speaker0")), 0).otherwise(1))
-    w = _wt(topic)
-    change = F.coalesce(F.col("spk") != F.lag("spk").over(w), F.lit(True)).cast("int")
-    p = p.withColumn("run", F.sum(change).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    p = with_bucket(p, "pos", bucket_size)
+    p = scan_prev(p, list(topic), "pos", "spk", "prev_spk")
+    p = p.withColumn("change", F.coalesce(F.col("spk") != F.col("prev_spk"), F.lit(True)).cast("int"))
+    p = scan_sum(p, list(topic), "pos", "change", "run").withColumn("run", F.col("run") - 1)
     texts = F.transform(F.array_sort(F.collect_list(F.struct(F.col("pos"), normalize_ws(F.col("text")).alias("t")))),
                         lambda x: x["t"])
     merged = F.aggregate(texts, F.lit(""), lambda acc, x: F.when(acc == "", x).otherwise(F.concat(acc, F.lit(" "), x)))
@@ -179,20 +181,19 @@ def speaker_runs(posts: DataFrame, topic=TOPIC) -> DataFrame:
                                          merged.alias("run_text")))
 
 
-def dialog_two_speaker(posts: DataFrame, topic=TOPIC) -> DataFrame:
+def dialog_two_speaker(posts: DataFrame, topic=TOPIC, bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
     """D3 + D4: pair run 2k (speaker 0) with run 2k+1 (speaker 1).
 
     A trailing speaker-0 run is dropped; the trailing speaker-1 run closes a
-    pair only if its merged text is non-empty.
+    pair only if its merged text is non-empty. The neighbouring runs come from
+    joins on (topic, run), not from a window over the whole topic.
     """
-    runs = speaker_runs(posts, topic)
-    w = Window.partitionBy(*topic).orderBy("run")
-    r = (runs.withColumn("next_text", F.lead("run_text").over(w))
-             .withColumn("next_pos", F.lead("run_pos").over(w))
-             .withColumn("after_next", F.lead("run_pos", 2).over(w)))
-    # a pair (2k, 2k+1) is emitted when run 2k+2 starts, or at the end if non-empty
-    ok = (F.col("run") % 2 == 0) & F.col("next_text").isNotNull() & (
-        F.col("after_next").isNotNull() | (F.col("next_text") != ""))
+    runs = speaker_runs(posts, topic, bucket_size)
+    even = runs.filter(F.col("run") % 2 == 0)
+    nxt = runs.select(*topic, (F.col("run") - 1).alias("run"), F.col("run_text").alias("next_text"))
+    after = runs.select(*topic, (F.col("run") - 2).alias("run"), F.col("run_pos").alias("after_next"))
+    r = even.join(nxt, [*topic, "run"]).join(after, [*topic, "run"], "left")
+    ok = F.col("after_next").isNotNull() | (F.col("next_text") != "")
     return r.filter(ok).select(
         *topic, F.col("after_next").cast("bigint").alias("emit_pos"),
         (F.col("run") / 2).cast("bigint").alias("emit_k"), F.lit("two_speaker").alias("kind"),

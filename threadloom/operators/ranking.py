@@ -54,3 +54,54 @@ def global_offsets(df: DataFrame, order_cols: Sequence[str], size_col: str | Non
     return out.withColumn(out_col, (F.col("_base") + F.col("_local")).cast("bigint")).drop(
         "_pid", "_sz", "_local", "_base")
 
+
+
+# ---------------------------------------------------------------------------
+# Ordered scans inside a partition key without one task per key
+# ---------------------------------------------------------------------------
+# A hot key (a topic holding a third of all posts) must not become one window
+# partition. Rows are cut into buckets of ``bucket_size`` consecutive order
+# values; windows run per (key, bucket); a per-bucket summary (at most
+# key_size / bucket_size rows per key) carries values across buckets.
+DEFAULT_BUCKET = 1 << 20
+
+
+def with_bucket(df: DataFrame, order_col: str, bucket_size: int = DEFAULT_BUCKET, name: str = "_bk") -> DataFrame:
+    return df.withColumn(name, F.floor(F.col(order_col) / F.lit(bucket_size)).cast("bigint"))
+
+
+def scan_first(df: DataFrame, part: list[str], order_col: str, value_col: str, out_col: str,
+               bucket: str = "_bk") -> DataFrame:
+    """``out_col`` = ``value_col`` of the first row (by ``order_col``) of the key;
+    also ``out_col + '_pos'``: that row's order value."""
+    s = df.groupBy(*part, bucket).agg(F.min(F.struct(F.col(order_col).alias("o"), F.col(value_col).alias("v")))
+                                      .alias("_f"))
+    w = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    s = s.select(*part, bucket, F.first("_f").over(w).alias("_ff"))
+    s = s.select(*part, bucket, F.col("_ff")["v"].alias(out_col), F.col("_ff")["o"].alias(out_col + "_pos"))
+    return df.join(s, [*part, bucket])
+
+
+def scan_prev(df: DataFrame, part: list[str], order_col: str, value_col: str, out_col: str,
+              bucket: str = "_bk") -> DataFrame:
+    """``out_col`` = ``value_col`` of the previous row of the key (lag 1)."""
+    wb = Window.partitionBy(*part, bucket).orderBy(order_col)
+    d = df.withColumn("_rn", F.row_number().over(wb)).withColumn("_lp", F.lag(value_col).over(wb))
+    s = d.groupBy(*part, bucket).agg(F.max_by(value_col, order_col).alias("_last"))
+    ws = Window.partitionBy(*part).orderBy(bucket)
+    s = s.select(*part, bucket, F.lag("_last").over(ws).alias("_prev_last"))
+    d = d.join(s, [*part, bucket])
+    return d.withColumn(out_col, F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lp"))).drop(
+        "_rn", "_lp", "_prev_last")
+
+
+def scan_sum(df: DataFrame, part: list[str], order_col: str, value_col: str, out_col: str,
+             bucket: str = "_bk") -> DataFrame:
+    """``out_col`` = running sum of ``value_col`` up to and including the row."""
+    wb = Window.partitionBy(*part, bucket).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    d = df.withColumn("_lc", F.sum(value_col).over(wb))
+    s = d.groupBy(*part, bucket).agg(F.sum(value_col).alias("_tot"))
+    ws = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    s = s.select(*part, bucket, F.coalesce(F.sum("_tot").over(ws), F.lit(0)).alias("_base"))
+    d = d.join(s, [*part, bucket])
+    return d.withColumn(out_col, (F.col("_base") + F.col("_lc")).cast("bigint")).drop("_lc", "_base")

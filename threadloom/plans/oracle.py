@@ -965,3 +965,6 @@ ORACLE["block_cache"] = ORACLE["pack_blocks"]
 ORACLE["stream_ingest"] = ORACLE["write_posts"]
 ORACLE["stream_extract"] = with_(FP, *EX, select=f"SELECT {_POST_OUT} FROM extracted WHERE ready")
 ORACLE["stream_prompts"] = ORACLE["prompt_last5"]
+
+ORACLE["dialog_starter_chain_buckets"] = ORACLE["dialog_starter_chain_docs"]
+ORACLE["dialog_two_speaker_buckets"] = ORACLE["dialog_two_speaker_docs"]

@@ -58,6 +58,17 @@ def q_dialog_starter_chain_docs(spark, sf):
     return chains.dialog_starter_chain(doc_posts(spark, sf))
 
 
+@query("dialog_starter_chain_buckets")
+def q_dialog_starter_chain_buckets(spark, sf):
+    """The docs chain with 8-post scan buckets, so topics span several buckets."""
+    return chains.dialog_starter_chain(doc_posts(spark, sf), bucket_size=8)
+
+
+@query("dialog_two_speaker_buckets")
+def q_dialog_two_speaker_buckets(spark, sf):
+    return chains.dialog_two_speaker(doc_posts(spark, sf), bucket_size=8)
+
+
 @query("quote_pairs")
 def q_quote_pairs(spark, sf):
     return quotes.quote_pairs(conv_posts(spark, sf))
