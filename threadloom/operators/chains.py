@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import clean_text, normalize_ws, strip_ws
-from threadloom.operators.ranking import DEFAULT_BUCKET, scan_first, scan_prev, scan_sum, with_bucket
+from threadloom.session import materialize
+from threadloom.operators.ranking import DEFAULT_BUCKET, scan_first, scan_transitions, with_bucket
 
 TOPIC = ("source", "topic_id")
 
@@ -53,7 +54,9 @@ def flag_posts(posts: DataFrame, quote_arrays: DataFrame | None = None, topic=TO
     """
     p = posts.select(*topic, "pos", "author_id", "text")
     if quote_arrays is not None:
-        p = p.join(quote_arrays.select(*topic, "pos", "qpairs"), [*topic, "pos"], "left")
+        # stage table: posts with their quote pairs (read by both branches)
+        p = materialize(p.join(quote_arrays.select(*topic, "pos", "qpairs"), [*topic, "pos"], "left"),
+                        "posts_with_quotes")
     else:
         p = p.withColumn("qpairs", F.lit(None).cast(
             "array<struct<speaker0_text:string,speaker1_text:string>>"))
@@ -71,12 +74,11 @@ def chain_segments(flagged: DataFrame, topic=TOPIC) -> DataFrame:
     plain = ~is_quote & F.col("text").isNotNull() & (F.col("text") != "")
     c = flagged.filter(F.col("is_first") | plain)
     c = c.withColumn("iss", F.col("is_first") | F.coalesce(F.col("author_id") == F.col("starter"), F.lit(False)))
-    c = scan_prev(c, list(topic), "pos", "iss", "prev_iss")
-    brk = F.col("iss") & ~F.col("is_first") & ~F.coalesce(F.col("prev_iss"), F.lit(True))
-    c = c.withColumn("brk", brk.cast("int"))
-    c = scan_sum(c, list(topic), "pos", "brk", "seg")
+    # a break: a starter post right after a non-starter chain post (the
+    # topic's first post is the first chain row, never a break)
+    c = scan_transitions(c, list(topic), "pos", "iss", lambda prev, cur: cur & ~prev, "seg")
     ctext = F.when(F.col("is_first"), strip_ws(F.coalesce(F.col("text"), F.lit("")))).otherwise(clean_text(F.col("text")))
-    return c.withColumn("ctext", ctext).drop("brk", "prev_iss")
+    return c.withColumn("ctext", ctext)
 
 
 def segment_questions(segs: DataFrame, topic=TOPIC) -> DataFrame:
@@ -95,10 +97,11 @@ def first_answers(segs: DataFrame, max_answers: int | None = 5, topic=TOPIC) ->
     a = a.select(*topic, "seg", "author_id", "first_pos",
                  F.coalesce(F.col("fa")["ctext"], F.lit("")).alias("answer"))
     w = Window.partitionBy(*topic, "seg").orderBy("first_pos")
-    a = a.withColumn("answer_k", F.row_number().over(w) - 1)
+    a = a.withColumn("_rn", F.row_number().over(w))
     if max_answers is not None:
-        a = a.filter(F.col("answer_k") < max_answers)
-    return a
+        # a plain rank filter lets Spark add a partial (map-side) top-k
+        a = a.filter(F.col("_rn") <= max_answers)
+    return a.withColumn("answer_k", F.col("_rn") - 1).drop("_rn")
 
 
 def dialog_starter_chain(posts: DataFrame, quote_arrays: DataFrame | None = None,
@@ -171,9 +174,7 @@ def speaker_runs(posts: DataFrame, topic=TOPIC, bucket_size: int = DEFAULT_BUCKE
     p = p.filter(F.col("author_id").eqNullSafe(F.col("speaker0")) | (F.col("author_id") == F.col("speaker1")))
     p = p.withColumn("spk", F.when(F.col("author_id").eqNullSafe(F.col("speaker0")), 0).otherwise(1))
     p = with_bucket(p, "pos", bucket_size)
-    p = scan_prev(p, list(topic), "pos", "spk", "prev_spk")
-    p = p.withColumn("change", F.coalesce(F.col("spk") != F.col("prev_spk"), F.lit(True)).cast("int"))
-    p = scan_sum(p, list(topic), "pos", "change", "run").withColumn("run", F.col("run") - 1)
+    p = scan_transitions(p, list(topic), "pos", "spk", lambda prev, cur: cur != prev, "run")
     texts = F.transform(F.array_sort(F.collect_list(F.struct(F.col("pos"), normalize_ws(F.col("text")).alias("t")))),
                         lambda x: x["t"])
     merged = F.aggregate(texts, F.lit(""), lambda acc, x: F.when(acc == "", x).otherwise(F.concat(acc, F.lit(" "), x)))

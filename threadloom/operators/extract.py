@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.text import strip_ws
 from threadloom.operators.html_tokens import attr, html_tokens, inside, is_el, region_id, sibling_indexes
 from threadloom.operators.ranking import global_offsets
+from threadloom.session import materialize
 from threadloom.sources.tables import SITE_SOURCES
 
 PAGE_KEY = ["source", "topic_id", "page_no"]
@@ -233,7 +234,7 @@ def extract_posts(pages: DataFrame) -> DataFrame:
     Rejected pages (E14) produce no posts; guests get ``gst_<n>`` ids (E6);
     ``pos`` is the sequence number inside the topic (E15).
     """
-    r = posts_from_pages(pages).filter("ready")
+    r = materialize(posts_from_pages(pages).filter("ready"), "page_posts")
     p = pages.select(*PAGE_KEY, "url")
     r = r.join(p, PAGE_KEY)
     r = r.withColumn("author_id", F.when(F.col("source") == D, F.col("role"))

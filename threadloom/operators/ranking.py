@@ -73,35 +73,49 @@ def with_bucket(df: DataFrame, order_col: str, bucket_size: int = DEFAULT_BUCKET
 def scan_first(df: DataFrame, part: list[str], order_col: str, value_col: str, out_col: str,
                bucket: str = "_bk") -> DataFrame:
     """``out_col`` = ``value_col`` of the first row (by ``order_col``) of the key;
-    also ``out_col + '_pos'``: that row's order value."""
-    s = df.groupBy(*part, bucket).agg(F.min(F.struct(F.col(order_col).alias("o"), F.col(value_col).alias("v")))
-                                      .alias("_f"))
-    w = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
-    s = s.select(*part, bucket, F.first("_f").over(w).alias("_ff"))
+    also ``out_col + '_pos'``: that row's order value.
+
+    The per-bucket summary is read off the bucket window itself (one row per
+    bucket), so summary and rows share one shuffle of the input.
+    """
+    wb = Window.partitionBy(*part, bucket).orderBy(order_col)
+    d = (df.withColumn("_rn", F.row_number().over(wb))
+           .withColumn("_bf", F.first(F.struct(F.col(order_col).alias("o"), F.col(value_col).alias("v")))
+                       .over(wb.rowsBetween(Window.unboundedPreceding, 0))))
+    s = d.filter(F.col("_rn") == 1).select(*part, bucket, "_bf")
+    ws = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    s = s.select(*part, bucket, F.first("_bf").over(ws).alias("_ff"))
     s = s.select(*part, bucket, F.col("_ff")["v"].alias(out_col), F.col("_ff")["o"].alias(out_col + "_pos"))
-    return df.join(s, [*part, bucket])
+    return d.drop("_rn", "_bf").join(s, [*part, bucket])
 
 
-def scan_prev(df: DataFrame, part: list[str], order_col: str, value_col: str, out_col: str,
-              bucket: str = "_bk") -> DataFrame:
-    """``out_col`` = ``value_col`` of the previous row of the key (lag 1)."""
+def scan_transitions(df: DataFrame, part: list[str], order_col: str, value_col: str, step, out_col: str,
+                     bucket: str = "_bk") -> DataFrame:
+    """Running count of ``step(prev, cur)`` over the rows of each key.
+
+    ``step`` maps the previous row's ``value_col`` and this row's to a
+    boolean; the first row of a key never counts. Equals
+    ``sum(step(lag(v), v)) over (partition by key order by order_col)``,
+    computed per bucket plus a per-bucket base from a summary of at most
+    key_size / bucket_size rows per key.
+    """
     wb = Window.partitionBy(*part, bucket).orderBy(order_col)
-    d = df.withColumn("_rn", F.row_number().over(wb)).withColumn("_lp", F.lag(value_col).over(wb))
-    s = d.groupBy(*part, bucket).agg(F.max_by(value_col, order_col).alias("_last"))
+    run = wb.rowsBetween(Window.unboundedPreceding, 0)
+    full = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    v = F.col(value_col)
+    d = (df.withColumn("_rn", F.row_number().over(wb)).withColumn("_lp", F.lag(value_col).over(wb))
+           .withColumn("_bfirst", F.first(value_col).over(full)).withColumn("_blast", F.last(value_col).over(full)))
+    d = d.withColumn("_st", F.when(F.col("_rn") > 1, F.coalesce(step(F.col("_lp"), v), F.lit(False)))
+                     .otherwise(F.lit(False)).cast("long"))
+    d = d.withColumn("_lc", F.sum("_st").over(run)).withColumn("_tot", F.sum("_st").over(full))
+    s = d.filter(F.col("_rn") == 1).select(*part, bucket, "_bfirst", "_blast", "_tot")
     ws = Window.partitionBy(*part).orderBy(bucket)
-    s = s.select(*part, bucket, F.lag("_last").over(ws).alias("_prev_last"))
-    d = d.join(s, [*part, bucket])
-    return d.withColumn(out_col, F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lp"))).drop(
-        "_rn", "_lp", "_prev_last")
-
-
-def scan_sum(df: DataFrame, part: list[str], order_col: str, value_col: str, out_col: str,
-             bucket: str = "_bk") -> DataFrame:
-    """``out_col`` = running sum of ``value_col`` up to and including the row."""
-    wb = Window.partitionBy(*part, bucket).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    d = df.withColumn("_lc", F.sum(value_col).over(wb))
-    s = d.groupBy(*part, bucket).agg(F.sum(value_col).alias("_tot"))
-    ws = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    s = s.select(*part, bucket, F.coalesce(F.sum("_tot").over(ws), F.lit(0)).alias("_base"))
+    s = s.withColumn("_prev_last", F.lag("_blast").over(ws))
+    s = s.withColumn("_edge", F.when(F.lag(bucket).over(ws).isNull(), F.lit(0))
+                     .otherwise(F.coalesce(step(F.col("_prev_last"), F.col("_bfirst")), F.lit(False)).cast("long")))
+    s = s.withColumn("_base", F.coalesce(F.sum(F.col("_tot") + F.col("_edge"))
+                                         .over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    s = s.select(*part, bucket, "_edge", "_base")
     d = d.join(s, [*part, bucket])
-    return d.withColumn(out_col, (F.col("_base") + F.col("_lc")).cast("bigint")).drop("_lc", "_base")
+    return d.withColumn(out_col, (F.col("_base") + F.col("_edge") + F.col("_lc")).cast("bigint")).drop(
+        "_rn", "_lp", "_bfirst", "_blast", "_st", "_lc", "_tot", "_edge", "_base")

@@ -26,18 +26,24 @@ def sample_hash(key_cols: Sequence[str], seed: int = SEED) -> F.Column:
 
 
 def hash_rank(df: DataFrame, key_cols: Sequence[str], seed: int = SEED, digits: int = 4) -> DataFrame:
-    """Add ``shuffle_rank`` (0-based rank in hash order) and ``n_total``."""
+    """Add ``shuffle_rank`` (0-based rank in hash order) and ``n_total``.
+
+    Bucket sizes are read off the bucket window (one row per bucket), so the
+    input is shuffled once and the bucket table never exceeds 16^digits rows.
+    """
     h = sample_hash(key_cols, seed)
     d = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, digits))
-    counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy("_b").orderBy("_h", *key_cols)
+    d = (d.withColumn("_rn", F.row_number().over(w))
+          .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy("_b"))))
+    counts = d.filter(F.col("_rn") == 1).select("_b", "_cnt")
     wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # <= 16^digits rows
     wall = Window.partitionBy(F.lit(1))
     base = counts.select("_b", F.coalesce(F.sum("_cnt").over(wb), F.lit(0)).alias("_base"),
                          F.sum("_cnt").over(wall).alias("n_total"))
     j = d.join(F.broadcast(base), "_b")
-    w = Window.partitionBy("_b").orderBy("_h", *key_cols)
-    return (j.withColumn("shuffle_rank", (F.col("_base") + F.row_number().over(w) - 1).cast("bigint"))
-             .drop("_h", "_b", "_base"))
+    return (j.withColumn("shuffle_rank", (F.col("_base") + F.col("_rn") - 1).cast("bigint"))
+             .drop("_h", "_b", "_base", "_rn", "_cnt"))
 
 
 def n_keep(n_total: F.Column, frac: float) -> F.Column:

@@ -146,8 +146,9 @@ def q_top5_answers(spark, sf):
 @query("emit_order")
 def q_emit_order(spark, sf):
     """Dataset lines with their global position in dataset order."""
-    d = dialog_pairs(conv_posts(spark, sf)).select(*DATASET_KEY)
     from threadloom.operators.ranking import global_offsets
+    from threadloom.session import materialize
+    d = materialize(dialog_pairs(conv_posts(spark, sf)).select(*DATASET_KEY), "dataset_keys")
     return global_offsets(d, DATASET_KEY, out_col="line_no")
 
 
@@ -253,7 +254,10 @@ def q_contract_rows(spark, sf):
 # sampling, splitting, packing (on the encoded dataset lines)
 # --------------------------------------------------------------------------
 def dataset_lines(spark, sf):
-    return encode.encode_pairs(dialog_pairs(conv_posts(spark, sf))).select(*DATASET_KEY, "line")
+    """The encoded dataset as a stage table (sampling and packing read it twice)."""
+    from threadloom.session import materialize
+    return materialize(encode.encode_pairs(dialog_pairs(conv_posts(spark, sf))).select(*DATASET_KEY, "line"),
+                       "dataset_lines")
 
 
 @query("shuffle")
@@ -534,7 +538,8 @@ def q_post_seq(spark, sf):
 @query("forum_dialog")
 def q_forum_dialog(spark, sf):
     """Pages -> posts -> dialogue lines, end to end (E-ops, then D/Q/F ops)."""
-    posts = X.extract_posts(forum_pages(spark, sf))
+    from threadloom.session import materialize
+    posts = materialize(X.extract_posts(forum_pages(spark, sf)), "forum_posts")
     return encode.encode_pairs(dialog_pairs(posts))
 
 

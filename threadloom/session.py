@@ -62,3 +62,18 @@ def job_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = "/".join([base, "threadloom", *parts])
     return f"{path}/{uuid.uuid4().hex}" if unique else path
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet stage table in the shared checkpoint folder
+    and read it back.
+
+    Used where one stage output feeds several consumers (self-joins of the
+    bucketed scans, chain and quote branches): the stage is computed once,
+    its lineage is cut, and a lost executor costs a re-read, not a re-run of
+    the upstream pipeline.
+    """
+    spark = df.sparkSession
+    path = job_dir(spark, "stage", name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
