@@ -968,3 +968,24 @@ ORACLE["stream_prompts"] = ORACLE["prompt_last5"]
 
 ORACLE["dialog_starter_chain_buckets"] = ORACLE["dialog_starter_chain_docs"]
 ORACLE["dialog_two_speaker_buckets"] = ORACLE["dialog_two_speaker_docs"]
+
+ORACLE["field_map"] = ORACLE["field_join"].replace(
+    "SELECT page_id, CAST(len(m) AS BIGINT) AS n_values, array_to_string(m, '-') AS joined,\n       list_filter(v, lambda x: x IS NOT NULL AND x <> '')[1] AS first_value FROM",
+    "SELECT page_id, CAST(len(m) AS BIGINT) AS n_values FROM")
+ORACLE["field_first"] = ORACLE["field_join"].replace(
+    "SELECT page_id, CAST(len(m) AS BIGINT) AS n_values, array_to_string(m, '-') AS joined,\n       list_filter(v, lambda x: x IS NOT NULL AND x <> '')[1] AS first_value FROM",
+    "SELECT page_id, list_filter(v, lambda x: x IS NOT NULL AND x <> '')[1] AS first_value FROM")
+ORACLE["drop_header_rows"] = with_(CONV, select="""
+SELECT source, topic_id, url, author_id, author_name, text, pos FROM posts WHERE coalesce(topic_id <> 'topic_id', true)""")
+ORACLE["pair_runs"] = with_(DOCS, two_speaker_ctes(), select="SELECT source, topic_id, emit_k, speaker0_text, speaker1_text FROM v1")
+for _r in ("a", "b", "c"):
+    ORACLE[f"quotes_site_{_r}"] = with_(CONV, QP, select=f"""
+SELECT source, topic_id, pos, k, speaker0_text, speaker1_text FROM qpairs WHERE rule = '{_r}'""")
+ORACLE["dataset_union"] = with_(CONV, QP, chain_ctes(), quote_dialog_cte(), PAIRS,
+                                doc_posts_cte("dposts"), chain_ctes(posts="dposts", qpairs=None, name="dchain"), select=f"""
+SELECT {DK}, line, CAST(row_number() OVER (ORDER BY {DK}) - 1 AS BIGINT) AS line_no FROM (
+  SELECT {DK}, line FROM ({encode_select('pairs')})
+  UNION ALL SELECT {DK}, line FROM ({encode_select('dchain')}))""")
+ORACLE["blocked_pages"] = with_(FP, select=f"""
+SELECT url, 200 AS status FROM (SELECT url, html AS body FROM pages UNION ALL SELECT url, html FROM fpages)
+WHERE 200 = 503 AND strpos(url, 'b17.ru') > 0 AND strpos(body, {sql_str('Доступ к сайту b17.ru для вашего IP адреса временно заблокирован')}) > 0""")

@@ -621,3 +621,78 @@ def q_stream_prompts(spark, sf):
     for b in range(int(n_buckets) + 1):  # one folder per turn range, written in order
         conv.filter(bucket == b).repartition(2, "conv_id").write.mode("overwrite").parquet(f"{base}/in/b{b:04d}")
     return jobs.stream_prompts(spark, f"{base}/in/*", conv.schema, f"{base}/sink", f"{base}/ckpt", max_files=2)
+
+
+# --------------------------------------------------------------------------
+# remaining inventory keys
+# --------------------------------------------------------------------------
+@query("write_dataset")
+def q_write_dataset(spark, sf):
+    """The dataset file as written (raw text lines of the CSV files)."""
+    path = job_dir(spark, "dataset_raw")
+    sinks.write_dataset(dataset_lines(spark, sf), path, DATASET_KEY)
+    return spark.read.text(path)
+
+
+@query("field_map")
+def q_field_map(spark, sf):
+    return PG.nav_fields(PG.page_tokens(_pages(spark, sf), ancestors=0)).select("page_id", "n_values")
+
+
+@query("field_first")
+def q_field_first(spark, sf):
+    return PG.nav_fields(PG.page_tokens(_pages(spark, sf), ancestors=0)).select("page_id", "first_value")
+
+
+@query("drop_header_rows")
+def q_drop_header_rows(spark, sf):
+    """C3 on posts read back from an appended export that repeated its header row."""
+    posts = conv_posts(spark, sf).drop("html")
+    header = spark.createDataFrame([tuple(posts.columns[:-1]) + (None,)], posts.schema)
+    return clean.drop_header_rows(posts.unionByName(header))
+
+
+@query("pair_runs")
+def q_pair_runs(spark, sf):
+    """D3 alone: (run 2k, run 2k+1) pairs of the documents topics."""
+    return chains.dialog_two_speaker(doc_posts(spark, sf)).select("source", "topic_id", "emit_k", "speaker0_text",
+                                                                  "speaker1_text")
+
+
+def _quotes_rule(spark, sf, rule):
+    return quotes.quotes_site(conv_posts(spark, sf), rule)
+
+
+@query("quotes_site_a")
+def q_quotes_site_a(spark, sf):
+    return _quotes_rule(spark, sf, "a")
+
+
+@query("quotes_site_b")
+def q_quotes_site_b(spark, sf):
+    return _quotes_rule(spark, sf, "b")
+
+
+@query("quotes_site_c")
+def q_quotes_site_c(spark, sf):
+    return _quotes_rule(spark, sf, "c")
+
+
+@query("dataset_union")
+def q_dataset_union(spark, sf):
+    """lines of every source appended in dataset order, numbered with R1."""
+    from threadloom.operators.ranking import global_offsets
+    from threadloom.session import materialize
+    conv = encode.encode_pairs(dialog_pairs(conv_posts(spark, sf)))
+    docs = encode.encode_pairs(chains.dialog_starter_chain(doc_posts(spark, sf)))
+    lines = materialize(conv.unionByName(docs).select(*DATASET_KEY, "line"), "dataset_union")
+    return global_offsets(lines, DATASET_KEY, out_col="line_no")
+
+
+@query("blocked_pages")
+def q_blocked_pages(spark, sf):
+    """K3 over a fetch log of every page fetched (status 200, body = html)."""
+    raw = read_table(spark, sf, "pages").select("url", F.col("html").alias("body"))
+    fp = forum_pages(spark, sf).select("url", F.col("html").alias("body"))
+    log = raw.unionByName(fp).withColumn("status", F.lit(200))
+    return contracts.blocked_pages(log).select("url", "status")
