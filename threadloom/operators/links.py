@@ -16,17 +16,17 @@ HREF_PATTERN = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
 
 # ---------------------------------------------------------------------------
 # Link rules of the sites, in the order they are tried.
-# (name, allow pattern, deny pattern, denied topic ids)
+# (name, allowed domain, allow pattern, deny pattern, denied topic ids)
 # ---------------------------------------------------------------------------
 LINK_RULES = (
-    ("b17_topic", r"\/forum\/topic\.php\?id=", r"&p=", ()),
-    ("psycheforum_forum", r"/forum/",
+    ("b17_topic", "b17.ru", r"\/forum\/topic\.php\?id=", r"&p=", ()),
+    ("psycheforum_forum", "psycheforum.ru", r"/forum/",
      r"(\.xml\/?$)|(\-#$)|(\/#ip$)|(\?do\=markRead)|(#ipsLayout)|(\/page\/\d+)|(#elSortBy)|(advancedSearchForm)|(sortby=)",
      ()),
-    ("psycheforum_topic", r"/topic/", r"(\/#comments)",
+    ("psycheforum_topic", "psycheforum.ru", r"/topic/", r"(\/#comments)",
      ("154794", "136149", "154744", "154745", "44267", "135209", "154791", "154792", "154793", "44267",
       "3273", "154705", "154746", "154795")),
-    ("psyhelp24_consultation", r"psihologicheskaya-konsultatsiya-", None, ()),
+    ("psyhelp24_consultation", "psyhelp24.org", r"psihologicheskaya-konsultatsiya-", None, ()),
 )
 TOPIC_ID_IN_URL = r"topic\/(\d+)-"
 
@@ -67,12 +67,19 @@ def resolved_links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return ln.withColumn("abs_url", url_join(F.col("url"), F.col("href")))
 
 
+def on_domain(url: Column, domain: str) -> Column:
+    """Host is ``domain`` or one of its subdomains (allowed_domains)."""
+    host = url_host(url)
+    return (host == domain) | host.endswith("." + domain)
+
+
 def link_rule(url: Column, rules=LINK_RULES) -> Column:
-    """L2: name of the first rule whose allow pattern matches and whose deny
-    pattern / denied ids do not; null when no rule takes the link."""
+    """L2: name of the first rule (of the site owning the url's domain) whose
+    allow pattern matches and whose deny pattern / denied ids do not; null
+    when no rule takes the link."""
     out = F.lit(None).cast("string")
-    for name, allow, deny, ids in reversed(rules):
-        ok = url.rlike(allow)
+    for name, domain, allow, deny, ids in reversed(rules):
+        ok = on_domain(url, domain) & url.rlike(allow)
         if deny:
             ok = ok & ~url.rlike(deny)
         if ids:

@@ -665,8 +665,10 @@ def url_join_sql(base: str, href: str) -> str:
 
 def link_rule_sql(u: str) -> str:
     out = "NULL"
-    for name, allow, deny, ids in reversed(LINK_RULES):
-        ok = f"regexp_matches({u}, {sql_str(allow)})"
+    host = f"lower(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#:@]*)', 1))"
+    for name, domain, allow, deny, ids in reversed(LINK_RULES):
+        ok = (f"({host} = '{domain}' OR ends_with({host}, '.{domain}')) "
+              f"AND regexp_matches({u}, {sql_str(allow)})")
         if deny:
             ok += f" AND NOT regexp_matches({u}, {sql_str(deny)})"
         if ids:
