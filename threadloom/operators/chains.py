@@ -111,7 +111,9 @@ def dialog_starter_chain(posts: DataFrame, quote_arrays: DataFrame | None = None
     """Chain pairs ``source, topic_id, emit_pos, emit_k, kind, speaker0_text, speaker1_text``."""
     if flagged is None:
         flagged = flag_posts(posts, quote_arrays, topic, bucket_size)
-    segs = chain_segments(flagged, topic)
+    # stage table: segmented chain posts feed questions, answers and the
+    # next-segment join
+    segs = materialize(chain_segments(flagged, topic), "chain_segments")
     q = segment_questions(segs, topic)
     # the segment is emitted where the next one starts (a join on (topic, seg),
     # not a window over the whole topic)
@@ -189,7 +191,7 @@ def dialog_two_speaker(posts: DataFrame, topic=TOPIC, bucket_size: int = DEFAULT
     pair only if its merged text is non-empty. The neighbouring runs come from
     joins on (topic, run), not from a window over the whole topic.
     """
-    runs = speaker_runs(posts, topic, bucket_size)
+    runs = materialize(speaker_runs(posts, topic, bucket_size), "speaker_runs")
     even = runs.filter(F.col("run") % 2 == 0)
     nxt = runs.select(*topic, (F.col("run") - 1).alias("run"), F.col("run_text").alias("next_text"))
     after = runs.select(*topic, (F.col("run") - 2).alias("run"), F.col("run_pos").alias("after_next"))

@@ -19,6 +19,9 @@ from threadloom.operators.ranking import global_offsets
 
 BLOCK_SIZE = 2048  # fixed value: model context, no special-token room for this tokenizer
 EVAL_BATCH = 4
+# bump when the token stream or block layout changes, so cached blocks of an
+# older layout are never read
+BLOCK_FORMAT_VERSION = 1
 
 
 def line_tokens(text: F.Column) -> F.Column:

@@ -580,7 +580,7 @@ def q_write_split(spark, sf):
 @query("block_cache")
 def q_block_cache(spark, sf):
     """Blocks of the dataset lines, built once per (block size, input)."""
-    key = hashlib.md5(f"dataset_lines:{sf}".encode()).hexdigest()[:16]
+    key = hashlib.md5(f"dataset_lines:{sf}:blocks-v{packing.BLOCK_FORMAT_VERSION}".encode()).hexdigest()[:16]
     root = job_dir(spark, "block_cache", unique=False)
     return sinks.cached_blocks(spark, root, packing.BLOCK_SIZE, key,
                                lambda: packing.pack_blocks(dataset_lines(spark, sf), DATASET_KEY))
