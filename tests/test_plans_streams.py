@@ -24,9 +24,11 @@ def test_flagship_plan_shape(spark):
 
 
 def test_chain_windows_are_bucketed(spark):
-    plan = _plan(REGISTRY["dialog_starter_chain_docs"](spark, SF))
-    # the scans over posts partition by topic *and* bucket
-    assert "hashpartitioning(source#" in plan and "_bk" in plan
+    from threadloom.operators import chains
+    from threadloom.plans.queries import doc_posts
+    plan = _plan(chains.chain_segments(chains.flag_posts(doc_posts(spark, SF))))
+    windows = [ln for ln in plan.split("\n") if "Window [" in ln and "pos ASC" in ln]
+    assert windows and all("_bk" in ln for ln in windows)   # (topic, bucket) partitions only
 
 
 def test_stream_prompts_equal_batch(spark):
