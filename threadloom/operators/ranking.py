@@ -8,9 +8,9 @@ A window with ``orderBy`` but no ``partitionBy`` sends every row to one task.
    each partition;
 2. computes each partition's exclusive running sum with a per-partition
    scan (``mapInPandas``: pandas ``cumsum`` inside the task, no shuffle);
-3. sums each partition (a table with at most ``num_partitions`` rows, a
-   proven bound), turns the sums into partition base offsets, and
-   broadcast-joins them back.
+3. writes that pass once as a stage table, sums each partition from it (a
+   table with at most ``num_partitions`` rows, a proven bound), turns the
+   sums into partition base offsets, and broadcast-joins them back.
 
 The result is exact: ``offset`` = sum of ``size_col`` over all rows strictly
 before this row in ``order_cols`` order; with ``size_col=None`` it is the
@@ -46,8 +46,11 @@ def global_offsets(df: DataFrame, order_cols: Sequence[str], size_col: str | Non
             carry += int(s.sum())
             yield b
 
-    local = r.mapInPandas(scan, schema)
-    totals = r.groupBy("_pid").agg(F.sum("_sz").alias("_tot"))
+    # one materialized pass: partition ids and local offsets come from the
+    # same range partitioning for both the rows and the partition totals
+    from threadloom.session import materialize
+    local = materialize(r.mapInPandas(scan, schema), "ranked")
+    totals = local.groupBy("_pid").agg(F.sum("_sz").alias("_tot"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= n rows
     base = totals.select("_pid", F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_base"))
     out = local.join(F.broadcast(base), "_pid")
