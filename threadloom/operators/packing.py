@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import PRETOKEN_PATTERN, normalize_ws
 from threadloom.operators.ranking import global_offsets
+from threadloom.session import materialize
 
 BLOCK_SIZE = 2048  # fixed value: model context, no special-token room for this tokenizer
 EVAL_BATCH = 4
@@ -31,17 +32,29 @@ def line_tokens(text: F.Column) -> F.Column:
 
 def pack_blocks(lines: DataFrame, order_cols: Sequence[str], text_col: str = "line",
                 size: int = BLOCK_SIZE) -> DataFrame:
-    """``block_id, n_tokens, block_text`` for every full block."""
-    t = lines.select(*order_cols, line_tokens(F.col(text_col)).alias("_toks"))
-    t = t.withColumn("_n", F.size("_toks"))
+    """``block_id, n_tokens, block_text`` for every full block.
+
+    Each line is cut into the pieces that fall into each block it touches
+    (``slice`` of its token array), so the shuffle to blocks moves about
+    lines + blocks rows, not one row per token. A block gathers at most
+    ``size`` tokens.
+    """
+    # stage table: every line tokenised once
+    t = materialize(lines.select(*order_cols, line_tokens(F.col(text_col)).alias("_toks"))
+                    .withColumn("_n", F.size("_toks")), "line_tokens")
     t = global_offsets(t, list(order_cols), size_col="_n", out_col="_start")
-    ex = t.select("_start", F.posexplode("_toks").alias("_i", "tok"))
-    ex = ex.select((F.col("_start") + F.col("_i")).alias("offset"), "tok")
-    ex = ex.withColumn("block_id", F.floor(F.col("offset") / size).cast("bigint"))
-    g = ex.groupBy("block_id").agg(F.array_sort(F.collect_list(F.struct("offset", "tok"))).alias("_t"))
+    end = F.col("_start") + F.col("_n")
+    first_b = F.floor(F.col("_start") / size)
+    last_b = F.floor((end - 1) / size)
+    pieces = t.select("_start", "_toks", "_n", F.explode(F.sequence(first_b, last_b)).alias("block_id"))
+    lo = F.greatest(F.col("_start"), F.col("block_id") * size) - F.col("_start")
+    hi = F.least(end, (F.col("block_id") + 1) * size) - F.col("_start")
+    pieces = pieces.select(F.col("block_id").cast("bigint").alias("block_id"), "_start",
+                           F.slice("_toks", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("_piece"))
+    g = pieces.groupBy("block_id").agg(F.array_sort(F.collect_list(F.struct("_start", "_piece"))).alias("_p"))
+    g = g.withColumn("_t", F.flatten(F.transform("_p", lambda x: x["_piece"])))
     g = g.filter(F.size("_t") == size)
-    return g.select("block_id", F.size("_t").cast("bigint").alias("n_tokens"),
-                    F.array_join(F.transform("_t", lambda x: x["tok"]), "").alias("block_text"))
+    return g.select("block_id", F.size("_t").cast("bigint").alias("n_tokens"), F.array_join("_t", "").alias("block_text"))
 
 
 def pad_batches(blocks: DataFrame, batch: int = EVAL_BATCH, pad_token: str = "<pad>") -> DataFrame:

@@ -7,7 +7,8 @@ A window with ``orderBy`` but no ``partitionBy`` sends every row to one task.
    value is spread over as many partitions as it fills) and sorts inside
    each partition;
 2. computes each partition's exclusive running sum with a per-partition
-   scan (``mapInPandas``: pandas ``cumsum`` inside the task, no shuffle);
+   scan (``mapInPandas``: pandas ``cumsum`` inside the task, no shuffle),
+   carrying only the order key and the size;
 3. writes that pass once as a stage table, sums each partition from it (a
    table with at most ``num_partitions`` rows, a proven bound), turns the
    sums into partition base offsets, and broadcast-joins them back.
@@ -29,12 +30,18 @@ from pyspark.sql import types as T
 
 def global_offsets(df: DataFrame, order_cols: Sequence[str], size_col: str | None = None,
                    out_col: str = "offset", num_partitions: int | None = None) -> DataFrame:
+    """Exact running offset (or 0-based rank) of every row in ``order_cols`` order.
+
+    Only the order key and the size go through the range shuffle and the
+    per-partition scan; other columns of ``df`` are joined back on the order
+    key, which must therefore be unique.
+    """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = F.col(size_col).cast("long") if size_col else F.lit(1).cast("long")
-    r = (df.withColumn("_sz", size).repartitionByRange(n, *order_cols)
-           .sortWithinPartitions(*order_cols)
-           .withColumn("_pid", F.spark_partition_id()))
+    narrow = df.select(*order_cols, size.alias("_sz"))
+    r = (narrow.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+               .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(r.schema.fields + [T.StructField("_local", T.LongType(), False)])
 
     def scan(batches):
@@ -53,10 +60,10 @@ def global_offsets(df: DataFrame, order_cols: Sequence[str], size_col: str | Non
     totals = local.groupBy("_pid").agg(F.sum("_sz").alias("_tot"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= n rows
     base = totals.select("_pid", F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_base"))
-    out = local.join(F.broadcast(base), "_pid")
-    return out.withColumn(out_col, (F.col("_base") + F.col("_local")).cast("bigint")).drop(
-        "_pid", "_sz", "_local", "_base")
-
+    offsets = local.join(F.broadcast(base), "_pid").select(
+        *order_cols, (F.col("_base") + F.col("_local")).cast("bigint").alias(out_col))
+    extra = [c for c in df.columns if c not in set(order_cols)]
+    return df.join(offsets, list(order_cols)) if extra else offsets
 
 
 # ---------------------------------------------------------------------------
