@@ -6,7 +6,8 @@ plus ``anc0 .. ancR``: the open-tag descriptors of the token's enclosing
 elements (anc0 = parent for text / close tokens, the element itself for an
 open token; anc1 = one level up, ...).
 
-How structure is computed, with one shuffle by document key:
+How structure is computed, with one shuffle of whole documents by key
+(before tokenising, so the shuffle moves markup, not token rows):
 
 * depth is a running sum of +1 / -1 over counted open / close tags (T2);
 * the ancestor at level k of a token is the last open tag at level k before
@@ -70,6 +71,10 @@ def html_tokens(df: DataFrame, key_cols: Sequence[str], html_col: str = "html",
     """T1 + T2 + ancestor descriptors (see module doc)."""
     key_cols = list(key_cols)
     cleaned = F.regexp_replace(F.col(html_col), DROP_PATTERN, "")
+    # shuffle whole documents by key, then explode: every token window below
+    # partitions by the key (plus more), so it needs no exchange, and the
+    # shuffle moves the raw markup instead of ~100 token rows per document
+    df = df.repartition(*key_cols)
     base = df.select(*key_cols, *keep_cols,
                      F.posexplode(F.regexp_extract_all(cleaned, F.lit(TOKEN_PATTERN), 0))
                      .alias("tpos", "tok"))
