@@ -60,3 +60,25 @@ def test_blocks_drop_partial(spark):
     assert [b.n_tokens for b in blocks] == [4, 4]
     assert blocks[0].block_text == "a b c d" and blocks[1].block_text == " e f g h"
     assert packing.pad_batches(packing.pack_blocks(df, ["k"], size=4)).filter("n_pad > 0").count() == 0
+
+
+def test_prompts_halo_buckets_equal_plain_window(spark):
+    from threadloom.operators import encode
+    rows = [(c, t, ["user", "assistant", "system"][(c + t) % 3], f"t{c}-{t}") for c in range(4) for t in range(23)]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns = encode.chat_turns(conv)
+    exp = {(r.conv_id, r.turn): r.prompt for r in encode.prompts(turns, history=5, bucket_size=1 << 16).collect()}
+    for bs in (5, 6, 7):
+        got = {(r.conv_id, r.turn): r.prompt for r in encode.prompts(turns, history=5, bucket_size=bs).collect()}
+        assert got == exp, bs
+    w5 = [p for (c, t), p in sorted(exp.items()) if c == 0][-1]
+    assert w5.count("|t0-") == 5
+
+
+def test_scan_rank_buckets(spark):
+    from threadloom.operators.ranking import scan_rank, with_bucket
+    rows = [(k, p, r) for k in range(3) for p in range(7) for r in range(3)]
+    df = spark.createDataFrame(rows, "k long, p long, r long")
+    for bs in (1, 2, 100):
+        got = {(x.k, x.p, x.r): x.rank for x in scan_rank(with_bucket(df, "p", bs), ["k"], ["p", "r"], "rank").collect()}
+        assert got == {(k, p, r): p * 3 + r for k, p, r in rows}

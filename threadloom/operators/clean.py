@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import strip_ws
@@ -16,11 +16,12 @@ def drop_header_rows(posts: DataFrame) -> DataFrame:
 def dedup_posts(posts: DataFrame, topic=("source", "topic_id")) -> DataFrame:
     """Keep the first post of every (topic, text); off in the default chain.
 
-    Exact text equality; a copy posted a third of the time is still one
-    window partition per (topic, text) only.
+    Exact text equality. The first copy is found by a partial aggregate
+    (``min(pos)`` per topic and text) and kept with a semi join on the post
+    key, so a text copied a third of the time is still combined map-side.
     """
-    w = Window.partitionBy(*topic, "text").orderBy("pos")
-    return posts.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    firsts = posts.groupBy(*topic, "text").agg(F.min("pos").alias("pos")).select(*topic, "pos")
+    return posts.join(firsts, [*topic, "pos"], "left_semi")
 
 
 def drop_blank(posts: DataFrame) -> DataFrame:

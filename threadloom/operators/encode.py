@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import length_code, token_count
+from threadloom.operators.ranking import scan_rank, with_bucket
 
 # ---------------------------------------------------------------------------
 # Speaker codes of chat turns (user 0, bot 1; system dropped)
@@ -43,19 +44,36 @@ def _piece(use_length: bool) -> F.Column:
 
 
 def prompts(turns: DataFrame, history: int | None = 5, wanted_length: str = "-",
-            use_length: bool = True) -> DataFrame:
+            use_length: bool = True, bucket_size: int = 1 << 16) -> DataFrame:
     """Prompt for every user turn from the last ``history`` turns.
 
-    ``history=None`` uses the whole conversation so far (F6); the prompt of
-    turn t then holds t pieces, so that output grows with the square of a
-    conversation's length by definition.
+    F5 (bounded history): each turn's rank in its conversation comes from a
+    bucketed scan; rows are then grouped in rank buckets of ``bucket_size``
+    and the last ``history - 1`` rows of every bucket are copied into the
+    next one (a halo), so the sliding window never spans more than one
+    (conversation, bucket) partition and a long conversation spreads over
+    tasks. ``history=None`` uses the whole conversation so far (F6); its
+    output grows with the square of a conversation's length by definition.
     """
     t = turns.withColumn("piece", _piece(use_length))
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    frame = w.rowsBetween(Window.unboundedPreceding if history is None else -(history - 1), 0)
-    hist = F.array_sort(F.collect_list(F.struct(F.col("turn"), F.col("piece"))).over(frame))
+    if history is None:
+        w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
+        hist = F.array_sort(F.collect_list(F.struct(F.col("turn"), F.col("piece"))).over(w))
+    else:
+        assert bucket_size >= history
+        t = with_bucket(t, "turn", 1 << 20)
+        t = scan_rank(t, ["conv_id"], ["turn"], "_r").drop("_bk")
+        t = t.withColumn("_b", F.floor(F.col("_r") / bucket_size).cast("bigint"))
+        halo = (F.col("_r") % bucket_size) >= (bucket_size - (history - 1))
+        t = t.withColumn("_copies", F.when(halo, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
+        t = t.select("*", F.explode("_copies").alias("_halo"))
+        t = t.withColumn("_b", F.col("_b") + F.col("_halo").cast("bigint"))
+        w = Window.partitionBy("conv_id", "_b").orderBy("_r").rowsBetween(-(history - 1), 0)
+        hist = F.array_sort(F.collect_list(F.struct(F.col("_r"), F.col("piece"))).over(w))
     t = t.withColumn("prompt", F.concat(F.array_join(F.transform(hist, lambda x: x["piece"]), ""),
                                         F.lit("|1|" + wanted_length + "|")))
+    if history is not None:
+        t = t.filter(~F.col("_halo"))
     return t.filter(F.col("speaker") == 0).select("conv_id", "turn", "prompt")
 
 

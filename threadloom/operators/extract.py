@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import strip_ws
 from threadloom.operators.html_tokens import attr, html_tokens, inside, is_el, region_id, sibling_indexes
-from threadloom.operators.ranking import global_offsets
+from threadloom.operators.ranking import global_offsets, scan_rank, with_bucket
 from threadloom.session import materialize
 from threadloom.sources.tables import SITE_SOURCES
 
@@ -40,6 +40,7 @@ TOPIC_ID_PATTERNS = ((A, r"(?:^|/)topic/([^/?#]*)"), (B, r"\/topic\.php\?id=(\d+
 AUTHOR_ID_PATTERNS = ((A, r"(?:^|/)profile/([^/?#]*)"), (B, r"\/(.+)\/"), (C, r"/profile/(\d+)-"))
 GUEST_PREFIX = "gst_"
 MIN_TEXT_CHARS = 2  # psyhelp24 skips empty and one-character texts
+PAGES_PER_BUCKET = 1024
 
 
 def topic_id_from_url(source: Column, url: Column) -> Column:
@@ -246,8 +247,10 @@ def extract_posts(pages: DataFrame) -> DataFrame:
     r = r.withColumn("author_id", F.coalesce("author_id", "guest_id"))
     rej = rejected_pages(pages)
     r = r.join(rej.select(*PAGE_KEY), PAGE_KEY, "left_anti")
-    w = Window.partitionBy("source", "url_topic").orderBy("page_no", "rec_no")
-    r = r.withColumn("pos", (F.row_number().over(w) - 1).cast("bigint"))
+    # Sequence number inside the topic, bucketed by page range so a hot
+    # topic is ranked by many tasks
+    r = with_bucket(r, "page_no", PAGES_PER_BUCKET)
+    r = scan_rank(r, ["source", "url_topic"], ["page_no", "rec_no"], "pos")
     return r.select("source", F.col("url_topic").alias("topic_id"), "url", "author_id", "author_name", "text",
                     "html", "page_no", "pos")
 

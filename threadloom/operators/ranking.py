@@ -129,3 +129,21 @@ def scan_transitions(df: DataFrame, part: list[str], order_col: str, value_col:
     d = d.join(s, [*part, bucket])
     return d.withColumn(out_col, (F.col("_base") + F.col("_edge") + F.col("_lc")).cast("bigint")).drop(
         "_rn", "_lp", "_bfirst", "_blast", "_st", "_lc", "_tot", "_edge", "_base")
+
+
+def scan_rank(df: DataFrame, part: list[str], order_cols: list[str], out_col: str,
+              bucket: str = "_bk") -> DataFrame:
+    """0-based ``row_number`` within each key in ``order_cols`` order.
+
+    ``bucket`` must be monotone in the order (e.g. ``floor(first order column
+    / size)``). Ranks are local per (key, bucket) plus the sizes of the
+    earlier buckets, read off the same window (one row per bucket).
+    """
+    wb = Window.partitionBy(*part, bucket).orderBy(*order_cols)
+    d = (df.withColumn("_rn", F.row_number().over(wb))
+           .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*part, bucket))))
+    s = d.filter(F.col("_rn") == 1).select(*part, bucket, "_cnt")
+    ws = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    s = s.select(*part, bucket, F.coalesce(F.sum("_cnt").over(ws), F.lit(0)).alias("_base"))
+    d = d.join(s, [*part, bucket])
+    return d.withColumn(out_col, (F.col("_base") + F.col("_rn") - 1).cast("bigint")).drop("_rn", "_cnt", "_base")
