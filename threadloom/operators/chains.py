@@ -82,11 +82,19 @@ def chain_segments(flagged: DataFrame, topic=TOPIC) -> DataFrame:
 
 
 def segment_questions(segs: DataFrame, topic=TOPIC) -> DataFrame:
-    """Question text per segment (starter texts, no separator) + its start."""
+    """Question text per segment (starter texts, no separator) + its start.
+
+    Two levels: texts are joined per (segment, pos bucket) first, then the
+    bucket pieces per segment, so no step collects more than one bucket's
+    posts or one piece per bucket.
+    """
     ordered = F.array_sort(F.collect_list(F.struct(F.col("pos"), F.col("ctext"))))
-    return (segs.filter("iss").groupBy(*topic, "seg")
-                .agg(F.min("pos").alias("seg_start"),
-                     F.array_join(F.transform(ordered, lambda x: x["ctext"]), "").alias("question")))
+    part = (segs.filter("iss").groupBy(*topic, "seg", "_bk")
+                .agg(F.min("pos").alias("p0"), F.array_join(F.transform(ordered, lambda x: x["ctext"]), "").alias("t")))
+    pieces = F.array_sort(F.collect_list(F.struct(F.col("p0"), F.col("t"))))
+    return (part.groupBy(*topic, "seg")
+                .agg(F.min("p0").alias("seg_start"),
+                     F.array_join(F.transform(pieces, lambda x: x["t"]), "").alias("question")))
 
 
 def first_answers(segs: DataFrame, max_answers: int | None = 5, topic=TOPIC) -> DataFrame:
@@ -177,11 +185,18 @@ def speaker_runs(posts: DataFrame, topic=TOPIC, bucket_size: int = DEFAULT_BUCKE
     p = p.withColumn("spk", F.when(F.col("author_id").eqNullSafe(F.col("speaker0")), 0).otherwise(1))
     p = with_bucket(p, "pos", bucket_size)
     p = scan_transitions(p, list(topic), "pos", "spk", lambda prev, cur: cur != prev, "run")
+    # two levels: per (run, pos bucket) the fold result and the plain join;
+    # per run, a fold over the bucket pieces (one element per bucket)
     texts = F.transform(F.array_sort(F.collect_list(F.struct(F.col("pos"), normalize_ws(F.col("text")).alias("t")))),
                         lambda x: x["t"])
-    merged = F.aggregate(texts, F.lit(""), lambda acc, x: F.when(acc == "", x).otherwise(F.concat(acc, F.lit(" "), x)))
-    return (p.groupBy(*topic, "run").agg(F.first("spk").alias("spk"), F.min("pos").alias("run_pos"),
-                                         merged.alias("run_text")))
+    fold = F.aggregate(texts, F.lit(""), lambda acc, x: F.when(acc == "", x).otherwise(F.concat(acc, F.lit(" "), x)))
+    part = p.groupBy(*topic, "run", "_bk").agg(F.first("spk").alias("spk"), F.min("pos").alias("p0"),
+                                              fold.alias("f"), F.array_join(texts, " ").alias("j"))
+    pieces = F.array_sort(F.collect_list(F.struct(F.col("p0"), F.col("f"), F.col("j"))))
+    merged = F.aggregate(pieces, F.lit(""), lambda acc, x: F.when(acc == "", x["f"]).otherwise(
+        F.concat(acc, F.lit(" "), x["j"])))
+    return (part.groupBy(*topic, "run").agg(F.first("spk").alias("spk"), F.min("p0").alias("run_pos"),
+                                            merged.alias("run_text")))
 
 
 def dialog_two_speaker(posts: DataFrame, topic=TOPIC, bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
