@@ -2,5 +2,5 @@
 
 from threadloom.functions.text import (  # noqa: F401
     PY_WHITESPACE, normalize_ws, strip_ws, token_count, length_code,
-    stable_hash, hash_bucket_hex,
+    hash_bucket_hex,
 )

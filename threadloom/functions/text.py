@@ -68,11 +68,6 @@ def length_code(n_tokens, bounds=LENGTH_BOUNDS) -> Column:
             .when(n <= b3, LENGTH_CODES[2]).otherwise(LENGTH_CODES[3]))
 
 
-def stable_hash(text) -> Column:
-    """First 32 bits of md5 as a bigint; DuckDB gives the same number."""
-    return F.conv(F.substring(F.md5(_c(text).cast("string")), 1, 8), 16, 10).cast("bigint")
-
-
 def hash_bucket_hex(text) -> Column:
     """First hex digit of md5, a 16-way bucket usable in both engines."""
     return F.substring(F.md5(_c(text).cast("string")), 1, 1)

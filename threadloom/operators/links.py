@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.operators.html_tokens import DROP_PATTERN, attr, decode_entities, html_tokens, inside, is_el
+from threadloom.operators.html_tokens import DROP_PATTERN, attr, decode_entities, html_tokens, inside
 
 HREF_PATTERN = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
 

@@ -41,12 +41,6 @@ def quote_rule(url_col="url") -> F.Column:
     return out
 
 
-def _sorted_texts(cond, value="text") -> F.Column:
-    """Texts where ``cond`` holds, in document order (collect + sort by tpos)."""
-    coll = F.collect_list(F.when(cond, F.struct(F.col("tpos"), F.col(value).alias("v"))))
-    return F.transform(F.array_sort(coll), lambda x: x["v"])
-
-
 def quote_tokens(posts: DataFrame, key_cols: Sequence[str] = POST_KEY) -> DataFrame:
     """Token table of the posts that have a quote rule, with rule flags."""
     key = list(key_cols)

@@ -89,3 +89,9 @@ def harvest_rate(log: DataFrame, source_col: str = "source", ts_col: str = "ts")
         F.count(F.lit(1)).alias("n_items"), ((F.max(us) - F.min(us)) / 1e6).alias("seconds"))
     return g.withColumn("items_per_sec",
                         F.round(F.when(F.col("seconds") > 0, F.col("n_items") / F.col("seconds")), 6))
+
+
+def tail(df: DataFrame, order_cols, n: int = 5) -> DataFrame:
+    """H5: the last ``n`` rows in ``order_cols`` order (a top-k: each task keeps
+    its own last n, one task merges them)."""
+    return df.orderBy(*[F.col(c).desc() for c in order_cols]).limit(n)

@@ -991,3 +991,5 @@ SELECT {DK}, line, CAST(row_number() OVER (ORDER BY {DK}) - 1 AS BIGINT) AS line
 ORACLE["blocked_pages"] = with_(FP, select=f"""
 SELECT url, 200 AS status FROM (SELECT url, html AS body FROM pages UNION ALL SELECT url, html FROM fpages)
 WHERE 200 = 503 AND strpos(url, 'b17.ru') > 0 AND strpos(body, {sql_str('Доступ к сайту b17.ru для вашего IP адреса временно заблокирован')}) > 0""")
+
+ORACLE["dataset_tail"] = with_(*LINE_CTES[:-1], select=f"SELECT {DK}, line FROM lines ORDER BY {', '.join(c + ' DESC' for c in DK.split(', '))} LIMIT 5")

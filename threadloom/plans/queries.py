@@ -696,3 +696,9 @@ def q_blocked_pages(spark, sf):
     fp = forum_pages(spark, sf).select("url", F.col("html").alias("body"))
     log = raw.unionByName(fp).withColumn("status", F.lit(200))
     return contracts.blocked_pages(log).select("url", "status")
+
+
+@query("dataset_tail")
+def q_dataset_tail(spark, sf):
+    """H5: the last five lines of the dataset."""
+    return stats.tail(dataset_lines(spark, sf), DATASET_KEY, 5)
