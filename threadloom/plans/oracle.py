@@ -507,9 +507,9 @@ SELECT source, n_items, seconds, round(CASE WHEN seconds > 0 THEN n_items / seco
   FROM events GROUP BY event_type)"""
 _req = ["author_id", "author_name", "text", "topic_id", "url", "html"]
 ORACLE["contract_fields"] = with_(CONV, select="SELECT source, count(*) AS n_posts, " + ", ".join(
-    f"count_if({c} IS NULL) AS missing_{c}" for c in _req) + " FROM posts GROUP BY source")
+    f"CAST(count_if({c} IS NULL) AS BIGINT) AS missing_{c}" for c in _req) + " FROM posts GROUP BY source")
 ORACLE["contract_rows"] = with_(CONV, select="""
-SELECT p.source, p.url, p.n_rows, e.expected, coalesce(p.n_rows >= e.expected, true) AS ok
+SELECT p.source, p.url, p.n_rows, CAST(e.expected AS BIGINT) AS expected, coalesce(p.n_rows >= e.expected, true) AS ok
 FROM (SELECT source, url, count(*) AS n_rows FROM posts GROUP BY ALL) p
 LEFT JOIN (VALUES ('psy_su', 20), ('b17_ru', 50), ('psycheforum_ru', 30), ('psyhelp24_org', 1)) e(source, expected)
 USING (source)""")
@@ -603,7 +603,7 @@ SELECT page_id, CAST(tpos AS BIGINT) AS tpos, kind, tag, CAST(d_before AS BIGINT
        CASE WHEN is_elem OR (kind = 'close' AND delta = -1) THEN anc1.tag ELSE anc0.tag END AS parent_tag, text
 FROM ptok""")
 ORACLE["html_depth"] = with_(PTOK0, select="""
-SELECT page_id, count(*) AS n_tokens, count_if(is_elem) AS n_elements, CAST(max(d_after) AS BIGINT) AS max_depth,
+SELECT page_id, count(*) AS n_tokens, CAST(count_if(is_elem) AS BIGINT) AS n_elements, CAST(max(d_after) AS BIGINT) AS max_depth,
        CAST(arg_max(d_after, tpos) AS BIGINT) AS end_depth
 FROM ptok GROUP BY page_id""")
 
@@ -904,7 +904,7 @@ for _k, _s in (("posts_site_a", 0), ("posts_site_b", 1), ("posts_site_c", 2)):
     ORACLE[_k] = with_(FP, *EX, select=f"SELECT {_POST_OUT} FROM extracted WHERE ready AND source = '{SITE_SOURCES[_s]}'")
 ORACLE["posts_site_d"] = with_(FP, *EX, select=f"SELECT {_POST_OUT}, role FROM extracted WHERE source = '{SITE_SOURCES[3]}'")
 ORACLE["page_yield"] = with_(FP, *EX, select=f"""
-SELECT {FKS}, count(*) AS n_rows, count_if(ready) AS n_ready FROM extracted WHERE source = '{SITE_SOURCES[0]}' GROUP BY {FKS}""")
+SELECT {FKS}, count(*) AS n_rows, CAST(count_if(ready) AS BIGINT) AS n_ready FROM extracted WHERE source = '{SITE_SOURCES[0]}' GROUP BY {FKS}""")
 ORACLE["drop_repeat_opening"] = with_(FP, *EX, select=f"""
 SELECT {FKS}, CAST(tpos AS BIGINT) AS tpos FROM ftok
 WHERE source = '{SITE_SOURCES[1]}' AND page_no > 1 AND is_elem AND tag = 'tr' AND {_pred('anc3', 'div', eid='table-forum-post')}""")
