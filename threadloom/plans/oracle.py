@@ -993,3 +993,9 @@ SELECT url, 200 AS status FROM (SELECT url, html AS body FROM pages UNION ALL SE
 WHERE 200 = 503 AND strpos(url, 'b17.ru') > 0 AND strpos(body, {sql_str('Доступ к сайту b17.ru для вашего IP адреса временно заблокирован')}) > 0""")
 
 ORACLE["dataset_tail"] = with_(*LINE_CTES[:-1], select=f"SELECT {DK}, line FROM lines ORDER BY {', '.join(c + ' DESC' for c in DK.split(', '))} LIMIT 5")
+
+ORACLE["scan_post_exports"] = with_(CONV, select="""
+SELECT author_id, author_name, text, topic_id, url, html, CAST(pos AS VARCHAR) AS pos,
+       CASE source WHEN 'psy_su' THEN 'data_psy_su.csv' WHEN 'b17_ru' THEN 'data_b17_ru-1.csv'
+                   WHEN 'psycheforum_ru' THEN 'data_psycheforum_ru-1.csv' ELSE 'data_psyhelp24_org.csv' END AS export
+FROM posts""")

@@ -702,3 +702,21 @@ def q_blocked_pages(spark, sf):
 def q_dataset_tail(spark, sf):
     """H5: the last five lines of the dataset."""
     return stats.tail(dataset_lines(spark, sf), DATASET_KEY, 5)
+
+
+@query("scan_post_exports")
+def q_scan_post_exports(spark, sf):
+    """S1 + S2 + C4: harvest CSV exports (plus one export not on the allow-list)
+    read back as strings; topic_name is dropped."""
+    names = {"psy_su": "data_psy_su.csv", "b17_ru": "data_b17_ru-1.csv", "psycheforum_ru": "data_psycheforum_ru-1.csv",
+             "psyhelp24_org": "data_psyhelp24_org.csv"}
+
+    def export_name(src):
+        out = F.lit("data_other.csv")
+        for s, n in names.items():
+            out = F.when(src == s, F.lit(n)).otherwise(out)
+        return out
+    posts = conv_posts(spark, sf).unionByName(doc_posts(spark, sf)).withColumn("topic_name", F.lit(None).cast("string"))
+    folder = job_dir(spark, "exports")
+    sinks.write_post_exports(posts, folder, export_name)
+    return sinks.read_post_exports(spark, folder).drop("topic_name")

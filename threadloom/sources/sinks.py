@@ -62,3 +62,32 @@ def cached_blocks(spark: SparkSession, cache_root: str, block_size: int, input_k
     except AnalysisException:
         build().write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------------------
+# Harvest exports: one CSV folder per site (S1, S2, S4 as CSV)
+# ---------------------------------------------------------------------------
+# The export files the prepare step reads (allow-list).
+EXPORT_ALLOW_LIST = ("data_psy_su.csv", "data_psyhelp24_org.csv", "data_b17_ru-1.csv", "data_psycheforum_ru-1.csv")
+POST_FIELDS = ("author_id", "author_name", "text", "topic_id", "topic_name", "url", "html")
+EXPORT_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "header": "true"}
+
+
+def write_post_exports(posts: DataFrame, folder: str, name_of_source) -> None:
+    """Write posts as CSV exports, one folder per export name, with a header.
+
+    ``name_of_source`` maps a ``source`` column to the export name.
+    """
+    out = posts.select(name_of_source(F.col("source")).alias("export"),
+                       *[F.col(c).cast("string").alias(c) for c in POST_FIELDS], F.col("pos").cast("string"))
+    out.write.mode("overwrite").partitionBy("export").options(**EXPORT_OPTIONS).csv(folder)
+
+
+def read_post_exports(spark: SparkSession, folder: str, allow=EXPORT_ALLOW_LIST) -> DataFrame:
+    """S1 + S2: every field read as a string (multi-line quoted fields),
+    the export name taken from the file path and kept only if allowed."""
+    schema = ", ".join(f"{c} string" for c in (*POST_FIELDS, "pos"))
+    df = (spark.read.schema(schema).options(**EXPORT_OPTIONS).option("multiLine", "true")
+               .csv(f"{folder.rstrip('/')}/export=*"))
+    export = F.regexp_extract(F.col("_metadata.file_path"), r"export=([^/]+)/", 1)
+    return df.withColumn("export", export).filter(F.col("export").isin(*allow))
