@@ -448,7 +448,10 @@ POST_OUT = ["source", "topic_id", "page_no", "rec_no", "author_href", "author_na
 
 
 def forum_pages(spark, sf):
-    return forum_pages_from_conversations(read_table(spark, sf, "conversations"))
+    """Rendered topic pages as a stage table (the extraction input, read by
+    several branches: records, page urls, rejected pages)."""
+    from threadloom.session import materialize
+    return materialize(forum_pages_from_conversations(read_table(spark, sf, "conversations")), "forum_pages")
 
 
 def _site_posts(spark, sf, site):

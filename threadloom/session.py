@@ -9,10 +9,13 @@ from pyspark.sql import SparkSession
 
 # Settings that matter at any scale: AQE re-plans shuffles from runtime
 # sizes (coalesces small partitions, splits skewed join partitions), and the
-# broadcast threshold is left at Spark's size-checked default.
+# broadcast threshold is left at Spark's size-checked default. The token
+# stages are CPU-heavy per byte, so coalesced partitions may be small (128k)
+# and small inputs still use every core; large inputs are unaffected.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
