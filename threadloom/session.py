@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "512k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
