@@ -1,9 +1,13 @@
 """Dialogue building: posts of a topic -> (question, answer) pairs.
 
-Two variants, both as window functions over posts partitioned by topic
-``(source, topic_id)`` and ordered by ``pos``; every later window / aggregate
-adds keys to that partitioning, so the whole chain costs one shuffle of
-the (html-free) posts.
+Two variants over posts ordered by ``pos`` inside a topic
+``(source, topic_id)``. A topic may hold a third of all posts, so nothing is
+a window over a whole topic: ordered scans (first post, previous post,
+running counters) run per ``(topic, pos bucket)`` with small per-bucket
+summaries (``ranking``); segments and runs are aggregates on
+``(topic, seg)`` / ``(topic, run)``; neighbours are found by joins on those
+keys; the top-k answers filter gets a map-side partial limit. The segmented
+posts and the runs are stage tables, read by several branches.
 
 Variant 2, starter chain (the active one)
   * the topic starter is the author of the first post (D5);
@@ -34,9 +38,6 @@ from threadloom.operators.ranking import DEFAULT_BUCKET, scan_first, scan_transi
 
 TOPIC = ("source", "topic_id")
 
-PAIR_COLUMNS = ["source", "topic_id", "emit_pos", "emit_k", "kind", "speaker0_text", "speaker1_text"]
-
-
 def topic_starter(posts: DataFrame, topic=TOPIC, bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
     """Add ``is_first`` and ``starter`` (author of the topic's first post)."""
     p = with_bucket(posts, "pos", bucket_size)
