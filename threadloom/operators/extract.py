@@ -14,8 +14,9 @@ its *record* element, one post:
 ``region_id`` assigns tokens to records (and to the sub-elements fields
 come from); one ``groupBy(page, record)`` gathers each record's tokens,
 bounded by one post; array functions then read the fields the way each
-site's selectors do. Guest ids (E6) and the name carry-forward (E9) are
-windows over records; the sequence number (E15) is a window per topic.
+site's selectors do. The name carry-forward (E9) is a window over the
+records of one page; guest ids (E6) are ranked with R1; the sequence number
+inside a topic (E15) is a bucketed rank, so a long topic spreads over tasks.
 """
 
 from __future__ import annotations
