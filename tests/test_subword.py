@@ -1,0 +1,16 @@
+import pytest
+
+from threadloom.functions import subword
+
+pytestmark = pytest.mark.skipif(not subword.available(), reason="no BPE rank file installed")
+
+
+def test_subword_counts_equal_whole_text_encoding(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    extra = spark.createDataFrame([(-1, None), (-2, ""), (-3, "a b  c　d\n\ne")], "doc_id long, text string")
+    rows.update({-1: None, -2: "", -3: "a b  c　d\n\ne"})
+    got = {r.doc_id: r.n_subword for r in subword.subword_token_counts(docs.unionByName(extra), ["doc_id"]).collect()}
+    enc = subword._encoding()
+    exp = {k: len(enc.encode_ordinary(v or "")) for k, v in rows.items()}
+    assert got == exp

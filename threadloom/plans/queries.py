@@ -723,3 +723,19 @@ def q_scan_post_exports(spark, sf):
     folder = job_dir(spark, "exports")
     sinks.write_post_exports(posts, folder, export_name)
     return sinks.read_post_exports(spark, folder).drop("topic_name")
+
+
+@query("token_count_subword")
+def q_token_count_subword(spark, sf):
+    """F1 in sub-word mode: BPE token count of every document (distinct
+    pre-tokens encoded once, counts joined back)."""
+    from threadloom.functions import subword
+    return subword.subword_token_counts(read_table(spark, sf, "documents"), ["doc_id"], "text")
+
+
+@query("dialog_dataset_subword")
+def q_dialog_dataset_subword(spark, sf):
+    """The flagship with length codes from BPE token counts (F1 sub-word mode)."""
+    from threadloom.session import materialize
+    pairs = materialize(dialog_pairs(conv_posts(spark, sf)), "pairs")
+    return encode.encode_pairs_subword(pairs, DATASET_KEY)
