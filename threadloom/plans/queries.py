@@ -610,7 +610,7 @@ def q_stream_extract(spark, sf):
     base = job_dir(spark, "extract")
     pages = forum_pages(spark, sf)
     _stage(pages, f"{base}/in", 4)
-    out = jobs.stream_extract(spark, f"{base}/in", pages.schema, f"{base}/sink", f"{base}/ckpt", max_files=1)
+    out = jobs.stream_extract(spark, f"{base}/in", pages.schema, f"{base}/sink", f"{base}/ckpt", max_files=2)
     return out.select(*POST_OUT)
 
 
