@@ -74,3 +74,12 @@ def test_extraction_site_layouts(spark):
     posts = extract.extract_posts(pg).collect()
     assert {(p.source, p.topic_id, p.author_id, p.pos) for p in posts} == {
         ("psy_su", "9", "u1", 0), ("psyhelp24_org", "4", "0", 0), ("psyhelp24_org", "4", "1", 1)}
+
+
+def test_tokenizer_quoted_gt_and_stray_lt(spark):
+    html = '<div title="a>b" class=\'x>\'>1 < 2<b>bold</b></div>'
+    t = html_tokens(_pages(spark, [(1, "u", html)]), ["page_id"], ancestors=1)
+    rows = t.orderBy("tpos").collect()
+    assert [r.kind for r in rows] == ["open", "text", "text", "text", "open", "text", "close", "close"]
+    assert "".join(r.text for r in rows if r.kind == "text") == "1 < 2bold"
+    assert rows[0].tag == "div" and rows[5].anc0["tag"] == "b" and rows[5].anc1["tag"] == "div"

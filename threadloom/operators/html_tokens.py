@@ -44,7 +44,10 @@ ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&ap
             ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"), ("&hellip;", "\u2026"), ("&mdash;", "\u2014"),
             ("&ndash;", "\u2013"), ("&amp;", "&"))
 
-TOKEN_PATTERN = r"<[^>]*>|[^<]+"
+# A tag starts with '<' and a letter, '/', '!' or '?'; quoted attribute values
+# may hold '>'. Any other '<' is text on its own.
+TOKEN_PATTERN = r"""<[A-Za-z/!?](?:[^>"']|"[^"]*"|'[^']*')*>|[^<]+|<"""
+TAG_START = r"^<[A-Za-z/!?]"
 DROP_PATTERN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 
 
@@ -78,7 +81,7 @@ def html_tokens(df: DataFrame, key_cols: Sequence[str], html_col: str = "html",
     base = df.select(*key_cols, *keep_cols,
                      F.posexplode(F.regexp_extract_all(cleaned, F.lit(TOKEN_PATTERN), 0))
                      .alias("tpos", "tok"))
-    is_tag = F.col("tok").startswith("<")
+    is_tag = F.col("tok").rlike(TAG_START)
     tag = F.lower(F.regexp_extract("tok", r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
     t = base.select(
         *key_cols, *keep_cols, "tpos", "tok",

@@ -8,7 +8,7 @@ builders so that every query states its whole computation.
 from __future__ import annotations
 
 from threadloom.functions.text import PY_WHITESPACE
-from threadloom.operators.html_tokens import ENTITIES, VOID_TAGS
+from threadloom.operators.html_tokens import ENTITIES, TAG_START, TOKEN_PATTERN, VOID_TAGS
 from threadloom.sources.tables import SITE_SOURCES, WROTE_MARKER
 
 ORACLE: dict[str, str] = {}
@@ -147,12 +147,12 @@ def token_ctes(src: str, key: list[str], keep: list[str], name: str = "tok", anc
 {name}_0 AS (
   SELECT {kk}, u.tok, CAST(u.i - 1 AS INTEGER) AS tpos
   FROM {src}, unnest(regexp_extract_all(regexp_replace({html}, {sql_str(DROP_RE)}, '', 'g'),
-                                          '<[^>]*>|[^<]+')) WITH ORDINALITY AS u(tok, i)
+                                          {sql_str(TOKEN_PATTERN)})) WITH ORDINALITY AS u(tok, i)
 ),
 {name}_1 AS (
-  SELECT *, CASE WHEN tok NOT LIKE '<%' THEN 'text' WHEN tok LIKE '</%' THEN 'close'
+  SELECT *, CASE WHEN NOT regexp_matches(tok, {sql_str(TAG_START)}) THEN 'text' WHEN tok LIKE '</%' THEN 'close'
                  WHEN regexp_matches(tok, '^<[A-Za-z]') THEN 'open' ELSE 'other' END AS kind,
-            CASE WHEN tok LIKE '<%' THEN lower(regexp_extract(tok, '^</?([A-Za-z][A-Za-z0-9]*)', 1)) ELSE '' END AS tag
+            CASE WHEN regexp_matches(tok, {sql_str(TAG_START)}) THEN lower(regexp_extract(tok, '^</?([A-Za-z][A-Za-z0-9]*)', 1)) ELSE '' END AS tag
   FROM {name}_0
 ),
 {name}_2 AS (
