@@ -83,3 +83,12 @@ def test_tokenizer_quoted_gt_and_stray_lt(spark):
     assert [r.kind for r in rows] == ["open", "text", "text", "text", "open", "text", "close", "close"]
     assert "".join(r.text for r in rows if r.kind == "text") == "1 < 2bold"
     assert rows[0].tag == "div" and rows[5].anc0["tag"] == "b" and rows[5].anc1["tag"] == "div"
+
+
+def test_attribute_quoting_styles(spark):
+    html = ("<div><a href='/s'>1</a><a href=/bare>2</a><a title=\"x>y\" href=\"/d\">3</a><a name=n>4</a>"
+            "<p class=quote>t</p></div>")
+    p = _pages(spark, [(1, "http://h/", html)])
+    assert [r.href for r in links.links(p).orderBy("link_no").collect()] == ["/s", "/bare", "/d"]
+    t = html_tokens(p, ["page_id"], ancestors=0).filter("kind = 'text' AND text = 't'").first()
+    assert t.anc0["cls"] == "quote"

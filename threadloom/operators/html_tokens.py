@@ -51,9 +51,15 @@ TAG_START = r"^<[A-Za-z/!?]"
 DROP_PATTERN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 
 
+def attr_pattern(name: str) -> str:
+    """Attribute ``name`` with a double-quoted, single-quoted or bare value."""
+    return r"""(?i)\s""" + name + r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+))"""
+
+
 def attr(tok: Column, name: str) -> Column:
     """T5: value of attribute ``name`` in an open-tag token ('' if absent)."""
-    return F.regexp_extract(tok, r'(?i)\s' + name + r'\s*=\s*"([^"]*)"', 1)
+    pat = attr_pattern(name)
+    return F.concat(F.regexp_extract(tok, pat, 1), F.regexp_extract(tok, pat, 2), F.regexp_extract(tok, pat, 3))
 
 
 def decode_entities(text: Column) -> Column:

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from threadloom.operators.html_tokens import DROP_PATTERN, attr, decode_entities, html_tokens, inside
 
-HREF_PATTERN = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
+# an <a ...> tag (quoted attribute values may hold '>') and the test for an href
+A_TAG_PATTERN = r"""(?i)<a\s(?:[^>"']|"[^"]*"|'[^']*')*>"""
+HAS_HREF = r"(?i)\shref\s*="
 
 # ---------------------------------------------------------------------------
 # Link rules of the sites, in the order they are tried.
@@ -35,8 +37,9 @@ def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """L1: every ``<a href>`` of a page in document order (scripts, styles and
     comments removed first; entities in the value decoded)."""
     cleaned = F.regexp_replace(F.col("html"), DROP_PATTERN, "")
-    x = pages.select(key, "url", F.posexplode(F.regexp_extract_all(cleaned, F.lit(HREF_PATTERN), 1))
-                     .alias("link_no", "href"))
+    tags = F.filter(F.regexp_extract_all(cleaned, F.lit(A_TAG_PATTERN), 0), lambda t: t.rlike(HAS_HREF))
+    hrefs = F.transform(tags, lambda t: attr(t, "href"))
+    x = pages.select(key, "url", F.posexplode(hrefs).alias("link_no", "href"))
     return x.select(key, "url", F.col("link_no").cast("bigint").alias("link_no"),
                     decode_entities(F.col("href")).alias("href"))
 

@@ -123,8 +123,10 @@ def _decode(x: str) -> str:
     return out
 
 
-def _attr(name: str) -> str:
-    return f"regexp_extract(tok, {sql_str(r'(?i)\s' + name + r'\s*=\s*\"([^\"]*)\"')}, 1)"
+def _attr(name: str, expr: str = "tok") -> str:
+    from threadloom.operators.html_tokens import attr_pattern
+    pat = sql_str(attr_pattern(name))
+    return f"(regexp_extract({expr}, {pat}, 1) || regexp_extract({expr}, {pat}, 2) || regexp_extract({expr}, {pat}, 3))"
 
 
 def token_ctes(src: str, key: list[str], keep: list[str], name: str = "tok", ancestors: int = 2,
@@ -589,7 +591,7 @@ SELECT source, topic_id, emit_pos, o[1] AS reply, CAST(len(o) - 1 AS BIGINT) AS
 # pages
 # --------------------------------------------------------------------------
 from threadloom.operators.html_tokens import PAGE_CONTAINERS  # noqa: E402
-from threadloom.operators.links import HREF_PATTERN, LINK_RULES, TOPIC_ID_IN_URL  # noqa: E402
+from threadloom.operators.links import A_TAG_PATTERN, HAS_HREF, LINK_RULES, TOPIC_ID_IN_URL  # noqa: E402
 
 PTOK = token_ctes("pages", ["page_id"], [], name="ptok", ancestors=1, count_tags=PAGE_CONTAINERS)
 PTOK0 = token_ctes("pages", ["page_id"], [], name="ptok", ancestors=0, count_tags=PAGE_CONTAINERS)
@@ -644,7 +646,10 @@ SELECT page_id, h1d[1] AS title_a,
 
 LINKS_CTE = f"""plinks AS (
   SELECT page_id, url, CAST(u.i - 1 AS BIGINT) AS link_no, {_decode('u.h')} AS href
-  FROM pages, unnest(regexp_extract_all(regexp_replace(html, {sql_str(DROP_RE)}, '', 'g'), {sql_str(HREF_PATTERN)}, 1))
+  FROM pages, unnest(list_transform(list_filter(regexp_extract_all(regexp_replace(html, {sql_str(DROP_RE)}, '', 'g'),
+                                                                   {sql_str(A_TAG_PATTERN)}),
+                                                 lambda t: regexp_matches(t, {sql_str(HAS_HREF)})),
+                                     lambda t: {_attr('href', 't')}))
        WITH ORDINALITY AS u(h, i))"""
 
 
@@ -785,7 +790,7 @@ def _region_stages(src: str, name: str, flag: str) -> tuple[str, str]:
 
 
 def _href(x: str) -> str:
-    return f"regexp_extract({x}, {sql_str(r'(?i)\s' + 'href' + r'\s*=\s*\"([^\"]*)\"')}, 1)"
+    return _attr("href", x)
 
 
 def extraction_ctes(pages: str = "fpages") -> list[str]:
