@@ -130,3 +130,20 @@ def test_property_against_fold(spark, bucket_size):
         exp1 = fold_variant1(ps)
         g1 = [(a, b) for _, a, b in sorted(got1.get(str(tid), []))]
         assert g1 == exp1, (ps, g1, exp1)
+
+
+def test_hot_topic_spread_over_buckets(spark):
+    rng = random.Random(11)
+    hot = [(i, rng.choice("aab" if i % 50 else "a"), rng.choice(["x", "y z", "", " w "]), False) for i in range(3000)]
+    small = [[(i, rng.choice("ab"), "t", False) for i in range(5)] for _ in range(20)]
+    rows = [("t", "hot", "u", a, a, t, None, p) for p, a, t, _ in hot]
+    for k, ps in enumerate(small):
+        rows += [("t", f"s{k}", "u", a, a, t, None, p) for p, a, t, _ in ps]
+    df = spark.createDataFrame(rows, "source string, topic_id string, url string, author_id string, "
+                                     "author_name string, text string, html string, pos bigint")
+    out = chains.dialog_starter_chain(df, bucket_size=64)
+    got = [(r.speaker0_text, r.speaker1_text) for r in out.filter("topic_id = 'hot'").orderBy("emit_pos", "emit_k").collect()]
+    assert got == fold_variant2(hot)
+    # the hot topic's scan partitions: one per 64-post bucket
+    from threadloom.operators.ranking import with_bucket
+    assert with_bucket(df.filter("topic_id = 'hot'"), "pos", 64).select("_bk").distinct().count() == 47
