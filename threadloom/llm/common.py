@@ -52,6 +52,21 @@ def skew_join(rows: DataFrame, per_key: DataFrame, keys: list[str], weight: str,
     return a.unionByName(b)
 
 
+def skew_join_once(rows: DataFrame, per_key: DataFrame, key: str, weight: str, value: str, salt: str) -> DataFrame:
+    """Inner join that adds ``value`` (not null) like ``skew_join``, reading ``rows`` once.
+
+    Rows of hot keys get ``value`` from the broadcast and cross the shuffle
+    under a salt of the ``salt`` column, spread out. ``per_key`` is read twice.
+    """
+    total = per_key.agg(F.sum(weight)).first()[0] or 0
+    is_hot = F.col(weight).cast("double") * HOT_KEYS >= F.lit(float(total))
+    hot = F.broadcast(per_key.where(is_hot).select(key, F.col(value).alias("_hot")))
+    cold = per_key.where(~is_hot).select(key, F.lit(0).cast("long").alias("_salt"), F.col(value).alias("_cold"))
+    spread = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(salt), F.lit(1 << 20)))
+    joined = rows.join(hot, key, "left").withColumn("_salt", spread.cast("long")).join(cold, [key, "_salt"], "left")
+    return joined.withColumn(value, F.coalesce("_hot", "_cold")).where(F.col(value).isNotNull()).drop("_hot", "_cold", "_salt")
+
+
 def bit_words(keys: DataFrame, hash_col: str, n_words: int) -> DataFrame:
     """A bitmap of 64 * ``n_words`` bits, one row per 64-bit word that has a bit set.
 

@@ -3,7 +3,7 @@
 # The contracts' white space.
 _STRIP = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WS = r"[\x20\x09-\x0D]"
-_WORDS = rf"list_filter(regexp_split_to_array(coalesce(text, ''), '{_WS}+'), w -> w <> '')"
+_WORDS = rf"list_filter(regexp_split_to_array(coalesce(text, ''), '{_WS}+'), lambda w: w <> '')"
 
 ORACLE = {
     "op3_line_dedup": f"""
@@ -21,4 +21,14 @@ WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS cp,
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
        row_number() OVER w = 1 AS kept, sha256(norm) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY norm ORDER BY cp DESC, doc_id)""",
+    "op7_substring_dedup": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS w FROM d, unnest(generate_series(1, len(ws) - 12)) AS g(i)),
+dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY w) AS first FROM win) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM dup, unnest(generate_series(0, 12)) AS h(j)),
+word AS (SELECT doc_id, p, ws[p] AS word FROM d, unnest(generate_series(1, len(ws))) AS g(p))
+SELECT d.doc_id, any_value(len(ws))::BIGINT AS n_words, count(g.p) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY w.p) FILTER (WHERE g.p IS NULL), '')) AS kept_sha256
+FROM d LEFT JOIN word w USING (doc_id) LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.p = w.p
+GROUP BY d.doc_id""",
 }

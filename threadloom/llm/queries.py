@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import exact_dedup as exact
 from . import line_dedup as lines
 from . import simhash
+from . import substring_dedup as substring
 from .common import WS, documents
 
 
@@ -22,6 +23,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.substring_dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_components(documents(spark, sf_dir))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -30,5 +36,6 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op3_line_dedup": op3_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
