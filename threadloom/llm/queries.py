@@ -7,16 +7,30 @@ from pyspark.sql import functions as F
 
 from . import exact_dedup as exact
 from . import line_dedup as lines
-from . import simhash
+from . import mixing, packing, simhash
 from . import substring_dedup as substring
 from .common import WS, documents
 
 
+def vocabulary() -> str:
+    """The installed public vocabulary that documents are packed with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.line_dedup(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, taken = mixing.mix(documents(spark, sf_dir))
+    totals = taken.groupBy("_row").agg(F.sum("length").alias("taken"))
+    return placed.join(totals, "_row", "left").select(
+        F.col("_id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(F.translate(F.coalesce("text", F.lit("")), WS, ""), 256)
     return (exact.exact_dedup(documents(spark, sf_dir), carry={"text_sha256": digest})
@@ -28,6 +42,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), vocabulary())
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_components(documents(spark, sf_dir))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -35,7 +53,9 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op3_line_dedup": op3_line_dedup,
+    "op4_mixing": op4_mixing,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_packing": op8_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

@@ -22,13 +22,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import words
 from .common import connected_components, skew_join, stage
 
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 DENSE = 2048
-_ROWS = 256  # rows handed to numpy at a time
+_ROWS, _BYTES = 256, 4 << 20  # rows and text bytes handled at a time
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -62,8 +63,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(i, _ROWS)
+            for part in words.slices(batch, 1, _ROWS, _BYTES):
                 fps = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], dtype=np.uint64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], ["_id", "fp"])
 

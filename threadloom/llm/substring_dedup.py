@@ -34,7 +34,7 @@ BUCKET_BYTES = 4 << 20  # text bytes whose super-k-mers share a bucket
 SAMPLE_DOCS = 4000  # documents looked at for common word runs
 COMMON_SHARE = 0.01  # of them, in this share or more: common
 COMMON_MAX = 1024
-_ROWS = 1000  # documents handed to numpy at a time
+_ROWS, _BYTES = 1000, 4 << 20  # documents and text bytes handed to numpy at a time
 _NONE = np.iinfo(np.int64).max
 
 
@@ -102,8 +102,7 @@ def _sending(k: int, m: int, common: np.ndarray, buckets: int):
 
     def run(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(i, _ROWS)
+            for part in words.slices(batch, 1, _ROWS, _BYTES):
                 ids = np.asarray(part.column(0))
                 text, _, _, value, packed = super_kmers(part.column(1), k, m, common)
                 seen: dict[bytes, list] = {}
@@ -172,8 +171,7 @@ def _occurring(k: int, m: int, common: np.ndarray):
 
     def run(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(i, _ROWS)
+            for part in words.slices(batch, 1, _ROWS, _BYTES):
                 text, start, _, _, packed = super_kmers(part.column(1), k, m, common)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([xxhash.xxh128_digest(s) for s in packed], pa.binary()),

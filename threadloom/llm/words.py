@@ -36,3 +36,14 @@ def codes(flat: pa.Array) -> tuple[np.ndarray, list[bytes]]:
 
 def hashes(distinct: list[bytes], seed: int = 0) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in distinct), dtype=np.uint64, count=len(distinct))
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int, size: int):
+    """The batch in parts of at most ``rows`` rows and about ``size`` bytes in ``column`` (one row at least)."""
+    total = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = total[at - 1] if at else 0
+        end = min(at + rows, max(at + 1, int(np.searchsorted(total, before + size, side="right"))))
+        yield batch.slice(at, end - at)
+        at = end
