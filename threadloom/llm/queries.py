@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from . import exact_dedup as exact
 from . import line_dedup as lines
 from . import mixing, packing, simhash
+from . import quality_knn as quality
 from . import substring_dedup as substring
+from . import topk_search as search
+from threadloom.sources.tables import read_table
+
 from .common import WS, documents
 
 
@@ -19,6 +23,13 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    out = quality.quality_scores(docs.withColumn("held_out", quality.held_out("doc_id")), model)
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.line_dedup(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -37,6 +48,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
 
 
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = search.quantised(read_table(spark, sf_dir, "embeddings"))
+    return search.top_k(vectors.where("id % 50 = 0"), vectors)
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.substring_dedup(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -52,9 +68,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_topk_search": op6_topk_search,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_packing": op8_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
