@@ -9,6 +9,7 @@ from . import exact_dedup as exact
 from . import line_dedup as lines
 from . import mixing, packing, simhash
 from . import quality_knn as quality
+from . import sharding
 from . import substring_dedup as substring
 from . import topk_search as search
 from threadloom.sources.tables import read_table
@@ -23,6 +24,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard_documents(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -68,6 +74,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_sharding": op1_sharding,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
