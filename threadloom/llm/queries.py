@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup as exact
+from . import language_id as language
 from . import line_dedup as lines
 from . import mixing, packing, simhash
 from . import quality_knn as quality
@@ -68,6 +69,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), vocabulary())
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.fit_text_model(documents(spark, sf_dir))
+    return language.identify(read_table(spark, sf_dir, "pages"), model)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_components(documents(spark, sf_dir))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -82,5 +88,6 @@ REGISTRY = {
     "op6_topk_search": op6_topk_search,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_packing": op8_packing,
+    "op9_language_id": op9_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
