@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import words
 from .common import connected_components, skew_join, stage
@@ -59,16 +60,16 @@ _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``(_id, fp)``, one row per input row; fp is the fingerprint as a signed long."""
+    """``(_id, _th, fp)``, one row per input row: id, text hash, and the fingerprint as a signed long."""
 
     def run(batches):
         for batch in batches:
             for part in words.slices(batch, 1, _ROWS, _BYTES):
                 fps = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], ["_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(fps.view(np.int64))], ["_id", "_th", "fp"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"))
-    return src.mapInArrow(run, "_id long, fp long")
+    src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"), F.xxhash64(text_col).alias("_th"))
+    return src.mapInArrow(run, "_id long, _th long, fp long")
 
 
 def _segments(fp):
@@ -108,6 +109,20 @@ def hamming_links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
     return pairs.unionByName(through)
 
 
+def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, dense: int) -> DataFrame:
+    """``(_id, _th, fp, root, component_id)`` per input row; root is the component's smallest fingerprint."""
+    rows = stage(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
+    fps = stage(rows.groupBy("fp").agg(F.min("_id").alias("first"), F.count(F.lit(1)).alias("n")), "simhash-fps")
+    roots = stage(connected_components(hamming_links(fps.select("fp"), dense), "simhash-edges"), "simhash-roots")
+    members = stage(fps.join(roots.withColumnRenamed("node", "fp"), "fp").select("fp", "root", "first", "n"), "simhash-members")
+    per_root = stage(members.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("m")), "simhash-classes")
+    linked = skew_join(members, per_root, ["root"], "m").select("fp", "n", "root", "component_id")
+    alone = (fps.join(roots.select(F.col("node").alias("fp")), "fp", "left_anti")
+             .select("fp", "n", F.col("fp").alias("root"), F.col("first").alias("component_id")))
+    per_fp = stage(linked.unionByName(alone), "simhash-labels")
+    return skew_join(rows, per_fp, ["fp"], "n").select("_id", "_th", "fp", "root", "component_id")
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                        dense: int = DENSE) -> DataFrame:
     """``(id_col, fp, component_id)``, one row per input row.
@@ -117,13 +132,17 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     linked like any other; rows with a null id belong to components but never
     name one (a component of null ids only has a null component_id).
     """
-    rows = stage(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
-    fps = stage(rows.groupBy("fp").agg(F.min("_id").alias("first"), F.count(F.lit(1)).alias("n")), "simhash-fps")
-    roots = stage(connected_components(hamming_links(fps.select("fp"), dense), "simhash-edges"), "simhash-roots")
-    members = fps.join(roots.withColumnRenamed("node", "fp"), "fp").select("fp", "root", "first", "n")
-    members = stage(members, "simhash-members")
-    per_root = stage(members.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("m")), "simhash-classes")
-    linked = skew_join(members, per_root, ["root"], "m").select("fp", "n", "component_id")
-    alone = fps.join(roots.select(F.col("node").alias("fp")), "fp", "left_anti").select("fp", "n", F.col("first").alias("component_id"))
-    per_fp = stage(linked.unionByName(alone), "simhash-labels")
-    return skew_join(rows, per_fp, ["fp"], "n").select(F.col("_id").alias(id_col), "fp", "component_id")
+    return _labelled(docs, id_col, text_col, shingle, dense).select(F.col("_id").alias(id_col), "fp", "component_id")
+
+
+def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                  dense: int = DENSE) -> DataFrame:
+    """The rows of ``docs`` with one row per component: its smallest id (null last), then text hash; repeated rows once."""
+    best = F.min(F.struct(F.col("_id").isNull().alias("a"), F.col("_id").alias("b"), F.col("_th").alias("c")))
+    stay = _labelled(docs, id_col, text_col, shingle, dense).groupBy("root").agg(best.alias("_best"))
+    stay = stay.select(F.col("_best.b").alias("_sid"), F.col("_best.c").alias("_sth"))
+    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"), F.col(id_col).cast("long").alias("_id"),
+                      F.xxhash64(text_col).alias("_th"))
+    out = src.join(stay, F.col("_id").eqNullSafe(F.col("_sid")) & (F.col("_th") == F.col("_sth")), "left_semi")
+    once = F.row_number().over(Window.partitionBy("_id", "_th").orderBy("_id"))
+    return out.withColumn("_k", once).where("_k = 1").select("_in.*")
