@@ -83,8 +83,8 @@ def fit_text_model(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n, pa.int64())], ["key", "n"])
 
     table = np.zeros(len(languages) * FEATURES)
-    got = drawn.select("_l", "_t").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
-    table[got["key"].to_numpy(dtype=np.int64)] = got["n"]
+    got = drawn.select("_l", "_t").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    table[np.asarray(got["key"], dtype=np.int64)] = np.asarray(got["n"], dtype=np.float64)
     table = table.reshape(len(languages), FEATURES) + SMOOTH
     return {"languages": languages, "logp": np.log(table / table.sum(1, keepdims=True)).astype(np.float64)}
 

@@ -122,21 +122,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = chosen[0].unionByName(chosen[1])  # 2 * per_label rows at most: a bounded broadcast
     sample = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_t"))
               .join(F.broadcast(chosen), "_id").select("_y", "_t", "_id"))
-    got = sample.select(F.col("_y").cast("int"), "_t").mapInArrow(_sparse, "label int, feature array<int>, count array<double>").toPandas()
-    if not len(got):
+    got = sample.select(F.col("_y").cast("int"), "_t").mapInArrow(_sparse, "label int, feature array<int>, count array<double>").toArrow()
+    if not got.num_rows:
         return None
-    got["key"] = [(y, f.tobytes(), c.tobytes()) for y, f, c in zip(got.label, got.feature, got["count"])]
-    got = got.sort_values("key").drop_duplicates("key")  # a fixed order, copies once
+    # a fixed order, copies once
+    got = sorted({(r["label"], tuple(r["feature"]), tuple(r["count"])) for r in got.to_pylist()})
     x = np.zeros((len(got), FEATURES), dtype=np.float32)
-    for i, (f, c) in enumerate(zip(got.feature, got["count"])):
-        x[i, f] = 1 + np.log(c)
+    for i, (_, f, c) in enumerate(got):
+        x[i, list(f)] = 1 + np.log(c)
     weights = np.log((1 + len(x)) / (1 + (x > 0).sum(0))).astype(np.float32) + np.float32(0.1)
     x *= weights
     basis = _basis(x, min(DIMENSIONS, len(x)))
     vectors = x @ basis
     norm = np.linalg.norm(vectors, axis=1, keepdims=True)
     return {"weights": weights, "basis": basis, "vectors": vectors / np.where(norm > 0, norm, 1),
-            "labels": got.label.to_numpy(dtype=np.float64)}
+            "labels": np.array([y for y, _, _ in got], dtype=np.float64)}
 
 
 def _basis(x: np.ndarray, rank: int) -> np.ndarray:
