@@ -13,6 +13,7 @@ sequences whose lengths are powers of two, which need no padding.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -104,44 +105,63 @@ class Packer:
             yield bin_
 
 
+class _Ids(dict):
+    """Word -> its ids as bytes; computed when first asked for, and kept in two bounded generations."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
+        # lower-case ASCII letters: one pre-token that no step before the model changes, if the vocabulary says so
+        self.plain = all(self._by_model(w) == self._whole(w) for w in ("a", "the", "qzxjk", "internationalisation"))
+        self.stops = all(self._whole("ab" + c) == self._whole("ab") + self._whole(c) for c in ".,")
+
+    def _whole(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _by_model(self, word: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        got = self.old.get(word)
+        if got is None:
+            plain = self.plain and word.islower() and word.isascii()
+            if plain and word.isalpha():
+                got = self._by_model(word.decode())
+            elif plain and self.stops and word[-1:] in (b".", b",") and word[:-1].isalpha():
+                got = self[word[:-1]] + self[word[-1:]]
+            else:
+                got = self._whole(word.decode())
+        self[word] = got
+        return got
+
+    def age(self) -> None:
+        if len(self) > _CACHE:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Token ids of whole texts from the ids of their words.
 
-    For vocabularies whose pre-tokens never span white space (the tokenizer
-    drops it) a text's ids are those of its words in turn. A worker keeps the
-    ids of recent words in two bounded generations.
+    For vocabularies that lower-case and drop white space, whose pre-tokens
+    therefore never span it, a text's ids are those of its words in turn.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _ids(self, distinct: list[bytes]) -> list[bytes]:
-        got = [self.young.get(w) or self.old.get(w) for w in distinct]
-        missing = [i for i, x in enumerate(got) if x is None]
-        coded = self.tokenizer.encode_batch_fast([distinct[i].decode() for i in missing], add_special_tokens=False)
-        for i, e in zip(missing, coded):
-            got[i] = np.array(e.ids, dtype="<u4").tobytes()
-        if len(self.young) + len(distinct) > _CACHE:
-            self.old, self.young = self.young, {}
-        self.young.update(zip(distinct, got))
-        return got
+        self.ids = _Ids(self.tokenizer)
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets)."""
-        flat, offsets = words.split(texts)
-        code, distinct = words.codes(flat)
-        pieces = self._ids(distinct)
-        length = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
-        pool = np.frombuffer(b"".join(pieces), dtype="<u4")
-        sizes = length[code]
-        ends = np.cumsum(sizes)
-        place = (np.cumsum(length) - length)[code] - (ends - sizes)
-        ids = pool[np.repeat(place, sizes) + np.arange(int(sizes.sum()))]
-        return ids, np.concatenate([[0], ends])[offsets]
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, as bytes of little-endian unsigned 32-bit numbers."""
+        self.ids.age()
+        out = []
+        for text in texts:
+            raw = (text or "").encode()
+            # a special token's string counts in its own spelling only
+            out.append(b"".join(map(self.ids.__getitem__, (raw if b"<|" in raw else raw.lower()).split())))
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -161,7 +181,7 @@ def _packing(path: str, end_id: int, limits: tuple[int, int, int], with_ids: boo
     types = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
 
     def run(batches):
-        packer, encoder = Packer(*limits), _encoder(path)
+        packer, encoder, end = Packer(*limits), _encoder(path), array("I", [end_id]).tobytes()
         sequence = TaskContext.get().partitionId() << 40
         held: dict[int, tuple] = {}  # key -> (document, ids) of this batch and of what is open
         key = 0
@@ -182,11 +202,10 @@ def _packing(path: str, end_id: int, limits: tuple[int, int, int], with_ids: boo
 
         for batch in batches:
             for part in words.slices(batch, 1, _ROWS, _BYTES):
-                ids, offsets = encoder.encode(part.column(1))
                 examples = []
-                for doc, a, b in zip(part.column(0).to_pylist(), offsets.tolist(), offsets[1:].tolist()):
-                    held[key] = (doc, np.append(ids[a:b], np.uint32(end_id)).astype("<u4"))
-                    examples.append((key, b - a + 1, 0))
+                for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
+                    held[key] = (doc, np.frombuffer(ids + end, dtype="<u4"))
+                    examples.append((key, len(ids) // 4 + 1, 0))
                     key += 1
                 yield rows(packer.add(examples))
                 live = {x[0] for x in packer.open}
