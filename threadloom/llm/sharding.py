@@ -20,7 +20,8 @@ from pyspark.sql.window import Window
 from .common import skew_join_once, stage
 
 SHARDS = 8
-ROUNDS = 10
+ROUNDS = 8  # of each phase, at most
+RESERVE = 0.9
 BUCKETS = 4096  # pieces that running sums are cut into
 #: Documents longer than these shares of a shard are placed before the shorter ones.
 TIERS = (1 / 16, 1 / 64, 1 / 256, 1 / 1024)
@@ -61,29 +62,64 @@ def _before(rows: DataFrame, order: list[str], value: Column, part: list[str] |
     return rows.withColumn("_at", F.col("_base") + F.col("_in")).drop("_bk", "_v", "_base", "_in")
 
 
+def _quotas(wanted: list[float], free: list[float], n: int) -> list[float]:
+    """Bytes that may move from shard s to shard t (at s * n + t): no shard gains more than it has free."""
+    quota = list(wanted)
+    for _ in range(200):
+        steady = True
+        for t in range(n):
+            into, out = sum(quota[t::n]), sum(quota[t * n:t * n + n])
+            allowed = max(0.0, free[t] + out)
+            if into > allowed * (1 + 1e-9):
+                steady = False
+                for s in range(n):
+                    quota[s * n + t] *= allowed / into
+        if steady:
+            break
+    return quota
+
+
 def propagate(linked: DataFrame, n: int, capacity: float, rounds: int = ROUNDS) -> DataFrame:
-    """``linked`` ``(row, size, keys)`` with a shard, after rounds of label propagation under the capacity."""
+    """``linked`` ``(row, size, keys)`` with a shard, after rounds of label propagation under the capacity.
+
+    First the largest groups gather, up to the share RESERVE of each shard; then
+    the smallest first, up to all of it. What leaves a shard makes room in the same
+    round. A shard that had to refuse documents is closed until all are, so that
+    a group too large for it turns to the next.
+    """
     state = stage(linked.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")), "shards-state")
-    for _ in range(rounds):
-        free = [max(0.0, capacity - x) for x in _loads(state, n)]
-        seen = state.select("row", F.explode("keys").alias("key"), "shard")
-        counts = seen.groupBy("key").agg(*[F.count(F.when(F.col("shard") == i, 1)).alias(f"n{i}") for i in range(n)])
-        counts = counts.select("key", F.array(*[f"n{i}" for i in range(n)]).alias("votes"), sum(F.col(f"n{i}") for i in range(n)).alias("all"))
-        met = skew_join_once(seen, stage(counts, "shards-votes"), "key", "all", "votes", salt="row")
-        votes = met.groupBy("row").agg(F.min("key").alias("k"), *[F.sum(F.get("votes", F.lit(i))).alias(f"v{i}") for i in range(n)])
-        open_ = F.array(*[F.lit(x > 0) for x in free])
-        # ties go by a hash of the key, so that all of a group choose alike
-        best = F.array_max(F.array(*[F.when(F.get(open_, F.lit(i)) | (F.col("shard") == i), F.struct(
-            F.col(f"v{i}").alias("n"), F.xxhash64("k", F.lit(i)).alias("tie"), F.lit(i).alias("to"))) for i in range(n)]))
-        wish = state.join(votes, "row").withColumn("_best", best)
-        rank = ((40 - F.least(F.floor(F.log2(F.col("_best.n").cast("double"))), F.lit(40))) * 65536
-                + F.pmod(F.xxhash64("k"), F.lit(256)) * 256 + F.pmod(F.xxhash64("row"), F.lit(256)))
-        wish = stage(wish.select("row", "size", "keys", "shard", F.col("_best.to").alias("to"), rank.cast("long").alias("rank")), "shards-wish")
-        cuts = _cuts(wish.where("to <> shard"), "to", "rank", free)
-        if max(cuts) < 0:
-            break
-        moves = (F.col("to") != F.col("shard")) & (F.col("rank") <= _pick(cuts, F.col("to")))
-        state = stage(wish.select("row", "size", "keys", F.when(moves, F.col("to")).otherwise(F.col("shard")).alias("shard")), "shards-state")
+    for share, largest in ((RESERVE, True), (1.0, False)):
+        closed: set[int] = set()
+        for _ in range(rounds):
+            loads = _loads(state, n)
+            free = [max(share * capacity, sum(loads) / n) - x for x in loads]
+            seen = state.select("row", F.explode("keys").alias("key"), "shard")
+            counts = seen.groupBy("key").agg(*[F.count(F.when(F.col("shard") == i, 1)).alias(f"n{i}") for i in range(n)])
+            counts = counts.select("key", F.array(*[f"n{i}" for i in range(n)]).alias("votes"), sum(F.col(f"n{i}") for i in range(n)).alias("all"))
+            met = skew_join_once(seen, stage(counts, "shards-votes"), "key", "all", "votes", salt="row")
+            votes = met.groupBy("row").agg(F.min("key").alias("k"), *[F.sum(F.get("votes", F.lit(i))).alias(f"v{i}") for i in range(n)])
+            # ties go to open shards, then by a hash of the key, so that all of a group choose alike
+            best = F.array_max(F.array(*[F.when(F.lit(i not in closed) | (F.col("shard") == i), F.struct(
+                F.col(f"v{i}").alias("n"), F.lit(i not in closed).alias("open"), F.xxhash64("k", F.lit(i)).alias("tie"), F.lit(i).alias("to")))
+                for i in range(n)]))
+            wish = state.join(votes, "row").withColumn("_best", best)
+            level = F.least(F.floor(F.log2(F.col("_best.n").cast("double"))), F.lit(40))
+            rank = ((40 - level if largest else level) * 65536
+                    + F.pmod(F.xxhash64("k"), F.lit(256)) * 256 + F.pmod(F.xxhash64("row"), F.lit(256)))
+            wish = stage(wish.select("row", "size", "keys", "shard", F.col("_best.to").alias("to"), rank.cast("long").alias("rank")), "shards-wish")
+            movers = wish.where("to <> shard").withColumn("flow", F.col("shard") * n + F.col("to"))
+            wanted = [0.0] * (n * n)
+            for flow, size in movers.groupBy("flow").agg(F.sum("size")).collect():  # n * n rows at most
+                wanted[flow] = float(size)
+            quota = _quotas(wanted, free, n)
+            cuts = _cuts(movers, "flow", "rank", quota)
+            if max(cuts) < 0:
+                break
+            closed |= {t for t in range(n) if sum(quota[t::n]) < 0.999 * sum(wanted[t::n])}
+            if len(closed) == n:
+                closed = set()
+            moves = (F.col("to") != F.col("shard")) & (F.col("rank") <= _pick(cuts, F.col("shard") * n + F.col("to")))
+            state = stage(wish.select("row", "size", "keys", F.when(moves, F.col("to")).otherwise(F.col("shard")).alias("shard")), "shards-state")
     return state
 
 
