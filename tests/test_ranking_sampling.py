@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from threadloom.operators import packing, sampling
-from threadloom.operators.ranking import global_offsets, scan_transitions, with_bucket
+from threadloom.operators.ranking import global_offsets, scan_first, scan_transitions, with_bucket
 
 
 def test_global_offsets_matches_running_sum(spark):
@@ -46,11 +46,39 @@ def test_split_exact_disjoint_complete(spark):
     assert sampling.cap_sample(df, ["id"], n=3).count() == 3
 
 
-def test_split_respects_cap(spark):
+def test_split_takes_every_row(spark):
+    n = 300_050  # more than the sample size the notebooks use
+    s = sampling.split(spark.range(n).withColumnRenamed("id", "k"), ["k"])
+    counts = {r.split: (r.c, r.d) for r in s.groupBy("split").agg(F.count(F.lit(1)).alias("c"), F.countDistinct("k").alias("d")).collect()}
+    assert counts == {"train": (240_040, 240_040), "test": (60_010, 60_010)}
+
+
+def test_split_of_a_sample(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
-    s = sampling.split(df, ["k"], cap=300)
-    counts = {r.split: r.c for r in s.groupBy("split").agg(F.count(F.lit(1)).alias("c")).collect()}
-    assert counts == {"train": 240, "test": 60}
+    s = sampling.split(sampling.cap_sample(df, ["k"], n=300).drop("shuffle_rank"), ["k"])
+    assert {r.split: r["count"] for r in s.groupBy("split").count().collect()} == {"train": 240, "test": 60}
+
+
+def test_global_offsets_keep_null_and_equal_keys(spark):
+    rows = [(None, 3, "a"), ("x", 1, "b"), (None, 2, "c"), ("x", 1, "d"), ("y", None, "e")]
+    df = spark.createDataFrame(rows, "k string, size long, payload string")
+    got = global_offsets(df, ["k"], num_partitions=3).collect()
+    assert sorted(r.offset for r in got) == [0, 1, 2, 3, 4] and {r.payload for r in got} == set("abcde")
+    assert {r.payload for r in got if r.offset < 2} == {"a", "c"}  # nulls first
+    sized = {r.payload: r.offset for r in global_offsets(df, ["k"], size_col="size", num_partitions=3).collect()}
+    assert {sized["a"], sized["c"]} in ({0, 3}, {0, 2}) and {sized["b"], sized["d"]} == {5, 6} and sized["e"] == 7
+
+
+def test_scans_keep_null_keys(spark):
+    from threadloom.operators.ranking import scan_rank
+    rows = [(None, p, p % 2 == 0) for p in range(6)] + [("t", 9, True)]
+    df = spark.createDataFrame(rows, "t string, pos long, v boolean")
+    d = with_bucket(df, "pos", 2)
+    assert scan_first(d, ["t"], "pos", "v", "f").count() == 7
+    ranks = {(r.t, r.pos): r.n for r in scan_rank(d, ["t"], ["pos"], "n").collect()}
+    assert ranks == {**{(None, p): p for p in range(6)}, ("t", 9): 0}
+    steps = {r.pos: r.c for r in scan_transitions(d, ["t"], "pos", "v", lambda p, c: c & ~p, "c").filter("t is null").collect()}
+    assert steps == {0: 0, 1: 0, 2: 1, 3: 1, 4: 2, 5: 2}
 
 
 def test_blocks_drop_partial(spark):
@@ -60,6 +88,10 @@ def test_blocks_drop_partial(spark):
     assert [b.n_tokens for b in blocks] == [4, 4]
     assert blocks[0].block_text == "a b c d" and blocks[1].block_text == " e f g h"
     assert packing.pad_batches(packing.pack_blocks(df, ["k"], size=4)).filter("n_pad > 0").count() == 0
+    whole = packing.pack_blocks(df, ["k"], size=4, keep_last=True).orderBy("block_id").collect()
+    assert [b.n_tokens for b in whole] == [4, 4, 2] and "".join(b.block_text for b in whole) == "a b c d e f g h i\n"
+    padded = {r.block_id: (r.n_pad, r.padded_text) for r in packing.pad_batches(packing.pack_blocks(df, ["k"], size=4, keep_last=True)).collect()}
+    assert padded[2] == (2, " i\n<pad><pad>")
 
 
 def test_prompts_halo_buckets_equal_plain_window(spark):

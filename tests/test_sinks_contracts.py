@@ -42,3 +42,24 @@ def test_dataset_csv_roundtrip_keeps_quotes_and_newlines(spark):
     sinks.write_dataset(lines, path, ["k"])
     assert sorted(r.line for r in sinks.read_dataset(spark, path).collect()) == sorted(
         r.line for r in lines.collect())
+
+
+def test_block_cache_follows_its_input(spark):
+    root = job_dir(spark, "test_cache")
+    src = f"{root}/src"
+    spark.range(3).write.parquet(src)
+    first = sinks.file_fingerprint(spark.read.parquet(src))
+    assert first == sinks.file_fingerprint(spark.read.parquet(src))
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(5)
+    for _ in range(2):
+        assert sinks.cached_blocks(spark, root, 8, first, build).count() == 5
+    assert len(built) == 1
+    spark.range(4).write.mode("overwrite").parquet(src)
+    assert sinks.file_fingerprint(spark.read.parquet(src)) != first
+    # a half-written cache has no marker and is built again
+    spark.range(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/blocks_8_half")
+    assert sinks.cached_blocks(spark, root, 8, "half", build).count() == 5

@@ -37,6 +37,8 @@ from threadloom.session import materialize
 from threadloom.operators.ranking import DEFAULT_BUCKET, scan_first, scan_transitions, with_bucket
 
 TOPIC = ("source", "topic_id")
+# emit_pos of what is emitted when a topic ends: behind every post
+END_OF_TOPIC = (1 << 63) - 1
 
 def topic_starter(posts: DataFrame, topic=TOPIC, bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
     """Add ``is_first`` and ``starter`` (author of the topic's first post)."""
@@ -130,7 +132,7 @@ def dialog_starter_chain(posts: DataFrame, quote_arrays: DataFrame | None = None
     q = q.join(nxt, [*topic, "seg"], "inner" if not flush_tail else "left")
     a = first_answers(segs, max_answers, topic)
     pairs = q.join(a, [*topic, "seg"])
-    return pairs.select(*topic, F.col("emit_pos").cast("bigint").alias("emit_pos"),
+    return pairs.select(*topic, F.coalesce(F.col("emit_pos"), F.lit(END_OF_TOPIC)).cast("bigint").alias("emit_pos"),
                         F.col("answer_k").cast("bigint").alias("emit_k"), F.lit("chain").alias("kind"),
                         F.col("question").alias("speaker0_text"), F.col("answer").alias("speaker1_text"))
 
@@ -214,6 +216,6 @@ def dialog_two_speaker(posts: DataFrame, topic=TOPIC, bucket_size: int = DEFAULT
     r = even.join(nxt, [*topic, "run"]).join(after, [*topic, "run"], "left")
     ok = F.col("after_next").isNotNull() | (F.col("next_text") != "")
     return r.filter(ok).select(
-        *topic, F.col("after_next").cast("bigint").alias("emit_pos"),
+        *topic, F.coalesce(F.col("after_next"), F.lit(END_OF_TOPIC)).cast("bigint").alias("emit_pos"),
         (F.col("run") / 2).cast("bigint").alias("emit_k"), F.lit("two_speaker").alias("kind"),
         F.col("run_text").alias("speaker0_text"), F.col("next_text").alias("speaker1_text"))

@@ -87,20 +87,3 @@ def pick_reply(outputs) -> tuple[F.Column, F.Column]:
     """F8: first output is the reply kept as history, the rest alternatives."""
     c = F.col(outputs) if isinstance(outputs, str) else outputs
     return F.get(c, 0), F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0)))
-
-
-def encode_pairs_subword(pairs: DataFrame, key_cols, bounds=(15, 50, 256)) -> DataFrame:
-    """F1 (sub-word mode) + F2 + F3: length codes from BPE token counts.
-
-    ``key_cols`` must identify a pair; the counts of both texts come from
-    ``subword.subword_token_counts`` (distinct pieces encoded once).
-    """
-    from threadloom.functions.subword import subword_token_counts
-    key = list(key_cols)
-    n0 = subword_token_counts(pairs, key, "speaker0_text", "_n0")
-    n1 = subword_token_counts(pairs, key, "speaker1_text", "_n1")
-    out = pairs.join(n0, key).join(n1, key)
-    out = out.withColumn("len0", length_code(F.col("_n0"), bounds)).withColumn("len1", length_code(F.col("_n1"), bounds))
-    out = out.withColumn("line", F.concat(F.lit("|0|"), F.col("len0"), F.lit("|"), F.col("speaker0_text"),
-                                          F.lit("|1|"), F.col("len1"), F.lit("|"), F.col("speaker1_text")))
-    return out.drop("_n0", "_n1")

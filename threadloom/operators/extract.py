@@ -257,12 +257,12 @@ def extract_posts(pages: DataFrame) -> DataFrame:
 
 
 def rejected_pages(pages: DataFrame) -> DataFrame:
-    """b17 / psycheforum pages whose topic id or title did not parse."""
+    """Pages of sites A to C whose topic id did not parse, and of B and C whose title is empty."""
     titles = _titles_by_key(html_tokens(pages.select(*PAGE_KEY, "html"), PAGE_KEY, ancestors=0))
     p = pages.select(*PAGE_KEY, "url").join(titles, PAGE_KEY, "left")
     tid = topic_id_from_url(F.col("source"), F.col("url"))
     title = F.when(F.col("source") == B, F.col("title_b")).when(F.col("source") == C, F.col("title_c"))
-    bad = F.col("source").isin(B, C) & (tid.isNull() | (F.coalesce(title, F.lit("")) == ""))
+    bad = tid.isNull() | (F.col("source").isin(B, C) & (F.coalesce(title, F.lit("")) == ""))
     return p.filter(bad).select(*PAGE_KEY, "url", F.when(tid.isNull(), "topic_id").otherwise("title").alias("reason"))
 
 

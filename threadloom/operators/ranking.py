@@ -3,67 +3,65 @@
 A window with ``orderBy`` but no ``partitionBy`` sends every row to one task.
 ``global_offsets`` instead
 
-1. range-partitions by the order key (Spark samples the key, so a hot
+1. range-partitions the rows by the order key (Spark samples the key, so a hot
    value is spread over as many partitions as it fills) and sorts inside
    each partition;
-2. computes each partition's exclusive running sum with a per-partition
-   scan (``mapInPandas``: pandas ``cumsum`` inside the task, no shuffle),
-   carrying only the order key and the size;
+2. numbers the rows of each partition as they stream by (or sums their sizes,
+   in Arrow batches), the payload riding along;
 3. writes that pass once as a stage table, sums each partition from it (a
    table with at most ``num_partitions`` rows, a proven bound), turns the
-   sums into partition base offsets, and broadcast-joins them back.
+   sums into partition base offsets, and broadcast-joins them by partition.
 
 The result is exact: ``offset`` = sum of ``size_col`` over all rows strictly
 before this row in ``order_cols`` order; with ``size_col=None`` it is the
-0-based global rank. The order key must be a total order (ties broken by
-the caller) for a deterministic result.
+0-based global rank. Rows are never joined on the order key, so null and
+repeated keys keep their rows; nulls come first, and rows with equal keys
+get their places in any order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_ROW_BITS = 33  # of monotonically_increasing_id: the row number inside its partition
+
 
 def global_offsets(df: DataFrame, order_cols: Sequence[str], size_col: str | None = None,
                    out_col: str = "offset", num_partitions: int | None = None) -> DataFrame:
-    """Exact running offset (or 0-based rank) of every row in ``order_cols`` order.
-
-    Only the order key and the size go through the range shuffle and the
-    per-partition scan; other columns of ``df`` are joined back on the order
-    key, which must therefore be unique.
-    """
+    """Exact running offset (or 0-based rank) of every row in ``order_cols`` order; all columns of ``df`` stay."""
+    from threadloom.session import materialize
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = F.col(size_col).cast("long") if size_col else F.lit(1).cast("long")
-    narrow = df.select(*order_cols, size.alias("_sz"))
-    r = (narrow.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-               .withColumn("_pid", F.spark_partition_id()))
-    schema = T.StructType(r.schema.fields + [T.StructField("_local", T.LongType(), False)])
-
-    def scan(batches):
-        carry = 0
-        for b in batches:  # one partition, already sorted; batches arrive in order
-            s = b["_sz"].astype("int64")
-            cs = s.cumsum()
-            b["_local"] = (cs - s + carry).astype("int64")
-            carry += int(s.sum())
-            yield b
-
-    # one materialized pass: partition ids and local offsets come from the
-    # same range partitioning for both the rows and the partition totals
-    from threadloom.session import materialize
-    local = materialize(r.mapInPandas(scan, schema), "ranked")
+    r = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    place = F.monotonically_increasing_id()
+    if size_col is None:
+        local = r.withColumn("_pid", F.shiftright(place, _ROW_BITS)).withColumn("_local", place.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+        local = local.withColumn("_sz", F.lit(1).cast("long"))
+    else:
+        r = r.withColumn("_pid", F.shiftright(place, _ROW_BITS)).withColumn("_sz", F.col(size_col).cast("long"))
+        names = [*r.columns, "_local"]
+
+        def scan(batches):
+            carry = 0
+            for b in batches:  # one partition, already sorted; batches arrive in order
+                size = pc.fill_null(b.column(b.schema.get_field_index("_sz")), 0)
+                end = pc.add(pc.cumulative_sum(size), pa.scalar(carry, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*b.columns, pc.subtract(end, size)], names)
+                carry = end[-1].as_py() if b.num_rows else carry
+
+        local = r.mapInArrow(scan, T.StructType([*r.schema.fields, T.StructField("_local", T.LongType())]))
+    local = materialize(local, "ranked")
     totals = local.groupBy("_pid").agg(F.sum("_sz").alias("_tot"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # <= n rows
     base = totals.select("_pid", F.coalesce(F.sum("_tot").over(w), F.lit(0)).alias("_base"))
-    offsets = local.join(F.broadcast(base), "_pid").select(
-        *order_cols, (F.col("_base") + F.col("_local")).cast("bigint").alias(out_col))
-    extra = [c for c in df.columns if c not in set(order_cols)]
-    return df.join(offsets, list(order_cols)) if extra else offsets
+    return local.join(F.broadcast(base), "_pid").select(
+        *df.columns, (F.col("_base") + F.col("_local")).cast("bigint").alias(out_col))
 
 
 # ---------------------------------------------------------------------------
@@ -73,7 +71,17 @@ def global_offsets(df: DataFrame, order_cols: Sequence[str], size_col: str | Non
 # partition. Rows are cut into buckets of ``bucket_size`` consecutive order
 # values; windows run per (key, bucket); a per-bucket summary (at most
 # key_size / bucket_size rows per key) carries values across buckets.
-DEFAULT_BUCKET = 1 << 20
+DEFAULT_BUCKET = 1 << 16
+
+
+def _same_key(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` that takes nulls as equal, so rows with a null key stay."""
+    right = summary.select(*[F.col(c).alias(f"_k_{c}") if c in keys else F.col(c) for c in summary.columns])
+    cond = None
+    for c in keys:
+        same = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+        cond = same if cond is None else cond & same
+    return rows.join(right, cond).drop(*[f"_k_{c}" for c in keys])
 
 
 def with_bucket(df: DataFrame, order_col: str, bucket_size: int = DEFAULT_BUCKET, name: str = "_bk") -> DataFrame:
@@ -85,8 +93,8 @@ def scan_first(df: DataFrame, part: list[str], order_col: str, value_col: str, o
     """``out_col`` = ``value_col`` of the first row (by ``order_col``) of the key;
     also ``out_col + '_pos'``: that row's order value.
 
-    The per-bucket summary is read off the bucket window itself (one row per
-    bucket), so summary and rows share one shuffle of the input.
+    The per-bucket summary is read off the bucket window itself, one row per
+    bucket.
     """
     wb = Window.partitionBy(*part, bucket).orderBy(order_col)
     d = (df.withColumn("_rn", F.row_number().over(wb))
@@ -96,7 +104,7 @@ def scan_first(df: DataFrame, part: list[str], order_col: str, value_col: str, o
     ws = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
     s = s.select(*part, bucket, F.first("_bf").over(ws).alias("_ff"))
     s = s.select(*part, bucket, F.col("_ff")["v"].alias(out_col), F.col("_ff")["o"].alias(out_col + "_pos"))
-    return d.drop("_rn", "_bf").join(s, [*part, bucket])
+    return _same_key(d.drop("_rn", "_bf"), s, [*part, bucket])
 
 
 def scan_transitions(df: DataFrame, part: list[str], order_col: str, value_col: str, step, out_col: str,
@@ -126,7 +134,7 @@ def scan_transitions(df: DataFrame, part: list[str], order_col: str, value_col:
     s = s.withColumn("_base", F.coalesce(F.sum(F.col("_tot") + F.col("_edge"))
                                          .over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     s = s.select(*part, bucket, "_edge", "_base")
-    d = d.join(s, [*part, bucket])
+    d = _same_key(d, s, [*part, bucket])
     return d.withColumn(out_col, (F.col("_base") + F.col("_edge") + F.col("_lc")).cast("bigint")).drop(
         "_rn", "_lp", "_bfirst", "_blast", "_st", "_lc", "_tot", "_edge", "_base")
 
@@ -145,5 +153,5 @@ def scan_rank(df: DataFrame, part: list[str], order_cols: list[str], out_col: st
     s = d.filter(F.col("_rn") == 1).select(*part, bucket, "_cnt")
     ws = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     s = s.select(*part, bucket, F.coalesce(F.sum("_cnt").over(ws), F.lit(0)).alias("_base"))
-    d = d.join(s, [*part, bucket])
+    d = _same_key(d, s, [*part, bucket])
     return d.withColumn(out_col, (F.col("_base") + F.col("_rn") - 1).cast("bigint")).drop("_rn", "_cnt", "_base")

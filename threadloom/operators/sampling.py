@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 SEED = 1234  # fixed value: the reference's seed
 TRAIN_FRACTION = 0.8
-CAP_ROWS = 300_000  # fixed value: rows kept after the shuffle
 
 
 def sample_hash(key_cols: Sequence[str], seed: int = SEED) -> F.Column:
@@ -28,22 +27,22 @@ def sample_hash(key_cols: Sequence[str], seed: int = SEED) -> F.Column:
 def hash_rank(df: DataFrame, key_cols: Sequence[str], seed: int = SEED, digits: int = 4) -> DataFrame:
     """Add ``shuffle_rank`` (0-based rank in hash order) and ``n_total``.
 
-    Bucket sizes are read off the bucket window (one row per bucket), so the
-    input is shuffled once and the bucket table never exceeds 16^digits rows.
+    The bucket table is a partial aggregate of at most 16^digits rows; the rows
+    are shuffled once, to their bucket. More ``digits`` make smaller buckets
+    and do not change the result.
     """
     h = sample_hash(key_cols, seed)
     d = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, digits))
     w = Window.partitionBy("_b").orderBy("_h", *key_cols)
-    d = (d.withColumn("_rn", F.row_number().over(w))
-          .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy("_b"))))
-    counts = d.filter(F.col("_rn") == 1).select("_b", "_cnt")
+    counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))  # partial counts; lines stay out of it
+    d = d.withColumn("_rn", F.row_number().over(w))
     wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # <= 16^digits rows
     wall = Window.partitionBy(F.lit(1))
     base = counts.select("_b", F.coalesce(F.sum("_cnt").over(wb), F.lit(0)).alias("_base"),
                          F.sum("_cnt").over(wall).alias("n_total"))
     j = d.join(F.broadcast(base), "_b")
     return (j.withColumn("shuffle_rank", (F.col("_base") + F.col("_rn") - 1).cast("bigint"))
-             .drop("_h", "_b", "_base", "_rn", "_cnt"))
+             .drop("_h", "_b", "_base", "_rn"))
 
 
 def n_keep(n_total: F.Column, frac: float) -> F.Column:
@@ -56,20 +55,18 @@ def shuffle(df: DataFrame, key_cols: Sequence[str], seed: int = SEED) -> DataFra
     return hash_rank(df, key_cols, seed).drop("n_total")
 
 
-def cap_sample(df: DataFrame, key_cols: Sequence[str], n: int = CAP_ROWS, seed: int = SEED) -> DataFrame:
-    """The first ``n`` rows of the shuffled order."""
+def cap_sample(df: DataFrame, key_cols: Sequence[str], n: int, seed: int = SEED) -> DataFrame:
+    """The first ``n`` rows of the shuffled order (``n`` is the feature, so the caller names it)."""
     return hash_rank(df, key_cols, seed).filter(F.col("shuffle_rank") < n).drop("n_total")
 
 
-def split(df: DataFrame, key_cols: Sequence[str], frac: float = TRAIN_FRACTION, cap: int | None = CAP_ROWS,
+def split(df: DataFrame, key_cols: Sequence[str], frac: float = TRAIN_FRACTION,
           seed: int = SEED) -> DataFrame:
-    """G1 + G2: ``split`` = train / test over the (capped) shuffled rows.
+    """G1 + G2: ``split`` = train / test over all shuffled rows.
 
-    train = the first round(frac * m) rows of the shuffle, m = min(n, cap);
-    test = the rest of the capped rows.
+    train = the first round(frac * n) rows of the shuffle, test = the rest.
+    To split a sample, apply ``cap_sample`` first.
     """
     r = hash_rank(df, key_cols, seed)
-    m = F.least(F.col("n_total"), F.lit(cap)) if cap is not None else F.col("n_total")
-    r = r.filter(F.col("shuffle_rank") < m)
-    return r.withColumn("split", F.when(F.col("shuffle_rank") < n_keep(m, frac), "train").otherwise("test")).drop(
+    return r.withColumn("split", F.when(F.col("shuffle_rank") < n_keep(F.col("n_total"), frac), "train").otherwise("test")).drop(
         "n_total")

@@ -75,11 +75,11 @@ def perplexity(losses: DataFrame) -> DataFrame:
                       F.count(F.lit(1)).alias("n_batches"))
 
 
-def loss_windows(losses: DataFrame, size: int = 500) -> DataFrame:
-    """H8: mean loss per window of ``size`` steps; only full windows."""
+def loss_windows(losses: DataFrame, size: int = 500, full_only: bool = True) -> DataFrame:
+    """H8: mean loss per window of ``size`` steps; the last, shorter window only without ``full_only``."""
     g = losses.groupBy(F.floor((F.col("step") - 1) / size).cast("bigint").alias("window"))
-    return (g.agg(F.round(F.avg("loss"), 6).alias("mean_loss"), F.count(F.lit(1)).alias("n_steps"))
-             .filter(F.col("n_steps") == size))
+    out = g.agg(F.round(F.avg("loss"), 6).alias("mean_loss"), F.count(F.lit(1)).alias("n_steps"))
+    return out.filter(F.col("n_steps") == size) if full_only else out
 
 
 def harvest_rate(log: DataFrame, source_col: str = "source", ts_col: str = "ts") -> DataFrame:

@@ -320,8 +320,9 @@ def quote_pairs_ctes(posts: str = "posts", name: str = "qpairs") -> str:
 
 
 def chain_ctes(posts: str = "posts", qpairs: str | None = "qpairs", name: str = "chain",
-               max_answers: int = 5) -> str:
+               max_answers: int = 5, tail: bool = False) -> str:
     t = "source, topic_id"
+    emit = "coalesce(q.emit_pos, 9223372036854775807)" if tail else "q.emit_pos"
     qjoin = (f"LEFT JOIN (SELECT DISTINCT source, topic_id, pos, true AS is_quote FROM {qpairs}) qk USING (source, topic_id, pos)"
              if qpairs else "")
     isq = "coalesce(qk.is_quote, false)" if qpairs else "false"
@@ -354,10 +355,10 @@ def chain_ctes(posts: str = "posts", qpairs: str | None = "qpairs", name: str =
     FROM {name}_s WHERE NOT iss GROUP BY {t}, seg, author_id)
 ),
 {name} AS (
-  SELECT q.source, q.topic_id, CAST(q.emit_pos AS BIGINT) AS emit_pos, CAST(a.answer_k AS BIGINT) AS emit_k,
+  SELECT q.source, q.topic_id, CAST({emit} AS BIGINT) AS emit_pos, CAST(a.answer_k AS BIGINT) AS emit_k,
          'chain' AS kind, q.question AS speaker0_text, a.answer AS speaker1_text
   FROM {name}_q q JOIN {name}_a a USING ({t}, seg)
-  WHERE q.emit_pos IS NOT NULL AND a.answer_k < {max_answers}
+  WHERE {'true' if tail else 'q.emit_pos IS NOT NULL'} AND a.answer_k < {max_answers}
 )"""
 
 
@@ -408,7 +409,7 @@ def two_speaker_ctes(posts: str = "posts", name: str = "v1") -> str:
   FROM {name}_r GROUP BY {t}, run
 ),
 {name} AS (
-  SELECT {t}, CAST(after_next AS BIGINT) AS emit_pos, CAST(run // 2 AS BIGINT) AS emit_k, 'two_speaker' AS kind,
+  SELECT {t}, CAST(coalesce(after_next, 9223372036854775807) AS BIGINT) AS emit_pos, CAST(run // 2 AS BIGINT) AS emit_k, 'two_speaker' AS kind,
          run_text AS speaker0_text, next_text AS speaker1_text
   FROM (SELECT *, lead(run_text) OVER w AS next_text, lead(run_pos, 2) OVER w AS after_next
         FROM {name}_runs WINDOW w AS (PARTITION BY {t} ORDER BY run))
@@ -503,6 +504,8 @@ ORACLE["perplexity"] = with_(LOSS, select="SELECT round(exp(avg(loss)), 6) AS pe
 ORACLE["loss_windows"] = with_(LOSS, select="""
 SELECT * FROM (SELECT CAST(floor((step - 1) / 500) AS BIGINT) AS window, round(avg(loss), 6) AS mean_loss,
                       count(*) AS n_steps FROM losses GROUP BY 1) WHERE n_steps = 500""")
+ORACLE["loss_windows_all"] = with_(LOSS, select="""
+SELECT CAST(floor((step - 1) / 500) AS BIGINT) AS window, round(avg(loss), 6) AS mean_loss, count(*) AS n_steps FROM losses GROUP BY 1""")
 ORACLE["harvest_rate"] = """
 SELECT source, n_items, seconds, round(CASE WHEN seconds > 0 THEN n_items / seconds END, 6) AS items_per_sec FROM (
   SELECT event_type AS source, count(*) AS n_items, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds
@@ -529,14 +532,16 @@ ORACLE["cap_sample"] = with_(*LINE_CTES, select=f"SELECT {DK}, line, shuffle_ran
 ORACLE["cap_sample_100"] = with_(*LINE_CTES, select=f"SELECT {DK}, line, shuffle_rank FROM ranked WHERE shuffle_rank < 100")
 SPLIT = f"""splitted AS (
   SELECT {DK}, line, shuffle_rank,
-         CASE WHEN shuffle_rank < CAST(floor(least(n_total, 300000) * 0.8 + 0.5) AS BIGINT) THEN 'train' ELSE 'test' END AS split
-  FROM ranked WHERE shuffle_rank < least(n_total, 300000))"""
+         CASE WHEN shuffle_rank < CAST(floor(n_total * 0.8 + 0.5) AS BIGINT) THEN 'train' ELSE 'test' END AS split
+  FROM ranked)"""
+ORACLE["split_all"] = with_(*LINE_CTES, SPLIT, select="SELECT * FROM splitted")
 ORACLE["split_train"] = with_(*LINE_CTES, SPLIT, select="SELECT * FROM splitted WHERE split = 'train'")
 ORACLE["split_test"] = with_(*LINE_CTES, SPLIT, select="SELECT * FROM splitted WHERE split = 'test'")
 ORACLE["split_sizes"] = with_(*LINE_CTES, SPLIT, select="SELECT split, count(*) AS n_rows FROM splitted GROUP BY split")
 
 
-def pack_sql(src: str, order: str, text: str, size: int) -> str:
+def pack_sql(src: str, order: str, text: str, size: int, keep_last: bool = False) -> str:
+    having = "" if keep_last else f"HAVING count(*) = {size}"
     return f"""
 pk_l AS (
   SELECT {order}, list_append(regexp_extract_all({c1(text)}, {sql_str(PRETOKEN_RE2)}), chr(10)) AS toks FROM {src}
@@ -549,14 +554,18 @@ pk_t AS (SELECT start + u.i - 1 AS off, u.tok FROM pk_o, unnest(toks) WITH ORDIN
 blocks AS (
   SELECT CAST(floor(off / {size}) AS BIGINT) AS block_id, CAST(count(*) AS BIGINT) AS n_tokens,
          string_agg(tok, '' ORDER BY off) AS block_text
-  FROM pk_t GROUP BY 1 HAVING count(*) = {size}
+  FROM pk_t GROUP BY 1 {having}
 )"""
 
 
 ORACLE["pack_blocks"] = with_(*LINE_CTES[:-1], pack_sql("lines", DK, "line", 2048), select="SELECT * FROM blocks")
+ORACLE["pack_blocks_keep_last"] = with_(*LINE_CTES[:-1], pack_sql("lines", DK, "line", 2048, True), select="SELECT * FROM blocks")
 ORACLE["pack_blocks_docs"] = with_(pack_sql("documents", "doc_id", "text", 1024), select="SELECT * FROM blocks")
-ORACLE["pad_batches"] = with_(pack_sql("documents", "doc_id", "text", 1024), select="""
-SELECT block_id, batch_id, n_tokens, padded_len, CAST(padded_len - n_tokens AS BIGINT) AS n_pad FROM (
+ORACLE["pad_batches"] = with_(f"""blocks AS (
+  SELECT CAST(doc_id AS BIGINT) AS block_id, CAST(len(toks) AS BIGINT) AS n_tokens, array_to_string(toks, '') AS block_text FROM (
+    SELECT doc_id, list_append(regexp_extract_all({c1("coalesce(text, '')")}, {sql_str(PRETOKEN_RE2)}), chr(10)) AS toks FROM documents))""", select="""
+SELECT block_id, batch_id, n_tokens, padded_len, CAST(padded_len - n_tokens AS BIGINT) AS n_pad,
+       block_text || repeat('<pad>', padded_len - n_tokens) AS padded_text FROM (
   SELECT *, max(n_tokens) OVER (PARTITION BY batch_id) AS padded_len FROM (
     SELECT *, CAST(floor(block_id / 4) AS BIGINT) AS batch_id FROM blocks))""")
 
@@ -937,7 +946,7 @@ def reject_sql(pages: str) -> list[str]:
     SELECT p.source, p.topic_id, p.page_no, p.url, {topic_id_sql('p.source', 'p.url')} AS tid,
            CASE WHEN p.source = '{b}' THEN t.title_b WHEN p.source = '{c}' THEN t.title_c END AS title
     FROM {pages} p LEFT JOIN rtitles t USING ({FKS}))
-  WHERE source IN ('{b}', '{c}') AND (tid IS NULL OR coalesce(title, '') = ''))"""]
+  WHERE tid IS NULL OR (source IN ('{b}', '{c}') AND coalesce(title, '') = ''))"""]
 
 
 ALLPAGES = f"""allpages AS (
@@ -965,8 +974,13 @@ ORACLE["forum_dialog"] = with_(FP, *EX, GUESTS, *reject_sql("fpages"), XPOSTS,
 # --------------------------------------------------------------------------
 # sinks and streams: what is read back equals the batch result
 # --------------------------------------------------------------------------
+ORACLE["emit_order_two_speaker"] = with_(CONV, two_speaker_ctes(), select=f"""
+SELECT {DK}, CAST(row_number() OVER (ORDER BY {DK}) - 1 AS BIGINT) AS line_no FROM v1""")
+ORACLE["dialog_starter_chain_tail"] = with_(DOCS, chain_ctes(qpairs=None, tail=True), select="SELECT * FROM chain")
 ORACLE["write_posts"] = with_(CONV, select="SELECT source, topic_id, url, author_id, author_name, text, html, pos FROM posts")
 ORACLE["roundtrip_dataset"] = with_(*LINE_CTES[:-1], select="SELECT line FROM lines")
+_QUOTED = """CASE WHEN regexp_matches(line, '[,"\\n\\r]') THEN '"' || replace(line, '"', '""') || '"' ELSE line END"""
+ORACLE["write_dataset"] = with_(*LINE_CTES[:-1], select=f"SELECT unnest(string_split({_QUOTED}, chr(10))) AS value FROM lines")
 ORACLE["write_split"] = with_(*LINE_CTES, SPLIT, select="SELECT split, unnest(string_split(line, chr(10))) AS value FROM splitted")
 ORACLE["block_cache"] = ORACLE["pack_blocks"]
 ORACLE["stream_ingest"] = ORACLE["write_posts"]

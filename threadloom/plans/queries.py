@@ -152,6 +152,20 @@ def q_emit_order(spark, sf):
     return global_offsets(d, DATASET_KEY, out_col="line_no")
 
 
+@query("emit_order_two_speaker")
+def q_emit_order_two_speaker(spark, sf):
+    """R1 over variant 1 lines: pairs emitted at the end of a topic keep their place."""
+    from threadloom.operators.ranking import global_offsets
+    d = chains.dialog_two_speaker(conv_posts(spark, sf)).select(*DATASET_KEY)
+    return global_offsets(d, DATASET_KEY, out_col="line_no")
+
+
+@query("dialog_starter_chain_tail")
+def q_dialog_starter_chain_tail(spark, sf):
+    """D12 with the last open segment of every topic emitted too."""
+    return chains.dialog_starter_chain(doc_posts(spark, sf), flush_tail=True)
+
+
 # --------------------------------------------------------------------------
 # cleaning, text scalars
 # --------------------------------------------------------------------------
@@ -235,6 +249,11 @@ def q_loss_windows(spark, sf):
     return stats.loss_windows(stats.loss_table(read_table(spark, sf, "events")))
 
 
+@query("loss_windows_all")
+def q_loss_windows_all(spark, sf):
+    return stats.loss_windows(stats.loss_table(read_table(spark, sf, "events")), full_only=False)
+
+
 @query("harvest_rate")
 def q_harvest_rate(spark, sf):
     return stats.harvest_rate(read_table(spark, sf, "events"), source_col="event_type")
@@ -267,7 +286,7 @@ def q_shuffle(spark, sf):
 
 @query("cap_sample")
 def q_cap_sample(spark, sf):
-    return sampling.cap_sample(dataset_lines(spark, sf), DATASET_KEY)
+    return sampling.cap_sample(dataset_lines(spark, sf), DATASET_KEY, n=300_000)
 
 
 @query("cap_sample_100")
@@ -285,6 +304,12 @@ def q_split_test(spark, sf):
     return sampling.split(dataset_lines(spark, sf), DATASET_KEY).filter(F.col("split") == "test")
 
 
+@query("split_all")
+def q_split_all(spark, sf):
+    """G1 + G2 over every line."""
+    return sampling.split(dataset_lines(spark, sf), DATASET_KEY)
+
+
 @query("split_sizes")
 def q_split_sizes(spark, sf):
     return stats.split_sizes(sampling.split(dataset_lines(spark, sf), DATASET_KEY))
@@ -295,6 +320,11 @@ def q_pack_blocks(spark, sf):
     return packing.pack_blocks(dataset_lines(spark, sf), DATASET_KEY, size=packing.BLOCK_SIZE)
 
 
+@query("pack_blocks_keep_last")
+def q_pack_blocks_keep_last(spark, sf):
+    return packing.pack_blocks(dataset_lines(spark, sf), DATASET_KEY, size=packing.BLOCK_SIZE, keep_last=True)
+
+
 @query("pack_blocks_docs")
 def q_pack_blocks_docs(spark, sf):
     return packing.pack_blocks(read_table(spark, sf, "documents"), ["doc_id"], text_col="text", size=1024)
@@ -302,7 +332,11 @@ def q_pack_blocks_docs(spark, sf):
 
 @query("pad_batches")
 def q_pad_batches(spark, sf):
-    blocks = packing.pack_blocks(read_table(spark, sf, "documents"), ["doc_id"], text_col="text", size=1024)
+    """G7 on blocks of uneven length: every document's own blocks, the last one of each shorter."""
+    docs = read_table(spark, sf, "documents").select("doc_id", F.col("text"))
+    toks = packing.line_tokens(F.coalesce("text", F.lit("")))
+    blocks = docs.select(F.col("doc_id").cast("bigint").alias("block_id"), F.size(toks).cast("bigint").alias("n_tokens"),
+                         F.array_join(toks, "").alias("block_text"))
     return packing.pad_batches(blocks)
 
 
@@ -549,8 +583,6 @@ def q_forum_dialog(spark, sf):
 # --------------------------------------------------------------------------
 # sinks (S4-S8) and streams (U1-U3); outputs live under the checkpoint folder
 # --------------------------------------------------------------------------
-import hashlib  # noqa: E402
-
 from threadloom.session import job_dir  # noqa: E402
 from threadloom.sources import sinks  # noqa: E402
 from threadloom.streaming import jobs  # noqa: E402
@@ -582,24 +614,20 @@ def q_write_split(spark, sf):
 
 @query("block_cache")
 def q_block_cache(spark, sf):
-    """Blocks of the dataset lines, built once per (block size, input)."""
-    key = hashlib.md5(f"dataset_lines:{sf}:blocks-v{packing.BLOCK_FORMAT_VERSION}".encode()).hexdigest()[:16]
+    """Blocks of the dataset lines, built once per (block size, content of the input files)."""
+    key = f"{sinks.file_fingerprint(read_table(spark, sf, 'conversations'))}_v{packing.BLOCK_FORMAT_VERSION}"
     root = job_dir(spark, "block_cache", unique=False)
     return sinks.cached_blocks(spark, root, packing.BLOCK_SIZE, key,
                                lambda: packing.pack_blocks(dataset_lines(spark, sf), DATASET_KEY))
 
 
-def _stage(df, path, n_files):
-    df.repartition(n_files).write.mode("overwrite").parquet(path)
-
-
 @query("stream_ingest")
 def q_stream_ingest(spark, sf):
     """Harvested post files arrive in a folder; the stream appends each once."""
     base = job_dir(spark, "ingest")
     posts = conv_posts(spark, sf)
     for i, site in enumerate(["psy_su", "b17_ru", "psycheforum_ru", "psyhelp24_org"]):
-        _stage(posts.filter(F.col("source") == site), f"{base}/in/part{i}", 2)
+        posts.filter(F.col("source") == site).write.mode("overwrite").parquet(f"{base}/in/part{i}")
     out = jobs.stream_ingest(spark, f"{base}/in/*", posts.schema, f"{base}/sink", f"{base}/ckpt", max_files=2)
     return out.select(*POST_COLS)
 
@@ -609,7 +637,7 @@ def q_stream_extract(spark, sf):
     """Page files -> posts, micro-batch by micro-batch."""
     base = job_dir(spark, "extract")
     pages = forum_pages(spark, sf)
-    _stage(pages, f"{base}/in", 4)
+    pages.write.mode("overwrite").parquet(f"{base}/in")
     out = jobs.stream_extract(spark, f"{base}/in", pages.schema, f"{base}/sink", f"{base}/ckpt", max_files=2)
     return out.select(*POST_OUT)
 
@@ -619,10 +647,10 @@ def q_stream_prompts(spark, sf):
     """Turns arrive in turn ranges; prompts keep the last 5 turns in state."""
     base = job_dir(spark, "prompts")
     conv = read_table(spark, sf, "conversations")
-    bucket = F.floor(F.col("turn") / 4)
-    n_buckets = conv.select(F.max(bucket)).first()[0] or 0
-    for b in range(int(n_buckets) + 1):  # one folder per turn range, written in order
-        conv.filter(bucket == b).repartition(2, "conv_id").write.mode("overwrite").parquet(f"{base}/in/b{b:04d}")
+    # one write of all turn ranges; a file's arrival time is its turn range
+    ranges = conv.withColumn("arrived", F.floor(F.col("turn") / 4).cast("int"))
+    ranges.repartitionByRange("arrived", "conv_id").write.mode("overwrite").partitionBy("arrived").parquet(f"{base}/in")
+    sinks.set_arrival_times(spark, f"{base}/in", "arrived")
     return jobs.stream_prompts(spark, f"{base}/in/*", conv.schema, f"{base}/sink", f"{base}/ckpt", max_files=2)
 
 
@@ -724,18 +752,3 @@ def q_scan_post_exports(spark, sf):
     sinks.write_post_exports(posts, folder, export_name)
     return sinks.read_post_exports(spark, folder).drop("topic_name")
 
-
-@query("token_count_subword")
-def q_token_count_subword(spark, sf):
-    """F1 in sub-word mode: BPE token count of every document (distinct
-    pre-tokens encoded once, counts joined back)."""
-    from threadloom.functions import subword
-    return subword.subword_token_counts(read_table(spark, sf, "documents"), ["doc_id"], "text")
-
-
-@query("dialog_dataset_subword")
-def q_dialog_dataset_subword(spark, sf):
-    """The flagship with length codes from BPE token counts (F1 sub-word mode)."""
-    from threadloom.session import materialize
-    pairs = materialize(dialog_pairs(conv_posts(spark, sf)), "pairs")
-    return encode.encode_pairs_subword(pairs, DATASET_KEY)

@@ -29,11 +29,16 @@ from threadloom.operators.extract import posts_from_pages
 from threadloom.functions.text import length_code, token_count
 
 
-def run_available(query_writer, checkpoint: str, timeout_s: int = 600):
-    """Start a stream with ``trigger(availableNow=True)`` and wait for it."""
+def run_available(query_writer, checkpoint: str, timeout_s: int | None = None):
+    """Start a stream with ``trigger(availableNow=True)`` and wait until all of its input is in.
+
+    ``timeout_s`` (none by default) stops a stream that takes longer; the
+    checkpoint lets a later run go on where it stopped.
+    """
     q = query_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError("stream did not finish")
     if q.exception() is not None:
@@ -78,16 +83,17 @@ def _prompt_state_fn(history: int, wanted_length: str):
         turns, pieces = ([], [])
         if state.exists:
             turns, pieces = list(state.get[0]), list(state.get[1])
-        new = pd.concat(list(batches)).sort_values("turn")
-        out = []
-        for row in new.itertuples(index=False):
-            turns.append(int(row.turn))
-            pieces.append(row.piece)
-            turns, pieces = turns[-history:], pieces[-history:]
-            if row.speaker == 0:
-                out.append((key[0], int(row.turn), "".join(pieces) + f"|1|{wanted_length}|"))
-        state.update((turns, pieces))
-        yield pd.DataFrame(out, columns=["conv_id", "turn", "prompt"])
+        new = pd.concat(list(batches)).sort_values("turn", kind="stable")
+        held = len(turns)
+        all_turns = pd.Series([*turns, *new["turn"].astype("int64")])
+        all_pieces = pd.Series([*pieces, *new["piece"]], dtype="object")
+        joined = all_pieces
+        for back in range(1, history):  # the pieces before, as shifted columns
+            joined = all_pieces.shift(back).fillna("") + joined
+        joined = joined + f"|1|{wanted_length}|"
+        user = pd.Series([False] * held + [s == 0 for s in new["speaker"]])
+        state.update((all_turns.iloc[-history:].tolist(), all_pieces.iloc[-history:].tolist()))
+        yield pd.DataFrame({"conv_id": key[0], "turn": all_turns[user], "prompt": joined[user]})
     return fn
 
 
