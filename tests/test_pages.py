@@ -12,7 +12,9 @@ def test_url_join_cases(spark):
     base = "http://h.example/a/b.html?x=1#f"
     cases = {"https://o/x": "https://o/x", "//cdn/x": "http://cdn/x", "/p": "http://h.example/p",
              "?q=2": "http://h.example/a/b.html?q=2", "#g": "http://h.example/a/b.html?x=1#g",
-             "c.html": "http://h.example/a/c.html", "": "http://h.example/a/b.html?x=1"}
+             "c.html": "http://h.example/a/c.html", "": "http://h.example/a/b.html?x=1",
+             "../x.html": "http://h.example/x.html", "./d/./e/../f?u=../v": "http://h.example/a/d/f?u=../v",
+             "../../../w": "http://h.example/w", "/p/./q/..": "http://h.example/p/", "..": "http://h.example/"}
     df = spark.createDataFrame([(base, h) for h in cases], "base string, href string")
     got = {r.href: r.u for r in df.select("href", links.url_join(F.col("base"), F.col("href")).alias("u")).collect()}
     assert got == cases
@@ -38,7 +40,7 @@ def test_link_rules(spark):
             "https://psycheforum.ru/forum/4-x/page/2/", "https://www.b17.ru/forum/topic.php?id=7&p=2",
             "https://www.b17.ru/forum/topic.php?id=7"]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
-    got = [r.r for r in df.select(links.link_rule(F.col("u")).alias("r")).collect()]
+    got = [r.rule for r in links.with_link_rule(df, "u").collect()]
     assert got == ["psycheforum_topic", None, None, None, "b17_topic"]
 
 
@@ -92,3 +94,69 @@ def test_attribute_quoting_styles(spark):
     assert [r.href for r in links.links(p).orderBy("link_no").collect()] == ["/s", "/bare", "/d"]
     t = html_tokens(p, ["page_id"], ancestors=0).filter("kind = 'text' AND text = 't'").first()
     assert t.anc0["cls"] == "quote"
+
+
+def test_numeric_references(spark):
+    cases = {"&#65;&#x42;&#X63;": "ABc", "&#8212;": "\u2014", "&#x1F600;!": "\U0001F600!", "&amp;#60;": "&#60;", "&#;&#x;": "&#;&#x;",
+             "&#0;": "\ufffd", "&#xD800;": "\ufffd", "&#999999999;": "\ufffd", "a & b &lt;": "a & b <", "&#39;&#160;": "'\u00a0"}
+    from threadloom.operators.html_tokens import decode_entities
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.d for r in df.select("t", decode_entities(F.col("t")).alias("d")).collect()} == cases
+
+
+def test_only_void_tags_are_empty(spark):
+    t = html_tokens(_pages(spark, [(1, "u", "<div><a href=/x/>q</a>r</div>s<br/>")]), ["page_id"], ancestors=1)
+    text = {r.text: r.d_before for r in t.filter("kind = 'text'").collect()}
+    assert text == {"q": 2, "r": 1, "s": 0}
+
+
+def test_unclosed_and_stray_tags(spark):
+    html = "<div>a<p>b<p>c<b>d<ul><li>e<li>f<ul><li>g</ul></ul>h</div>i</span></p>j"
+    t = html_tokens(_pages(spark, [(1, "u", html)]), ["page_id"], ancestors=3)
+    rows = {r.text: r for r in t.filter("kind = 'text'").collect()}
+    inside = {k: [r[f"anc{i}"]["tag"] for i in range(4) if r.d_before > i and r[f"anc{i}"] is not None] for k, r in rows.items()}
+    assert inside == {"a": ["div"], "b": ["p", "div"], "c": ["p", "div"], "d": ["p", "div"], "e": ["li", "ul", "div"],
+                      "f": ["li", "ul", "div"], "g": ["li", "ul", "li", "ul"], "h": ["div"], "i": [], "j": []}
+
+
+def test_extraction_with_class_tokens_and_open_paragraphs(spark):
+    a = ('<html><body><table class="forum wide"><tr><th>h</th></tr><tr><td class="top author"><span>#</span><img src="i">'
+         '<a href="/club/profile/u1/">Ann</a></td><td><div class="text x">hello<b> there</div></td></tr></table></body></html>')
+    d = ('<html><body><div class="post-content"><p>T<p>P<p>I<p><strong>Cli</strong>: first<p><strong>Cli</strong>: second'
+         '<blockquote><p><strong>Psy</strong>: reply</blockquote></div></body></html>')
+    pg = spark.createDataFrame([("psy_su", "9", 1, "https://psy.su/club/forum/topic/9/", a), ("psy_su", "8", 1, "https://psy.su/club/forum/", a),
+                                ("psyhelp24_org", "4", 1, "https://psyhelp24.org/psihologicheskaya-konsultatsiya-4/", d)],
+                               "source string, topic_id string, page_no int, url string, html string")
+    r = extract.posts_from_pages(pg).collect()
+    assert [(x.author_name, x.text) for x in r if x.topic_id == "9"] == [("Ann", "hello\n there")]
+    assert sorted((x.rec_no, x.role, x.author_name, x.text) for x in r if x.topic_id == "4") == [
+        (3, "0", "Cli", "first"), (4, "0", "Cli", "second"), (5, "1", "Psy", "reply")]
+    assert [(x.topic_id, x.reason) for x in extract.rejected_pages(pg).collect()] == [("8", "topic_id")]
+    assert {x.topic_id for x in extract.extract_posts(pg).collect()} == {"9", "4"}
+
+
+def test_next_page_first_and_frontier(spark):
+    b = ('<div class="body_padding"><div class="page-list"><span><a rel="prev" href="?p=1">1</a><a rel="nofollow" href="../t?p=3">3</a></span></div></div>'
+         '<li class="ipsPagination_next"><a href="/never">x</a></li>')
+    c = '<ul><li class="a ipsPagination_next b"><span><a href="https://h/next#x">n</a></span></li><li class="ipsPagination_next"><a href="/2">y</a></li></ul>'
+    p = _pages(spark, [(1, "https://h/a/t", b), (2, "https://h/c#top", c), (3, "https://h/d", "<a rel=nofollow href=/no>z</a>")])
+    got = {r.page_id: r.next_href for r in links.next_page_first(p).collect()}
+    assert got == {1: "https://h/t?p=3", 2: "https://h/next#x", 3: None}
+    seen = _pages(spark, [(1, "https://h/c#top", '<a href="#y">self</a><a href="../c">up</a><a href="/new/./x">new</a><a href="//o/z">other</a>')])
+    hosts = spark.createDataFrame([("h",)], "host string")
+    assert [r.url for r in links.frontier(links.resolved_links(seen), seen, hosts).collect()] == ["https://h/new/x"]
+
+
+def test_long_conversation_equals_sequential_fold(spark):
+    from threadloom.operators import ranking
+    from threadloom.sources.tables import posts_from_conversations
+    rows = [(1, t, "user" if t % 3 else "assistant", None if t % 50 == 7 else f"text {t}") for t in range(0, 6000, 2)]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    d = ranking.scan_lag(ranking.with_bucket(conv, "turn", 64), ["conv_id"], "turn", {"text": "pt", "role": "pr"})
+    got = {r.turn: (r.pt, r.pr) for r in d.collect()}
+    want, last = {}, (None, None)
+    for _, t, role, text in rows:
+        want[t], last = last, (text, role)
+    assert got == want
+    plan = posts_from_conversations(conv)._jdf.queryExecution().executedPlan().toString()
+    assert "_bk" in plan and "windowspecdefinition(conv_id" in plan and "windowspecdefinition(conv_id#0L, turn" not in plan

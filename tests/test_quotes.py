@@ -71,3 +71,19 @@ def test_other_url_has_no_quotes(spark):
     df = make_posts(spark, [(1, "u", "t", '<div class="text"><div class="forum_quote"><div class="quote">a</div></div>b</div>',
                              "https://psyhelp24.org/x")])
     assert quotes.quote_pairs(df).count() == 0
+
+
+def test_tags_left_open(spark):
+    a = '<div class="text"><div class="forum_quote"><div class="quote"><b>q</div></div>reply</div>'
+    assert pairs(spark, "a", a) == [("q", "reply")]
+    b = f'<td class="mes qq"><div class="quote"><b>w {WROTE_MARKER}:</b><b>q</div>reply</td>'
+    assert pairs(spark, "b", b) == [("q", "reply")]
+    c = '<div data-role="commentContent"><blockquote><p>q</blockquote><p>reply</p></div>'
+    assert pairs(spark, "c", c) == [("q", "reply")]
+    crossed = '<td class="mes qq"><b><div class="quote">q</b></div>reply</i> more</td>'
+    assert pairs(spark, "b", crossed) == [("q", "reply more")]
+
+
+def test_class_tokens_in_any_order(spark):
+    h = '<div class="big text"><div class="x forum_quote"><div class="quote y">q</div></div>r</div>'
+    assert pairs(spark, "a", h) == [("q", "r")]

@@ -33,6 +33,12 @@ def contract_rows(posts: DataFrame, expected=EXPECTED_ROWS) -> DataFrame:
                     F.coalesce(F.col("n_rows") >= F.col("expected"), F.lit(True)).alias("ok"))
 
 
+def contract_follow_ups(next_links: DataFrame, expected: int = 1) -> DataFrame:
+    """K2: pages (``url, next_href``) and their number of follow-up links against the lower bound."""
+    n = F.col("next_href").isNotNull().cast("bigint")
+    return next_links.select("url", n.alias("n_follow_ups"), (n >= expected).alias("ok"))
+
+
 def blocked_pages(log: DataFrame) -> DataFrame:
     """K3: fetches that hit the ban page (status, host and marker must all match)."""
     hit = ((F.col("status") == BLOCK_STATUS) & (F.instr(F.col("url"), BLOCK_HOST) > 0)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import strip_ws
-from threadloom.operators.html_tokens import attr, html_tokens, inside, is_el, region_id, sibling_indexes
+from threadloom.operators.html_tokens import attr, html_tokens, inside, is_el, region_id, sibling_indexes, token_no  # noqa: F401
 from threadloom.operators.ranking import global_offsets, scan_rank, with_bucket
 from threadloom.session import materialize
 from threadloom.sources.tables import SITE_SOURCES
@@ -42,6 +42,7 @@ AUTHOR_ID_PATTERNS = ((A, r"(?:^|/)profile/([^/?#]*)"), (B, r"\/(.+)\/"), (C, r"
 GUEST_PREFIX = "gst_"
 MIN_TEXT_CHARS = 2  # psyhelp24 skips empty and one-character texts
 PAGES_PER_BUCKET = 1024
+GUEST_SALTS = 16
 
 
 def topic_id_from_url(source: Column, url: Column) -> Column:
@@ -242,9 +243,15 @@ def extract_posts(pages: DataFrame) -> DataFrame:
     r = r.withColumn("author_id", F.when(F.col("source") == D, F.col("role"))
                      .otherwise(author_id_from_link(F.col("source"), F.col("author_href"))))
     r = r.withColumn("url_topic", topic_id_from_url(F.col("source"), F.col("url")))
-    gids = guest_ids(r)
-    r = r.join(gids, r["author_name"].eqNullSafe(gids["author_name"]) & r["author_id"].isNull()
-               & (r["source"] == C), "left").drop(gids["author_name"])
+    # guest rows find their id by name, keys only and salted (one name may be
+    # most guests), and bring it back by the row's own key
+    own = [*PAGE_KEY, "rec_no"]
+    salt = F.pmod(F.xxhash64(*own), F.lit(GUEST_SALTS))
+    guests = r.filter(F.col("author_id").isNull() & (F.col("source") == C)).select(*own, "author_name", salt.alias("_salt"))
+    gids = guest_ids(r).select(F.col("author_name").alias("_name"), "guest_id",
+                               F.explode(F.sequence(F.lit(0).cast("long"), F.lit(GUEST_SALTS - 1).cast("long"))).alias("_s"))
+    found = guests.join(gids, F.col("author_name").eqNullSafe(F.col("_name")) & (F.col("_salt") == F.col("_s")))
+    r = r.join(found.select(*own, "guest_id"), own, "left")
     r = r.withColumn("author_id", F.coalesce("author_id", "guest_id"))
     rej = rejected_pages(pages)
     r = r.join(rej.select(*PAGE_KEY), PAGE_KEY, "left_anti")

@@ -9,7 +9,13 @@ open token; anc1 = one level up, ...).
 How structure is computed, with one shuffle of whole documents by key
 (before tokenising, so the shuffle moves markup, not token rows):
 
-* depth is a running sum of +1 / -1 over counted open / close tags (T2);
+* every close tag is matched with the last unmatched open tag of its own name
+  (running sums per document and tag); a close without a partner is ignored.
+  With ``repair`` (all tags counted) an open tag without a partner ends where
+  its container does - ``p`` also at the next block, ``li`` at the next ``li`` -
+  by a close row put in front of that token; an inline tag without a partner,
+  or one whose pair crosses a container, has no effect;
+* depth is a running sum of +1 / -1 over the matched open / close tags (T2);
 * the ancestor at level k of a token is the last open tag at level k before
   it (exact for well-formed regions). A window partitioned by
   ``(key, level)`` yields it; level-shifted copies of the open rows
@@ -38,9 +44,13 @@ VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link",
 PAGE_CONTAINERS = ("html", "body", "div", "td", "tr", "table", "tbody", "thead", "blockquote",
                    "article", "nav", "ul", "ol", "h1", "h2", "h3", "strong", "span", "a", "em",
                    "header", "footer", "section", "main", "title", "head")
+# Inline tags: left open they change nothing. ``p`` and ``li`` may be left open.
+INLINE_TAGS = ("a", "abbr", "b", "big", "cite", "code", "em", "font", "i", "mark", "s", "small", "span",
+               "strike", "strong", "sub", "sup", "tt", "u")
+SOFT_TAGS = (*INLINE_TAGS, "p", "li")
 # Named entities decoded in text (&amp; last so "&amp;lt;" stays "&lt;").
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"),
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
+            ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"),
             ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"), ("&hellip;", "\u2026"), ("&mdash;", "\u2014"),
             ("&ndash;", "\u2013"), ("&amp;", "&"))
 
@@ -62,9 +72,23 @@ def attr(tok: Column, name: str) -> Column:
     return F.concat(F.regexp_extract(tok, pat, 1), F.regexp_extract(tok, pat, 2), F.regexp_extract(tok, pat, 3))
 
 
+def decode_numeric(text: Column) -> Column:
+    """Decode decimal and hexadecimal character references; impossible code points become U+FFFD."""
+    def one(part: Column) -> Column:
+        digits = F.regexp_extract(part, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+        hexadecimal = F.when(part.rlike("^&#[xX]"), digits).otherwise(F.conv(digits, 10, 16))
+        code = F.conv(hexadecimal, 16, 10).try_cast("long")
+        ok = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(hexadecimal, 8, "0")), "UTF-32")
+        return F.when(digits == "", part).when(ok, char).otherwise(F.lit("\ufffd"))
+
+    parts = F.regexp_extract_all(text, F.lit(r"&#[xX][0-9a-fA-F]{1,8};|&#[0-9]{1,9};|[^&]+|&"), 0)
+    return F.when(F.instr(text, "&#") > 0, F.array_join(F.transform(parts, one), "")).otherwise(text)
+
+
 def decode_entities(text: Column) -> Column:
-    """Decode the fixed set of named entities."""
-    out = text
+    """Decode numeric character references and the fixed set of named entities."""
+    out = decode_numeric(text)
     for ent, ch in ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out
@@ -98,15 +122,15 @@ def html_tokens(df: DataFrame, key_cols: Sequence[str], html_col: str = "html",
         F.when(is_tag, tag).otherwise(F.lit("")).alias("tag"),
     )
     counted = F.col("tag").isin(*count_tags) if count_tags else ~F.col("tag").isin(*VOID_TAGS)
-    counted = counted & (F.col("tag") != "") & ~F.col("tok").endswith("/>")
-    delta = (F.when((F.col("kind") == "open") & counted, 1)
-              .when((F.col("kind") == "close") & counted, -1).otherwise(0))
+    counted = counted & (F.col("tag") != "")
+    sign = (F.when((F.col("kind") == "open") & counted, 1)
+             .when((F.col("kind") == "close") & counted, -1).otherwise(0))
+    t = matched_tags(t.withColumn("sign", sign), key_cols, repair=count_tags is None)
     t = t.select("*",
                  F.when(F.col("kind") == "open", attr(F.col("tok"), "class")).otherwise("").alias("cls"),
                  F.when(F.col("kind") == "open", attr(F.col("tok"), "id")).otherwise("").alias("eid"),
                  F.when(F.col("kind") == "open", attr(F.col("tok"), "data-role")).otherwise("").alias("role"),
-                 F.when(F.col("kind") == "text", decode_entities(F.col("tok"))).alias("text"),
-                 delta.alias("delta"))
+                 F.when(F.col("kind") == "text", decode_entities(F.col("tok"))).alias("text"))
     w_doc = Window.partitionBy(*key_cols).orderBy("tpos").rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("d_after", F.sum("delta").over(w_doc))
     t = t.withColumn("d_before", F.col("d_after") - F.col("delta"))
@@ -125,6 +149,72 @@ def html_tokens(df: DataFrame, key_cols: Sequence[str], html_col: str = "html",
     return s.select("*", *anc).filter(F.col("sh") == 0).drop("sh", "akey")
 
 
+# Token positions leave room for the close rows that ``repair`` puts in front of a token.
+POS_STEP = 1 << 20
+
+
+def matched_tags(t: DataFrame, key_cols: Sequence[str], repair: bool) -> DataFrame:
+    """Replace ``sign`` by ``delta`` (+1 / -1 for matched tags, else 0) and ``tpos`` by ``tpos * POS_STEP``.
+
+    With ``repair`` unmatched block, ``p`` and ``li`` tags become elements too
+    and get a close row (empty ``tok``). All windows partition by the document
+    key plus more.
+    """
+    key = list(key_cols)
+    w_name = Window.partitionBy(*key, "tag").orderBy("tpos")
+    w_doc = Window.partitionBy(*key).orderBy("tpos")
+    so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
+    after = lambda w: w.rowsBetween(1, Window.unboundedFollowing)
+    is_open, is_close = F.col("sign") == 1, F.col("sign") == -1
+    inline, soft = F.col("tag").isin(*INLINE_TAGS), F.col("tag").isin(*SOFT_TAGS)
+    # brackets of one name: closes below zero have no partner, opens that are never undercut have none
+    t = t.withColumn("_s", F.sum("sign").over(so_far(w_name)))
+    t = t.withColumn("_m", F.least(F.lit(0), F.min("_s").over(so_far(w_name))))
+    t = t.withColumn("_d", F.col("_s") - F.col("_m"))
+    stray = is_close & (F.col("_m") < F.lag("_m", 1, 0).over(w_name))
+    loose = is_open & (F.coalesce(F.min("_d").over(after(w_name)), F.col("_d")) >= F.col("_d"))
+    if repair:  # p does not nest
+        p = F.col("tag") == "p"
+        stray = F.when(p, is_close & (F.coalesce(F.lag("sign").over(w_name), F.lit(-1)) == -1)).otherwise(stray)
+        loose = F.when(p, is_open & (F.coalesce(F.lead("sign").over(w_name), F.lit(1)) == 1)).otherwise(loose)
+    t = t.withColumn("_firm", (F.col("sign") != 0) & ~stray & ~loose)
+    if repair:
+        # a soft pair must open and close at the same depth of firm containers
+        t = t.withColumn("_cd", F.sum(F.when(F.col("_firm") & ~soft, F.col("sign")).otherwise(0)).over(so_far(w_doc)))
+        w_pair = Window.partitionBy(*key, "tag", "_firm", "_lv").orderBy("tpos")
+        t = t.withColumn("_lv", F.when(p, F.lit(0)).when(is_open, F.col("_d")).otherwise(F.col("_d") + 1))
+        partner = F.when(is_open, F.lead("_cd").over(w_pair)).otherwise(F.lag("_cd").over(w_pair))
+        crosses = F.col("_firm") & soft & (partner != F.col("_cd"))
+        t = t.withColumn("_firm", F.col("_firm") & ~F.coalesce(crosses, F.lit(False)))
+    t = t.withColumn("delta", F.when(F.col("_firm"), F.col("sign")).otherwise(0))
+    if repair:
+        t = t.withColumn("_open", is_open & ~F.col("_firm") & ~inline)  # elements without an end of their own
+        t = t.withColumn("_df", F.sum("delta").over(so_far(w_doc)))
+        t = t.withColumn("_at", F.when(F.col("delta") == -1, F.col("_df") + 1).otherwise(F.col("_df")))
+        w_level = Window.partitionBy(*key, "_at").orderBy("tpos")
+        w_items = Window.partitionBy(*key, "_at", "tag").orderBy("tpos")
+        ends = F.least(F.first(F.when(F.col("delta") == -1, F.col("tpos")), ignorenulls=True).over(after(w_level)),
+                       F.when(p, F.first(F.when(is_open & ~inline, F.col("tpos")), ignorenulls=True).over(after(w_doc)))
+                        .when(F.col("tag") == "li", F.first(F.when(is_open, F.col("tpos")), ignorenulls=True).over(after(w_items))))
+        t = t.withColumn("_end", F.when(F.col("_open"), F.coalesce(ends, F.lit(1 << 30))))
+        t = t.withColumn("_nth", F.row_number().over(Window.partitionBy(*key, "_end").orderBy("tpos")))
+        t = t.withColumn("_copy", F.explode(F.when(F.col("_open"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        made = F.col("_copy") == 1
+        t = (t.withColumn("delta", F.when(made, -1).when(F.col("_open"), 1).otherwise(F.col("delta")))
+              .withColumn("kind", F.when(made, F.lit("close")).otherwise(F.col("kind")))
+              .withColumn("tok", F.when(made, F.lit("")).otherwise(F.col("tok")))
+              .withColumn("tpos", F.when(made, F.col("_end").cast("long") * POS_STEP - F.col("_nth"))
+                          .otherwise(F.col("tpos").cast("long") * POS_STEP)))
+    else:
+        t = t.withColumn("tpos", F.col("tpos").cast("long") * POS_STEP)
+    return t.drop("sign", "_s", "_m", "_d", "_firm", "_cd", "_lv", "_open", "_df", "_at", "_end", "_nth", "_copy")
+
+
+def token_no(tpos: Column) -> Column:
+    """The number of a token in its document."""
+    return F.floor(tpos / POS_STEP).cast("bigint")
+
+
 def inside(key_cols: Sequence[str], pred) -> Column:
     """Number of open elements matching ``pred(desc)`` that enclose a token.
 
@@ -153,12 +243,20 @@ def current_element(key_cols: Sequence[str], pred) -> Column:
     return F.when(opened, F.lit(-1)).otherwise(cur)
 
 
-def is_el(tag: str, cls: str | None = None, role: str | None = None, eid: str | None = None):
-    """Element predicate for a descriptor struct."""
+def has_class(cls: Column, wanted: str) -> Column:
+    """``wanted`` is one of the space-separated classes, in any place."""
+    return F.array_contains(F.split(cls, r"\s+"), wanted)
+
+
+def is_el(tag: str, cls: str | None = None, role: str | None = None, eid: str | None = None, part: str | None = None):
+    """Element predicate for a descriptor struct (T7): class tokens (all of
+    them), a part of the class attribute, data-role, id."""
     def pred(d: Column) -> Column:
         c = d["tag"] == tag
-        if cls is not None:
-            c = c & (d["cls"] == cls)
+        for one in (cls or "").split():
+            c = c & has_class(d["cls"], one)
+        if part is not None:
+            c = c & (F.instr(d["cls"], part) > 0)
         if role is not None:
             c = c & (d["role"] == role)
         if eid is not None:

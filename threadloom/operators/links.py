@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.operators.html_tokens import DROP_PATTERN, attr, decode_entities, html_tokens, inside
+from threadloom.operators.html_tokens import DROP_PATTERN, attr, decode_entities, html_tokens, inside, is_el
 
 # an <a ...> tag (quoted attribute values may hold '>') and the test for an href
 A_TAG_PATTERN = r"""(?i)<a\s(?:[^>"']|"[^"]*"|'[^']*')*>"""
@@ -44,21 +44,32 @@ def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
                     decode_entities(F.col("href")).alias("href"))
 
 
+def _no_dots(path: Column) -> Column:
+    """An absolute path without ``.`` and ``..`` segments (those above the root are dropped)."""
+    parts = F.slice(F.split(path, "/", -1), 2, F.length(path) + 1)
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, s: F.when(s == ".", acc).when(
+        s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(s))))
+    kept = F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(F.instr(path, "/.") > 0, F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
 def url_join(base: Column, href: Column) -> Column:
     """L4: resolve ``href`` against ``base`` (scheme, //host, /path, ?query,
-    #fragment, relative path). Dot segments are kept as written."""
+    #fragment, relative path); dot segments of path references are removed."""
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^?#]*/)", 1)
+    folder = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*/|/)", 1)
+    folder = F.when(folder != "", folder).otherwise("/")
     no_frag = F.regexp_extract(base, r"^([^#]*)", 1)
     no_query = F.regexp_extract(base, r"^([^?#]*)", 1)
     return (F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
              .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-             .when(href.startswith("/"), F.concat(origin, href))
+             .when(href.startswith("/"), F.concat(origin, _no_dots(F.regexp_extract(href, r"^([^?#]*)", 1)), F.regexp_extract(href, r"^[^?#]*(.*)$", 1)))
              .when(href.startswith("?"), F.concat(no_query, href))
              .when(href.startswith("#"), F.concat(no_frag, href))
              .when(href == "", no_frag)
-             .otherwise(F.concat(F.when(folder != "", folder).otherwise(F.concat(origin, F.lit("/"))), href)))
+             .otherwise(F.concat(origin, _no_dots(F.concat(folder, F.regexp_extract(href, r"^([^?#]*)", 1))), F.regexp_extract(href, r"^[^?#]*(.*)$", 1))))
 
 
 def url_host(url: Column) -> Column:
@@ -70,19 +81,24 @@ def resolved_links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return ln.withColumn("abs_url", url_join(F.col("url"), F.col("href")))
 
 
-def on_domain(url: Column, domain: str) -> Column:
+def on_domain(host: Column, domain: str) -> Column:
     """Host is ``domain`` or one of its subdomains (allowed_domains)."""
-    host = url_host(url)
     return (host == domain) | host.endswith("." + domain)
 
 
-def link_rule(url: Column, rules=LINK_RULES) -> Column:
+def with_link_rule(df: DataFrame, url_col: str = "abs_url", rules=LINK_RULES) -> DataFrame:
+    """L2: ``df`` with ``rule``; the host is computed once."""
+    return (df.withColumn("_host", url_host(F.col(url_col)))
+              .withColumn("rule", link_rule(F.col(url_col), F.col("_host"), rules)).drop("_host"))
+
+
+def link_rule(url: Column, host: Column, rules=LINK_RULES) -> Column:
     """L2: name of the first rule (of the site owning the url's domain) whose
     allow pattern matches and whose deny pattern / denied ids do not; null
     when no rule takes the link."""
     out = F.lit(None).cast("string")
     for name, domain, allow, deny, ids in reversed(rules):
-        ok = on_domain(url, domain) & url.rlike(allow)
+        ok = on_domain(host, domain) & url.rlike(allow)
         if deny:
             ok = ok & ~url.rlike(deny)
         if ids:
@@ -132,14 +148,32 @@ def next_topic_page(pages: DataFrame, region: DataFrame, key: str = "page_id") -
     return p.select(key, nxt.alias("next_href"))
 
 
+def next_page_first(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """The follow-up link of two layouts: the first ``a`` with ``rel="nofollow"`` in
+    ``div.body_padding > div.page-list > span`` (resolved), else the first link
+    inside a ``li`` whose class contains ``ipsPagination_next`` (as written)."""
+    t = html_tokens(pages.select(key, "html"), [key], ancestors=3)
+    t = t.withColumn("_in", inside([key], is_el("li", part="ipsPagination_next")))
+    href = decode_entities(attr(F.col("tok"), "href"))
+    is_a = (F.col("kind") == "open") & (F.col("tag") == "a")
+    listed = (is_a & (attr(F.col("tok"), "rel") == "nofollow") & is_el("span")(F.col("anc1"))
+              & (F.col("anc2")["cls"] == "page-list") & (F.col("anc3")["cls"] == "body_padding"))
+    linked = (F.col("kind") == "open") & (F.col("_in") > 0) & (attr(F.col("tok"), "href") != "")
+    first = lambda cond: F.min(F.when(cond, F.struct(F.col("tpos"), href.alias("href"))))["href"]
+    found = t.filter(listed | linked).groupBy(key).agg(first(listed).alias("_b"), first(linked).alias("_c"))
+    out = pages.select(key, "url").join(found, key, "left")
+    return out.select(key, F.when(F.col("_b").isNotNull(), url_join(F.col("url"), F.col("_b"))).otherwise(F.col("_c")).alias("next_href"))
+
+
 def frontier(links_df: DataFrame, fetched: DataFrame, allowed_hosts: DataFrame) -> DataFrame:
     """Distinct resolved links on an allowed host that were not fetched.
 
-    ``allowed_hosts`` is a one-column table ``host``; both filters are joins
-    (semi, anti), so neither side is collected.
+    ``allowed_hosts`` is a one-column table ``host``; urls are compared without
+    their fragments. Links are made distinct first; both filters are joins
+    (anti, semi), so neither side is collected.
     """
-    c = links_df.select(F.regexp_replace(F.col("abs_url"), r"#.*$", "").alias("url"))
+    bare = lambda u: F.regexp_replace(F.col(u), r"#.*$", "").alias("url")
+    c = links_df.select(bare("abs_url")).distinct()
+    c = c.join(fetched.select(bare("url")), "url", "left_anti")
     c = c.withColumn("host", url_host(F.col("url")))
-    c = c.join(allowed_hosts.select("host").distinct(), "host", "left_semi")
-    c = c.join(fetched.select("url"), "url", "left_anti")
-    return c.select("url").distinct()
+    return c.join(allowed_hosts.select("host").distinct(), "host", "left_semi").select("url")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import strip_ws
-from threadloom.operators.html_tokens import PAGE_CONTAINERS, attr, html_tokens, inside, is_el
+from threadloom.operators.html_tokens import PAGE_CONTAINERS, attr, html_tokens, inside, is_el, token_no
 
 KEY = "page_id"
 
@@ -24,7 +24,7 @@ def token_table(tokens: DataFrame) -> DataFrame:
     """T1 + T2 flattened: kind, tag, depth and the parent element's tag."""
     is_end = (F.col("kind") == "close") & (F.col("delta") == -1)
     parent = F.when(F.col("is_elem") | is_end, F.col("anc1")["tag"]).otherwise(F.col("anc0")["tag"])
-    return tokens.select(KEY, F.col("tpos").cast("bigint").alias("tpos"), "kind", "tag",
+    return tokens.select(KEY, token_no(F.col("tpos")).alias("tpos"), "kind", "tag",
                          F.col("d_before").cast("bigint").alias("depth"), parent.alias("parent_tag"), "text")
 
 

@@ -44,7 +44,9 @@ def quote_rule(url_col="url") -> F.Column:
 def quote_tokens(posts: DataFrame, key_cols: Sequence[str] = POST_KEY) -> DataFrame:
     """Token table of the posts that have a quote rule, with rule flags."""
     key = list(key_cols)
-    p = posts.select(*key, quote_rule().alias("rule"), "html").filter(F.col("rule").isNotNull())
+    # every rule needs a quote class or a blockquote tag; other posts are not tokenised
+    p = posts.filter(F.instr(F.lower("html"), "quote") > 0)
+    p = p.select(*key, quote_rule().alias("rule"), "html").filter(F.col("rule").isNotNull())
     t = html_tokens(p, key, keep_cols=["rule"], ancestors=2)
     is_text = F.col("kind") == "text"
     a = F.col("anc0"), F.col("anc1"), F.col("anc2")

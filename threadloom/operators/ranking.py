@@ -107,6 +107,21 @@ def scan_first(df: DataFrame, part: list[str], order_col: str, value_col: str, o
     return _same_key(d.drop("_rn", "_bf"), s, [*part, bucket])
 
 
+def scan_lag(df: DataFrame, part: list[str], order_col: str, columns: dict[str, str], bucket: str = "_bk") -> DataFrame:
+    """Add the previous row's ``columns`` (old name -> new name) in ``order_col`` order of each key.
+
+    ``lag`` runs per (key, bucket); a bucket's first row takes the last row of
+    the bucket before it from a summary of one row per bucket.
+    """
+    wb = Window.partitionBy(*part, bucket).orderBy(order_col)
+    held = F.struct(*[F.col(c).alias(new) for c, new in columns.items()])
+    ends = df.groupBy(*part, bucket).agg(F.max_by(held, order_col).alias("_last"))
+    before = ends.select(*part, bucket, F.lag("_last").over(Window.partitionBy(*part).orderBy(bucket)).alias("_before"))
+    d = _same_key(df.withColumn("_prev", F.lag(held).over(wb)), before, [*part, bucket])
+    prev = F.coalesce("_prev", "_before")
+    return d.select(*df.columns, *[prev[new].alias(new) for new in columns.values()])
+
+
 def scan_transitions(df: DataFrame, part: list[str], order_col: str, value_col: str, step, out_col: str,
                      bucket: str = "_bk") -> DataFrame:
     """Running count of ``step(prev, cur)`` over the rows of each key.

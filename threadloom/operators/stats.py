@@ -82,13 +82,18 @@ def loss_windows(losses: DataFrame, size: int = 500, full_only: bool = True) ->
     return out.filter(F.col("n_steps") == size) if full_only else out
 
 
-def harvest_rate(log: DataFrame, source_col: str = "source", ts_col: str = "ts") -> DataFrame:
-    """H9: items, first/last time and items per second per source of a fetch log."""
+def harvest_rate(log: DataFrame, source_col: str = "source", ts_col: str = "ts", page_col: str = "page") -> DataFrame:
+    """H9: items, distinct pages, seconds, items per second and pages per minute per source of a fetch log.
+
+    Items are summed per (source, page) first, so a source with most items spreads over its pages.
+    """
     us = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    g = log.groupBy(F.col(source_col).alias("source")).agg(
-        F.count(F.lit(1)).alias("n_items"), ((F.max(us) - F.min(us)) / 1e6).alias("seconds"))
-    return g.withColumn("items_per_sec",
-                        F.round(F.when(F.col("seconds") > 0, F.col("n_items") / F.col("seconds")), 6))
+    p = log.groupBy(F.col(source_col).alias("source"), F.col(page_col).alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(us).alias("_a"), F.max(us).alias("_b"))
+    g = p.groupBy("source").agg(F.sum("_n").alias("n_items"), F.count("_p").alias("n_pages"),
+                                ((F.max("_b") - F.min("_a")) / 1e6).alias("seconds"))
+    rate = lambda n: F.round(F.when(F.col("seconds") > 0, n / F.col("seconds")), 6)
+    return g.withColumn("items_per_sec", rate(F.col("n_items"))).withColumn("pages_per_min", rate(F.col("n_pages") * 60))
 
 
 def tail(df: DataFrame, order_cols, n: int = 5) -> DataFrame:

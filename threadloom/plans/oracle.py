@@ -51,7 +51,7 @@ def lcode(x: str) -> str:
 
 
 def esc(x: str) -> str:
-    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    return f"replace(replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&#34;'), chr(223), '&#xDF;')"
 
 
 def hexd(x: str) -> str:
@@ -64,6 +64,7 @@ def hexd(x: str) -> str:
 def conv_posts_cte(name: str = "posts") -> str:
     a, b, c, d = SITE_SOURCES
     tid = "CAST(conv_id AS VARCHAR)"
+    bt = "CASE WHEN left_open THEN '<b>' ELSE '' END"
     q, r, qa = esc("coalesce(prev_text, '')"), esc("coalesce(text, '')"), "coalesce(prev_role, '')"
     return f"""
 {name}_src AS (
@@ -77,7 +78,8 @@ def conv_posts_cte(name: str = "posts") -> str:
 ),
 {name}_q AS (
   SELECT *, (turn > 0 AND prev_text IS NOT NULL
-             AND {hexd(tid + " || ':' || CAST(turn AS VARCHAR)")} IN ('0','1','2','3','4')) AS is_quote
+             AND {hexd(tid + " || ':' || CAST(turn AS VARCHAR)")} IN ('0','1','2','3','4')) AS is_quote,
+         substr(md5({tid} || ':' || CAST(turn AS VARCHAR)), 2, 1) IN ('0','1','2','3') AS left_open
   FROM {name}_src
 ),
 {name} AS (
@@ -87,11 +89,11 @@ def conv_posts_cte(name: str = "posts") -> str:
                 WHEN '{c}' THEN 'https://psycheforum.ru/topic/' || {tid} || '-t/'
                 ELSE 'https://psyhelp24.org/psihologicheskaya-konsultatsiya-' || {tid} || '/' END AS url,
     role AS author_id, role AS author_name, text,
-    CASE WHEN source = '{a}' AND is_quote THEN '<div class="text"><div class="forum_quote"><div class="quote">' || {q} || '</div></div>' || {r} || '</div>'
+    CASE WHEN source = '{a}' AND is_quote THEN '<div class="text"><div class="forum_quote"><div class="quote">' || {bt} || {q} || '</div></div>' || {r} || '</div>'
          WHEN source = '{a}' THEN '<div class="text">' || {r} || '</div>'
-         WHEN source = '{b}' AND is_quote THEN '<td class="mes qq"><div class="quote"><b>' || {qa} || ' {WROTE_MARKER}:</b>' || {q} || '</div>' || {r} || '</td>'
+         WHEN source = '{b}' AND is_quote THEN '<td class="mes qq"><div class="quote"><b>' || {qa} || ' {WROTE_MARKER}:</b>' || {bt} || {q} || '</div>' || {r} || '</td>'
          WHEN source = '{b}' THEN '<td class="mes qq">' || {r} || '</td>'
-         WHEN source = '{c}' AND is_quote THEN '<div data-role="commentContent"><blockquote><p>' || {q} || '</p></blockquote><p>' || {r} || '</p></div>'
+         WHEN source = '{c}' AND is_quote THEN '<div data-role="commentContent"><blockquote><p>' || {q} || CASE WHEN left_open THEN '' ELSE '</p>' END || '</blockquote><p>' || {r} || '</p></div>'
          WHEN source = '{c}' THEN '<div data-role="commentContent"><p>' || {r} || '</p></div>'
          ELSE '<p>' || {r} || '</p>' END AS html,
     CAST(turn AS BIGINT) AS pos
@@ -117,7 +119,11 @@ DROP_RE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 
 
 def _decode(x: str) -> str:
-    out = x
+    ref = r"""regexp_extract(p, '^&#[xX]?([0-9a-fA-F]+);$', 1)"""
+    code = f"CASE WHEN regexp_matches(p, '^&#[xX]') THEN CAST('0x' || {ref} AS BIGINT) ELSE CAST({ref} AS BIGINT) END"
+    out = f"""CASE WHEN strpos({x}, '&#') > 0 THEN array_to_string(list_transform(
+      regexp_extract_all({x}, '&#[xX][0-9a-fA-F]{{1,8}};|&#[0-9]{{1,9}};|[^&]+|&'),
+      lambda p: CASE WHEN {ref} = '' THEN p ELSE chr(CAST({code} AS INTEGER)) END), '') ELSE {x} END"""
     for ent, ch in ENTITIES:
         out = f"replace({out}, {sql_str(ent)}, {sql_str(ch)})"
     return out
@@ -139,7 +145,8 @@ def token_ctes(src: str, key: list[str], keep: list[str], name: str = "tok", anc
         counted = f"tag IN ({', '.join(sql_str(t) for t in count_tags)})"
     else:
         counted = f"tag NOT IN ({void})"
-    counted = f"({counted} AND tag <> '' AND tok NOT LIKE '%/>')"
+    counted = f"({counted} AND tag <> '')"
+    repair = count_tags is None
     shifts = "[" + ", ".join(str(i) for i in range(ancestors + 1)) + "]"
     desc = "{'tpos': tpos, 'tag': tag, 'cls': cls, 'eid': eid, 'role': role}"
     ancs = ",\n".join(
@@ -157,13 +164,13 @@ def token_ctes(src: str, key: list[str], keep: list[str], name: str = "tok", anc
             CASE WHEN regexp_matches(tok, {sql_str(TAG_START)}) THEN lower(regexp_extract(tok, '^</?([A-Za-z][A-Za-z0-9]*)', 1)) ELSE '' END AS tag
   FROM {name}_0
 ),
+{_match_ctes(name, k, counted, repair)},
 {name}_2 AS (
   SELECT *, CASE WHEN kind = 'open' THEN {_attr('class')} ELSE '' END AS cls,
             CASE WHEN kind = 'open' THEN {_attr('id')} ELSE '' END AS eid,
             CASE WHEN kind = 'open' THEN {_attr('data-role')} ELSE '' END AS role,
             CASE WHEN kind = 'text' THEN {_decode('tok')} END AS text,
-            CASE WHEN kind = 'open' AND {counted} THEN 1 WHEN kind = 'close' AND {counted} THEN -1 ELSE 0 END AS delta
-  FROM {name}_1
+  FROM {name}_1m
 ),
 {name}_3 AS (
   SELECT *, sum(delta) OVER (PARTITION BY {k} ORDER BY tpos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS d_after
@@ -191,10 +198,60 @@ def token_ctes(src: str, key: list[str], keep: list[str], name: str = "tok", anc
 )"""
 
 
+def _match_ctes(name: str, k: str, counted: str, repair: bool) -> str:
+    """Tags matched by name; with ``repair`` unclosed blocks, p and li get close rows."""
+    inline = "tag IN ('a','abbr','b','big','cite','code','em','font','i','mark','s','small','span','strike','strong','sub','sup','tt','u')"
+    soft = f"({inline} OR tag IN ('p', 'li'))"
+    up, down = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW", "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
+    w_name, w_doc = f"PARTITION BY {k}, tag ORDER BY tpos", f"PARTITION BY {k} ORDER BY tpos"
+    stray = f"sign = -1 AND mm < lag(mm, 1, 0) OVER ({w_name})"
+    loose = f"sign = 1 AND coalesce(min(dd) OVER ({w_name} {down}), dd) >= dd"
+    if repair:
+        stray = f"CASE WHEN tag = 'p' THEN sign = -1 AND coalesce(lag(sign) OVER ({w_name}), -1) = -1 ELSE {stray} END"
+        loose = f"CASE WHEN tag = 'p' THEN sign = 1 AND coalesce(lead(sign) OVER ({w_name}), 1) = 1 ELSE {loose} END"
+    base = f"""{name}_ma AS (
+  SELECT *, CASE WHEN kind = 'open' AND {counted} THEN 1 WHEN kind = 'close' AND {counted} THEN -1 ELSE 0 END AS sign FROM {name}_1
+),
+{name}_mb AS (SELECT *, sum(sign) OVER ({w_name} {up}) AS ss FROM {name}_ma),
+{name}_mc AS (SELECT *, least(0, min(ss) OVER ({w_name} {up})) AS mm FROM {name}_mb),
+{name}_md AS (SELECT *, ss - mm AS dd FROM {name}_mc),
+{name}_me AS (SELECT *, sign <> 0 AND NOT ({stray}) AND NOT ({loose}) AS firm FROM {name}_md)"""
+    if not repair:
+        return base + f""",
+{name}_1m AS (SELECT * EXCLUDE (tpos, sign, ss, mm, dd, firm), CASE WHEN firm THEN sign ELSE 0 END AS delta, CAST(tpos AS BIGINT) * 1048576 AS tpos FROM {name}_me)"""
+    return base + f""",
+{name}_mf AS (
+  SELECT *, sum(CASE WHEN firm AND NOT {soft} THEN sign ELSE 0 END) OVER ({w_doc} {up}) AS cd,
+         CASE WHEN tag = 'p' THEN 0 WHEN sign = 1 THEN dd ELSE dd + 1 END AS lv FROM {name}_me
+),
+{name}_mg AS (
+  SELECT * EXCLUDE (firm), firm AND NOT coalesce({soft} AND cd <> CASE WHEN sign = 1 THEN lead(cd) OVER wp ELSE lag(cd) OVER wp END, false) AS firm
+  FROM {name}_mf WINDOW wp AS (PARTITION BY {k}, tag, firm, lv ORDER BY tpos)
+),
+{name}_mh AS (SELECT *, CASE WHEN firm THEN sign ELSE 0 END AS delta0, sign = 1 AND NOT firm AND NOT {inline} AS hangs FROM {name}_mg),
+{name}_mi AS (SELECT *, sum(delta0) OVER ({w_doc} {up}) AS df FROM {name}_mh),
+{name}_mj AS (SELECT *, CASE WHEN delta0 = -1 THEN df + 1 ELSE df END AS lev FROM {name}_mi),
+{name}_mk AS (
+  SELECT *, CASE WHEN hangs THEN least(
+    coalesce(first_value(CASE WHEN delta0 = -1 THEN tpos END IGNORE NULLS) OVER (PARTITION BY {k}, lev ORDER BY tpos {down}), 1073741824),
+    coalesce(CASE WHEN tag = 'p' THEN first_value(CASE WHEN sign = 1 AND NOT {inline} THEN tpos END IGNORE NULLS) OVER ({w_doc} {down})
+                  WHEN tag = 'li' THEN first_value(CASE WHEN sign = 1 THEN tpos END IGNORE NULLS) OVER (PARTITION BY {k}, lev, tag ORDER BY tpos {down}) END,
+             1073741824)) END AS ends FROM {name}_mj
+),
+{name}_ml AS (SELECT *, row_number() OVER (PARTITION BY {k}, ends ORDER BY tpos) AS nth FROM {name}_mk),
+{name}_mm AS (SELECT *, unnest(CASE WHEN hangs THEN [0, 1] ELSE [0] END) AS made FROM {name}_ml),
+{name}_1m AS (
+  SELECT * EXCLUDE (tpos, kind, tok, sign, ss, mm, dd, firm, cd, lv, delta0, hangs, df, lev, ends, nth, made),
+         CASE WHEN made = 1 THEN -1 WHEN hangs THEN 1 ELSE delta0 END AS delta, CASE WHEN made = 1 THEN 'close' ELSE kind END AS kind,
+         CASE WHEN made = 1 THEN '' ELSE tok END AS tok,
+         CASE WHEN made = 1 THEN CAST(ends AS BIGINT) * 1048576 - nth ELSE CAST(tpos AS BIGINT) * 1048576 END AS tpos
+  FROM {name}_mm)"""
+
+
 def _pred(d: str, tag: str, cls: str | None = None, role: str | None = None, eid: str | None = None) -> str:
     c = f"coalesce({d}.tag = '{tag}'"
-    if cls is not None:
-        c += f" AND {d}.cls = {sql_str(cls)}"
+    for one in (cls or "").split():
+        c += f" AND list_contains(regexp_split_to_array({d}.cls, '\\s+'), {sql_str(one)})"
     if role is not None:
         c += f" AND {d}.role = {sql_str(role)}"
     if eid is not None:
@@ -507,8 +564,9 @@ SELECT * FROM (SELECT CAST(floor((step - 1) / 500) AS BIGINT) AS window, round(a
 ORACLE["loss_windows_all"] = with_(LOSS, select="""
 SELECT CAST(floor((step - 1) / 500) AS BIGINT) AS window, round(avg(loss), 6) AS mean_loss, count(*) AS n_steps FROM losses GROUP BY 1""")
 ORACLE["harvest_rate"] = """
-SELECT source, n_items, seconds, round(CASE WHEN seconds > 0 THEN n_items / seconds END, 6) AS items_per_sec FROM (
-  SELECT event_type AS source, count(*) AS n_items, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds
+SELECT source, n_items, n_pages, seconds, round(CASE WHEN seconds > 0 THEN n_items / seconds END, 6) AS items_per_sec,
+       round(CASE WHEN seconds > 0 THEN n_pages * 60 / seconds END, 6) AS pages_per_min FROM (
+  SELECT event_type AS source, count(*) AS n_items, count(DISTINCT user_id) AS n_pages, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds
   FROM events GROUP BY event_type)"""
 _req = ["author_id", "author_name", "text", "topic_id", "url", "html"]
 ORACLE["contract_fields"] = with_(CONV, select="SELECT source, count(*) AS n_posts, " + ", ".join(
@@ -604,13 +662,14 @@ from threadloom.operators.links import A_TAG_PATTERN, HAS_HREF, LINK_RULES, TOPI
 
 PTOK = token_ctes("pages", ["page_id"], [], name="ptok", ancestors=1, count_tags=PAGE_CONTAINERS)
 PTOK0 = token_ctes("pages", ["page_id"], [], name="ptok", ancestors=0, count_tags=PAGE_CONTAINERS)
+LTOK0 = token_ctes("lpages", ["page_id"], [], name="ptok", ancestors=0, count_tags=PAGE_CONTAINERS)
 PK = "page_id"
 
 ORACLE["scan_pages"] = r"""
 SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) AS host,
        CAST(length(html) AS BIGINT) AS n_chars FROM pages"""
 ORACLE["html_tokens"] = with_(PTOK, select="""
-SELECT page_id, CAST(tpos AS BIGINT) AS tpos, kind, tag, CAST(d_before AS BIGINT) AS depth,
+SELECT page_id, tpos // 1048576 AS tpos, kind, tag, CAST(d_before AS BIGINT) AS depth,
        CASE WHEN is_elem OR (kind = 'close' AND delta = -1) THEN anc1.tag ELSE anc0.tag END AS parent_tag, text
 FROM ptok""")
 ORACLE["html_depth"] = with_(PTOK0, select="""
@@ -642,39 +701,37 @@ SELECT page_id, CAST(len(m) AS BIGINT) AS n_values, array_to_string(m, '-') AS j
   SELECT page_id, v, list_filter(list_transform(v, lambda x: nullif({strip('x')}, '')), lambda x: x IS NOT NULL) AS m
   FROM (SELECT page_id, coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND in_nav > 0), []) AS v
         FROM (SELECT *, {_inside(_pred('anc0', 'nav'), PK)} AS in_nav FROM ptok) GROUP BY page_id))""")
-ORACLE["topic_title"] = with_(PTOK0, select=f"""
-SELECT page_id, h1d[1] AS title_a,
-       array_to_string(list_filter(list_transform(h1, lambda x: nullif({strip('x')}, '')), lambda x: x IS NOT NULL), '-') AS title_b,
-       {strip("array_to_string(h1, ' ')")} AS title_c, h2[1] AS title_d FROM (
-  SELECT page_id,
-         coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND {_pred('anc0', 'h1')}), []) AS h1d,
-         coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND in_h1 > 0), []) AS h1,
-         coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND in_h2 > 0), []) AS h2
-  FROM (SELECT *, {_inside(_pred('anc0', 'h1'), PK)} AS in_h1, {_inside(_pred('anc0', 'h2'), PK)} AS in_h2 FROM ptok)
-  GROUP BY page_id)""")
-
 LINKS_CTE = f"""plinks AS (
   SELECT page_id, url, CAST(u.i - 1 AS BIGINT) AS link_no, {_decode('u.h')} AS href
-  FROM pages, unnest(list_transform(list_filter(regexp_extract_all(regexp_replace(html, {sql_str(DROP_RE)}, '', 'g'),
+  FROM lpages, unnest(list_transform(list_filter(regexp_extract_all(regexp_replace(html, {sql_str(DROP_RE)}, '', 'g'),
                                                                    {sql_str(A_TAG_PATTERN)}),
                                                  lambda t: regexp_matches(t, {sql_str(HAS_HREF)})),
                                      lambda t: {_attr('href', 't')}))
        WITH ORDINALITY AS u(h, i))"""
 
 
+def _no_dots_sql(path: str) -> str:
+    segs = f"string_split({path}, '/')[2:]"
+    kept = (f"list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform({segs}, lambda s: [s])), lambda acc, x: CASE WHEN x[1] = '.' THEN acc "
+            f"WHEN x[1] = '..' THEN acc[1:len(acc) - 1] ELSE list_concat(acc, x) END)")
+    end = f"CASE WHEN {segs}[-1] IN ('.', '..') THEN list_append({kept}, '') ELSE {kept} END"
+    return f"CASE WHEN strpos({path}, '/.') > 0 THEN '/' || array_to_string({end}, '/') ELSE {path} END"
+
+
 def url_join_sql(base: str, href: str) -> str:
     sch = f"regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1)"
     origin = f"regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1)"
-    folder = f"regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^?#]*/)', 1)"
+    folder = f"coalesce(nullif(regexp_extract({base}, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*(/[^?#]*/|/)', 1), ''), '/')"
+    path, rest = f"regexp_extract({href}, '^([^?#]*)', 1)", f"regexp_extract({href}, '^[^?#]*(.*)$', 1, 's')"
     no_frag = f"regexp_extract({base}, '^([^#]*)', 1)"
     no_query = f"regexp_extract({base}, '^([^?#]*)', 1)"
     return f"""(CASE WHEN regexp_matches({href}, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN {href}
       WHEN starts_with({href}, '//') THEN {sch} || ':' || {href}
-      WHEN starts_with({href}, '/') THEN {origin} || {href}
+      WHEN starts_with({href}, '/') THEN {origin} || {_no_dots_sql(path)} || {rest}
       WHEN starts_with({href}, '?') THEN {no_query} || {href}
       WHEN starts_with({href}, '#') THEN {no_frag} || {href}
       WHEN {href} = '' THEN {no_frag}
-      ELSE (CASE WHEN {folder} <> '' THEN {folder} ELSE {origin} || '/' END) || {href} END)"""
+      ELSE {origin} || {_no_dots_sql('(' + folder + ' || ' + path + ')')} || {rest} END)"""
 
 
 def link_rule_sql(u: str) -> str:
@@ -700,36 +757,9 @@ NAV_LINKS = f"""navlinks AS (
   FROM (SELECT *, {_inside(_pred('anc0', 'nav'), PK)} AS in_nav FROM ptok)
   WHERE kind = 'open' AND tag = 'a' AND in_nav > 0)"""
 PAGER = """pager AS (
-  SELECT p.page_id, p.url, n.pager FROM pages p
+  SELECT p.page_id, p.url, n.pager FROM lpages p
   LEFT JOIN (SELECT page_id, list(href ORDER BY link_no) AS pager FROM navlinks GROUP BY page_id) n USING (page_id))"""
 
-ORACLE["links"] = with_(LINKS_CTE, select="SELECT page_id, url, link_no, href FROM plinks")
-ORACLE["links_in_region"] = with_(PTOK0, NAV_LINKS, select="SELECT * FROM navlinks")
-ORACLE["url_join"] = with_(LINKS_CTE, RESOLVED, select="SELECT page_id, link_no, abs_url FROM rlinks")
-ORACLE["link_rules"] = with_(LINKS_CTE, RESOLVED, select=f"""
-SELECT *, {link_rule_sql('abs_url')} AS rule FROM (
-  SELECT page_id, link_no, abs_url FROM rlinks UNION ALL SELECT page_id, CAST(-1 AS BIGINT), url FROM pages)""")
-_path = r"regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/$', '')"
-ORACLE["next_page"] = with_(PTOK0, NAV_LINKS, PAGER, select=f"""
-SELECT page_id, CASE WHEN len(coalesce(pager, [])) = 0 THEN NULL
-                     WHEN list_position(pager, {_path}) IS NULL THEN pager[1]
-                     ELSE pager[list_position(pager, {_path}) + 1] END AS next_href
-FROM pager""")
-ORACLE["next_topic_page"] = with_(PTOK0, NAV_LINKS, PAGER, select=r"""
-SELECT page_id, CASE WHEN len(coalesce(pager, [])) = 0 THEN NULL
-                     WHEN strpos(url, '?page=') = 0 THEN pager[1]
-                     WHEN regexp_extract(url, '\?page=(\d+)', 1) <> ''
-                          AND CAST(regexp_extract(url, '\?page=(\d+)', 1) AS INTEGER) >= 1
-                       THEN pager[CAST(regexp_extract(url, '\?page=(\d+)', 1) AS INTEGER)] END AS next_href
-FROM pager""")
-ORACLE["frontier"] = with_(LINKS_CTE, RESOLVED, select=r"""
-SELECT DISTINCT url FROM (
-  SELECT regexp_replace(abs_url, '#.*$', '') AS url FROM rlinks) c
-WHERE lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) IN
-      (SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) FROM pages)
-  AND url NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)""")
-
-
 # --------------------------------------------------------------------------
 # forum pages rendered from conversations, and extraction back to posts
 # --------------------------------------------------------------------------
@@ -748,15 +778,29 @@ def forum_pages_cte(name: str = "fpages", per_page: int = 3) -> str:
                  WHEN role = 'user' THEN '<p><strong>' || role || '</strong>: ' || {t} || '</p>'
                  ELSE '<p>' || {t} || '</p>' END) END"""
     title = esc(f"'Topic ' || {tid}")
+    word = "CASE WHEN substr(md5(topic_id), 2, 1) = '0' THEN 'tema' ELSE 'topic' END"
+    h1 = f"CASE WHEN substr(md5(topic_id), 2, 1) = '1' THEN ' ' ELSE {title} END"
+    nxt = "CAST(page_no + 1 AS VARCHAR)"
+    pager = f"""CASE WHEN page_no > 2 THEN ''
+      WHEN source = '{b}' THEN '<div class="body_padding"><div class="page-list"><span><a rel="prev" href="?id=0">0</a><a rel="nofollow" href="topic.php?id=' || topic_id || '&amp;page=' || {nxt} || '">next</a></span></div></div>'
+      WHEN source = '{c}' THEN '<ul><li class="ipsPagination_prev"><a href="#">p</a></li><li class="ipsPagination_next wide"><a href="https://psycheforum.ru/topic/' || topic_id || '-t/page/' || {nxt} || '/">next</a></li></ul>'
+      ELSE '' END"""
+    tail = f"""('<nav class="crumbs wide"><a href="../">up</a><a href="?page=' || {nxt} || '">more</a></nav>' || {pager} ||
+      '<footer><a href="//psycheforum.ru/forum/17-x/">a</a><a href="https://psycheforum.ru/forum/17-x/?do=markRead">b</a><a href="https://www.b17.ru/forum/topic.php?id=' || topic_id ||
+      '">c</a><a href="https://www.b17.ru/forum/topic.php?id=' || topic_id || '&amp;p=2">d</a><a href="https://psycheforum.ru/topic/' || topic_id ||
+      '-t/">e</a><a href="https://psycheforum.ru/topic/3273-t/">f</a><a href="https://psyhelp24.org/psihologicheskaya-konsultatsiya-' || topic_id ||
+      '/">g</a><a href="#top">h</a><a href="">i</a><a href="./x/../y/./z.html?q=../r#s">j</a><a href="../../../w">k</a><a href="/p/./q/..">l</a><a href="' ||
+      {esc('url')} || '#seen">m</a></footer></body></html>')"""
     head = f"'<html><head><title>' || {title} || '</title></head><body>'"
     return f"""
 {name}_c AS (
-  SELECT *, CASE WHEN source = '{d}' THEN 1 ELSE CAST(floor(turn / {per_page}) AS INTEGER) + 1 END AS page_no,
+  SELECT *, CAST(floor(turn / CASE WHEN source = '{d}' THEN 64 ELSE {per_page} END) AS INTEGER) + 1 AS page_no,
          {row} AS row_html
   FROM (SELECT conv_id, turn, role, text, {tid} AS topic_id,
                CASE WHEN {hexd(tid)} IN ('0','1','2','3') THEN '{a}' WHEN {hexd(tid)} IN ('4','5','6','7') THEN '{b}'
                     WHEN {hexd(tid)} IN ('8','9','a','b') THEN '{c}' ELSE '{d}' END AS source
-        FROM conversations)
+        FROM (SELECT conv_id, turn, role, CASE WHEN {hexd(tid)} IN ('0','1','2','3') AND substr(md5({tid} || ':' || CAST(turn AS VARCHAR)), 3, 1) = '0'
+                                               THEN ' ' ELSE text END AS text FROM conversations))
 ),
 {name}_r AS (
   SELECT source, topic_id, conv_id, page_no,
@@ -764,17 +808,21 @@ def forum_pages_cte(name: str = "fpages", per_page: int = 3) -> str:
   FROM {name}_c GROUP BY source, topic_id, conv_id, page_no
 ),
 {name}_o AS (SELECT {tid} AS topic_id, '<tr>' || {cells} || '</tr>' AS opening FROM conversations WHERE turn = 0),
-{name} AS (
-  SELECT source, topic_id, page_no,
-    CASE WHEN source = '{a}' THEN 'https://psy.su/club/forum/topic/' || topic_id || '/' || CASE WHEN page_no > 1 THEN '?page=' || CAST(page_no AS VARCHAR) ELSE '' END
-         WHEN source = '{b}' THEN 'https://www.b17.ru/forum/topic.php?id=' || topic_id || CASE WHEN page_no > 1 THEN '&page=' || CAST(page_no AS VARCHAR) ELSE '' END
-         WHEN source = '{c}' THEN 'https://psycheforum.ru/topic/' || topic_id || '-t/' || CASE WHEN page_no > 1 THEN 'page/' || CAST(page_no AS VARCHAR) || '/' ELSE '' END
-         ELSE 'https://psyhelp24.org/psihologicheskaya-konsultatsiya-' || topic_id || '/' END AS url,
-    CASE WHEN source = '{a}' THEN {head} || '<h1>' || {title} || '</h1><table class="forum"><tr><th>Author</th><th>Text</th></tr>' || body || '</table></body></html>'
-         WHEN source = '{b}' THEN {head} || '<h1> ' || {title} || ' </h1><div class="body_padding"><div id="table-forum-post"><div><table>' || coalesce(opening, '') || '</table></div></div><div id="topic_post_list">' || body || '</div></div></body></html>'
-         WHEN source = '{c}' THEN {head} || '<h1>' || {title} || '</h1>' || body || '</body></html>'
-         ELSE {head} || '<h2>' || {title} || '</h2><div class="post-content"><p>' || {title} || '</p><p>Psychologist</p><p><img src="/p.jpg"></p>' || body || '</div></body></html>' END AS html
+{name}_u AS (
+  SELECT *,
+    CASE WHEN source = '{a}' THEN 'https://psy.su/club/forum/' || {word} || '/' || topic_id || '/' || CASE WHEN page_no > 1 THEN '?page=' || CAST(page_no AS VARCHAR) ELSE '' END
+         WHEN source = '{b}' THEN 'https://www.b17.ru/forum/' || {word} || '.php?id=' || topic_id || CASE WHEN page_no > 1 THEN '&page=' || CAST(page_no AS VARCHAR) ELSE '' END
+         WHEN source = '{c}' THEN 'https://psycheforum.ru/' || {word} || '/' || topic_id || '-t/' || CASE WHEN page_no > 1 THEN 'page/' || CAST(page_no AS VARCHAR) || '/' ELSE '' END
+         ELSE 'https://psyhelp24.org/psihologicheskaya-konsultatsiya-' || topic_id || '/' END AS url
   FROM {name}_r LEFT JOIN {name}_o USING (topic_id)
+),
+{name} AS (
+  SELECT source, topic_id, page_no, url,
+    CASE WHEN source = '{a}' THEN {head} || '<h1>' || {title} || '</h1><table class="forum"><tr><th>Author</th><th>Text</th></tr>' || body || '</table>' || {tail}
+         WHEN source = '{b}' THEN {head} || '<h1> ' || {h1} || ' </h1><div class="body_padding"><div id="table-forum-post"><div><table>' || coalesce(opening, '') || '</table></div></div><div id="topic_post_list">' || body || '</div></div>' || {tail}
+         WHEN source = '{c}' THEN {head} || '<h1>' || {h1} || '</h1>' || body || {tail}
+         ELSE {head} || '<h2>' || {title} || '</h2><div class="post-content"><p>' || {title} || '</p><p>Psychologist</p><p><img src="/p.jpg"></p>' || body || '</div>' || {tail} END AS html
+  FROM {name}_u
 )"""
 
 
@@ -912,6 +960,69 @@ def author_id_sql(src: str, href: str) -> str:
 
 
 FP = forum_pages_cte()
+LPAGES = """lpages AS (
+  SELECT page_id, url, html FROM pages
+  UNION ALL SELECT -(CAST(topic_id AS BIGINT) * 1000 + page_no + 1), url, html FROM fpages)"""
+ORACLE["topic_title"] = with_(FP, LPAGES, LTOK0, select=f"""
+SELECT page_id, h1d[1] AS title_a,
+       array_to_string(list_filter(list_transform(h1, lambda x: nullif({strip('x')}, '')), lambda x: x IS NOT NULL), '-') AS title_b,
+       {strip("array_to_string(h1, ' ')")} AS title_c, h2[1] AS title_d FROM (
+  SELECT page_id,
+         coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND {_pred('anc0', 'h1')}), []) AS h1d,
+         coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND in_h1 > 0), []) AS h1,
+         coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND in_h2 > 0), []) AS h2
+  FROM (SELECT *, {_inside(_pred('anc0', 'h1'), PK)} AS in_h1, {_inside(_pred('anc0', 'h2'), PK)} AS in_h2 FROM ptok)
+  GROUP BY page_id)""")
+
+ORACLE["links"] = with_(FP, LPAGES, LINKS_CTE, select="SELECT page_id, url, link_no, href FROM plinks")
+ORACLE["links_in_region"] = with_(FP, LPAGES, LTOK0, NAV_LINKS, select="SELECT * FROM navlinks")
+ORACLE["url_join"] = with_(FP, LPAGES, LINKS_CTE, RESOLVED, select="SELECT page_id, link_no, abs_url FROM rlinks")
+ORACLE["link_rules"] = with_(FP, LPAGES, LINKS_CTE, RESOLVED, select=f"""
+SELECT *, {link_rule_sql('abs_url')} AS rule FROM (
+  SELECT page_id, link_no, abs_url FROM rlinks UNION ALL SELECT page_id, CAST(-1 AS BIGINT), url FROM lpages)""")
+_path = r"regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/$', '')"
+ORACLE["next_page"] = with_(FP, LPAGES, LTOK0, NAV_LINKS, PAGER, select=f"""
+SELECT page_id, CASE WHEN len(coalesce(pager, [])) = 0 THEN NULL
+                     WHEN list_position(pager, {_path}) IS NULL THEN pager[1]
+                     ELSE pager[list_position(pager, {_path}) + 1] END AS next_href
+FROM pager""")
+ORACLE["next_topic_page"] = with_(FP, LPAGES, LTOK0, NAV_LINKS, PAGER, select=r"""
+SELECT page_id, CASE WHEN len(coalesce(pager, [])) = 0 THEN NULL
+                     WHEN strpos(url, '?page=') = 0 THEN pager[1]
+                     WHEN regexp_extract(url, '\?page=(\d+)', 1) <> ''
+                          AND CAST(regexp_extract(url, '\?page=(\d+)', 1) AS INTEGER) >= 1
+                       THEN pager[CAST(regexp_extract(url, '\?page=(\d+)', 1) AS INTEGER)] END AS next_href
+FROM pager""")
+ORACLE["frontier"] = with_(FP, LPAGES, LINKS_CTE, RESOLVED, select=r"""
+SELECT DISTINCT url FROM (
+  SELECT regexp_replace(abs_url, '#.*$', '') AS url FROM rlinks) c
+WHERE lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) IN
+      (SELECT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) FROM lpages)
+  AND url NOT IN (SELECT regexp_replace(url, '#.*$', '') FROM lpages WHERE url IS NOT NULL)""")
+
+
+LTOK3 = token_ctes("lpages", ["page_id"], [], name="ptok", ancestors=3)
+
+
+def next_first_ctes(pages: str, key: str) -> list[str]:
+    into = "is_elem AND coalesce(anc0.tag = 'li' AND strpos(anc0.cls, 'ipsPagination_next') > 0, false)"
+    out = "kind = 'close' AND delta = -1 AND coalesce(anc0.tag = 'li' AND strpos(anc0.cls, 'ipsPagination_next') > 0, false)"
+    return [f"""nf AS (
+  SELECT *, sum(CASE WHEN {into} THEN 1 WHEN {out} THEN -1 ELSE 0 END) OVER (PARTITION BY {key} ORDER BY tpos
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - CASE WHEN {into} THEN 1 ELSE 0 END AS in_li FROM ptok)""", f"""nfirst AS (
+  SELECT {key},
+    min({{'tpos': tpos, 'href': {_decode(_attr('href'))}}}) FILTER (WHERE kind = 'open' AND tag = 'a' AND {_attr('rel')} = 'nofollow'
+      AND coalesce(anc1.tag = 'span' AND anc2.cls = 'page-list' AND anc3.cls = 'body_padding', false)).href AS b,
+    min({{'tpos': tpos, 'href': {_decode(_attr('href'))}}}) FILTER (WHERE kind = 'open' AND in_li > 0 AND {_attr('href')} <> '').href AS c
+  FROM nf GROUP BY {key})""", f"""nextf AS (
+  SELECT p.{key}, CASE WHEN n.b IS NOT NULL THEN {url_join_sql('p.url', 'n.b')} ELSE n.c END AS next_href
+  FROM {pages} p LEFT JOIN nfirst n USING ({key}))"""]
+
+
+ORACLE["next_page_first"] = with_(FP, LPAGES, LTOK3, *next_first_ctes("lpages", "page_id"), select="SELECT page_id, next_href FROM nextf")
+ORACLE["contract_follow_ups"] = with_(FP, f"bpages AS (SELECT url, url AS page, html FROM fpages WHERE source = '{SITE_SOURCES[1]}')",
+    token_ctes("bpages", ["page"], [], name="ptok", ancestors=3), *next_first_ctes("bpages", "page"), select="""
+SELECT page AS url, CAST(next_href IS NOT NULL AS BIGINT) AS n_follow_ups, next_href IS NOT NULL AS ok FROM nextf""")
 EX = extraction_ctes()
 _POST_OUT = "source, topic_id, page_no, rec_no, author_href, author_name, text, html"
 for _k, _s in (("posts_site_a", 0), ("posts_site_b", 1), ("posts_site_c", 2)):
@@ -920,7 +1031,7 @@ ORACLE["posts_site_d"] = with_(FP, *EX, select=f"SELECT {_POST_OUT}, role FROM e
 ORACLE["page_yield"] = with_(FP, *EX, select=f"""
 SELECT {FKS}, count(*) AS n_rows, CAST(count_if(ready) AS BIGINT) AS n_ready FROM extracted WHERE source = '{SITE_SOURCES[0]}' GROUP BY {FKS}""")
 ORACLE["drop_repeat_opening"] = with_(FP, *EX, select=f"""
-SELECT {FKS}, CAST(tpos AS BIGINT) AS tpos FROM ftok
+SELECT {FKS}, tpos // 1048576 AS tpos FROM ftok
 WHERE source = '{SITE_SOURCES[1]}' AND page_no > 1 AND is_elem AND tag = 'tr' AND {_pred('anc3', 'div', eid='table-forum-post')}""")
 GUESTS = f"""guests AS (
   SELECT author_name, '{'gst_'}' || CAST(row_number() OVER (ORDER BY f.source, f.topic_id, f.page_no, f.rec_no) - 1 AS VARCHAR) AS guest_id
@@ -1007,9 +1118,8 @@ ORACLE["dataset_union"] = with_(CONV, QP, chain_ctes(), quote_dialog_cte(), PAIR
 SELECT {DK}, line, CAST(row_number() OVER (ORDER BY {DK}) - 1 AS BIGINT) AS line_no FROM (
   SELECT {DK}, line FROM ({encode_select('pairs')})
   UNION ALL SELECT {DK}, line FROM ({encode_select('dchain')}))""")
-ORACLE["blocked_pages"] = with_(FP, select=f"""
-SELECT url, 200 AS status FROM (SELECT url, html AS body FROM pages UNION ALL SELECT url, html FROM fpages)
-WHERE 200 = 503 AND strpos(url, 'b17.ru') > 0 AND strpos(body, {sql_str('Доступ к сайту b17.ru для вашего IP адреса временно заблокирован')}) > 0""")
+ORACLE["blocked_pages"] = with_(FP, LPAGES, select="""
+SELECT url, 503 AS status FROM lpages WHERE strpos(url, 'b17.ru') > 0 AND substr(md5(url), 1, 1) IN ('0', '1')""")
 
 ORACLE["dataset_tail"] = with_(*LINE_CTES[:-1], select=f"SELECT {DK}, line FROM lines ORDER BY {', '.join(c + ' DESC' for c in DK.split(', '))} LIMIT 5")
 

@@ -256,7 +256,7 @@ def q_loss_windows_all(spark, sf):
 
 @query("harvest_rate")
 def q_harvest_rate(spark, sf):
-    return stats.harvest_rate(read_table(spark, sf, "events"), source_col="event_type")
+    return stats.harvest_rate(read_table(spark, sf, "events"), source_col="event_type", page_col="user_id")
 
 
 @query("contract_fields")
@@ -273,10 +273,10 @@ def q_contract_rows(spark, sf):
 # sampling, splitting, packing (on the encoded dataset lines)
 # --------------------------------------------------------------------------
 def dataset_lines(spark, sf):
-    """The encoded dataset as a stage table (sampling and packing read it twice)."""
-    from threadloom.session import materialize
-    return materialize(encode.encode_pairs(dialog_pairs(conv_posts(spark, sf))).select(*DATASET_KEY, "line"),
-                       "dataset_lines")
+    """The encoded dataset as a stage table, built once for all queries that start from lines."""
+    from threadloom.session import shared_stage
+    return shared_stage(spark, "dataset_lines", read_table(spark, sf, "conversations"), lambda: encode.encode_pairs(
+        dialog_pairs(conv_posts(spark, sf))).select(*DATASET_KEY, "line"))
 
 
 @query("shuffle")
@@ -426,66 +426,84 @@ def q_field_join(spark, sf):
 
 @query("topic_title")
 def q_topic_title(spark, sf):
-    return PG.topic_titles(PG.page_tokens(_pages(spark, sf), ancestors=0))
+    return PG.topic_titles(PG.page_tokens(_link_pages(spark, sf), ancestors=0))
+
+
+def _link_pages(spark, sf):
+    """Harvested pages and topic pages, whose links have every form and hit every rule."""
+    return link_pages(_pages(spark, sf), forum_pages(spark, sf))
 
 
 @query("links")
 def q_links(spark, sf):
-    return L.links(_pages(spark, sf))
+    return L.links(_link_pages(spark, sf))
 
 
 @query("links_in_region")
 def q_links_in_region(spark, sf):
-    return L.region_links(_pages(spark, sf), is_el("nav"), count_tags=PG.PAGE_CONTAINERS)
+    return L.region_links(_link_pages(spark, sf), is_el("nav"), count_tags=PG.PAGE_CONTAINERS)
 
 
 @query("url_join")
 def q_url_join(spark, sf):
-    return L.resolved_links(_pages(spark, sf)).select("page_id", "link_no", "abs_url")
+    return L.resolved_links(_link_pages(spark, sf)).select("page_id", "link_no", "abs_url")
 
 
 @query("link_rules")
 def q_link_rules(spark, sf):
     """L2 over every resolved link and every page url."""
-    ln = L.resolved_links(_pages(spark, sf)).select("page_id", "link_no", "abs_url")
-    pg = _pages(spark, sf).select("page_id", F.lit(-1).cast("bigint").alias("link_no"), F.col("url").alias("abs_url"))
+    ln = L.resolved_links(_link_pages(spark, sf)).select("page_id", "link_no", "abs_url")
+    pg = _link_pages(spark, sf).select("page_id", F.lit(-1).cast("bigint").alias("link_no"), F.col("url").alias("abs_url"))
     u = ln.unionByName(pg)
-    return u.withColumn("rule", L.link_rule(F.col("abs_url")))
+    return L.with_link_rule(u)
 
 
 @query("next_page")
 def q_next_page(spark, sf):
-    p = _pages(spark, sf)
+    p = _link_pages(spark, sf)
     return L.next_page(p, L.region_links(p, is_el("nav"), count_tags=PG.PAGE_CONTAINERS))
 
 
 @query("next_topic_page")
 def q_next_topic_page(spark, sf):
-    p = _pages(spark, sf)
+    p = _link_pages(spark, sf)
     return L.next_topic_page(p, L.region_links(p, is_el("nav"), count_tags=PG.PAGE_CONTAINERS))
 
 
 @query("frontier")
 def q_frontier(spark, sf):
-    p = _pages(spark, sf)
+    p = _link_pages(spark, sf)
     hosts = p.select(L.url_host(F.col("url")).alias("host"))
     return L.frontier(L.resolved_links(p), p, hosts)
 
 
+@query("next_page_first")
+def q_next_page_first(spark, sf):
+    return L.next_page_first(_link_pages(spark, sf))
+
+
+@query("contract_follow_ups")
+def q_contract_follow_ups(spark, sf):
+    """K2: b17 pages and their follow-up link."""
+    p = forum_pages(spark, sf).filter(F.col("source") == X.B).select("url", "html")
+    return contracts.contract_follow_ups(L.next_page_first(p.withColumn("page", F.col("url")), key="page").withColumnRenamed("page", "url"))
+
+
 # --------------------------------------------------------------------------
 # forum pages -> posts (E1-E15), on topic pages rendered from conversations
 # --------------------------------------------------------------------------
 from threadloom.operators import extract as X  # noqa: E402
-from threadloom.sources.forum_pages import forum_pages_from_conversations  # noqa: E402
+from threadloom.sources.forum_pages import fetch_log, forum_pages_from_conversations, link_pages  # noqa: E402
 
 POST_OUT = ["source", "topic_id", "page_no", "rec_no", "author_href", "author_name", "text", "html"]
 
 
 def forum_pages(spark, sf):
     """Rendered topic pages as a stage table (the extraction input, read by
-    several branches: records, page urls, rejected pages)."""
-    from threadloom.session import materialize
-    return materialize(forum_pages_from_conversations(read_table(spark, sf, "conversations")), "forum_pages")
+    several branches: records, page urls, rejected pages), built once."""
+    from threadloom.session import shared_stage
+    conv = read_table(spark, sf, "conversations")
+    return shared_stage(spark, "forum_pages", conv, lambda: forum_pages_from_conversations(conv))
 
 
 def _site_posts(spark, sf, site):
@@ -525,7 +543,7 @@ def q_drop_repeat_opening(spark, sf):
     t = X.forum_tokens(forum_pages(spark, sf))
     rep = t.filter((F.col("source") == X.B) & (F.col("page_no") > 1) & F.col("is_elem") & (F.col("tag") == "tr")
                    & is_el("div", eid="table-forum-post")(F.col("anc3")))
-    return rep.select(*X.PAGE_KEY, F.col("tpos").cast("bigint").alias("tpos"))
+    return rep.select(*X.PAGE_KEY, X.token_no(F.col("tpos")).alias("tpos"))
 
 
 @query("guest_ids")
@@ -722,11 +740,8 @@ def q_dataset_union(spark, sf):
 
 @query("blocked_pages")
 def q_blocked_pages(spark, sf):
-    """K3 over a fetch log of every page fetched (status 200, body = html)."""
-    raw = read_table(spark, sf, "pages").select("url", F.col("html").alias("body"))
-    fp = forum_pages(spark, sf).select("url", F.col("html").alias("body"))
-    log = raw.unionByName(fp).withColumn("status", F.lit(200))
-    return contracts.blocked_pages(log).select("url", "status")
+    """K3 over a fetch log of every page."""
+    return contracts.blocked_pages(fetch_log(_link_pages(spark, sf))).select("url", "status")
 
 
 @query("dataset_tail")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 
@@ -10,7 +11,7 @@ from pyspark.sql import SparkSession
 # Settings that matter at any scale: AQE re-plans shuffles from runtime
 # sizes (coalesces small partitions, splits skewed join partitions), and the
 # broadcast threshold is left at Spark's size-checked default. The token
-# stages are CPU-heavy per byte, so coalesced partitions may be small (128k)
+# stages are CPU-heavy per byte, so coalesced partitions may be small (512k)
 # and small inputs still use every core; large inputs are unaffected.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -79,4 +80,47 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = job_dir(spark, "stage", name)
     df.write.mode("overwrite").parquet(path)
+    drop_at_end(spark, path)
+    return spark.read.parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """Have the driver delete ``path`` when it shuts down."""
+    fs, p = file_system(spark, path)
+    fs.deleteOnExit(p)
+
+
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """True if a write to ``path`` ended well (its success marker is there)."""
+    fs, p = file_system(spark, f"{path}/_SUCCESS")
+    return fs.exists(p)
+
+
+def file_fingerprint(source) -> str:
+    """Digest of the names, sizes and change times of the files behind ``source``; changed data has another one."""
+    spark = source.sparkSession
+    digest = hashlib.md5()
+    for name in sorted(source.inputFiles()):
+        fs, p = file_system(spark, name)
+        status = fs.getFileStatus(p)
+        digest.update(f"{name}:{status.getLen()}:{status.getModificationTime()};".encode())
+    return digest.hexdigest()[:16]
+
+
+def shared_stage(spark: SparkSession, name: str, source, build):
+    """A stage table that the queries of one application share, by the content of ``source``'s files.
+
+    ``build()`` runs unless a finished one is there; a half-written one is
+    built again.
+    """
+    path = job_dir(spark, "shared", spark.sparkContext.applicationId, f"{name}-{file_fingerprint(source)}", unique=False)
+    if not is_finished(spark, path):
+        build().write.mode("overwrite").parquet(path)
+        drop_at_end(spark, path)
     return spark.read.parquet(path)

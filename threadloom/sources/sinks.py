@@ -7,11 +7,11 @@ is what a later job would read.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadloom.session import file_fingerprint, file_system, is_finished  # noqa: F401
+
 # pandas ``to_csv`` defaults: comma, double quote, quotes doubled, no header
 CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "header": "false"}
 
@@ -51,32 +51,13 @@ def read_split(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def file_fingerprint(source: DataFrame) -> str:
-    """Digest of the names, sizes and change times of the files behind ``source``; changed data has another one."""
-    spark = source.sparkSession
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    digest = hashlib.md5()
-    for name in sorted(source.inputFiles()):
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        status = path.getFileSystem(conf).getFileStatus(path)
-        digest.update(f"{name}:{status.getLen()}:{status.getModificationTime()};".encode())
-    return digest.hexdigest()[:16]
-
-
-def is_finished(spark: SparkSession, path: str) -> bool:
-    """True if a write to ``path`` ended well (its success marker is there)."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
-
-
 def set_arrival_times(spark: SparkSession, path: str, column: str) -> None:
     """Give every file under ``path/column=N`` the modification time N seconds after the epoch's first day.
 
     A file stream takes files in the order of these times. Metadata only:
     one call a file.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, root = file_system(spark, path)
     files = fs.listFiles(root, True)
     while files.hasNext():
         name = files.next().getPath()

@@ -14,10 +14,11 @@ literally (see ``threadloom.plans.oracle``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import hash_bucket_hex
+from threadloom.operators.ranking import scan_lag, with_bucket
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -37,9 +38,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def html_escape(col) -> F.Column:
-    """Escape the three characters that would break markup."""
-    return F.replace(F.replace(F.replace(col, F.lit("&"), F.lit("&amp;")),
-                               F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    """Escape the three characters that would break markup, and write quotes
+    and sharp s as character references."""
+    for char, written in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&#34;"), ("\u00df", "&#xDF;")):
+        col = F.replace(col, F.lit(char), F.lit(written))
+    return col
 
 
 def _site_of(key_col) -> F.Column:
@@ -61,19 +64,21 @@ def _topic_url(source, topic_id) -> F.Column:
                                 topic_id, F.lit("/"))))
 
 
-def _post_html(source, is_quote, quoted, quoted_author, reply) -> F.Column:
-    """Post-body markup in the layout of each site, with or without a quote."""
+def _post_html(source, is_quote, left_open, quoted, quoted_author, reply) -> F.Column:
+    """Post-body markup in the layout of each site, with or without a quote;
+    ``left_open`` posts do not close a tag inside it."""
     q = html_escape(F.coalesce(quoted, F.lit("")))
     r = html_escape(F.coalesce(reply, F.lit("")))
     qa = F.coalesce(quoted_author, F.lit(""))
-    a_q = F.concat(F.lit('<div class="text"><div class="forum_quote"><div class="quote">'), q,
+    b_tag = F.when(left_open, "<b>").otherwise("")
+    a_q = F.concat(F.lit('<div class="text"><div class="forum_quote"><div class="quote">'), b_tag, q,
                    F.lit("</div></div>"), r, F.lit("</div>"))
     a_p = F.concat(F.lit('<div class="text">'), r, F.lit("</div>"))
     b_q = F.concat(F.lit('<td class="mes qq"><div class="quote"><b>'), qa,
-                   F.lit(" " + WROTE_MARKER + ":</b>"), q, F.lit("</div>"), r, F.lit("</td>"))
+                   F.lit(" " + WROTE_MARKER + ":</b>"), b_tag, q, F.lit("</div>"), r, F.lit("</td>"))
     b_p = F.concat(F.lit('<td class="mes qq">'), r, F.lit("</td>"))
     c_q = F.concat(F.lit('<div data-role="commentContent"><blockquote><p>'), q,
-                   F.lit("</p></blockquote><p>"), r, F.lit("</p></div>"))
+                   F.when(left_open, "").otherwise("</p>"), F.lit("</blockquote><p>"), r, F.lit("</p></div>"))
     c_p = F.concat(F.lit('<div data-role="commentContent"><p>'), r, F.lit("</p></div>"))
     d_p = F.concat(F.lit("<p>"), r, F.lit("</p>"))
     return (F.when(source == SITE_SOURCES[0], F.when(is_quote, a_q).otherwise(a_p))
@@ -87,17 +92,18 @@ def posts_from_conversations(conversations: DataFrame) -> DataFrame:
 
     A later turn quotes the turn right before it when the md5 digit of
     ``conv_id:turn`` is 0-4; its html then carries that quote in the site's
-    layout. Quote posts keep their own text in ``text``.
+    layout, with a tag left open when the second digit is 0-3. Quote posts keep
+    their own text in ``text``. The turn before is a bucketed scan, so a long
+    conversation spreads over tasks.
     """
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    c = conversations.select("conv_id", "turn", "role", "text")
-    c = (c.withColumn("prev_text", F.lag("text").over(w))
-          .withColumn("prev_role", F.lag("role").over(w)))
+    c = with_bucket(conversations.select("conv_id", "turn", "role", "text"), "turn")
+    c = scan_lag(c, ["conv_id"], "turn", {"text": "prev_text", "role": "prev_role"}).drop("_bk")
     topic = F.col("conv_id").cast("string")
     source = _site_of(topic)
+    digits = F.md5(F.concat(topic, F.lit(":"), F.col("turn").cast("string")))
     is_quote = ((F.col("turn") > 0) & F.col("prev_text").isNotNull()
-                & hash_bucket_hex(F.concat(topic, F.lit(":"), F.col("turn").cast("string")))
-                .isin("0", "1", "2", "3", "4"))
+                & F.substring(digits, 1, 1).isin("0", "1", "2", "3", "4"))
+    left_open = F.substring(digits, 2, 1).isin("0", "1", "2", "3")
     return c.select(
         source.alias("source"),
         topic.alias("topic_id"),
@@ -105,7 +111,7 @@ def posts_from_conversations(conversations: DataFrame) -> DataFrame:
         F.col("role").alias("author_id"),
         F.col("role").alias("author_name"),
         F.col("text"),
-        _post_html(source, is_quote, F.col("prev_text"), F.col("prev_role"), F.col("text")).alias("html"),
+        _post_html(source, is_quote, left_open, F.col("prev_text"), F.col("prev_role"), F.col("text")).alias("html"),
         F.col("turn").cast("bigint").alias("pos"),
     )
 
