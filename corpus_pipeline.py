@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.llm import line_dedup, mixing, packing, quality_knn, simhash
-from threadloom.llm.common import documents, stage
+from threadloom.llm.common import documents, stage, workers_can_import
 from threadloom.llm.queries import vocabulary
 from threadloom.sources.tables import read_table
 
@@ -59,6 +59,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    workers_can_import(spark)
     docs = documents(spark, sf_dir)
     for i, (name, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)

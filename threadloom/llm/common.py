@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,17 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 HOT_KEYS = 1024
 
 
+def workers_can_import(spark: SparkSession) -> None:
+    """Put this package's folder on the Python workers' path, wherever the driver was started.
+
+    Clusters without that folder get the package like any other library (--py-files).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 

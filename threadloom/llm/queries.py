@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from . import substring_dedup as substring
 from . import topk_search as search
 from threadloom.sources.tables import read_table
 
-from .common import WS, documents
+from .common import WS, documents, workers_can_import
 
 
 def vocabulary() -> str:
@@ -79,7 +81,16 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-REGISTRY = {
+def _ready(query):
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers_can_import(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+REGISTRY = {name: _ready(query) for name, query in {
     "op1_sharding": op1_sharding,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_line_dedup": op3_line_dedup,
@@ -90,4 +101,4 @@ REGISTRY = {
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
-}
+}.items()}
