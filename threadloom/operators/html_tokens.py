@@ -107,7 +107,9 @@ def html_tokens(df: DataFrame, key_cols: Sequence[str], html_col: str = "html",
     # shuffle whole documents by key, then explode: every token window below
     # partitions by the key (plus more), so it needs no exchange, and the
     # shuffle moves the raw markup instead of ~100 token rows per document
-    df = df.repartition(*key_cols)
+    # (a fixed number: token work is far heavier than the markup's bytes, by
+    # which adaptive execution would merge the partitions)
+    df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key_cols)
     base = df.select(*key_cols, *keep_cols,
                      F.posexplode(F.regexp_extract_all(cleaned, F.lit(TOKEN_PATTERN), 0))
                      .alias("tpos", "tok"))
