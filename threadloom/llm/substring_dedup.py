@@ -39,7 +39,7 @@ BITMAP_WORDS = 1 << 15  # 64-bit words of the second pass's bitmap of strings: 2
 SAMPLE_DOCS = 4000  # documents looked at for common word runs
 COMMON_SHARE = 0.01  # of them, in this share or more: common
 COMMON_MAX = 1024
-_ROWS, _BYTES = 2000, 6 << 20  # documents and text bytes handed to numpy at a time
+_ROWS, _BYTES = 1500, 4 << 20  # documents and text bytes handed to numpy at a time
 _NONE = np.iinfo(np.int64).max
 
 
