@@ -28,7 +28,7 @@ MAX_SEGMENTS = 256
 MAX_LOSS_TOKENS = 2048
 END_ID = 1
 _ROWS, _BYTES = 2000, 8 << 20  # rows and text bytes packed at a time
-_CACHE = 400_000  # words a generation of a worker's token cache holds
+_CACHE = 300_000  # words a generation of a worker's token cache holds
 
 
 class Packer:
