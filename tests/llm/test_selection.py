@@ -202,6 +202,16 @@ def test_packing(spark, mini, docs):
         assert end <= 2048 and (end == 2048 or end & (end - 1) == 0)  # no padding at all
 
 
+def test_ids_of_capitals_with_combining_marks():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary())
+    pairs = ["H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a"]  # only the small letter has a composed form
+    texts = [*pairs, *map(str.lower, pairs), "THE " + " ".join(f"Aa{p}B, {p}" for p in pairs) + " End", "E\u0301t\u00c9 \u0130I", "PLAIN Text"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in packing.Encoder(vocabulary()).encode(texts)]
+    assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 # search
 
 def test_search_matches_brute_force(spark, mini):

@@ -159,8 +159,13 @@ class Encoder:
         out = []
         for text in texts:
             raw = (text or "").encode()
-            # a special token's string counts in its own spelling only
-            out.append(b"".join(map(self.ids.__getitem__, (raw if b"<|" in raw else raw.lower()).split())))
+            if b"<|" in raw:  # a special token's string counts in its own spelling only
+                parts = raw.split()
+            elif raw.isascii():
+                parts = raw.lower().split()
+            else:  # letters and marks compose before the vocabulary lower-cases, and not all capitals do as small letters do
+                parts = [w.lower() if w.isascii() else w for w in raw.split()]
+            out.append(b"".join(map(self.ids.__getitem__, parts)))
         return out
 
 
