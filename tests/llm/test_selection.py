@@ -311,6 +311,19 @@ def test_language_of_pages(spark):
     assert len(none) == len(pages) and {r.lang for r in none} == {None}
 
 
+def test_languages_are_all_in_the_model(spark):
+    r = random.Random(8)
+    names = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(70)]
+    vocab = {x: ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(8)] for x in names}
+    text = lambda x: " ".join(r.choice(vocab[x]) for _ in range(40))
+    docs = [(i, text(x), x) for i, x in enumerate(x for k, x in enumerate(names) for _ in range(3 if k < 64 else 2))]
+    model = language.fit_text_model(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    assert model["languages"] == names
+    pages = [(i, f"https://{x}.example/{j}", f'<html lang="{x}"><p>{text(x)}</p></html>') for i, (x, j) in enumerate((x, j) for x in names for j in range(2))]
+    got = language.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), model).collect()
+    assert len(got) == len(pages) and all(p.lang == p.text_lang == p.declared for p in got)
+
+
 def test_language_accuracy_without_declarations(spark):
     from pyspark.sql import functions as F
 

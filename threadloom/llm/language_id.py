@@ -10,8 +10,9 @@ Four kinds of evidence meet in log space:
 * the host: a prior smoothed level by level, host towards domain towards all
   pages, from the same sums, without the page's own share.
 
-The models learnt from documents are a table of languages x FEATURES; whatever
-grows with the pages is joined, hot hosts and suffixes apart from the others.
+The models learnt from documents are a table of languages x FEATURES (128 kB for
+each of the languages, none of which is left out); whatever grows with the pages is
+joined, hot hosts and suffixes apart from the others.
 """
 
 from __future__ import annotations
@@ -31,13 +32,13 @@ from .common import skew_join_once, stage
 
 FEATURES = 1 << 14
 PER_LANGUAGE = 500  # documents of each language that the text model learns from: the bound of the sample
-MAX_LANGUAGES = 64  # languages with most documents; more would make the broadcast table grow
 SMOOTH = 0.5  # added to every trigram count
 EFFECTIVE = 30  # trigrams at most that a text counts for, since neighbours depend on each other
 KAPPA = 5.0  # pages that a parent's prior weighs in its child's
 NOISE = 0.02  # share of declarations and suffixes that say nothing about the language
 SEED = 42
 _ROWS, _BYTES = 500, 4 << 20
+_CELLS = 1 << 20  # (page, language) pairs fused at a time
 _SKIP = re.compile(r"<!--.*?-->|<(script|style|nav)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
 
 
@@ -64,29 +65,32 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_text_model(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id",
                    per_language: int = PER_LANGUAGE) -> dict | None:
-    """``languages`` and ``logp`` (languages x FEATURES) from at most ``per_language`` whole texts each; None without any."""
+    """``languages`` (all there are) and ``logp`` (languages x FEATURES) from at most ``per_language`` whole texts each; None without any."""
     known = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("_l"), F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_t"))
-    counted = known.groupBy("_l").count().orderBy(F.desc("count"), "_l").limit(MAX_LANGUAGES).collect()
+    counted = known.groupBy("_l").count().collect()
     if not counted:
         return None
     languages = sorted(r[0] for r in counted)
+    place = {x: i for i, x in enumerate(languages)}
     # rows that share a hash window hold about per_language documents of a language; texts never meet in one task
     share = F.element_at(F.create_map(*[x for r in counted for x in (F.lit(r[0]), F.lit(min(1.0, per_language / r[1])))]), F.col("_l"))
-    drawn = known.where(F.col("_l").isin(languages)).where(F.pmod(F.xxhash64(F.lit(SEED), "_id"), F.lit(1 << 20)) < share * (1 << 20))
+    drawn = known.where(F.pmod(F.xxhash64(F.lit(SEED), "_id"), F.lit(1 << 20)) < share * (1 << 20))
 
     def run(batches):
         for batch in batches:
             for part in words.slices(batch, 1, _ROWS, _BYTES):
                 text, feature = trigrams([t or "" for t in part.column(1).to_pylist()])
-                lang = np.array([languages.index(x) for x in part.column(0).to_pylist()], dtype=np.int64)
+                lang = np.array([place[x] for x in part.column(0).to_pylist()], dtype=np.int64)
                 key, n = np.unique(lang[text] * FEATURES + feature, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n, pa.int64())], ["key", "n"])
 
     table = np.zeros(len(languages) * FEATURES)
     got = drawn.select("_l", "_t").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     table[np.asarray(got["key"], dtype=np.int64)] = np.asarray(got["n"], dtype=np.float64)
-    table = table.reshape(len(languages), FEATURES) + SMOOTH
-    return {"languages": languages, "logp": np.log(table / table.sum(1, keepdims=True)).astype(np.float64)}
+    table = table.reshape(len(languages), FEATURES)
+    table += SMOOTH
+    table /= table.sum(1, keepdims=True)
+    return {"languages": languages, "logp": np.log(table, out=table)}
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -160,11 +164,10 @@ def identify(pages: DataFrame, model: dict | None, id_col: str = "page_id", url_
 
     def fuse(batches):
         names, totals, overall = pickle.loads(args)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        step = max(1, _CELLS // len(names))
+        for batch in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
             col = {c: batch.column(c) for c in batch.schema.names}
-            grid = lambda a: np.array(a.to_pylist(), dtype=np.float64).reshape(batch.num_rows, len(names))
+            grid = lambda a: np.asarray(a.flatten(), dtype=np.float64).reshape(batch.num_rows, len(names))
             ll, post = grid(col["ll"]), grid(col["post"])
             sums = {k: (np.asarray(col[k].field("n"))[:, None], grid(col[k].field("s"))) for k in ("host_sum", "domain_sum", "said_sum", "suffix_sum")}
 
