@@ -177,3 +177,29 @@ def test_substring_is_the_same_whatever_counts_as_common(spark, docs, monkeypatc
     df = spark.createDataFrame([(d[0], d[1]) for d in some], "doc_id long, text string")
     got = [(a, b, c, sha(t)) for a, b, c, t in substring.substring_dedup(df, m=m).collect()]
     assert sorted(got, key=repr) == substring_brute(some)
+
+
+@pytest.mark.parametrize("letters", [2, 10])
+def test_substring_splits_crowded_buckets(spark, monkeypatch, letters):
+    counting = substring._counting
+
+    def watched(k):
+        run = counting(k)
+
+        def measured(table):
+            size = sum(len(substring._unpack(b)[3]) for b in table.column("packed").to_pylist())
+            assert size < 35000, f"a bucket of {size} bytes"
+            return run(table)
+
+        return measured
+
+    monkeypatch.setattr(substring, "_counting", watched)
+    monkeypatch.setattr(substring, "BUCKET_BYTES", 4000)
+    monkeypatch.setattr(substring, "SPLIT_BYTES", 16000, raising=False)
+    r = random.Random(letters)
+    texts = [" ".join(str(r.randrange(letters)) for _ in range(400)) for _ in range(60)]  # every run of two words is common
+    texts += texts[:5] + [" ".join(f"w{r.randrange(500)}" for _ in range(200)) for _ in range(60)]
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    got = [(a, b, c, sha(t)) for a, b, c, t in substring.substring_dedup(df).collect()]
+    assert sorted(got, key=repr) == substring_brute(docs)

@@ -13,7 +13,10 @@ leave their occurrences at home; those that turn out to hold a repeated window
 are looked up in a second pass over the documents and joined by string hash, hot
 ones by broadcast. Runs of words that are common in a bounded sample of documents
 are chosen as minimisers only where a window has no other (this steers balance,
-never results). Buckets are sized by the input's bytes.
+never results). Buckets are sized by the input's bytes and measured before anything
+is sent: the windows of a bucket that would get more than SPLIT_BYTES go by longer
+minimisers instead, and where those crowd too, each by the hash of all its words.
+Which bucket a window goes to depends on its words alone, so equal windows still meet.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from .common import bit_words, release, skew_join_once, stage
 WINDOW = 13
 MINIMISER_WORDS = 2
 BUCKET_BYTES = 1 << 20  # text bytes whose super-k-mers share a bucket
+SPLIT_BYTES = 8 << 20  # bytes of packed strings beyond which a bucket's windows are dealt anew
 LISTED = 8  # occurrences of a string that a batch sends along
 BITMAP_WORDS = 1 << 15  # 64-bit words of the second pass's bitmap of strings: 256 kB
 SAMPLE_DOCS = 4000  # documents looked at for common word runs
@@ -66,16 +70,27 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
+_TABLE = np.random.default_rng(13).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE, _BASE_INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.concatenate([[np.uint64(1)], np.cumprod(np.full(max(0, n - 1), base, dtype=np.uint64))])[:n]
+
+
 class SuperKmers:
-    """The super-k-mers of a batch of texts: text number, start word and minimiser of each; strings on demand."""
+    """The super-k-mers of a batch of texts: text number, start word and bucket of each; strings on demand."""
 
-    def __init__(self, texts: pa.Array, k: int, m: int, common: np.ndarray):
-        self.text = self.start = self.value = np.zeros(0, np.int64)
+    def __init__(self, texts: pa.Array, k: int, m: int, common: np.ndarray, buckets: int = 1, hot: tuple = ()):
+        self.text = self.start = self.bucket = np.zeros(0, np.int64)
+        self.name = self._from = self._to = np.zeros(0, np.int64)
         flat, offsets = words.split(texts)
         if len(flat) < k:
             return
         code, distinct = words.codes(flat)
-        runs = _run_hashes(words.hashes(distinct)[code], m) >> np.uint64(1)
+        hashes = words.hashes(distinct)[code]
+        runs = _run_hashes(hashes, m) >> np.uint64(1)
         if len(common):  # common runs sort behind all others
             maybe = np.zeros(1 << 16, dtype=bool)
             maybe[common & np.uint64(0xFFFF)] = True
@@ -88,18 +103,27 @@ class SuperKmers:
         if not len(whole):
             return
         value, text = least[whole], text_of[whole]
-        first = np.concatenate([[True], (value[1:] != value[:-1]) | (text[1:] != text[:-1])])
+        level = np.zeros(len(whole), dtype=np.int8)
+        for i, (longer, crowded) in enumerate(zip(((m + k + 1) // 2, k), hot)):
+            at = np.flatnonzero((level == i) & crowded[value % np.uint64(buckets)])
+            if len(at):
+                value[at] = _sliding_min(_run_hashes(hashes, longer), k - longer + 1)[whole[at]]
+                level[at] = i + 1
+        first = np.concatenate([[True], (value[1:] != value[:-1]) | (text[1:] != text[:-1]) | (level[1:] != level[:-1])])
         starts = np.flatnonzero(first)
         since = np.arange(len(whole)) - np.repeat(starts, np.diff(np.append(starts, len(whole))))
         starts = np.flatnonzero(since % k == 0)  # at most k windows, so covered words have no gap
         begin = whole[starts]
         end = begin + np.diff(np.append(starts, len(whole))) + k - 2  # its last word
-        self.text, self.value = text[starts].astype(np.int64), value[starts]
+        self.text, self.bucket = text[starts].astype(np.int64), (value[starts] % np.uint64(buckets)).astype(np.int64)
         self.start = begin - offsets[:-1][self.text]
         # byte offsets of the words when all are joined by one space
         length = np.asarray(pc.binary_length(flat)).astype(np.int64)
         place = np.cumsum(length + 1) - length - 1
         self._from, self._to = place[begin], place[end] + length[end]
+        # equal strings have equal names; that different ones may share a name matters to measuring only
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(hashes) * _powers(_BASE, len(hashes)))])
+        self.name = (sums[end + 1] - sums[begin]) * _powers(_BASE_INVERSE, len(hashes))[begin]
         one = pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
         self._joined = pc.binary_join(one, pa.scalar(" ", pa.large_string()))[0].as_buffer().to_pybytes()
 
@@ -123,21 +147,52 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
             body[at + 8 * d + 4 * s:])
 
 
-def _sending(k: int, m: int, common: np.ndarray, buckets: int):
+def _measuring(k: int, m: int, common: np.ndarray, buckets: int, hot: tuple):
+    """Batch -> bytes of the distinct strings that it would send to each bucket."""
+
+    def run(batches):
+        load = np.zeros(buckets, dtype=np.int64)
+        for batch in batches:
+            for part in words.slices(batch, 1, _ROWS, _BYTES):
+                kmers = SuperKmers(part.column(1), k, m, common, buckets, hot)
+                _, once = np.unique(kmers.name, return_index=True)
+                np.add.at(load, kmers.bucket[once], (kmers._to - kmers._from)[once])
+        at = np.flatnonzero(load)
+        for i in range(0, len(at), 1 << 16):
+            part = at[i:i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(load[part])], ["bucket", "bytes"])
+
+    return run
+
+
+def _crowded_buckets(src: DataFrame, k: int, m: int, common: np.ndarray, buckets: int) -> tuple:
+    """For the minimisers and the longer ones, which buckets get more than SPLIT_BYTES; () if none does."""
+    hot: tuple = ()
+    for _ in range(2):
+        loads = src.mapInArrow(_measuring(k, m, common, buckets, hot), "bucket long, bytes long").groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
+        crowded = np.zeros(buckets, dtype=bool)
+        crowded[[r[0] for r in loads.where(F.col("bytes") > SPLIT_BYTES).select("bucket").collect()]] = True
+        if not crowded.any():
+            break
+        hot += (crowded,)
+    return hot
+
+
+def _sending(k: int, m: int, common: np.ndarray, buckets: int, hot: tuple):
     """Batch -> for each bucket its distinct packed strings with their documents."""
 
     def run(batches):
         for batch in batches:
             for part in words.slices(batch, 1, _ROWS, _BYTES):
-                kmers = SuperKmers(part.column(1), k, m, common)
+                kmers = SuperKmers(part.column(1), k, m, common, buckets, hot)
                 if not len(kmers.text):
                     continue
                 doc = np.asarray(part.column(0))[kmers.text]
                 strings = kmers.strings()
                 seen: dict[bytes, int] = {}
-                name = np.array([seen.setdefault(s, len(seen)) for s in strings])  # equal strings share a minimiser
-                distinct, bucket = list(seen), np.zeros(len(seen), np.uint64)
-                bucket[name] = kmers.value % np.uint64(buckets)
+                name = np.array([seen.setdefault(s, len(seen)) for s in strings])  # equal strings share a bucket
+                distinct, bucket = list(seen), np.zeros(len(seen), np.int64)
+                bucket[name] = kmers.bucket
                 order = np.lexsort((doc, name, bucket[name]))  # by bucket, string, document
                 name, doc, start = name[order], doc[order], kmers.start[order]
                 edge = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
@@ -155,20 +210,11 @@ def _sending(k: int, m: int, common: np.ndarray, buckets: int):
                 d_at, s_at = np.searchsorted(of_doc, bounds), np.searchsorted(of_start, bounds)
                 blobs = [_pack(strings[a:b], n[a:b], doc[c:d], start[e:f]) for a, b, c, d, e, f in zip(
                     *(x.tolist() for x in (bounds[:-1], bounds[1:], d_at[:-1], d_at[1:], s_at[:-1], s_at[1:])))]
-                yield pa.RecordBatch.from_arrays([pa.array(of[cut].astype(np.int64)), pa.array(blobs, pa.binary())], ["bucket", "packed"])
+                yield pa.RecordBatch.from_arrays([pa.array(of[cut]), pa.array(blobs, pa.binary())], ["bucket", "packed"])
 
     return run
 
 
-_TABLE = np.random.default_rng(13).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE, _BASE_INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.concatenate([[np.uint64(1)], np.cumprod(np.full(max(0, n - 1), base, dtype=np.uint64))])[:n]
-
-
 def window_names(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, first): ``order`` sorts the byte ranges so that equal ones are neighbours; ``first`` marks each new one."""
     raw = np.frombuffer(text, np.uint8)
@@ -256,13 +302,13 @@ def _short(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def _occurring(k: int, m: int, common: np.ndarray, bits: np.ndarray):
+def _occurring(k: int, m: int, common: np.ndarray, buckets: int, hot: tuple, bits: np.ndarray):
     """Batch -> (string hash, document, start) of the super-k-mers that the bitmap lets through."""
 
     def run(batches):
         for batch in batches:
             for part in words.slices(batch, 1, _ROWS, _BYTES):
-                kmers = SuperKmers(part.column(1), k, m, common)
+                kmers = SuperKmers(part.column(1), k, m, common, buckets, hot)
                 if not len(kmers.text):
                     continue
                 sh = [xxhash.xxh128_digest(s) for s in kmers.strings()]
@@ -333,8 +379,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     common = _common_runs(src_known, m)
     volume = src_known.agg(F.sum(F.octet_length("_t"))).first()[0] or 0
     buckets = max(1, -(-volume // BUCKET_BYTES))
+    hot = _crowded_buckets(src_known, k, m, common, buckets)
 
-    sent = src_known.mapInArrow(_sending(k, m, common, buckets), "bucket long, packed binary")
+    sent = src_known.mapInArrow(_sending(k, m, common, buckets, hot), "bucket long, packed binary")
     found = sent.groupBy("bucket").applyInArrow(_counting(k), "doc long, a int, b int, sh binary, h long, n long, firsts array<long>")
     found = stage(found, "substring-found")
     del sent
@@ -348,7 +395,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         bits[word] = np.uint64(value & (2**64 - 1))
     if bits.any():
         crowded = stage(crowded.groupBy("sh").agg(F.sum("n").alias("n"), F.first("firsts").alias("firsts")), "substring-crowded")
-        places = src_known.mapInArrow(_occurring(k, m, common, bits), "sh binary, _id long, start long")
+        places = src_known.mapInArrow(_occurring(k, m, common, buckets, hot, bits), "sh binary, _id long, start long")
         marks = skew_join_once(places, crowded, "sh", "n", "firsts", salt="_id")
         # a string's windows are at most k, so what its marked windows cover has no gap
         marks = marks.withColumn("flags", F.transform("firsts", lambda d: d < F.col("_id"))).where(F.array_contains("flags", True))
