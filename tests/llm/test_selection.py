@@ -202,6 +202,13 @@ def test_packing(spark, mini, docs):
         assert end <= 2048 and (end == 2048 or end & (end - 1) == 0)  # no padding at all
 
 
+def test_sequences_full_of_segments_need_no_padding():
+    p = packing.Packer()
+    got = [*p.add([(i, 5, 0) for i in range(700)]), *p.finish()]
+    sizes = [sum(n for _, _, n in s) for s in got]
+    assert sum(sizes) == 3500 and all(n & (n - 1) == 0 for n in sizes) and max(map(len, got)) <= 256
+
+
 def test_ids_of_capitals_with_combining_marks():
     from tokenizers import Tokenizer
 

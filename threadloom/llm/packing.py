@@ -6,8 +6,9 @@ sequence is the example that fits whole and whose demand has the largest dot
 product with the sequence's remaining room (both in shares of the limits); when
 none fits, the longest example is cut to fill what is left. Tasks pack their own
 rows, batch by batch, carrying the open sequence along, so nothing is shuffled
-and memory is bounded by a batch. What is left at a task's end is cut into
-sequences whose lengths are powers of two, which need no padding.
+and memory is bounded by a batch. A sequence that another limit ends before its
+tokens are full, and what is left at a task's end, is cut into sequences whose
+lengths are powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -51,13 +52,18 @@ class Packer:
                 full.append(last)
             else:
                 self.open = last
-            yield from ([x[:3] for x in s] for s in full)
+            for s in full:
+                yield from [[x[:3] for x in s]] if sum(x[2] for x in s) == self.limits[0] else self._powers(s)
 
     def finish(self):
         """The open sequence, cut into sequences whose lengths are powers of two."""
+        yield from self._powers(self.open)
+        self.open = []
+
+    def _powers(self, pieces: list[tuple]):
         room, cut = 0, []
-        left = sum(x[2] for x in self.open)
-        for key, start, n, _ in self.open:
+        left = sum(x[2] for x in pieces)
+        for key, start, n, _ in pieces:
             while n:
                 if not room:
                     room = 1 << (left.bit_length() - 1)
@@ -67,7 +73,6 @@ class Packer:
                 if not room:
                     yield cut
                     cut = []
-        self.open = []
 
     def _pack(self, items: list[tuple]):
         cap, segments, cap_loss = self.limits
