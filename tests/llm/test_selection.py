@@ -209,6 +209,20 @@ def test_sequences_full_of_segments_need_no_padding():
     assert sum(sizes) == 3500 and all(n & (n - 1) == 0 for n in sizes) and max(map(len, got)) <= 256
 
 
+def test_packing_of_prompts_and_answers(spark):
+    prompts = [0, 3, 10, 50, None, -2] * 10
+    rows = [(i, "the cat sees a dog " * (1 + i % 7), p) for i, p in enumerate(prompts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, prompt int").coalesce(1)
+    got = packing.pack_documents(df, vocabulary(), max_tokens=64, max_loss=16, prompt_col="prompt").collect()
+    seqs, total = defaultdict(list), Counter()
+    for r in got:
+        seqs[r.sequence_id].append((r.length, r.length - max(0, min(r.length, max(0, prompts[r.doc_id] or 0) - r.start))))
+        total[r.doc_id, r.doc_tokens] += r.length
+    assert len(total) == len(rows) and all(n == size for (_, size), n in total.items())
+    assert all(sum(n for n, _ in s) <= 64 and sum(x for _, x in s) <= 16 for s in seqs.values())
+    assert any(sum(n for n, _ in s) > 16 for s in seqs.values())  # tokens without loss do not count for it
+
+
 def test_ids_of_capitals_with_combining_marks():
     from tokenizers import Tokenizer
 

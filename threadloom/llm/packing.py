@@ -213,9 +213,10 @@ def _packing(path: str, end_id: int, limits: tuple[int, int, int], with_ids: boo
         for batch in batches:
             for part in words.slices(batch, 1, _ROWS, _BYTES):
                 examples = []
-                for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
+                prompts = part.column(2).to_pylist() if part.num_columns > 2 else [0] * part.num_rows
+                for doc, ids, prompt in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), prompts):
                     held[key] = (doc, np.frombuffer(ids + end, dtype="<u4"))
-                    examples.append((key, len(ids) // 4 + 1, 0))
+                    examples.append((key, len(ids) // 4 + 1, prompt))
                     key += 1
                 yield rows(packer.add(examples))
                 live = {x[0] for x in packer.open}
@@ -227,15 +228,18 @@ def _packing(path: str, end_id: int, limits: tuple[int, int, int], with_ids: boo
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID,
                    max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS, max_loss: int = MAX_LOSS_TOKENS,
-                   with_ids: bool = False) -> DataFrame:
+                   with_ids: bool = False, prompt_col: str | None = None) -> DataFrame:
     """One row per piece: id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
     ``tokenizer`` is the path of a vocabulary file of the ``tokenizers`` library
     that every worker can read. A document is its ids and then ``end_id`` (a
-    null or empty text: just that), all of it loss-bearing. Repeated rows are
-    packed each for itself; a null id stays null. Other columns are ignored.
+    null or empty text: just that). ``prompt_col`` has the number of its first
+    tokens that bear no loss (null or negative: none); without it all bear loss.
+    Repeated rows are packed each for itself; a null id stays null. Other columns
+    are ignored.
     """
-    src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"))
+    prompt = [] if prompt_col is None else [F.greatest(F.coalesce(F.col(prompt_col).cast("long"), F.lit(0)), F.lit(0)).alias("_p")]
+    src = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"), *prompt)
     schema = "_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     schema += ", ids array<int>" * with_ids
     run = _packing(tokenizer, end_id, (max_tokens, max_segments, max_loss), with_ids)
