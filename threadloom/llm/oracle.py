@@ -4,6 +4,19 @@
 _STRIP = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WS = r"[\x20\x09-\x0D]"
 _WORDS = rf"list_filter(regexp_split_to_array(coalesce(text, ''), '{_WS}+'), lambda w: w <> '')"
+# CRC-32 of a decimal number, unsigned, bit by bit over its characters.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR))::VARCHAR || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
 
 ORACLE = {
     "op3_line_dedup": f"""
@@ -39,4 +52,53 @@ scores AS (SELECT q.vec_id AS query_id, c.vec_id, sum(q.w * c.w)::BIGINT AS scor
            FROM term q JOIN term c ON q.i = c.i WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id GROUP BY ALL),
 ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scores)
 SELECT * FROM ranked WHERE rank <= 5""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE leaf AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n,
+           dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t
+    FROM (SELECT doc_id, lang, {_leaf('text')} AS h,
+                 CASE WHEN {_CRC32} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS forged
+          FROM documents)),
+node AS (
+    SELECT t, 0 AS lv, i, h, n FROM leaf
+    UNION ALL
+    SELECT t, lv + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM node WHERE n > 1 GROUP BY t, lv, i // 8, n),
+top AS (
+    SELECT 0 AS lv, t AS i, h, (SELECT count(*) FROM node WHERE n = 1) AS n FROM node WHERE n = 1
+    UNION ALL
+    SELECT lv + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM top WHERE n > 1 GROUP BY lv, i // 8, n),
+path AS (
+    SELECT t, i, 0 AS lv, i AS pos, n AS m, false AS up, h, forged FROM leaf
+    UNION ALL
+    SELECT t, i, CASE WHEN m > 1 THEN lv + 1 WHEN up THEN lv + 1 ELSE 0 END, CASE WHEN m > 1 THEN pos // 8 ELSE t END,
+           CASE WHEN m > 1 THEN (m + 7) // 8 ELSE (SELECT max(n) FROM top) END, up OR m = 1, h, forged
+    FROM path WHERE m > 1 OR NOT up),
+sibling AS (
+    SELECT p.t, p.i, p.up, p.lv, coalesce(string_agg(s.h, '' ORDER BY s.i) FILTER (WHERE s.i < p.pos), '') AS l,
+           coalesce(string_agg(s.h, '' ORDER BY s.i) FILTER (WHERE s.i > p.pos), '') AS r
+    FROM path p JOIN (SELECT t, lv, i, h, false AS up FROM node UNION ALL SELECT NULL, lv, i, h, true FROM top) s
+      ON s.up = p.up AND s.lv = p.lv AND s.i // 8 = p.pos // 8 AND (p.up OR s.t = p.t)
+    WHERE p.m > 1 GROUP BY ALL),
+proof AS (SELECT t, i, list([l, r] ORDER BY up, lv) AS steps FROM sibling GROUP BY t, i)
+SELECT doc_id, leaf.h AS leaf, sub.h AS subroot, root.h AS root, sha256(array_to_string(flatten(coalesce(steps, [])), '')) AS proof_sha256,
+       list_reduce(list_prepend([coalesce(forged, leaf.h), ''], coalesce(steps, [])), lambda x, s: [sha256(s[1] || x[1] || s[2]), ''])[1] AS folded_root,
+       folded_root = root.h AS verified
+FROM leaf LEFT JOIN proof USING (t, i) JOIN (SELECT t, h FROM node WHERE n = 1) sub USING (t), (SELECT h FROM top WHERE n = 1) root""",
+    "op12_periodic_runs": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS ws, coalesce({_CRC32}, 1) AS h FROM documents),
+e AS (SELECT doc_id, row_number() OVER () AS row, h, h // 10 AS g, ws, len(ws) AS n, (h // 10) % greatest(len(ws), 1) AS a FROM d),
+f AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM e),
+word AS (SELECT row, i, CASE WHEN h % 10 = 0 AND i >= a THEN ws[1 + a + (i - a) % p] ELSE ws[1 + i] END AS w
+         FROM f, unnest(generate_series(0, n - 1)) AS u(i)),
+same AS (SELECT x.row, x.i, y.i - x.i AS q FROM word x JOIN word y ON x.row = y.row AND x.w = y.w AND y.i > x.i),
+island AS (SELECT row, q, min(i) AS start, count(*) + q AS length
+           FROM (SELECT *, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS k FROM same) GROUP BY row, q, k),
+run AS (SELECT row, start, length, min(q) AS period FROM island WHERE length >= greatest(6, 4 * q) GROUP BY row, start, length),
+best AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY length DESC, start, period) AS nth FROM run),
+lines AS (SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS txt FROM run GROUP BY row),
+gone AS (SELECT DISTINCT row, i FROM run, unnest(generate_series(start + period, start + length - 1)) AS u(i)),
+kept AS (SELECT row, string_agg(w, ' ' ORDER BY i) AS txt FROM word ANTI JOIN gone USING (row, i) GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, (1000 * length) // period AS exponent_milli,
+       sha256(coalesce(lines.txt, '')) AS runs_sha256, sha256(coalesce(kept.txt, '')) AS collapsed_sha256
+FROM f LEFT JOIN (FROM best WHERE nth = 1) USING (row) LEFT JOIN lines USING (row) LEFT JOIN kept USING (row)""",
 }
