@@ -95,30 +95,45 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.specials = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
-        # the bytes each id stands for
+        # letters that are one pre-token together with those before them, and signs that end them, as the vocabulary has it
+        join = lambda c: len(self.pre_tokens("a" + c)) == 1
+        letters = [c for c in map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250)]) if join(c)]
+        signs = [c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'" and not join(c)]
+        self.plain = re.compile(f"( ?[{''.join(letters)}]+)([{re.escape(''.join(signs))}]*)")
+        self.first = [ids.get(c, -1) for c in byte_alphabet()]
+        # the bytes each id stands for, one after the other
         byte = {c: i for i, c in enumerate(byte_alphabet())}
-        self.strings = [b""] * (max([*ids.values(), *self.special.values()]) + 1)
+        strings = [b""] * (max([*ids.values(), *self.special.values()]) + 1)
         for token, i in [*ids.items(), *self.special.items()]:
             plain = all(c in byte for c in token)
-            self.strings[i] = bytes(byte[c] for c in token) if plain else token.encode()
+            strings[i] = bytes(byte[c] for c in token) if plain else token.encode()
+        self.pool = np.frombuffer(b"".join(strings), dtype=np.uint8)
+        self.length = np.array([len(x) for x in strings], dtype=np.int64)
+        self.start = np.cumsum(self.length) - self.length
         self.new, self.old = {}, {}
 
     def _piece(self, piece: str) -> bytes:
         got = self.old.get(piece)
         if got is None:
-            letters = piece.removeprefix(" ")
-            plain = letters.isascii() and letters.isalpha()  # one pre-token, whose letters stand for themselves
-            tokens = [piece.replace(" ", self.space)] if plain else [t for t, _ in self.pre_tokens(piece)]
-            out = array("i")
-            for token in tokens:
-                out.extend(merged([self.symbol[c] for c in token], self.merges))
-            got = out.tobytes()
+            plain = self.plain.fullmatch(piece)
+            if plain is None:
+                out = array("i")
+                for token, _ in self.pre_tokens(piece):
+                    out.extend(merged([self.symbol[c] for c in token], self.merges))
+                got = out.tobytes()
+            elif plain[2]:
+                got = self._known(plain[1]) + self._known(plain[2])
+            else:
+                got = array("i", merged([self.first[b] for b in piece.encode()], self.merges)).tobytes()
         if len(piece) <= _LONGEST:
             if len(self.new) >= _CACHE:
                 self.old, self.new = self.new, {}
             self.new[piece] = got
         return got
 
+    def _known(self, piece: str) -> bytes:
+        return self.new.get(piece) or self._piece(piece)
+
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as native 32-bit numbers; special tokens' own strings become their ids."""
         out, at = [], 0
@@ -131,15 +146,23 @@ class Vocabulary:
                 at = end
         return b"".join(out)
 
-    def decode(self, ids: list[int | None]) -> str:
-        """The text of ``ids``; nulls and ids outside the vocabulary have none, broken UTF-8 becomes U+FFFD."""
-        strings = self.strings
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The texts of lists of ids: ``counts`` ids each, all in ``ids``, one list after the other.
+
+        Ids outside the vocabulary have no text, broken UTF-8 becomes U+FFFD.
+        """
+        known = (ids >= 0) & (ids < len(self.length))
+        ids = np.where(known, ids, 0)
+        size = np.where(known, self.length[ids], 0)
+        end = np.cumsum(size)
+        total = int(end[-1]) if len(end) else 0
+        data = self.pool[np.repeat(self.start[ids] - (end - size), size) + np.arange(total)]
+        at = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(counts)])]
+        raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
         try:
-            if min(ids, default=0) >= 0:
-                return b"".join(map(strings.__getitem__, ids)).decode("utf-8", "replace")
-        except (IndexError, TypeError):
-            pass
-        return b"".join(strings[i] for i in ids if i is not None and 0 <= i < len(strings)).decode("utf-8", "replace")
+            return raw.cast(pa.large_string()).cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.string())
 
 
 _vocabularies: dict[str, Vocabulary] = {}
@@ -174,8 +197,8 @@ def _decoding(path: str, column: int, names: list[str]):
                 before = total[at - 1] if at else 0
                 end = min(at + _ROWS, max(at + 1, int(np.searchsorted(total, before + _BYTES // 4, side="right"))))
                 part = batch.slice(at, end - at)
-                texts = [vocabulary.decode(ids or []) for ids in part.column(column).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names)
+                ids = np.asarray(pc.fill_null(part.column(column).flatten(), -1))  # without what lies under null lists
+                yield pa.RecordBatch.from_arrays([*part.columns, vocabulary.decode(ids, n[at:end])], names)
                 at = end
 
     return run
