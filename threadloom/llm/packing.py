@@ -13,6 +13,7 @@ lengths are powers of two, which need no padding.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
+from .bpe import byte_alphabet
 
 MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
@@ -116,29 +118,46 @@ class _Ids(dict):
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
-        # lower-case ASCII letters: one pre-token that no step before the model changes, if the vocabulary says so
-        self.plain = all(self._by_model(w) == self._whole(w) for w in ("a", "the", "qzxjk", "internationalisation"))
-        self.stops = all(self._whole("ab" + c) == self._whole("ab") + self._whole(c) for c in ".,")
+        # Runs of these letters are one pre-token, of which no step before the model changes more than the case,
+        # and signs behind them are the next one; the vocabulary itself says whether that is so.
+        self.byte = {bytes([b]): c for b, c in enumerate(byte_alphabet())}
+        alone = lambda c: len(c.lower()) == 1 and self._by_model(c) == self._whole(c)
+        joined = self._by_model("internationalisation") == self._whole("internationalisation") and self._by_model("qzxjk") == self._whole("qzxjk")
+        letters = [c for c in map(chr, [*range(0x61, 0x7B), *range(0xC0, 0x250)]) if joined and c.isalpha() and alone(c)]
+        signs = [c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c not in "'<" and self._whole("ab" + c) == self._whole("ab") + self._whole(c)]
+        group = lambda some: "[" + re.escape("".join(some)) + "]" if some else "(?!)"
+        self.plain = re.compile(f"({group(letters)}+)({group(signs)}*)")
 
     def _whole(self, word: str) -> bytes:
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
-    def _by_model(self, word: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+    def _by_model(self, letters: str) -> bytes:
+        low = letters.lower()
+        if not low.isascii():
+            low = "".join([self.byte[low_byte.to_bytes()] for low_byte in low.encode()])
+        return array("I", [t.id for t in self.model.tokenize(low)]).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         got = self.old.get(word)
         if got is None:
-            plain = self.plain and word.islower() and word.isascii()
-            if plain and word.isalpha():
-                got = self._by_model(word.decode())
-            elif plain and self.stops and word[-1:] in (b".", b",") and word[:-1].isalpha():
-                got = self[word[:-1]] + self[word[-1:]]
+            text = word.decode()
+            plain = self.plain.fullmatch(text)
+            if not plain:
+                got = self._whole(text)
+            elif plain[2]:
+                got = self[plain[1].encode()] + self._signs(plain[2])
             else:
-                got = self._whole(word.decode())
+                got = self._by_model(text)
         self[word] = got
         return got
 
+    def _signs(self, signs: str) -> bytes:
+        key = signs.encode()
+        found = self.get(key) or self.old.get(key)
+        if found is None:
+            found = self[key] = self._whole(signs)
+        return found
+
     def age(self) -> None:
         if len(self) > _CACHE:
             self.old = dict(self)
@@ -166,7 +185,7 @@ class Encoder:
             raw = (text or "").encode()
             if b"<|" in raw:  # a special token's string counts in its own spelling only
                 parts = raw.split()
-            elif raw.isascii():
+            elif raw.isascii() or not (b"\xcc" in raw or b"\xcd" in raw):  # no combining mark (U+0300 to U+036F) in UTF-8
                 parts = raw.lower().split()
             else:  # letters and marks compose before the vocabulary lower-cases, and not all capitals do as small letters do
                 parts = [w.lower() if w.isascii() else w for w in raw.split()]
