@@ -88,16 +88,55 @@ def test_permute_is_a_permutation(n, key):
 def test_slots_take_the_target_to_the_word(size, share, block, sid):
     target = size * share
     taken, per_block = 0, Counter()
-    for part in mixing._drawing(block, 3, 1)([pa.RecordBatch.from_arrays(
-            [pa.array([x]) for x in (sid, size, target, 0, 1 << 20)], ["sid", "size", "target", "a", "b"])]):
+    blocks, slots, last = mixing.slot_plan(sid, size, target, block, 1)
+    stretches = [(sid, size, blocks, slots, last, a // 7, a, 7) for a in range(0, slots, 7)]
+    for part in mixing._dealing(block, 1)([pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*stretches)] or [pa.array([], pa.int64())] * 8,
+                                                                      [*mixing._PLAN, "shard", "start", "n"])]):
         for row in part.to_pylist():
             taken += row["words"]
             per_block[row["block"]] += 1
-            assert row["words"] <= min(block, size - row["block"] * block) and 0 <= row["shard"] < 3
+            assert row["words"] <= min(block, size - row["block"] * block) and row["shard"] == row["slot"] // 7
     assert taken == math.floor(target + 0.5)
     assert max(per_block.values(), default=0) <= 3
 
 
+@pytest.mark.parametrize("group", [1, 2, 100])
+def test_shards_draw_their_slots_over_the_sources(spark, group):
+    rows = [(0, 40_000, 80_000.0), (1, 50_000, 50_000.0), (2, 0, 0.0), (3, 9_000, 27_000.0), (4, 31, 31.0)]
+    sources = spark.createDataFrame(rows, "sid long, size long, target double")
+    got = mixing.drawn_slots(sources, block=10, seed=3, shard_slots=100, group_sources=group).collect()
+    slots, shards = defaultdict(list), Counter()
+    for r in got:
+        slots[r.sid].append(r.slot)
+        shards[r.shard] += 1
+    plan = {sid: mixing.slot_plan(sid, size, target, 10, 3)[1] for sid, size, target in rows}
+    assert {s: sorted(x) for s, x in slots.items()} == {s: list(range(n)) for s, n in plan.items() if n}  # every slot is in one shard
+    whole = sum(plan.values()) // 100
+    assert all(n <= 100 for n in shards.values()) and sum(shards[i] for i in range(whole)) >= 0.97 * 100 * whole
+    mine = Counter((r.shard, r.sid) for r in got)
+    share = [mine[i, 0] / 100 for i in range(whole - 20)]  # a binomial draw each: mean and spread
+    p = plan[0] / sum(plan.values())
+    assert abs(np.mean(share) - p) < 0.03 and 0.5 < np.var(share) / (p * (1 - p) / 100) < 2
+
+
+def test_slots_are_never_broadcast(spark):
+    df = spark.createDataFrame([(i, "w " * 200, "ab"[i % 2]) for i in range(50)], "doc_id long, text string, source string")
+    _, taken = mixing.mix(df, block=4)
+    taken.collect()
+    plan = taken._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "MapInArrow" in plan and "SortMergeJoin" in plan and not any("block" in x for x in plan.splitlines() if "BroadcastHashJoin" in x)
+
+
+def test_rows_with_equal_id_and_text_keep_their_source(spark):
+    df = spark.createDataFrame([(None, "a b c d", "x"), (None, "a b c d", "y"), (7, "e f", "x"), (7, "e f", "y")], "doc_id long, text string, source string")
+    out = mixing.mixed_documents(df, shards_col="shards").collect()
+    words = Counter()
+    for r in out:
+        words[r.source] += len(r.text.split())
+        assert r.shards == [0]
+    assert words == {"x": 4, "y": 8} and {r.text for r in out if r.source == "x"} <= {"a b c d", "e f", "a b", "c d", "a b c", "a", "e"}
+
+
 def mixing_brute(docs):
     size = [len(re.findall(f"[^{WS}]+", d[1] or "")) for d in docs]
     names = sorted({d[3] for d in docs if d[3] is not None}, key=lambda s: [ord(c) for c in s]) + [None]
@@ -233,22 +272,37 @@ def test_ids_of_capitals_with_combining_marks():
     assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_ids_of_any_text_are_the_vocabularys_own():
+    from tokenizers import Tokenizer
+
+    r, tokenizer, encoder = random.Random(9), Tokenizer.from_file(vocabulary()), packing.Encoder(vocabulary())
+    signs = [*"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ  \t\n0123.,!?$%&*#'\"()-<|>éüßÉÜÀñçœŒĳİıŁſǅ\u0331\u030c\u0301\u0307ŉжЯ漢½²ﬁ\x1c\xa0\u3000\x85",
+             "'s", "'LL", "<|endoftext|>", "<|startoftext|>", "J\u030c", "H\u0331"]
+    texts = ["".join(r.choice(signs) for _ in range(r.randint(0, 14))) for _ in range(20_000)]
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+    assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 # search
 
 def test_search_matches_brute_force(spark, mini):
     from .conftest import make_embeddings
 
-    v = {}
-    for i, e, _ in make_embeddings():
-        if i is None or e is None or any(x is None or not math.isfinite(x) for x in e):
-            continue
-        q = [math.floor(256 * float(np.float32(x))) for x in e]
-        v[i] = min(v.get(i, q), q)
+    v = [(i, [math.floor(256 * float(np.float32(x))) for x in e]) for i, e, _ in make_embeddings()
+         if e is not None and all(x is not None and math.isfinite(x) for x in e)]
     want = []
-    for q in (i for i in v if i % 50 == 0):
-        scored = sorted((-sum(a * b for a, b in zip(v[q], v[c])), c) for c in v if c != q)
-        want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scored[:5])]
-    assert sorted(map(tuple, REGISTRY["op6_topk_search"](spark, mini).collect())) == sorted(want)
+    for n, (q, a) in enumerate(v):  # every row for itself, also those with a null or repeated id
+        if q is not None and q % 50 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), c is None, c or 0) for m, (c, b) in enumerate(v) if m != n)
+            want += [(q, rank + 1, None if none else c, -s) for rank, (s, none, c) in enumerate(scored[:5])]
+    assert Counter(map(tuple, REGISTRY["op6_topk_search"](spark, mini).collect())) == Counter(want)
+
+
+def test_search_keeps_different_vectors_of_one_id(spark):
+    queries = spark.createDataFrame([(0, [10], 0)], "id long, v array<long>, row long")
+    candidates = spark.createDataFrame([(0, [10], 0), (0, [3], 1), (1, [5], 2), (1, [9], 3), (None, [9], 4)], "id long, v array<long>, row long")
+    got = [tuple(r) for r in search.top_k(queries, candidates, 3).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 90), (0, 2, None, 90), (0, 3, 1, 50)]
 
 
 @pytest.mark.parametrize("blocks", [(1, 1), (3, 7)])

@@ -45,12 +45,12 @@ SELECT d.doc_id, any_value(len(ws))::BIGINT AS n_words, count(g.p) AS n_removed,
 FROM d LEFT JOIN word w USING (doc_id) LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.p = w.p
 GROUP BY d.doc_id""",
     "op6_topk_search": """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+WITH v AS (SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-term AS (SELECT vec_id, i, v[i] AS w FROM v, unnest(generate_series(1, len(v))) AS g(i)),
-scores AS (SELECT q.vec_id AS query_id, c.vec_id, sum(q.w * c.w)::BIGINT AS score
-           FROM term q JOIN term c ON q.i = c.i WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id GROUP BY ALL),
-ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scores)
+scores AS (SELECT q.row, q.vec_id AS query_id, c.row AS other, c.vec_id,
+                  coalesce(list_sum(list_transform(generate_series(1, least(len(q.v), len(c.v))), lambda i: q.v[i] * c.v[i])), 0)::BIGINT AS score
+           FROM v q JOIN v c ON c.row <> q.row WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT query_id, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST, other)::INTEGER AS rank, vec_id, score FROM scores)
 SELECT * FROM ranked WHERE rank <= 5""",
     "op11_merkle_manifest": f"""
 WITH RECURSIVE leaf AS (

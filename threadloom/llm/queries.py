@@ -20,7 +20,7 @@ from . import substring_dedup as substring
 from . import topk_search as search
 from threadloom.sources.tables import read_table
 
-from .common import LOWER, UPPER, WORD, WS, documents, workers_can_import
+from .common import LOWER, UPPER, WORD, WS, documents, stage, workers_can_import
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -61,7 +61,8 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = search.quantised(read_table(spark, sf_dir, "embeddings"))
+    vectors = search.quantised(read_table(spark, sf_dir, "embeddings")).withColumn("row", F.monotonically_increasing_id())
+    vectors = stage(vectors, "topk-vectors")  # a row keeps its number
     return search.top_k(vectors.where("id % 50 = 0"), vectors)
 
 
