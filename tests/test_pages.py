@@ -98,7 +98,7 @@ def test_attribute_quoting_styles(spark):
 
 def test_numeric_references(spark):
     cases = {"&#65;&#x42;&#X63;": "ABc", "&#8212;": "\u2014", "&#x1F600;!": "\U0001F600!", "&amp;#60;": "&#60;", "&#;&#x;": "&#;&#x;",
-             "&#0;": "\ufffd", "&#xD800;": "\ufffd", "&#999999999;": "\ufffd", "a & b &lt;": "a & b <", "&#39;&#160;": "'\u00a0"}
+             "&#0;": "\ufffd", "&#38;lt;b&#38;gt;": "&lt;b&gt;", "&amp;lt;": "&lt;", "&euro;&eacutet": "\u20acét", "&notit;&notin;": "\u00acit;\u2209", "&#150;": "\u2013", "&#xD800;": "\ufffd", "&#999999999;": "\ufffd", "a & b &lt;": "a & b <", "&#39;&#160;": "'\u00a0"}
     from threadloom.operators.html_tokens import decode_entities
     df = spark.createDataFrame([(k,) for k in cases], "t string")
     assert {r.t: r.d for r in df.select("t", decode_entities(F.col("t")).alias("d")).collect()} == cases
@@ -160,3 +160,35 @@ def test_long_conversation_equals_sequential_fold(spark):
     assert got == want
     plan = posts_from_conversations(conv)._jdf.queryExecution().executedPlan().toString()
     assert "_bk" in plan and "windowspecdefinition(conv_id" in plan and "windowspecdefinition(conv_id#0L, turn" not in plan
+
+
+def test_references_as_the_standard_has_them(spark):
+    import html
+    import random
+    from html.entities import html5
+
+    from threadloom.functions.references import decode_references
+    r = random.Random(2)
+    parts = ["&", "#", "x", "amp", "lt", ";", "copy", "=", "not", "in", "65", "8364", " ", "é", "&#", "&#x", "AElig"]
+    cases = ["&" + n for n in html5] + ["&" + n.rstrip(";") + "x;" for n in html5]
+    cases += ["".join(r.choice(parts) for _ in range(r.randint(1, 9))) for _ in range(3000)]
+    cases += [f"&#{c};" for c in (9, 10, 32, 128, 129, 150, 159, 160, 0xD800, 0xDFFF, 0x10FFFE, 0x110000, 10**14, 0) if c != 0x10FFFE]
+    df = spark.createDataFrame([(c,) for c in {*cases}], "t string")
+    got = df.select("t", decode_references(F.col("t")).alias("d")).collect()
+    assert [(x.t, x.d) for x in got if html.unescape(x.t) != x.d] == []
+    attributes = {"?a=1&copy=2": "?a=1&copy=2", "&copy": "©", "&copy;=1": "©=1", "&ampx": "&ampx", "&amp;lt": "&lt", "&notin;": "∉", "&#38;lt;": "&lt;"}
+    df = spark.createDataFrame([(c,) for c in attributes], "t string")
+    assert {x.t: x.d for x in df.select("t", decode_references(F.col("t"), attribute=True).alias("d")).collect()} == attributes
+
+
+def test_tags_of_a_megabyte(spark):
+    n = 1 << 20
+    rows = [(1, "http://h/", "<a " + "b" * n), (2, "http://h/", f"<div><img src=data:{'c' * n}>x</div>"),
+            (3, "http://h/", f"<p><a href=/{'d' * n}>y</a></p>"), (4, "http://h/", f'<a title="{"<>" * (n // 2)}" href=/e>z</a>'),
+            (5, "http://h/", "<a " * 50_000), (6, "http://h/", "<a '" + "f" * n + "<b>q</b>")]
+    t = html_tokens(_pages(spark, rows), ["page_id"], ancestors=0)
+    got = {r.page_id: (r.n, r.texts) for r in t.groupBy("page_id").agg(
+        F.count("tok").alias("n"), F.concat_ws("|", F.sort_array(F.collect_list(F.when(F.length("text") < 9, F.col("text"))))).alias("texts")).collect()}
+    assert {k: v for k, v in got.items() if k != 5} == {1: (2, "<"), 2: (4, "x"), 3: (5, "y"), 4: (3, "z"), 6: (5, "<|q")}
+    assert got[5][0] == 100_000
+    assert {r.page_id: len(r.href) for r in links.links(_pages(spark, rows)).collect()} == {3: n + 1, 4: 2}

@@ -90,6 +90,7 @@ def forum_tokens(pages: DataFrame) -> DataFrame:
     t = t.withColumn("td", region_id(key, opened & (F.col("tag") == "td") & (a1["tpos"] == F.col("rec"))))
     t = t.withColumn("in_fio", inside(key, is_el("p", cls="fio")))
     t = t.withColumn("in_author", inside(key, is_el("td", cls="author")))
+    t = t.withColumn("in_h1", inside(key, is_el("h1")))
     return t
 
 
@@ -119,11 +120,15 @@ def _is_text(x) -> Column:
 
 
 def records(pages: DataFrame) -> DataFrame:
-    """One row per record: page key, record position and its ordered tokens."""
-    t = forum_tokens(pages).filter(F.col("rec") >= 0)
-    g = t.groupBy(*PAGE_KEY, "rec").agg(F.array_sort(F.collect_list(_tok_struct())).alias("toks"))
-    w = Window.partitionBy(*PAGE_KEY).orderBy("rec")
-    return g.withColumn("rec_no", (F.row_number().over(w) - 1).cast("bigint"))
+    """One row per record: page key, record position, its ordered tokens and the texts of the page's h1."""
+    t = forum_tokens(pages)
+    t = t.withColumn("_title", (F.col("kind") == "text") & (F.col("in_h1") > 0)).filter((F.col("rec") >= 0) | F.col("_title"))
+    g = t.groupBy(*PAGE_KEY, "rec").agg(F.array_sort(F.collect_list(F.when(F.col("rec") >= 0, _tok_struct()))).alias("toks"),
+                                        F.collect_list(F.when(F.col("_title"), F.struct("tpos", "text"))).alias("_h1"))
+    page = Window.partitionBy(*PAGE_KEY)
+    g = g.withColumn("h1", F.transform(F.array_sort(F.flatten(F.collect_list("_h1").over(page))), lambda x: x["text"]))
+    w = page.orderBy("rec")
+    return g.filter(F.col("rec") >= 0).drop("_h1").withColumn("rec_no", (F.row_number().over(w) - 1).cast("bigint"))
 
 
 def _fields_a(toks: Column) -> tuple[Column, ...]:
@@ -176,8 +181,8 @@ def posts_from_pages(pages: DataFrame) -> DataFrame:
     """E1 + E3 + E5 + E7 (+ E2, E4, E10 filters): posts of every page.
 
     Output: ``source, topic_id, page_no, pos_on_page, url, author_href,
-    author_name, text, html`` plus, for psyhelp24, ``role`` and the raw
-    block name before carry-forward.
+    author_name, text, html``, ``h1`` (the title's texts) plus, for psyhelp24,
+    ``role`` and the raw block name before carry-forward.
     """
     r = records(pages)
     toks = F.col("toks")
@@ -192,7 +197,7 @@ def posts_from_pages(pages: DataFrame) -> DataFrame:
                  F.when(src == D, d_raw).otherwise(pick(2)).alias("text"),
                  F.when(src == D, d_html).otherwise(pick(3)).alias("html"),
                  F.when(src == A, fa[4]).otherwise(F.lit(True)).alias("has_text"),
-                 F.when(src == D, F.when(d_quote, "1").otherwise("0")).alias("role"))
+                 F.when(src == D, F.when(d_quote, "1").otherwise("0")).alias("role"), "h1")
     # psy_su drops the header row (its first record)
     r = r.filter(~((src == A) & (F.col("rec_no") == 0)))
     # psyhelp24 starts at block 3, or 4 when block 3 is a quote
@@ -239,7 +244,8 @@ def extract_posts(pages: DataFrame) -> DataFrame:
     """
     r = materialize(posts_from_pages(pages).filter("ready"), "page_posts")
     p = pages.select(*PAGE_KEY, "url")
-    r = r.join(p, PAGE_KEY)
+    title_b, title_c = _title_texts(F.col("h1"))
+    r = r.join(p, PAGE_KEY).filter(_rejection(title_b, title_c).isNull()).drop("h1")
     r = r.withColumn("author_id", F.when(F.col("source") == D, F.col("role"))
                      .otherwise(author_id_from_link(F.col("source"), F.col("author_href"))))
     r = r.withColumn("url_topic", topic_id_from_url(F.col("source"), F.col("url")))
@@ -253,8 +259,6 @@ def extract_posts(pages: DataFrame) -> DataFrame:
     found = guests.join(gids, F.col("author_name").eqNullSafe(F.col("_name")) & (F.col("_salt") == F.col("_s")))
     r = r.join(found.select(*own, "guest_id"), own, "left")
     r = r.withColumn("author_id", F.coalesce("author_id", "guest_id"))
-    rej = rejected_pages(pages)
-    r = r.join(rej.select(*PAGE_KEY), PAGE_KEY, "left_anti")
     # Sequence number inside the topic, bucketed by page range so a hot
     # topic is ranked by many tasks
     r = with_bucket(r, "page_no", PAGES_PER_BUCKET)
@@ -265,19 +269,24 @@ def extract_posts(pages: DataFrame) -> DataFrame:
 
 def rejected_pages(pages: DataFrame) -> DataFrame:
     """Pages of sites A to C whose topic id did not parse, and of B and C whose title is empty."""
-    titles = _titles_by_key(html_tokens(pages.select(*PAGE_KEY, "html"), PAGE_KEY, ancestors=0))
+    t = html_tokens(pages.select(*PAGE_KEY, "html"), PAGE_KEY, ancestors=0).withColumn("_in_h1", inside(PAGE_KEY, is_el("h1")))
+    h1 = F.array_sort(F.collect_list(F.when((F.col("kind") == "text") & (F.col("_in_h1") > 0), F.struct("tpos", "text"))))
+    titles = t.groupBy(*PAGE_KEY).agg(F.transform(h1, lambda x: x["text"]).alias("h1"))
     p = pages.select(*PAGE_KEY, "url").join(titles, PAGE_KEY, "left")
-    tid = topic_id_from_url(F.col("source"), F.col("url"))
-    title = F.when(F.col("source") == B, F.col("title_b")).when(F.col("source") == C, F.col("title_c"))
-    bad = tid.isNull() | (F.col("source").isin(B, C) & (F.coalesce(title, F.lit("")) == ""))
-    return p.filter(bad).select(*PAGE_KEY, "url", F.when(tid.isNull(), "topic_id").otherwise("title").alias("reason"))
-
-
-def _titles_by_key(t: DataFrame) -> DataFrame:
-    t = t.withColumn("_in_h1", inside(PAGE_KEY, is_el("h1")))
-    h1 = F.transform(F.array_sort(F.collect_list(F.when((F.col("kind") == "text") & (F.col("_in_h1") > 0),
-                                                       F.struct("tpos", "text")))), lambda x: x["text"])
-    g = t.groupBy(*PAGE_KEY).agg(h1.alias("_h1"))
-    nonempty = F.filter(F.transform("_h1", lambda v: strip_ws(v)), lambda v: v != "")
-    return g.select(*PAGE_KEY, F.array_join(nonempty, "-").alias("title_b"),
-                    strip_ws(F.array_join("_h1", " ")).alias("title_c"))
+    p = p.withColumn("reason", _rejection(*_title_texts(F.coalesce("h1", F.array().cast("array<string>")))))
+    return p.filter(F.col("reason").isNotNull()).select(*PAGE_KEY, "url", "reason")
+
+
+def _title_texts(h1: Column) -> tuple[Column, Column]:
+    """The title as sites B and C read it from the texts of the h1."""
+    nonempty = F.filter(F.transform(h1, lambda v: strip_ws(v)), lambda v: v != "")
+    return F.array_join(nonempty, "-"), strip_ws(F.array_join(h1, " "))
+
+
+def _rejection(title_b: Column, title_c: Column) -> Column:
+    """Why a page of ``url`` yields no posts (E14); null if it does."""
+    src = F.col("source")
+    tid = topic_id_from_url(src, F.col("url"))
+    title = F.when(src == B, title_b).when(src == C, title_c)
+    untitled = src.isin(B, C) & (F.coalesce(title, F.lit("")) == "")
+    return F.when(tid.isNull(), "topic_id").when(untitled, "title")

@@ -35,6 +35,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.functions.references import decode_references
+
 # ---------------------------------------------------------------------------
 # Fixed values
 # ---------------------------------------------------------------------------
@@ -48,15 +50,12 @@ PAGE_CONTAINERS = ("html", "body", "div", "td", "tr", "table", "tbody", "thead",
 INLINE_TAGS = ("a", "abbr", "b", "big", "cite", "code", "em", "font", "i", "mark", "s", "small", "span",
                "strike", "strong", "sub", "sup", "tt", "u")
 SOFT_TAGS = (*INLINE_TAGS, "p", "li")
-# Named entities decoded in text (&amp; last so "&amp;lt;" stays "&lt;").
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-            ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"),
-            ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"), ("&hellip;", "\u2026"), ("&mdash;", "\u2014"),
-            ("&ndash;", "\u2013"), ("&amp;", "&"))
-
 # A tag starts with '<' and a letter, '/', '!' or '?'; quoted attribute values
-# may hold '>'. Any other '<' is text on its own.
-TOKEN_PATTERN = r"""<[A-Za-z/!?](?:[^>"']|"[^"]*"|'[^']*')*>|[^<]+|<"""
+# may hold '>'. Any other '<' is text on its own. The possessive runs keep the scan of a
+# long or unclosed tag off the stack.
+TAG_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+TOKEN_PATTERN = r"<[A-Za-z/!?]" + TAG_REST + r"|[^<]++|<"
+TEXT_PATTERN = r"[^<]++|<"
 TAG_START = r"^<[A-Za-z/!?]"
 DROP_PATTERN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 
@@ -72,26 +71,22 @@ def attr(tok: Column, name: str) -> Column:
     return F.concat(F.regexp_extract(tok, pat, 1), F.regexp_extract(tok, pat, 2), F.regexp_extract(tok, pat, 3))
 
 
-def decode_numeric(text: Column) -> Column:
-    """Decode decimal and hexadecimal character references; impossible code points become U+FFFD."""
-    def one(part: Column) -> Column:
-        digits = F.regexp_extract(part, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
-        hexadecimal = F.when(part.rlike("^&#[xX]"), digits).otherwise(F.conv(digits, 10, 16))
-        code = F.conv(hexadecimal, 16, 10).try_cast("long")
-        ok = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(hexadecimal, 8, "0")), "UTF-32")
-        return F.when(digits == "", part).when(ok, char).otherwise(F.lit("\ufffd"))
+def decode_entities(text: Column) -> Column:
+    """Decode the character references of a text."""
+    return decode_references(text)
 
-    parts = F.regexp_extract_all(text, F.lit(r"&#[xX][0-9a-fA-F]{1,8};|&#[0-9]{1,9};|[^&]+|&"), 0)
-    return F.when(F.instr(text, "&#") > 0, F.array_join(F.transform(parts, one), "")).otherwise(text)
 
+def tag_part(html: Column) -> tuple[Column, Column]:
+    """``html`` up to its last '>' and from there on: no tag ends in the second part, so nothing in it needs a scan for one."""
+    n = F.instr(F.reverse(html), ">")
+    head = F.when(n == 0, F.lit("")).otherwise(F.substr(html, F.lit(1), F.length(html) - n + 1))
+    return head, F.when(n == 0, html).otherwise(F.substr(html, F.length(html) - n + 2))
 
-def decode_entities(text: Column) -> Column:
-    """Decode numeric character references and the fixed set of named entities."""
-    out = decode_numeric(text)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+
+def split_tokens(html: Column) -> Column:
+    """Tags and texts of ``html`` in order."""
+    head, tail = tag_part(html)
+    return F.concat(F.regexp_extract_all(head, F.lit(TOKEN_PATTERN), F.lit(0)), F.regexp_extract_all(tail, F.lit(TEXT_PATTERN), F.lit(0)))
 
 
 def _desc(prefix: str = "") -> Column:
@@ -111,8 +106,7 @@ def html_tokens(df: DataFrame, key_cols: Sequence[str], html_col: str = "html",
     # which adaptive execution would merge the partitions)
     df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key_cols)
     base = df.select(*key_cols, *keep_cols,
-                     F.posexplode(F.regexp_extract_all(cleaned, F.lit(TOKEN_PATTERN), 0))
-                     .alias("tpos", "tok"))
+                     F.posexplode(split_tokens(cleaned)).alias("tpos", "tok"))
     is_tag = F.col("tok").rlike(TAG_START)
     tag = F.lower(F.regexp_extract("tok", r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
     t = base.select(
@@ -166,7 +160,9 @@ def matched_tags(t: DataFrame, key_cols: Sequence[str], repair: bool) -> DataFra
     w_name = Window.partitionBy(*key, "tag").orderBy("tpos")
     w_doc = Window.partitionBy(*key).orderBy("tpos")
     so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
-    after = lambda w: w.rowsBetween(1, Window.unboundedFollowing)
+    # what follows a row is read backwards: a frame that ends at the partition's end would be computed anew for every row
+    after = lambda *by: Window.partitionBy(*key, *by).orderBy(F.desc("tpos")).rowsBetween(Window.unboundedPreceding, -1)
+    following = lambda c, *by: F.last(c, ignorenulls=True).over(after(*by))
     is_open, is_close = F.col("sign") == 1, F.col("sign") == -1
     inline, soft = F.col("tag").isin(*INLINE_TAGS), F.col("tag").isin(*SOFT_TAGS)
     # brackets of one name: closes below zero have no partner, opens that are never undercut have none
@@ -174,7 +170,7 @@ def matched_tags(t: DataFrame, key_cols: Sequence[str], repair: bool) -> DataFra
     t = t.withColumn("_m", F.least(F.lit(0), F.min("_s").over(so_far(w_name))))
     t = t.withColumn("_d", F.col("_s") - F.col("_m"))
     stray = is_close & (F.col("_m") < F.lag("_m", 1, 0).over(w_name))
-    loose = is_open & (F.coalesce(F.min("_d").over(after(w_name)), F.col("_d")) >= F.col("_d"))
+    loose = is_open & (F.coalesce(F.min("_d").over(after("tag")), F.col("_d")) >= F.col("_d"))
     if repair:  # p does not nest
         p = F.col("tag") == "p"
         stray = F.when(p, is_close & (F.coalesce(F.lag("sign").over(w_name), F.lit(-1)) == -1)).otherwise(stray)
@@ -193,11 +189,9 @@ def matched_tags(t: DataFrame, key_cols: Sequence[str], repair: bool) -> DataFra
         t = t.withColumn("_open", is_open & ~F.col("_firm") & ~inline)  # elements without an end of their own
         t = t.withColumn("_df", F.sum("delta").over(so_far(w_doc)))
         t = t.withColumn("_at", F.when(F.col("delta") == -1, F.col("_df") + 1).otherwise(F.col("_df")))
-        w_level = Window.partitionBy(*key, "_at").orderBy("tpos")
-        w_items = Window.partitionBy(*key, "_at", "tag").orderBy("tpos")
-        ends = F.least(F.first(F.when(F.col("delta") == -1, F.col("tpos")), ignorenulls=True).over(after(w_level)),
-                       F.when(p, F.first(F.when(is_open & ~inline, F.col("tpos")), ignorenulls=True).over(after(w_doc)))
-                        .when(F.col("tag") == "li", F.first(F.when(is_open, F.col("tpos")), ignorenulls=True).over(after(w_items))))
+        ends = F.least(following(F.when(F.col("delta") == -1, F.col("tpos")), "_at"),
+                       F.when(p, following(F.when(is_open & ~inline, F.col("tpos"))))
+                        .when(F.col("tag") == "li", following(F.when(is_open, F.col("tpos")), "_at", "tag")))
         t = t.withColumn("_end", F.when(F.col("_open"), F.coalesce(ends, F.lit(1 << 30))))
         t = t.withColumn("_nth", F.row_number().over(Window.partitionBy(*key, "_end").orderBy("tpos")))
         t = t.withColumn("_copy", F.explode(F.when(F.col("_open"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))

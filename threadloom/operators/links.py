@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadloom.operators.html_tokens import DROP_PATTERN, attr, decode_entities, html_tokens, inside, is_el
+from threadloom.functions.references import decode_references
+from threadloom.operators.html_tokens import DROP_PATTERN, TAG_REST, attr, html_tokens, inside, is_el, tag_part
 
 # an <a ...> tag (quoted attribute values may hold '>') and the test for an href
-A_TAG_PATTERN = r"""(?i)<a\s(?:[^>"']|"[^"]*"|'[^']*')*>"""
+A_TAG_PATTERN = r"(?i)<a\s" + TAG_REST
 HAS_HREF = r"(?i)\shref\s*="
 
 # ---------------------------------------------------------------------------
@@ -37,11 +38,11 @@ def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """L1: every ``<a href>`` of a page in document order (scripts, styles and
     comments removed first; entities in the value decoded)."""
     cleaned = F.regexp_replace(F.col("html"), DROP_PATTERN, "")
-    tags = F.filter(F.regexp_extract_all(cleaned, F.lit(A_TAG_PATTERN), 0), lambda t: t.rlike(HAS_HREF))
+    tags = F.filter(F.regexp_extract_all(tag_part(cleaned)[0], F.lit(A_TAG_PATTERN), F.lit(0)), lambda t: t.rlike(HAS_HREF))
     hrefs = F.transform(tags, lambda t: attr(t, "href"))
     x = pages.select(key, "url", F.posexplode(hrefs).alias("link_no", "href"))
     return x.select(key, "url", F.col("link_no").cast("bigint").alias("link_no"),
-                    decode_entities(F.col("href")).alias("href"))
+                    decode_references(F.col("href"), attribute=True).alias("href"))
 
 
 def _no_dots(path: Column) -> Column:
@@ -112,7 +113,7 @@ def region_links(pages: DataFrame, region_pred, key: str = "page_id", count_tags
     t = html_tokens(pages.select(key, "html"), [key], count_tags=count_tags, ancestors=0, keep_cols=[])
     t = t.withColumn("_in", inside([key], region_pred))
     a = t.filter((F.col("kind") == "open") & (F.col("tag") == "a") & (F.col("_in") > 0))
-    a = a.select(key, "tpos", decode_entities(attr(F.col("tok"), "href")).alias("href"))
+    a = a.select(key, "tpos", decode_references(attr(F.col("tok"), "href"), attribute=True).alias("href"))
     w = Window.partitionBy(key).orderBy("tpos")
     return a.select(key, (F.row_number().over(w) - 1).cast("bigint").alias("link_no"), "href")
 
@@ -154,7 +155,7 @@ def next_page_first(pages: DataFrame, key: str = "page_id") -> DataFrame:
     inside a ``li`` whose class contains ``ipsPagination_next`` (as written)."""
     t = html_tokens(pages.select(key, "html"), [key], ancestors=3)
     t = t.withColumn("_in", inside([key], is_el("li", part="ipsPagination_next")))
-    href = decode_entities(attr(F.col("tok"), "href"))
+    href = decode_references(attr(F.col("tok"), "href"), attribute=True)
     is_a = (F.col("kind") == "open") & (F.col("tag") == "a")
     listed = (is_a & (attr(F.col("tok"), "rel") == "nofollow") & is_el("span")(F.col("anc1"))
               & (F.col("anc2")["cls"] == "page-list") & (F.col("anc3")["cls"] == "body_padding"))

@@ -170,3 +170,48 @@ def scan_rank(df: DataFrame, part: list[str], order_cols: list[str], out_col: st
     s = s.select(*part, bucket, F.coalesce(F.sum("_cnt").over(ws), F.lit(0)).alias("_base"))
     d = _same_key(d, s, [*part, bucket])
     return d.withColumn(out_col, (F.col("_base") + F.col("_rn") - 1).cast("bigint")).drop("_rn", "_cnt", "_base")
+
+
+def scan_last(df: DataFrame, part: list[str], order_cols: list[str], value_col: str, out_col: str,
+              bucket: str = "_bk") -> DataFrame:
+    """``out_col`` = the last non-null ``value_col`` up to and including the row, in ``order_cols`` order of each key.
+
+    The as-of primitive: rows that look something up hold null, rows that are
+    looked up hold their value. ``bucket`` must be monotone in the order. The
+    running value is local per (key, bucket); a bucket takes what the buckets
+    before it end with from a summary of one row per bucket.
+    """
+    wb = Window.partitionBy(*part, bucket).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    d = df.withColumn("_run", F.last(value_col, ignorenulls=True).over(wb))
+    held = F.struct(*order_cols, F.col(value_col).alias("_v"))
+    ends = df.groupBy(*part, bucket).agg(F.max(F.when(F.col(value_col).isNotNull(), held))["_v"].alias("_end"))
+    before = Window.partitionBy(*part).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*part, bucket, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    d = _same_key(d, ends, [*part, bucket])
+    return d.select(*df.columns, F.coalesce("_run", "_carry").alias(out_col))
+
+
+# A key is hot when it holds at least 1/HOT_KEYS of the summed weight, so there
+# are at most HOT_KEYS hot keys: the proven bound of the broadcast below.
+HOT_KEYS = 1024
+
+
+def hot_key_join(rows: DataFrame, per_key: DataFrame, keys: list[str], weight: str, how: str = "inner") -> DataFrame:
+    """Join ``rows`` with ``per_key`` (one row per key, ``weight`` = its share of the rows), nulls as equal.
+
+    The rows of hot keys stay where they are and meet a broadcast of at most
+    HOT_KEYS keys; the others meet in a shuffle. Both inputs are read twice:
+    pass stage tables. ``how`` is inner or left; ``weight`` is dropped.
+    """
+    total = per_key.agg(F.sum(weight)).first()[0] or 0
+    hot = F.col(weight).cast("double") * HOT_KEYS >= F.lit(float(total))
+    named = lambda d: d.drop(weight).withColumnsRenamed({c: f"_k_{c}" for c in keys})
+    same = None
+    for c in keys:
+        eq = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+        same = eq if same is None else same & eq
+    drop = [f"_k_{c}" for c in keys]
+    few = F.broadcast(named(per_key.where(hot)))
+    warm = rows.join(few, same, "inner").drop(*drop)
+    cold = rows.join(few.select(*drop), same, "left_anti").join(named(per_key.where(~hot)), same, how).drop(*drop)
+    return warm.unionByName(cold)

@@ -7,12 +7,19 @@ builders so that every query states its whole computation.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from threadloom.functions.text import PY_WHITESPACE
-from threadloom.operators.html_tokens import ENTITIES, TAG_START, TOKEN_PATTERN, VOID_TAGS
 from threadloom.sources.tables import SITE_SOURCES, WROTE_MARKER
 
 ORACLE: dict[str, str] = {}
 
+# Tags and texts of a page, as this file reads them: its engine takes time in proportion to the page.
+TOKEN_PATTERN = r"""<[A-Za-z/!?]([^>"']|"[^"]*"|'[^']*')*>|[^<]+|<"""
+A_TAG_PATTERN = r"""(?i)<a\s([^>"']|"[^"]*"|'[^']*')*>"""
+TAG_START = "^<[A-Za-z/!?]"
+VOID_TAGS = "area base br col embed hr img input link meta param source track wbr".split()
+
 
 def _chr_concat(chars: str) -> str:
     return "||".join(f"chr({ord(c)})" for c in chars)
@@ -118,15 +125,30 @@ def doc_posts_cte(name: str = "posts", topic_size: int = 25) -> str:
 DROP_RE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 
 
-def _decode(x: str) -> str:
-    ref = r"""regexp_extract(p, '^&#[xX]?([0-9a-fA-F]+);$', 1)"""
-    code = f"CASE WHEN regexp_matches(p, '^&#[xX]') THEN CAST('0x' || {ref} AS BIGINT) ELSE CAST({ref} AS BIGINT) END"
-    out = f"""CASE WHEN strpos({x}, '&#') > 0 THEN array_to_string(list_transform(
-      regexp_extract_all({x}, '&#[xX][0-9a-fA-F]{{1,8}};|&#[0-9]{{1,9}};|[^&]+|&'),
-      lambda p: CASE WHEN {ref} = '' THEN p ELSE chr(CAST({code} AS INTEGER)) END), '') ELSE {x} END"""
-    for ent, ch in ENTITIES:
-        out = f"replace({out}, {sql_str(ent)}, {sql_str(ch)})"
-    return out
+def _reference_map() -> str:
+    """The standard's table of names (its bare ones too) as a map."""
+    names = sorted(html5)
+    return f"MAP([{', '.join(map(sql_str, names))}], [{', '.join(sql_str(html5[n]) for n in names)}])"
+
+
+_REF = _reference_map()
+_BARE = "^(" + "|".join(sorted((n for n in html5 if n[-1] != ";"), key=len, reverse=True)) + ")"
+_C1 = "[" + ", ".join(f"chr({ord(bytes([b]).decode('cp1252', 'ignore') or chr(b))})" for b in range(128, 160)) + "]"
+
+
+def _decode(x: str, attribute: bool = False) -> str:
+    digits = "regexp_extract(p, '^&#[xX]?0*([0-9a-fA-F]*);?$', 1)"
+    code = (f"CASE WHEN len({digits}) > 7 THEN 1114112 WHEN {digits} = '' THEN 0 WHEN regexp_matches(p, '^&#[xX]') THEN CAST('0x' || {digits} AS BIGINT) "
+            f"ELSE CAST({digits} AS BIGINT) END")
+    char = (f"list_transform([{code}], lambda c: CASE WHEN c = 0 OR c > 1114111 OR c BETWEEN 55296 AND 57343 THEN chr(65533) "
+            f"WHEN c BETWEEN 128 AND 159 THEN {_C1}[c - 127] ELSE chr(CAST(c AS INTEGER)) END)[1]")
+    bare = f"regexp_extract(p, {sql_str('^&' + _BARE[1:])}, 1)"
+    rest = f"substr(p, 2 + len({bare}))"
+    begins = f"{bare} <> ''" + (f" AND {rest} = ''" if attribute else "")
+    return f"""CASE WHEN strpos({x}, '&') > 0 THEN array_to_string(list_transform(
+      regexp_extract_all({x}, '&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*[;=]?|[^&]+|&'),
+      lambda p: CASE WHEN p NOT LIKE '&_%' THEN p WHEN p LIKE '&#%' THEN {char}
+                     ELSE coalesce({_REF}[substr(p, 2)], CASE WHEN {begins} THEN {_REF}[{bare}] || {rest} END, p) END), '') ELSE {x} END"""
 
 
 def _attr(name: str, expr: str = "tok") -> str:
@@ -658,7 +680,7 @@ SELECT source, topic_id, emit_pos, o[1] AS reply, CAST(len(o) - 1 AS BIGINT) AS
 # pages
 # --------------------------------------------------------------------------
 from threadloom.operators.html_tokens import PAGE_CONTAINERS  # noqa: E402
-from threadloom.operators.links import A_TAG_PATTERN, HAS_HREF, LINK_RULES, TOPIC_ID_IN_URL  # noqa: E402
+from threadloom.operators.links import HAS_HREF, LINK_RULES, TOPIC_ID_IN_URL  # noqa: E402
 
 PTOK = token_ctes("pages", ["page_id"], [], name="ptok", ancestors=1, count_tags=PAGE_CONTAINERS)
 PTOK0 = token_ctes("pages", ["page_id"], [], name="ptok", ancestors=0, count_tags=PAGE_CONTAINERS)
@@ -702,7 +724,7 @@ SELECT page_id, CAST(len(m) AS BIGINT) AS n_values, array_to_string(m, '-') AS j
   FROM (SELECT page_id, coalesce(list(text ORDER BY tpos) FILTER (WHERE kind = 'text' AND in_nav > 0), []) AS v
         FROM (SELECT *, {_inside(_pred('anc0', 'nav'), PK)} AS in_nav FROM ptok) GROUP BY page_id))""")
 LINKS_CTE = f"""plinks AS (
-  SELECT page_id, url, CAST(u.i - 1 AS BIGINT) AS link_no, {_decode('u.h')} AS href
+  SELECT page_id, url, CAST(u.i - 1 AS BIGINT) AS link_no, {_decode('u.h', True)} AS href
   FROM lpages, unnest(list_transform(list_filter(regexp_extract_all(regexp_replace(html, {sql_str(DROP_RE)}, '', 'g'),
                                                                    {sql_str(A_TAG_PATTERN)}),
                                                  lambda t: regexp_matches(t, {sql_str(HAS_HREF)})),
@@ -753,7 +775,7 @@ RESOLVED = f"rlinks AS (SELECT *, {url_join_sql('url', 'href')} AS abs_url FROM
 REGION = with_  # alias for readability below
 NAV_LINKS = f"""navlinks AS (
   SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY tpos) - 1 AS BIGINT) AS link_no,
-         {_decode(_attr('href'))} AS href
+         {_decode(_attr('href'), True)} AS href
   FROM (SELECT *, {_inside(_pred('anc0', 'nav'), PK)} AS in_nav FROM ptok)
   WHERE kind = 'open' AND tag = 'a' AND in_nav > 0)"""
 PAGER = """pager AS (
@@ -785,12 +807,15 @@ def forum_pages_cte(name: str = "fpages", per_page: int = 3) -> str:
       WHEN source = '{b}' THEN '<div class="body_padding"><div class="page-list"><span><a rel="prev" href="?id=0">0</a><a rel="nofollow" href="topic.php?id=' || topic_id || '&amp;page=' || {nxt} || '">next</a></span></div></div>'
       WHEN source = '{c}' THEN '<ul><li class="ipsPagination_prev"><a href="#">p</a></li><li class="ipsPagination_next wide"><a href="https://psycheforum.ru/topic/' || topic_id || '-t/page/' || {nxt} || '/">next</a></li></ul>'
       ELSE '' END"""
+    odd = ("""'<p>&euro;5 &eacutet &amp;lt;b&amp;gt; &#38;lt;i&#x26;gt; &notit; &notin; &#150;</p><a href="?a=1&amp;copy=2&copy=3&lt">n</a>' || """
+           "CASE WHEN substr(md5(topic_id), 5, 1) IN ('0', '1') THEN '<img alt=' || repeat('x', 20000) || '><a href=/' || repeat('y', 9000) || '>o</a>' ELSE '' END")
+    unclosed = "CASE WHEN substr(md5(topic_id), 5, 1) IN ('1', '2') THEN '<a title=' || repeat('z ', 10000) ELSE '' END"
     tail = f"""('<nav class="crumbs wide"><a href="../">up</a><a href="?page=' || {nxt} || '">more</a></nav>' || {pager} ||
       '<footer><a href="//psycheforum.ru/forum/17-x/">a</a><a href="https://psycheforum.ru/forum/17-x/?do=markRead">b</a><a href="https://www.b17.ru/forum/topic.php?id=' || topic_id ||
       '">c</a><a href="https://www.b17.ru/forum/topic.php?id=' || topic_id || '&amp;p=2">d</a><a href="https://psycheforum.ru/topic/' || topic_id ||
       '-t/">e</a><a href="https://psycheforum.ru/topic/3273-t/">f</a><a href="https://psyhelp24.org/psihologicheskaya-konsultatsiya-' || topic_id ||
       '/">g</a><a href="#top">h</a><a href="">i</a><a href="./x/../y/./z.html?q=../r#s">j</a><a href="../../../w">k</a><a href="/p/./q/..">l</a><a href="' ||
-      {esc('url')} || '#seen">m</a></footer></body></html>')"""
+      {esc('url')} || '#seen">m</a>' || {odd} || '</footer></body></html>' || {unclosed})"""
     head = f"'<html><head><title>' || {title} || '</title></head><body>'"
     return f"""
 {name}_c AS (
@@ -1011,9 +1036,9 @@ def next_first_ctes(pages: str, key: str) -> list[str]:
   SELECT *, sum(CASE WHEN {into} THEN 1 WHEN {out} THEN -1 ELSE 0 END) OVER (PARTITION BY {key} ORDER BY tpos
          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - CASE WHEN {into} THEN 1 ELSE 0 END AS in_li FROM ptok)""", f"""nfirst AS (
   SELECT {key},
-    min({{'tpos': tpos, 'href': {_decode(_attr('href'))}}}) FILTER (WHERE kind = 'open' AND tag = 'a' AND {_attr('rel')} = 'nofollow'
+    min({{'tpos': tpos, 'href': {_decode(_attr('href'), True)}}}) FILTER (WHERE kind = 'open' AND tag = 'a' AND {_attr('rel')} = 'nofollow'
       AND coalesce(anc1.tag = 'span' AND anc2.cls = 'page-list' AND anc3.cls = 'body_padding', false)).href AS b,
-    min({{'tpos': tpos, 'href': {_decode(_attr('href'))}}}) FILTER (WHERE kind = 'open' AND in_li > 0 AND {_attr('href')} <> '').href AS c
+    min({{'tpos': tpos, 'href': {_decode(_attr('href'), True)}}}) FILTER (WHERE kind = 'open' AND in_li > 0 AND {_attr('href')} <> '').href AS c
   FROM nf GROUP BY {key})""", f"""nextf AS (
   SELECT p.{key}, CASE WHEN n.b IS NOT NULL THEN {url_join_sql('p.url', 'n.b')} ELSE n.c END AS next_href
   FROM {pages} p LEFT JOIN nfirst n USING ({key}))"""]
@@ -1128,3 +1153,33 @@ SELECT author_id, author_name, text, topic_id, url, html, CAST(pos AS VARCHAR) A
        CASE source WHEN 'psy_su' THEN 'data_psy_su.csv' WHEN 'b17_ru' THEN 'data_b17_ru-1.csv'
                    WHEN 'psycheforum_ru' THEN 'data_psycheforum_ru-1.csv' ELSE 'data_psyhelp24_org.csv' END AS export
 FROM posts""")
+
+
+# --------------------------------------------------------------------------
+# chains of replies that quotes start
+# --------------------------------------------------------------------------
+def _words(x: str) -> str:
+    return f"trim(regexp_replace(coalesce({x}, ''), '[ \\t\\n\\x0B\\f\\r\\x{{A0}}]+', ' ', 'g'))"
+
+
+QUOTE_LINKS = f"""said AS (SELECT source, topic_id, pos, k, {_words('speaker0_text')} AS q, speaker1_text AS reply FROM qpairs),
+held AS (SELECT source, topic_id, pos, ' ' || {_words('text')} || ' ' AS t FROM posts),
+links AS (
+  SELECT s.source, s.topic_id, s.pos, s.k, max(h.pos) AS cited_pos, any_value(s.reply) AS reply
+  FROM said s JOIN held h ON h.source = s.source AND h.topic_id = s.topic_id AND h.pos < s.pos AND contains(h.t, ' ' || s.q || ' ')
+  WHERE s.q <> '' GROUP BY ALL)"""
+ORACLE["quote_links"] = with_(CONV, QP, QUOTE_LINKS, select="SELECT source, topic_id, pos, k, cited_pos FROM links")
+ORACLE["quote_chains"] = with_(CONV, QP, QUOTE_LINKS, f"""
+firsts AS (SELECT source, topic_id, pos, arg_min(cited_pos, k) AS parent, arg_min(reply, k) AS reply FROM links GROUP BY ALL),
+walk AS (
+  SELECT source, topic_id, pos, parent, parent AS root_pos, 1 AS depth FROM firsts
+  UNION ALL
+  SELECT w.source, w.topic_id, w.pos, w.parent, f.parent, w.depth + 1
+  FROM walk w JOIN firsts f ON f.source = w.source AND f.topic_id = w.topic_id AND f.pos = w.root_pos),
+tops AS (SELECT source, topic_id, pos, any_value(parent) AS parent, arg_max(root_pos, depth) AS root_pos, max(depth) AS depth FROM walk GROUP BY source, topic_id, pos)""",
+    select=f"""
+SELECT t.source, t.topic_id, t.root_pos, CAST(t.depth AS BIGINT) AS depth, t.pos, t.parent AS cited_pos, p.author_id, f.reply AS text
+FROM tops t JOIN firsts f USING (source, topic_id, pos) JOIN posts p USING (source, topic_id, pos)
+UNION ALL
+SELECT p.source, p.topic_id, p.pos, CAST(0 AS BIGINT), p.pos, NULL, p.author_id, {clean('p.text')}
+FROM posts p SEMI JOIN tops t ON p.source = t.source AND p.topic_id = t.topic_id AND p.pos = t.root_pos""").replace("WITH ", "WITH RECURSIVE ", 1)

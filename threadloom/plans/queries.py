@@ -767,3 +767,24 @@ def q_scan_post_exports(spark, sf):
     sinks.write_post_exports(posts, folder, export_name)
     return sinks.read_post_exports(spark, folder).drop("topic_name")
 
+
+
+# --------------------------------------------------------------------------
+# chains of replies that quotes start
+# --------------------------------------------------------------------------
+from threadloom.operators import reply_chains  # noqa: E402
+
+
+@query("quote_links")
+def q_quote_links(spark, sf):
+    """Every quote and the post it cites."""
+    from threadloom.session import materialize
+    posts = materialize(conv_posts(spark, sf), "conversation_posts")
+    return reply_chains.reply_links(posts, quotes.quote_pairs(posts)).drop("reply")
+
+
+@query("quote_chains")
+def q_quote_chains(spark, sf):
+    from threadloom.session import materialize
+    posts = materialize(conv_posts(spark, sf), "conversation_posts")
+    return reply_chains.quote_chains(posts, quotes.quote_pairs(posts))

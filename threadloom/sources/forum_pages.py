@@ -66,7 +66,10 @@ def _links_block(source, tid, url, page_no) -> F.Column:
         F.lit('-t/">e</a><a href="https://psycheforum.ru/topic/3273-t/">f</a><a href="https://psyhelp24.org/psihologicheskaya-konsultatsiya-'), tid,
         F.lit('/">g</a><a href="#top">h</a><a href="">i</a><a href="./x/../y/./z.html?q=../r#s">j</a>'
               '<a href="../../../w">k</a><a href="/p/./q/..">l</a><a href="'),
-        url, F.lit('#seen">m</a></footer>'))
+        url, F.lit('#seen">m</a>'),
+        F.lit('<p>&euro;5 &eacutet &amp;lt;b&amp;gt; &#38;lt;i&#x26;gt; &notit; &notin; &#150;</p><a href="?a=1&amp;copy=2&copy=3&lt">n</a>'),
+        # some pages have tags of 20,000 characters
+        F.when(_digit(tid, 5).isin("0", "1"), "<img alt=" + "x" * 20_000 + "><a href=/" + "y" * 9_000 + ">o</a>").otherwise(""), F.lit("</footer>"))
 
 
 def link_pages(pages: DataFrame, forum_pages: DataFrame) -> DataFrame:
@@ -125,7 +128,8 @@ def forum_pages_from_conversations(conversations: DataFrame, per_page: int = TUR
     head = F.concat(F.lit("<html><head><title>"), title, F.lit("</title></head><body>"))
     h1 = F.when(_digit(F.col("topic_id"), 2) == "1", F.lit(" ")).otherwise(title)  # a page without a title
     url = _page_url(src, F.col("topic_id"), page_no)
-    tail = F.concat(_links_block(src, F.col("topic_id"), html_escape(url), page_no), F.lit("</body></html>"))
+    tail = F.concat(_links_block(src, F.col("topic_id"), html_escape(url), page_no), F.lit("</body></html>"),
+                    F.when(_digit(F.col("topic_id"), 5).isin("1", "2"), "<a title=" + "z " * 10_000).otherwise(""))  # never closed
     a_html = F.concat(head, F.lit("<h1>"), title, F.lit('</h1><table class="forum"><tr><th>Author</th><th>Text</th></tr>'),
                       body, F.lit("</table>"), tail)
     b_html = F.concat(head, F.lit("<h1> "), h1, F.lit(' </h1><div class="body_padding"><div id="table-forum-post"><div><table>'),
