@@ -9,14 +9,13 @@ is looked up by its longest name, so what a reference yields is never read again
 from __future__ import annotations
 
 import functools
-import json
 import zlib
 from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SLOTS = 64
+_SLOTS = 256
 # the '=' tells an attribute's "&copy=1" from a reference
 PIECES = r"&#[xX][0-9a-fA-F]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*[;=]?|[^&]+|&"
 
@@ -26,18 +25,25 @@ def bare_names() -> list[str]:
     return sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
 
 
+# no name or value has these signs: a slot's entries begin with the first, their values with the second, slots end with the third
+_ENTRY, _VALUE, _SLOT = "\x01", "\x02", "\x03"
+
+
 @functools.cache
 def _table() -> str:
-    """Names in slots by their CRC-32, so that a look-up compares a slot's names only."""
-    slots: list[dict[str, str]] = [{} for _ in range(_SLOTS)]
+    """Names and values in slots by the names' CRC-32, so that a look-up searches one slot only."""
+    slots = [_ENTRY] * _SLOTS
     for name, value in html5.items():
-        slots[zlib.crc32(name.encode()) % _SLOTS][name] = value
-    return json.dumps(slots)
+        slots[zlib.crc32(name.encode()) % _SLOTS] += f"{name}{_VALUE}{value}{_ENTRY}"
+    return _SLOT.join(slots)
 
 
 def _named(name: Column) -> Column:
-    slots = F.from_json(F.lit(_table()), "array<map<string,string>>")  # folded into one constant
-    return F.try_element_at(F.get(slots, (F.crc32(F.encode(name, "UTF-8")) % _SLOTS).cast("int")), name)
+    slots = F.split(F.lit(_table()), _SLOT)  # folded into one constant
+    slot = F.get(slots, (F.crc32(F.encode(name, "UTF-8")) % _SLOTS).cast("int"))
+    key = F.concat(F.lit(_ENTRY), name, F.lit(_VALUE))
+    found = F.split_part(F.split_part(slot, key, F.lit(2)), F.lit(_ENTRY), F.lit(1))
+    return F.nullif(found, F.lit(""))
 
 
 def _numeric(piece: Column) -> Column:

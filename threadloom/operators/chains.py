@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import clean_text, normalize_ws, strip_ws
 from threadloom.session import materialize
-from threadloom.operators.ranking import DEFAULT_BUCKET, scan_first, scan_transitions, with_bucket
+from threadloom.operators.ranking import DEFAULT_BUCKET, scan_first, scan_rank, scan_transitions, with_bucket
 
 TOPIC = ("source", "topic_id")
 # emit_pos of what is emitted when a topic ends: behind every post
@@ -100,18 +100,19 @@ def segment_questions(segs: DataFrame, topic=TOPIC) -> DataFrame:
                      F.array_join(F.transform(pieces, lambda x: x["t"]), "").alias("question")))
 
 
-def first_answers(segs: DataFrame, max_answers: int | None = 5, topic=TOPIC) -> DataFrame:
+def first_answers(segs: DataFrame, max_answers: int | None = 5, topic=TOPIC, bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
     """D10 + D11: first non-empty text per answering author, first ``max_answers``."""
     first_nonempty = F.min(F.when(F.col("ctext") != "", F.struct(F.col("pos"), F.col("ctext"))))
     a = (segs.filter(~F.col("iss")).groupBy(*topic, "seg", "author_id")
              .agg(F.min("pos").alias("first_pos"), first_nonempty.alias("fa")))
     a = a.select(*topic, "seg", "author_id", "first_pos",
                  F.coalesce(F.col("fa")["ctext"], F.lit("")).alias("answer"))
+    if max_answers is None:
+        # all authors of a segment, which may be most of a hot topic's: ranked per bucket of positions
+        return scan_rank(with_bucket(a, "first_pos", bucket_size), [*topic, "seg"], ["first_pos"], "answer_k").drop("_bk")
+    # a plain rank filter lets Spark add a partial (map-side) top-k
     w = Window.partitionBy(*topic, "seg").orderBy("first_pos")
-    a = a.withColumn("_rn", F.row_number().over(w))
-    if max_answers is not None:
-        # a plain rank filter lets Spark add a partial (map-side) top-k
-        a = a.filter(F.col("_rn") <= max_answers)
+    a = a.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= max_answers)
     return a.withColumn("answer_k", F.col("_rn") - 1).drop("_rn")
 
 
@@ -130,7 +131,7 @@ def dialog_starter_chain(posts: DataFrame, quote_arrays: DataFrame | None = None
     # not a window over the whole topic)
     nxt = q.select(*topic, (F.col("seg") - 1).alias("seg"), F.col("seg_start").alias("emit_pos"))
     q = q.join(nxt, [*topic, "seg"], "inner" if not flush_tail else "left")
-    a = first_answers(segs, max_answers, topic)
+    a = first_answers(segs, max_answers, topic, bucket_size)
     pairs = q.join(a, [*topic, "seg"])
     return pairs.select(*topic, F.coalesce(F.col("emit_pos"), F.lit(END_OF_TOPIC)).cast("bigint").alias("emit_pos"),
                         F.col("answer_k").cast("bigint").alias("emit_k"), F.lit("chain").alias("kind"),
@@ -182,11 +183,12 @@ def speaker_runs(posts: DataFrame, topic=TOPIC, bucket_size: int = DEFAULT_BUCKE
     """
     p = posts.filter(F.col("text").isNotNull()).select(*topic, "pos", "author_id", "text")
     sp = first_two_speakers(p, topic).filter(F.col("speaker1").isNotNull())
-    p = p.join(sp, list(topic))
+    # the speakers meet the posts per bucket of positions, so a hot topic's posts stay spread
+    p = with_bucket(p, "pos", bucket_size)
+    p = p.join(p.select(*topic, "_bk").distinct().join(sp, list(topic)), [*topic, "_bk"])
     # the first speaker may be null (a null author never equals anything)
     p = p.filter(F.col("author_id").eqNullSafe(F.col("speaker0")) | (F.col("author_id") == F.col("speaker1")))
     p = p.withColumn("spk", F.when(F.col("author_id").eqNullSafe(F.col("speaker0")), 0).otherwise(1))
-    p = with_bucket(p, "pos", bucket_size)
     p = scan_transitions(p, list(topic), "pos", "spk", lambda prev, cur: cur != prev, "run")
     # two levels: per (run, pos bucket) the fold result and the plain join;
     # per run, a fold over the bucket pieces (one element per bucket)

@@ -28,13 +28,13 @@ def encode_pairs(pairs: DataFrame, bounds=(15, 50, 256)) -> DataFrame:
                                            F.lit("|1|"), F.col("len1"), F.lit("|"), F.col("speaker1_text")))
 
 
-def chat_turns(conversations: DataFrame) -> DataFrame:
-    """Conversation turns with a speaker code; system turns are dropped."""
+def chat_turns(conversations: DataFrame, keep_system: bool = False) -> DataFrame:
+    """Conversation turns with a speaker code; system turns are dropped, or kept with a null code."""
     spk = F.lit(None).cast("int")
     for role, code in reversed(SPEAKER_CODES):
         spk = F.when(F.col("role") == role, F.lit(code)).otherwise(spk)
-    return (conversations.select("conv_id", "turn", spk.alias("speaker"), "text")
-                         .filter(F.col("speaker").isNotNull()))
+    turns = conversations.select("conv_id", "turn", spk.alias("speaker"), "text")
+    return turns if keep_system else turns.filter(F.col("speaker").isNotNull())
 
 
 def _piece(use_length: bool) -> F.Column:
@@ -44,7 +44,7 @@ def _piece(use_length: bool) -> F.Column:
 
 
 def prompts(turns: DataFrame, history: int | None = 5, wanted_length: str = "-",
-            use_length: bool = True, bucket_size: int = 1 << 16) -> DataFrame:
+            use_length: bool = True, bucket_size: int = 1 << 16, full_bucket: int = 512) -> DataFrame:
     """Prompt for every user turn from the last ``history`` turns.
 
     F5 (bounded history): each turn's rank in its conversation comes from a
@@ -52,29 +52,32 @@ def prompts(turns: DataFrame, history: int | None = 5, wanted_length: str = "-",
     and the last ``history - 1`` rows of every bucket are copied into the
     next one (a halo), so the sliding window never spans more than one
     (conversation, bucket) partition and a long conversation spreads over
-    tasks. ``history=None`` uses the whole conversation so far (F6); its
-    output grows with the square of a conversation's length by definition.
+    tasks. ``history=None`` uses the whole conversation so far (F6): what
+    earlier buckets of ``full_bucket`` turns said is one text per bucket, put in
+    front of the bucket's own turns; the output grows with the square of
+    a conversation's length by definition, but not in one task.
     """
-    t = turns.withColumn("piece", _piece(use_length))
+    ending = F.lit("|1|" + wanted_length + "|")
+    t = with_bucket(turns.withColumn("piece", _piece(use_length)), "turn", 1 << 20)
+    t = scan_rank(t, ["conv_id"], ["turn"], "_r").drop("_bk")
+    said = lambda c: F.array_join(F.transform(c, lambda x: x["piece"]), "")
     if history is None:
-        w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-        hist = F.array_sort(F.collect_list(F.struct(F.col("turn"), F.col("piece"))).over(w))
-    else:
-        assert bucket_size >= history
-        t = with_bucket(t, "turn", 1 << 20)
-        t = scan_rank(t, ["conv_id"], ["turn"], "_r").drop("_bk")
-        t = t.withColumn("_b", F.floor(F.col("_r") / bucket_size).cast("bigint"))
-        halo = (F.col("_r") % bucket_size) >= (bucket_size - (history - 1))
-        t = t.withColumn("_copies", F.when(halo, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
-        t = t.select("*", F.explode("_copies").alias("_halo"))
-        t = t.withColumn("_b", F.col("_b") + F.col("_halo").cast("bigint"))
-        w = Window.partitionBy("conv_id", "_b").orderBy("_r").rowsBetween(-(history - 1), 0)
-        hist = F.array_sort(F.collect_list(F.struct(F.col("_r"), F.col("piece"))).over(w))
-    t = t.withColumn("prompt", F.concat(F.array_join(F.transform(hist, lambda x: x["piece"]), ""),
-                                        F.lit("|1|" + wanted_length + "|")))
-    if history is not None:
-        t = t.filter(~F.col("_halo"))
-    return t.filter(F.col("speaker") == 0).select("conv_id", "turn", "prompt")
+        t = t.withColumn("_b", F.floor(F.col("_r") / full_bucket).cast("bigint"))
+        whole = t.groupBy("conv_id", "_b").agg(said(F.array_sort(F.collect_list(F.struct("_r", "piece")))).alias("_text"))
+        earlier = Window.partitionBy("conv_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        whole = whole.select("conv_id", "_b", F.array_join(F.collect_list("_text").over(earlier), "").alias("_before"))
+        w = Window.partitionBy("conv_id", "_b").orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
+        t = t.withColumn("_own", F.array_join(F.collect_list("piece").over(w), "")).filter(F.col("speaker") == 0)
+        return t.join(whole, ["conv_id", "_b"]).select("conv_id", "turn", F.concat("_before", "_own", ending).alias("prompt"))
+    assert bucket_size >= history
+    t = t.withColumn("_b", F.floor(F.col("_r") / bucket_size).cast("bigint"))
+    halo = (F.col("_r") % bucket_size) >= (bucket_size - (history - 1))
+    t = t.withColumn("_copies", F.when(halo, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
+    t = t.select("*", F.explode("_copies").alias("_halo"))
+    t = t.withColumn("_b", F.col("_b") + F.col("_halo").cast("bigint"))
+    w = Window.partitionBy("conv_id", "_b").orderBy("_r").rowsBetween(-(history - 1), 0)
+    t = t.withColumn("prompt", F.concat(said(F.array_sort(F.collect_list(F.struct(F.col("_r"), F.col("piece"))).over(w))), ending))
+    return t.filter(~F.col("_halo") & (F.col("speaker") == 0)).select("conv_id", "turn", "prompt")
 
 
 def parse_reply(col) -> F.Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.references import decode_references
 from threadloom.operators.html_tokens import DROP_PATTERN, TAG_REST, attr, html_tokens, inside, is_el, tag_part
+from threadloom.session import materialize
 
 # an <a ...> tag (quoted attribute values may hold '>') and the test for an href
 A_TAG_PATTERN = r"(?i)<a\s" + TAG_REST
@@ -178,3 +179,15 @@ def frontier(links_df: DataFrame, fetched: DataFrame, allowed_hosts: DataFrame)
     c = c.join(fetched.select(bare("url")), "url", "left_anti")
     c = c.withColumn("host", url_host(F.col("url")))
     return c.join(allowed_hosts.select("host").distinct(), "host", "left_semi").select("url")
+
+
+def frontier_run(seen, links_df: DataFrame, fetched: DataFrame, allowed_hosts: DataFrame) -> DataFrame:
+    """L8 across runs: the urls this run hands out, and ``seen`` (a ``SeenUrls``) grown by them and by the ``fetched`` ones.
+
+    A url is handed out once: in the run that first meets it, unless that run or
+    an earlier one has fetched it.
+    """
+    seen.extend(fetched.select(F.regexp_replace("url", r"#.*$", "").alias("url")))
+    new = materialize(seen.unseen(frontier(links_df, fetched, allowed_hosts)), "frontier")
+    seen.extend(new)
+    return new

@@ -70,3 +70,23 @@ def split(df: DataFrame, key_cols: Sequence[str], frac: float = TRAIN_FRACTION,
     r = hash_rank(df, key_cols, seed)
     return r.withColumn("split", F.when(F.col("shuffle_rank") < n_keep(F.col("n_total"), frac), "train").otherwise("test")).drop(
         "n_total")
+
+
+def split_threshold(df: DataFrame, key_cols: Sequence[str], frac: float = TRAIN_FRACTION, seed: int = SEED, digits: int = 4) -> DataFrame:
+    """G1, cheap mode: a split without ranks, in which no row moves.
+
+    The quantile sketch is the histogram of the hashes' first ``digits`` hex digits (at
+    most 16^digits counts, partial sums of which are all that is shuffled). train =
+    every row whose hash lies in the bins up to the first one that brings the train rows
+    to round(frac * n); so train exceeds that by less than one bin, about n / 16^digits
+    rows (all rows of equal keys share a bin). The split of a row depends on its key and the threshold alone, so later rows
+    can be split by the same threshold.
+    """
+    h = F.substring(sample_hash(key_cols, seed), 1, digits)
+    bins = df.groupBy(h.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)  # <= 16^digits rows
+    sums = bins.select("_b", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("_total"))
+    wanted = n_keep(F.col("_total"), frac)
+    row = sums.agg(F.min(F.when(F.col("_upto") >= wanted, F.col("_b"))).alias("b"), F.max(wanted).alias("n")).first()
+    last = row.b if row.n else ""  # nothing sorts below it
+    return df.withColumn("split", F.when(h <= F.lit(last), "train").otherwise("test"))

@@ -1183,3 +1183,46 @@ FROM tops t JOIN firsts f USING (source, topic_id, pos) JOIN posts p USING (sour
 UNION ALL
 SELECT p.source, p.topic_id, p.pos, CAST(0 AS BIGINT), p.pos, NULL, p.author_id, {clean('p.text')}
 FROM posts p SEMI JOIN tops t ON p.source = t.source AND p.topic_id = t.topic_id AND p.pos = t.root_pos""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+# --------------------------------------------------------------------------
+# harvest runs, dates, sketches, the map-only split, rolled-up yields
+# --------------------------------------------------------------------------
+ORACLE["stream_dedup_posts"] = with_(CONV, select="""
+SELECT DISTINCT source, topic_id, url, CASE WHEN crawl = 3 AND d = '0' THEN text || ' (edited)' ELSE text END AS text
+FROM (SELECT *, substr(md5(topic_id || '/' || CAST(pos AS VARCHAR)), 1, 1) AS d FROM posts),
+     (SELECT unnest([1, 2, 3]) AS crawl) c
+WHERE crawl = 1 OR (crawl = 2 AND d < '8') OR (crawl = 3 AND d < '4')""")
+ORACLE["frontier_incremental"] = with_(FP, LPAGES, LINKS_CTE, RESOLVED, select=r"""
+, runs AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS url, ((page_id % 3) + 3) % 3 AS run FROM lpages),
+met AS (SELECT regexp_replace(l.abs_url, '#.*$', '') AS url, min(r.run) AS run FROM rlinks l JOIN runs r USING (page_id) GROUP BY 1),
+got AS (SELECT url, min(run) AS run FROM runs GROUP BY url),
+hosts AS (SELECT DISTINCT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) AS host FROM lpages)
+SELECT CAST(m.run AS BIGINT) AS run, m.url FROM met m LEFT JOIN got g USING (url)
+WHERE m.url IS NOT NULL AND (g.run IS NULL OR g.run > m.run)
+  AND lower(regexp_extract(m.url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:@]*)', 1)) IN (SELECT host FROM hosts)""")
+ORACLE["topic_sessions"] = """
+WITH e AS (SELECT user_id, ts, CASE WHEN coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w) > 21600000000, true) THEN 1 ELSE 0 END AS new
+           FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) - 1 AS session FROM e)
+SELECT user_id, CAST(session AS BIGINT) AS session, min(ts) AS started, max(ts) AS ended, count(*) AS n_posts FROM s GROUP BY user_id, session"""
+ORACLE["answers_as_of"] = """
+WITH q AS (SELECT user_id, event_id, ts FROM events WHERE event_type IN ('view', 'signup') AND ts IS NOT NULL),
+a AS (SELECT user_id, event_id, ts FROM events WHERE coalesce(event_type NOT IN ('view', 'signup'), true) AND ts IS NOT NULL),
+m AS (SELECT a.user_id, a.event_id, a.ts, q.event_id AS question_id, q.ts AS asked,
+             row_number() OVER (PARTITION BY a.event_id ORDER BY q.ts DESC, q.event_id DESC) AS nth
+      FROM a JOIN q ON q.user_id IS NOT DISTINCT FROM a.user_id AND (q.ts < a.ts OR (q.ts = a.ts AND q.event_id < a.event_id))
+      WHERE epoch_us(a.ts) - epoch_us(q.ts) <= 172800000000)
+SELECT a.user_id, a.event_id, m.question_id, (epoch_us(a.ts) - epoch_us(m.asked)) / 1e6 AS waited
+FROM a LEFT JOIN m ON m.event_id = a.event_id AND m.nth = 1"""
+ORACLE["topic_count_sketch"] = with_(CONV, doc_posts_cte("dposts"), select="""
+SELECT source, count(DISTINCT topic_id) AS n_topics, true AS within_bound, true AS merge_equals_rebuild
+FROM (SELECT source, topic_id FROM posts UNION ALL SELECT source, topic_id FROM dposts) GROUP BY source""")
+ORACLE["split_threshold"] = with_(CONV, QP, chain_ctes(), quote_dialog_cte(), PAIRS, LINES, select=f"""
+, h AS (SELECT *, substr(md5(concat_ws(':', '1234', {", ".join(f"CAST({c} AS VARCHAR)" for c in DK.split(", "))})), 1, 4) AS b FROM lines),
+bins AS (SELECT b, sum(count(*)) OVER (ORDER BY b) AS upto, sum(count(*)) OVER () AS total FROM h GROUP BY b),
+cut AS (SELECT min(b) AS b FROM bins WHERE upto >= floor(total * 0.8 + 0.5))
+SELECT {DK}, line, CASE WHEN h.b <= cut.b THEN 'train' ELSE 'test' END AS split FROM h, cut""")
+ORACLE["topic_yield_rollup"] = with_(CONV, QP, chain_ctes(), quote_dialog_cte(), PAIRS, select=f"""
+SELECT source, len1, kind, CAST(grouping(source, len1, kind) AS BIGINT) AS level, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars
+FROM ({encode_select('pairs')}) GROUP BY ROLLUP (source, len1, kind)""")

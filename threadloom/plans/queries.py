@@ -662,14 +662,39 @@ def q_stream_extract(spark, sf):
 
 @query("stream_prompts")
 def q_stream_prompts(spark, sf):
-    """Turns arrive in turn ranges; prompts keep the last 5 turns in state."""
+    """Turns arrive in ranges of two, in an order that has nothing to do with the turns'."""
     base = job_dir(spark, "prompts")
     conv = read_table(spark, sf, "conversations")
-    # one write of all turn ranges; a file's arrival time is its turn range
-    ranges = conv.withColumn("arrived", F.floor(F.col("turn") / 4).cast("int"))
-    ranges.repartitionByRange("arrived", "conv_id").write.mode("overwrite").partitionBy("arrived").parquet(f"{base}/in")
+    # one write of all ranges; a file's arrival time is its conversation's own order of ranges
+    ranges = F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.floor(F.col("turn") / 2).cast("string"))
+    arrived = F.conv(F.substring(F.md5(ranges), 1, 1), 16, 10).cast("int")
+    conv.withColumn("arrived", arrived).repartitionByRange("arrived", "conv_id").write.mode("overwrite").partitionBy("arrived").parquet(f"{base}/in")
     sinks.set_arrival_times(spark, f"{base}/in", "arrived")
-    return jobs.stream_prompts(spark, f"{base}/in/*", conv.schema, f"{base}/sink", f"{base}/ckpt", max_files=2)
+    return jobs.stream_prompts(spark, f"{base}/in/*", conv.schema, f"{base}/sink", f"{base}/ckpt", max_files=4)
+
+
+def crawled_posts(spark, sf) -> DataFrame:
+    """Posts of three crawls: the second meets half of the posts again, the third a quarter, some of them edited."""
+    posts = conv_posts(spark, sf).select("source", "topic_id", "url", "author_id", "text", "pos")
+    digit = F.substring(F.md5(F.concat("topic_id", F.lit("/"), F.col("pos").cast("string"))), 1, 1)
+    crawls = F.when(digit < "4", F.array(F.lit(1), F.lit(2), F.lit(3))).when(digit < "8", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    p = posts.withColumn("_d", digit).select("*", F.explode(crawls).alias("crawl"))
+    edited = (F.col("crawl") == 3) & (F.col("_d") == "0")
+    p = p.withColumn("text", F.when(edited, F.concat("text", F.lit(" (edited)"))).otherwise(F.col("text"))).drop("_d")
+    return p.withColumn("harvested_at", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("crawl") * 86_400 + F.col("pos")))
+
+
+@query("stream_dedup_posts")
+def q_stream_dedup_posts(spark, sf):
+    """U1 + C5: three crawls; the stream stops after the first and resumes when the others are there."""
+    base = job_dir(spark, "recrawl")
+    posts = crawled_posts(spark, sf)
+    for crawls in ((1,), (2, 3)):
+        for c in crawls:
+            posts.where(F.col("crawl") == c).write.mode("overwrite").parquet(f"{base}/in/crawl{c}")
+        out = jobs.stream_dedup(spark, f"{base}/in/*", posts.schema, f"{base}/sink", f"{base}/ckpt",
+                                key_cols=("source", "topic_id", "url", "text"), max_files=2)
+    return out
 
 
 # --------------------------------------------------------------------------
@@ -788,3 +813,62 @@ def q_quote_chains(spark, sf):
     from threadloom.session import materialize
     posts = materialize(conv_posts(spark, sf), "conversation_posts")
     return reply_chains.quote_chains(posts, quotes.quote_pairs(posts))
+
+
+# --------------------------------------------------------------------------
+# harvest runs, dates, sketches, the map-only split, rolled-up yields
+# --------------------------------------------------------------------------
+from threadloom.operators import sessions  # noqa: E402
+from threadloom.sources.seen_urls import SeenUrls  # noqa: E402
+
+
+@query("frontier_incremental")
+def q_frontier_incremental(spark, sf):
+    """L8 over three harvest runs, each over a third of the pages; the seen urls stay between them."""
+    pages = _link_pages(spark, sf)
+    hosts = pages.select(L.url_host(F.col("url")).alias("host"))
+    seen, out = SeenUrls(spark, job_dir(spark, "seen_urls"), buckets=8), None
+    for run in range(3):
+        mine = pages.where(F.pmod("page_id", F.lit(3)) == run)
+        new = L.frontier_run(seen, L.resolved_links(mine), mine, hosts).select(F.lit(run).cast("long").alias("run"), "url")
+        out = new if out is None else out.unionByName(new)
+    return out
+
+
+@query("topic_sessions")
+def q_topic_sessions(spark, sf):
+    """Sessions of a topic (here a user's events) with at most six hours between posts."""
+    return sessions.topic_sessions(read_table(spark, sf, "events"), ["user_id"], "ts", 6 * 3600)
+
+
+@query("answers_as_of")
+def q_answers_as_of(spark, sf):
+    """Every event of a user with the latest view or signup before it, of the last two days."""
+    e = read_table(spark, sf, "events")
+    return sessions.answers_as_of(e, ["user_id"], F.col("event_type").isin("view", "signup"), "ts", "event_id", within_seconds=2 * 86_400)
+
+
+@query("topic_count_sketch")
+def q_topic_count_sketch(spark, sf):
+    """H1 with stored sketches: old posts are sketched once, a new file's sketches are merged in."""
+    from threadloom.session import materialize
+    old = conv_posts(spark, sf).select("source", "topic_id").unionByName(doc_posts(spark, sf).where("pos % 3 <> 0").select("source", "topic_id"))
+    new = doc_posts(spark, sf).where("pos % 3 = 0").select("source", "topic_id")
+    stored = materialize(stats.topic_sketches(old), "topic_sketches")
+    merged = stats.sketched_topic_count(stats.merge_sketches(stored, stats.topic_sketches(new)))
+    rebuilt = stats.sketched_topic_count(stats.topic_sketches(old.unionByName(new)))
+    exact = stats.topic_count(old.unionByName(new))
+    off = F.abs(F.col("merged") - F.col("n_topics")) <= F.greatest(F.lit(1.0), 0.03 * F.col("n_topics"))
+    return (exact.join(merged.withColumnRenamed("n_topics", "merged"), "source").join(rebuilt.withColumnRenamed("n_topics", "rebuilt"), "source")
+            .select("source", "n_topics", off.alias("within_bound"), (F.col("merged") == F.col("rebuilt")).alias("merge_equals_rebuild")))
+
+
+@query("split_threshold")
+def q_split_threshold(spark, sf):
+    return sampling.split_threshold(dataset_lines(spark, sf), DATASET_KEY)
+
+
+@query("topic_yield_rollup")
+def q_topic_yield_rollup(spark, sf):
+    lines = encode.encode_pairs(dialog_pairs(conv_posts(spark, sf)))
+    return stats.yield_rollup(lines)

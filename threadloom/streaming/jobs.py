@@ -9,20 +9,21 @@
 * U2 ``stream_extract``: page files -> posts. The token windows of the
   extraction are not allowed on a stream, so each micro-batch runs the batch
   extraction in ``foreachBatch`` (pages are independent of each other).
+* U1 + C5 ``stream_dedup``: posts of repeated crawls, every (url, content)
+  once, with the keys in watermarked state.
 * U3 ``stream_prompts``: chat turns -> prompts over the last ``history``
-  turns of each conversation, with the history held in keyed state
-  (``applyInPandasWithState``); the state is capped at ``history`` turns,
-  which is the feature.
+  turns of each conversation, with the history, the turns that came too early
+  and a timer in keyed state (``transformWithStateInPandas``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from threadloom.operators.encode import chat_turns
 from threadloom.operators.extract import posts_from_pages
@@ -74,45 +75,130 @@ def stream_extract(spark: SparkSession, pages_dir: str, schema, sink_dir: str, c
     return spark.read.parquet(sink_dir)
 
 
+def stream_dedup(spark: SparkSession, src_dir: str, schema, sink_dir: str, checkpoint: str, key_cols: Sequence[str] = ("url", "text"),
+                 ts_col: str = "harvested_at", delay: str = "30 days", max_files: int | None = None) -> DataFrame:
+    """U1 + C5: posts of repeated crawls, each (url, content) appended once.
+
+    State holds the keys (the columns' hash stands for long contents) until
+    ``delay`` of event time has gone by without them, so its size is that of a
+    delay's harvest; it is keyed by the hash, so a topic's posts spread over
+    tasks. A copy that comes later than ``delay`` after its first one passes
+    again, a post older than the watermark is dropped as late. Null columns are
+    equal to each other. Only ``key_cols`` come out: they are what copies share.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    digest = F.sha2(F.to_json(F.struct(*key_cols), {"ignoreNullFields": "false"}), 256)
+    posts = reader.parquet(src_dir).select(*key_cols, ts_col, digest.alias("_key")).withWatermark(ts_col, delay)
+    once = posts.dropDuplicatesWithinWatermark(["_key"]).drop("_key", ts_col)
+    run_available(once.writeStream.format("parquet").outputMode("append").option("path", sink_dir), checkpoint)
+    return spark.read.schema(once.schema).parquet(sink_dir)
+
+
 PROMPT_SCHEMA = "conv_id long, turn long, prompt string"
-STATE_SCHEMA = "turns array<long>, pieces array<string>"
-
-
-def _prompt_state_fn(history: int, wanted_length: str):
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        turns, pieces = ([], [])
-        if state.exists:
-            turns, pieces = list(state.get[0]), list(state.get[1])
-        new = pd.concat(list(batches)).sort_values("turn", kind="stable")
-        held = len(turns)
-        all_turns = pd.Series([*turns, *new["turn"].astype("int64")])
-        all_pieces = pd.Series([*pieces, *new["piece"]], dtype="object")
-        joined = all_pieces
-        for back in range(1, history):  # the pieces before, as shifted columns
-            joined = all_pieces.shift(back).fillna("") + joined
-        joined = joined + f"|1|{wanted_length}|"
-        user = pd.Series([False] * held + [s == 0 for s in new["speaker"]])
-        state.update((all_turns.iloc[-history:].tolist(), all_pieces.iloc[-history:].tolist()))
-        yield pd.DataFrame({"conv_id": key[0], "turn": all_turns[user], "prompt": joined[user]})
-    return fn
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class PromptProcessor(StatefulProcessor):
+    """The turns of a conversation in their order, however they arrive, and a prompt for every user turn.
+
+    ``history``: list state of the last pieces said. ``waiting``: map state of
+    turns that came before one that is still missing, by turn. ``next``: value state
+    of the turn to come. A timer that each arrival sets anew ends the waiting: after ``patience_ms`` of
+    processing time without a missing turn the conversation goes on without
+    it; 0 waits for ever. A turn that comes after that, or twice, is dropped.
+    """
+
+    def __init__(self, history: int, wanted_length: str, patience_ms: int = 0):
+        self.keep, self.ending, self.patience = history, f"|1|{wanted_length}|", patience_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.history = handle.getListState("history", "piece string")
+        self.waiting = handle.getMapState("waiting", "turn long", "speaker int, piece string")
+        self.next = handle.getValueState("next", "turn long")
+
+    def _said(self, key, arrived: dict[int, tuple], start: int, skip: bool) -> Iterator[pd.DataFrame]:
+        """Say the turns from ``start`` on as far as they are there (all of them with ``skip``)."""
+        turns, prompts = [], []
+        held = [piece for (piece,) in self.history.get()] if self.history.exists() else []
+        order = sorted(t for t in arrived if t >= start)
+        for i, turn in enumerate(order):
+            if turn != start and not skip:
+                break
+            speaker, piece = arrived.pop(turn)
+            if speaker is not None:  # system turns only hold their place
+                held = [*held, piece][-self.keep:]
+                if speaker == 0:
+                    turns.append(turn)
+                    prompts.append("".join(held) + self.ending)
+            start = turn + 1
+        if held:
+            self.history.put([(piece,) for piece in held])
+        self.next.update((start,))
+        if turns:
+            yield pd.DataFrame({"conv_id": pd.Series([key[0]] * len(turns), dtype="int64"), "turn": pd.Series(turns, dtype="int64"),
+                                "prompt": pd.Series(prompts, dtype="object")})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        start = self.next.get()[0] if self.next.exists() else 0
+        waiting = {k[0]: tuple(v) for k, v in self.waiting.iterator()} if self.waiting.exists() else {}
+        arrived = dict(waiting)
+        for frame in rows:
+            for turn, speaker, piece in zip(frame["turn"].tolist(), frame["speaker"].tolist(), frame["piece"].tolist()):
+                if turn >= start:
+                    arrived.setdefault(turn, (None if pd.isna(speaker) else int(speaker), piece))
+        yield from self._said(key, arrived, start, skip=False)
+        self._keep_waiting(waiting, arrived)
+        if self.patience:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            if arrived:
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.patience)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        waiting = {k[0]: tuple(v) for k, v in self.waiting.iterator()} if self.waiting.exists() else {}
+        arrived = dict(waiting)
+        yield from self._said(key, arrived, self.next.get()[0] if self.next.exists() else 0, skip=True)
+        self._keep_waiting(waiting, arrived)
+
+    def _keep_waiting(self, before: dict, after: dict) -> None:
+        for turn in before.keys() - after.keys():
+            self.waiting.removeKey((turn,))
+        for turn in after.keys() - before.keys():
+            self.waiting.updateValue((turn,), after[turn])
+
+    def close(self) -> None:
+        pass
 
 
 def stream_prompts(spark: SparkSession, turns_dir: str, schema, sink_dir: str, checkpoint: str,
-                   history: int = 5, wanted_length: str = "-", max_files: int | None = 1) -> DataFrame:
+                   history: int = 5, wanted_length: str = "-", max_files: int | None = 1, patience_ms: int = 0) -> DataFrame:
     """Prompts of user turns from a stream of conversation turns.
 
-    Turns of one conversation must arrive in order across micro-batches;
-    inside a batch they are sorted by turn.
+    Turns of a conversation (numbered from 0) may arrive in any order, over any
+    micro-batches: what comes early waits in state for the turns before it, and
+    a prompt is out once all of them are in (or ``patience_ms`` have gone by).
+    The state is the last ``history`` pieces and the turns that wait. It needs the
+    RocksDB state store, which is set for this stream alone.
     """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    t = chat_turns(reader.parquet(turns_dir))
+    t = chat_turns(reader.parquet(turns_dir), keep_system=True)
     ln = length_code(token_count(F.coalesce(F.col("text"), F.lit(""))))
     t = t.withColumn("piece", F.concat(F.lit("|"), F.col("speaker").cast("string"), F.lit("|"), ln, F.lit("|"),
                                        F.coalesce(F.col("text"), F.lit(""))))
-    out = t.select("conv_id", "turn", "speaker", "piece").groupBy("conv_id").applyInPandasWithState(
-        _prompt_state_fn(history, wanted_length), outputStructType=PROMPT_SCHEMA, stateStructType=STATE_SCHEMA,
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
-    run_available(out.writeStream.format("parquet").outputMode("append").option("path", sink_dir), checkpoint)
-    return spark.read.parquet(sink_dir)
+    t = t.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "speaker", "piece")
+    out = t.where("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("conv_id").transformWithStateInPandas(
+        PromptProcessor(history, wanted_length, patience_ms), outputStructType=PROMPT_SCHEMA, outputMode="append",
+        timeMode="ProcessingTime" if patience_ms else "None")
+    key, before = "spark.sql.streaming.stateStore.providerClass", None
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, STATE_STORE)
+    try:
+        run_available(out.writeStream.format("parquet").outputMode("append").option("path", sink_dir), checkpoint)
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+    return spark.read.schema(PROMPT_SCHEMA).parquet(sink_dir)
