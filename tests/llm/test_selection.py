@@ -410,3 +410,55 @@ def test_language_accuracy_without_declarations(spark):
     assert all(r.declared is None for r in got)
     assert sum(truth[r.page_id] == r.lang for r in got) >= 0.97 * len(got)
     assert len(REGISTRY["op9_language_id"](spark, path).collect()) == len(truth)
+
+
+def fusion_brute(rows, model):
+    """Page by page: text, then host smoothed towards domain and all pages, declaration and suffix, each without the page's own share."""
+    names, n = model["languages"], len(model["languages"])
+    pages = []
+    for _, url, html in rows:
+        url, html = url or "", html or ""
+        m = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url)
+        host = m[1].lower() if m else ""
+        tag = re.search(r"(?i)<html\b([^>]*)", html)
+        said = re.search(r"""(?i)(?:^|\s)lang\s*=\s*["']?\s*([a-z]{2,3})(?![a-z])""", tag[1] if tag else "")
+        at, features = language.trigrams([language.visible_text(html)])
+        ll = [sum(model["logp"][i][f] for f in features) * (min(len(at), language.EFFECTIVE) / max(1, len(at))) for i in range(n)]
+        ll = [x - max(ll) for x in ll]
+        z = sum(math.exp(x) for x in ll)
+        domain = re.search(r"[^.]+\.[^.]+$", host)
+        pages.append({"host": host, "domain": domain[0] if domain else "", "said": said[1].lower() if said else "", "suffix": host.rsplit(".", 1)[-1],
+                      "ll": ll, "post": [math.exp(x) / z for x in ll], "letters": len(at) > 0})
+    totals = [sum(p["post"][i] for p in pages) for i in range(n)]
+    overall = [(t + 1) / (sum(totals) + n) for t in totals]
+    out = []
+    for p in pages:
+        others = {k: [q for q in pages if q[k] == p[k] and q is not p] for k in ("host", "domain", "said", "suffix")}
+        there = {k: [max(0.0, sum(q["post"][i] for q in v)) for i in range(n)] for k, v in others.items()}
+        prior = overall
+        for k in ("domain", "host"):
+            prior = [(there[k][i] + language.KAPPA * prior[i]) / (len(others[k]) + language.KAPPA) for i in range(n)]
+        score = [p["ll"][i] + math.log(prior[i]) for i in range(n)]
+        for k in ("said", "suffix"):
+            if p[k]:
+                share = len(others[k]) / max(1.0, sum(totals) - 1)
+                score = [s + math.log((1 - language.NOISE) * (there[k][i] + share) / (max(0.0, totals[i] - p["post"][i]) + 1) + language.NOISE * share + 1e-12)
+                         for i, s in enumerate(score)]
+        e = [math.exp(s - max(score)) for s in score]
+        best = max(range(n), key=lambda i: e[i])
+        out.append((p["host"], p["said"] or None, names[max(range(n), key=lambda i: p["ll"][i])] if p["letters"] else None, names[best], round(e[best] / sum(e), 6)))
+    return out
+
+
+@pytest.mark.parametrize("languages", [("en", "de"), ("en",)])
+def test_fused_evidence_equals_brute_force(spark, languages):
+    from .conftest import make_pages
+
+    texts = {"en": "the cat and the dog with this that there", "de": "der hund und die katze mit dem nicht aber"}
+    docs = [(None if i % 4 == 0 else i, texts[x] + f" {i}", x) for x in languages for i in range(12)]
+    model = language.fit_text_model(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    rows = make_pages()
+    df = spark.createDataFrame([(*r, 0.5, "x", [1.0]) for r in rows], "page_id long, url string, html string, probability double, host string, ll array<double>")
+    got = language.identify(df, model).collect()
+    assert Counter((r.host, r.declared, r.text_lang, r.lang, round(r.probability, 6)) for r in got) == Counter(fusion_brute(rows, model))
+    assert {r.text_lang for r in got} == {*languages, None}

@@ -74,7 +74,7 @@ def fit_text_model(docs: DataFrame, lang_col: str = "lang", text_col: str = "tex
     place = {x: i for i, x in enumerate(languages)}
     # rows that share a hash window hold about per_language documents of a language; texts never meet in one task
     share = F.element_at(F.create_map(*[x for r in counted for x in (F.lit(r[0]), F.lit(min(1.0, per_language / r[1])))]), F.col("_l"))
-    drawn = known.where(F.pmod(F.xxhash64(F.lit(SEED), "_id"), F.lit(1 << 20)) < share * (1 << 20))
+    drawn = known.where(F.pmod(F.xxhash64(F.lit(SEED), "_id", "_t"), F.lit(1 << 20)) < share * (1 << 20))
 
     def run(batches):
         for batch in batches:
@@ -99,7 +99,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def text_evidence(pages: DataFrame, model: dict, html_col: str) -> DataFrame:
-    """``(_row.., ll)``: tempered log-likelihoods of the page's text, relative to the likeliest language."""
+    """``(_row.., ll, grams)``: tempered log-likelihoods of the page's text, relative to the likeliest language, and its number of trigrams."""
     held = pages.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     names = [c for c in pages.columns if c != html_col]
 
@@ -112,10 +112,11 @@ def text_evidence(pages: DataFrame, model: dict, html_col: str) -> DataFrame:
                 n = np.bincount(text, minlength=part.num_rows)[:, None]
                 ll = ll * (np.minimum(n, EFFECTIVE) / np.maximum(n, 1))
                 ll -= ll.max(axis=1, keepdims=True)
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(list(ll), pa.list_(pa.float64()))], [*names, "ll"])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(list(ll), pa.list_(pa.float64())), pa.array(n[:, 0], pa.int64())],
+                                                 [*names, "ll", "grams"])
 
     types = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in names)
-    return pages.select(html_col, *names).mapInArrow(run, f"{types}, ll array<double>")
+    return pages.select(html_col, *names).mapInArrow(run, f"{types}, ll array<double>, grams long")
 
 
 def _sums(rows: DataFrame, key: str, n: int, prefix: str) -> DataFrame:
@@ -187,14 +188,14 @@ def identify(pages: DataFrame, model: dict | None, id_col: str = "page_id", url_
             score += np.where(np.asarray(pc.not_equal(col["suffix"], ""))[:, None], np.log(likelihood("suffix_sum")), 0)
             p = _softmax(score)
             best, text = p.argmax(1), ll.argmax(1)
-            blank = (ll == 0).all(1)
+            blank = np.asarray(col["grams"]) == 0
             yield pa.RecordBatch.from_arrays(
                 [col["_id"], col["host"], col["declared"], col["suffix"],
                  pa.array([None if b else names[i] for i, b in zip(text, blank)], pa.string()),
                  pa.array([names[i] for i in best], pa.string()), pa.array(p.max(1))],
                 ["_id", "host", "declared", "suffix", "text_lang", "lang", "probability"])
 
-    rows = rows.select("_id", "host", "declared", "suffix", "ll", "post", "host_sum", "domain_sum", "said_sum", "suffix_sum")
+    rows = rows.select("_id", "host", "declared", "suffix", "ll", "grams", "post", "host_sum", "domain_sum", "said_sum", "suffix_sum")
     kind = pages.schema[id_col].dataType.simpleString()
     out = rows.mapInArrow(fuse, f"_id {kind}, host string, declared string, suffix string, text_lang string, lang string, probability double")
     return out.withColumnRenamed("_id", id_col)
