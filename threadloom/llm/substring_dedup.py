@@ -44,6 +44,7 @@ SAMPLE_DOCS = 4000  # documents looked at for common word runs
 COMMON_SHARE = 0.01  # of them, in this share or more: common
 COMMON_MAX = 1024
 _ROWS, _BYTES = 1500, 4 << 20  # documents and text bytes handed to numpy at a time
+_LOADS = 1 << 20  # buckets whose load a measuring task holds
 _NONE = np.iinfo(np.int64).max
 
 
@@ -105,7 +106,7 @@ class SuperKmers:
         value, text = least[whole], text_of[whole]
         level = np.zeros(len(whole), dtype=np.int8)
         for i, (longer, crowded) in enumerate(zip(((m + k + 1) // 2, k), hot)):
-            at = np.flatnonzero((level == i) & crowded[value % np.uint64(buckets)])
+            at = np.flatnonzero((level == i) & np.isin(value % np.uint64(buckets), crowded))
             if len(at):
                 value[at] = _sliding_min(_run_hashes(hashes, longer), k - longer + 1)[whole[at]]
                 level[at] = i + 1
@@ -147,32 +148,44 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
             body[at + 8 * d + 4 * s:])
 
 
+def _summed(bucket: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct buckets, the sum of each one's sizes)"""
+    order = np.argsort(bucket, kind="stable")
+    bucket, size = bucket[order], size[order]
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+    return bucket[first], np.add.reduceat(size, first) if len(first) else size
+
+
 def _measuring(k: int, m: int, common: np.ndarray, buckets: int, hot: tuple):
-    """Batch -> bytes of the distinct strings that it would send to each bucket."""
+    """Batch -> bytes of the distinct strings that it would send to each bucket (a bucket may come several times)."""
 
     def run(batches):
-        load = np.zeros(buckets, dtype=np.int64)
+        bucket = size = np.zeros(0, dtype=np.int64)
+
+        def loads():
+            for i in range(0, len(bucket), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[i:i + (1 << 16)]), pa.array(size[i:i + (1 << 16)])], ["bucket", "bytes"])
+
         for batch in batches:
             for part in words.slices(batch, 1, _ROWS, _BYTES):
                 kmers = SuperKmers(part.column(1), k, m, common, buckets, hot)
                 _, once = np.unique(kmers.name, return_index=True)
-                np.add.at(load, kmers.bucket[once], (kmers._to - kmers._from)[once])
-        at = np.flatnonzero(load)
-        for i in range(0, len(at), 1 << 16):
-            part = at[i:i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(load[part])], ["bucket", "bytes"])
+                bucket, size = _summed(np.concatenate([bucket, kmers.bucket[once]]), np.concatenate([size, (kmers._to - kmers._from)[once]]))
+                if len(bucket) > _LOADS:  # whatever the number of buckets, a task holds few of them
+                    yield from loads()
+                    bucket = size = np.zeros(0, dtype=np.int64)
+        yield from loads()
 
     return run
 
 
 def _crowded_buckets(src: DataFrame, k: int, m: int, common: np.ndarray, buckets: int) -> tuple:
-    """For the minimisers and the longer ones, which buckets get more than SPLIT_BYTES; () if none does."""
+    """For the minimisers and the longer ones, the numbers of the buckets that get more than SPLIT_BYTES; () if none does."""
     hot: tuple = ()
     for _ in range(2):
         loads = src.mapInArrow(_measuring(k, m, common, buckets, hot), "bucket long, bytes long").groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
-        crowded = np.zeros(buckets, dtype=bool)
-        crowded[[r[0] for r in loads.where(F.col("bytes") > SPLIT_BYTES).select("bucket").collect()]] = True
-        if not crowded.any():
+        crowded = np.array(sorted(r[0] for r in loads.where(F.col("bytes") > SPLIT_BYTES).select("bucket").collect()), dtype=np.uint64)
+        if not len(crowded):
             break
         hot += (crowded,)
     return hot
