@@ -50,12 +50,11 @@ def test_site_b_header_only_and_empty_reply(spark):
     assert pairs(spark, "b", h2) == [("q", "")]
 
 
-def test_site_c_three_groups_and_footer(spark):
-    h = ('<div data-role="commentContent"><blockquote data-x="1"><div><div><p>q1 </p></div></div></blockquote>'
-         '<p>r1</p><blockquote class="ipsQuote"><div><p>q2</p></div></blockquote><p>r2</p>'
-         '<blockquote><div><p>q3</p></div></blockquote><p>r3</p>'
-         '<span data-excludequote><strong>edited <time>today</time></strong></span></div>')
-    assert pairs(spark, "c", h) == [("q1", "r1"), ("q2", "r2"), ("q3", "r3")]
+def test_site_c_quote_of_two_paragraphs_then_another(spark):
+    h = ('<div data-role="commentContent"><p>intro</p><blockquote class="q"><p>first one</p><p>and more</p></blockquote>'
+         '<p>answer to it</p><p>in two parts</p><blockquote><div><p>second</p></div></blockquote><p>other answer</p>'
+         '<small>not in a paragraph</small></div>')
+    assert pairs(spark, "c", h) == [("first one and more", "answer to it in two parts"), ("second", "other answer")]
 
 
 def test_site_c_no_reply_skipped_and_repeated_fragment(spark):

@@ -1226,3 +1226,7 @@ SELECT {DK}, line, CASE WHEN h.b <= cut.b THEN 'train' ELSE 'test' END AS split
 ORACLE["topic_yield_rollup"] = with_(CONV, QP, chain_ctes(), quote_dialog_cte(), PAIRS, select=f"""
 SELECT source, len1, kind, CAST(grouping(source, len1, kind) AS BIGINT) AS level, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars
 FROM ({encode_select('pairs')}) GROUP BY ROLLUP (source, len1, kind)""")
+ORACLE["entities_all"] = f"""
+WITH m AS (SELECT conv_id, turn, '&' || replace(text, ' ', ' &') || '; &amp;lt; &' || replace(text, ' ', '; &') || '=&#' || CAST(turn * 37 + 120 AS VARCHAR)
+                  || ' &#x' || CAST(turn * 37 + 120 AS VARCHAR) || ';' AS x FROM conversations)
+SELECT conv_id, turn, {_decode('x')} AS as_text, {_decode('x', True)} AS as_attribute FROM m"""

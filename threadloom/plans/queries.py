@@ -872,3 +872,14 @@ def q_split_threshold(spark, sf):
 def q_topic_yield_rollup(spark, sf):
     lines = encode.encode_pairs(dialog_pairs(conv_posts(spark, sf)))
     return stats.yield_rollup(lines)
+
+
+@query("entities_all")
+def q_entities_all(spark, sf):
+    """T10 on references of every form: each word of a turn written as a name, with and without its semicolon, and two code points."""
+    from threadloom.functions.references import decode_references
+    c = read_table(spark, sf, "conversations")
+    code = (F.col("turn") * 37 + 120).cast("string")
+    marked = F.concat(F.lit("&"), F.replace("text", F.lit(" "), F.lit(" &")), F.lit("; &amp;lt; &"), F.replace("text", F.lit(" "), F.lit("; &")),
+                      F.lit("=&#"), code, F.lit(" &#x"), code, F.lit(";"))
+    return c.select("conv_id", "turn", decode_references(marked).alias("as_text"), decode_references(marked, attribute=True).alias("as_attribute"))
