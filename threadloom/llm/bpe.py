@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 
 from . import words
 
-_ROWS, _BYTES = 2000, 8 << 20  # rows and bytes of texts or ids worked on at a time
-_CACHE, _LONGEST = 450_000, 64  # pieces a generation of a worker's cache holds, characters of the longest one kept
+_ROWS, _BYTES = 1000, 3 << 20  # rows and bytes of texts or ids worked on at a time
+_CACHE, _LONGEST = 600_000, 64  # pieces a generation of a worker's cache holds, characters of the longest one kept
 
 # Unicode white space, as the byte-level pre-token pattern takes it.
 SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
