@@ -99,3 +99,29 @@ def test_hot_key_join_takes_nulls_as_equal(spark):
     per_key = spark.createDataFrame([("a", 50, "A"), (None, 1, "N"), ("b", 1, "B")], "k string, w long, v string")
     got = {(x.k, x.i): x.v for x in hot_key_join(rows, per_key, ["k"], "w", "left").collect()}
     assert got == {**{("a", i): "A" for i in range(50)}, (None, 60): "N", ("b", 61): "B", ("z", 62): None}
+
+
+def test_quotes_are_looked_up_by_pairs_of_hashes(spark, monkeypatch):
+    r = random.Random(7)
+    line = lambda n: " ".join(f"w{r.randrange(30)}" for _ in range(n))
+    texts = [(r.choice(["hot", "hot", "a", "b", None]), i, line(r.randint(1, 90))) for i in range(150)]
+    texts += [(t, i + 1000, x) for t, i, x in texts[:20]]  # copies
+    quotes = set()
+    for t, _, x in texts:
+        w, n = x.split(), r.choice([1, 2, 3, 5, 8, 11, 12, 30, 90])
+        a = r.randrange(len(w))
+        quotes |= {(t, " ".join(w[a:a + n])), (t, " ".join(w[a:a + n]) + " w31")}
+    want = sorted((t, q, i) for t, q in quotes for u, i, x in texts if t is not None and t == u and f" {q} " in f" {x} ")
+    stages, kept = {}, R.materialize
+    monkeypatch.setattr(R, "materialize", lambda df, name: stages.setdefault(name, kept(df, name)))
+    q = spark.createDataFrame(sorted(quotes, key=str), "topic_id string, quote string").withColumn("source", F.lit("s"))
+    p = spark.createDataFrame(texts, "topic_id string, pos long, text string").withColumn("source", F.lit("s"))
+    assert sorted((x.topic_id, x.quote, x.pos) for x in R.cited_texts(q, p).collect()) == want and len(want) > 200
+    # no text rides along with its fragments
+    assert {t for name in ("quote_fragments", "found_fragments") for _, t in stages[name].dtypes} == {"bigint"}
+    # a topic of long quotes takes a part of its texts' fragments
+    stages.clear()
+    long = [(f"t{i}", line(400)) for i in range(20)]
+    p = spark.createDataFrame([(t, 0, x) for t, x in long], "topic_id string, pos long, text string").withColumn("source", F.lit("s"))
+    q = spark.createDataFrame(long, "topic_id string, quote string").withColumn("source", F.lit("s"))
+    assert R.cited_texts(q, p).count() == 20 and stages["found_fragments"].count() < 20 * 200

@@ -3,8 +3,9 @@
 A quote cites the latest earlier post of its topic whose text holds the quote's
 words one after the other. Quotes and texts are folded per topic first. A quote of
 more than ``FRAGMENT`` words is looked up by the rarest of its fragments of that many
-words (a shorter one by all its words), and what that finds is checked for the whole
-quote. Among the posts whose text passed, a running last value over (topic, quote)
+words (a shorter one by all its words), where a text gives the smallest hash of every
+``WINDOW`` fragments in a row (fewer in topics with shorter quotes), and what that finds
+is checked for the whole quote. Among the posts whose text passed, a running last value over (topic, quote)
 picks the latest one before the quoting post; it runs per bucket of positions.
 
 Every post has one parent, the post that its first resolved quote cites, and a
@@ -24,6 +25,8 @@ from threadloom.operators.ranking import DEFAULT_BUCKET, hot_key_join, scan_last
 from threadloom.session import materialize
 
 FRAGMENT = 4
+#: Fragments in a row of which a text gives one.
+WINDOW = 8
 #: What separates words here: the white space that Spark, Java and SQL engines agree on, and U+00A0.
 SPACE = "[ \\t\\n\\x0B\\f\\r\\x{A0}]+"
 
@@ -33,38 +36,50 @@ def word_text(text: Column) -> Column:
     return F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "))
 
 
-def _fragments(text: Column, size: Column) -> Column:
-    """Distinct hashes of the stretches of ``size`` words of a ``word_text``."""
-    words = F.split(text, " ")
-    n = F.size(words) - size + 1
-    starts = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(words, i, size), " "))))
+def _fragments(text: Column, size: Column, window: Column, topic) -> Column:
+    """Distinct hashes, with the topic's, of the stretches of ``size`` words of a ``word_text``: of every ``window`` in a row the smallest.
+
+    A text that holds a quote holds all the quote's windows, so it has the hashes
+    that the quote has with the same or a wider window.
+    """
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    stretches = lambda w: F.transform(upto(F.size(w) - size + 1), lambda i: F.xxhash64(*topic, F.slice(w, i, size)))
+    smallest = lambda h: F.transform(upto(F.size(h) - window + 1), lambda i: F.array_min(F.slice(h, i, window)))
+    # arrays of one element: a lambda's variable is computed once, a column inside a lambda for every element
+    hashes = F.transform(F.array(F.split(text, " ")), stretches)
+    return F.array_distinct(F.transform(hashes, lambda h: F.when(window > 1, smallest(h)).otherwise(h))[0])
 
 
 def cited_texts(quotes: DataFrame, texts: DataFrame, topic=TOPIC, fragment: int = FRAGMENT) -> DataFrame:
-    """``(topic..., quote, text)`` for the distinct ``quotes`` ``(topic..., quote)`` and ``texts`` ``(topic..., text)`` that hold them.
+    """The rows of ``texts`` ``(topic..., text, ...)`` with each of the distinct ``quotes`` ``(topic..., quote)`` that they hold, without ``text``.
 
-    Both are ``word_text`` values and stage tables. Fragments of texts that no quote of
-    the topic asks for are dropped where they arise, by the topic's own list of lengths
-    and a semi join.
+    Both are ``word_text`` values and stage tables; a text may come in many rows. What is
+    looked up are pairs of hashes, a row of two longs for a fragment; quotes and texts
+    themselves meet only for what the rarest fragment finds, and decide there.
     """
     t = list(topic)
-    size = F.least(F.size(F.split("quote", " ")), F.lit(fragment))
-    asked = quotes.where("quote <> ''").withColumn("_n", size).select(*t, "quote", "_n", F.explode(_fragments(F.col("quote"), F.col("_n"))).alias("_h"))
-    asked = materialize(asked, "quote_fragments")
-    wanted = materialize(asked.groupBy(*t, "_n", "_h").agg(F.count(F.lit(1)).alias("_asked")), "wanted_fragments")
-    lengths = wanted.groupBy(*t).agg(F.sum("_asked").alias("_w"), F.sort_array(F.collect_set("_n")).alias("_lengths"))  # at most ``fragment`` values
-    mine = hot_key_join(texts, materialize(lengths, "fragment_lengths"), t, "_w").where("text <> ''")
-    mine = mine.select(*t, "text", F.explode("_lengths").alias("_n"))
-    mine = mine.select(*t, "text", "_n", F.explode(_fragments(F.col("text"), F.col("_n"))).alias("_h"))
-    found = materialize(mine.join(wanted.drop("_asked"), [*t, "_n", "_h"], "left_semi").withColumn("_t", F.xxhash64("text")), "found_fragments")
-    spread = found.groupBy(*t, "_n", "_h").agg(F.count(F.lit(1)).alias("_df"))
+    words = F.size(F.split("quote", " "))
+    size = F.least(words, F.lit(fragment))
+    window = F.greatest(F.lit(1), F.least(words - size + 1, F.lit(WINDOW)))
+    asked = quotes.where("quote <> ''").withColumn("_n", size).withColumn("_w", window)
+    levels = asked.groupBy(*t, "_n").agg(F.min("_w").alias("_w"), F.count(F.lit(1)).alias("_asked"))
+    levels = levels.groupBy(*t).agg(F.sum("_asked").alias("_weight"), F.sort_array(F.collect_list(F.struct("_n", "_w"))).alias("_levels"))  # at most ``fragment`` values
+    asked = materialize(asked.select(F.xxhash64(*t, "quote").alias("_q"), F.explode(_fragments(F.col("quote"), F.col("_n"), F.col("_w"), t)).alias("_h")), "quote_fragments")
+    mine = hot_key_join(texts.select(*t, "text").where("text <> ''").distinct(), materialize(levels, "fragment_levels"), t, "_weight")
+    mine = mine.select(*t, F.xxhash64(*t, "text").alias("_t"), "text", F.explode("_levels").alias("_l"))
+    mine = mine.select("_t", F.explode(_fragments(F.col("text"), F.col("_l._n"), F.col("_l._w"), t)).alias("_h"))
+    found = materialize(mine.join(asked.select("_h").distinct(), "_h", "left_semi"), "found_fragments")
+    spread = found.groupBy("_h").agg(F.count(F.lit(1)).alias("_df"))
     # the rarest fragment; a quote with a fragment that no text has cites none
-    anchors = asked.join(spread, [*t, "_n", "_h"], "left").groupBy(*t, "quote", "_n").agg(
+    anchors = asked.join(spread, "_h", "left").groupBy("_q").agg(
         F.min(F.struct("_df", "_h"))["_h"].alias("_h"), F.count_if(F.col("_df").isNull()).alias("_missing"))
-    pairs = anchors.where("_missing = 0").drop("_missing").join(found, [*t, "_n", "_h"])
-    inside = F.contains(F.concat(F.lit(" "), "text", F.lit(" ")), F.concat(F.lit(" "), "quote", F.lit(" ")))
-    return pairs.where(inside).select(*t, "quote", "text")
+    pairs = materialize(anchors.where("_missing = 0").select("_q", "_h").join(found, "_h").select("_q", "_t").distinct(), "quotes_to_try")
+    tried = pairs.join(quotes.select(*[F.col(c).alias(f"_q_{c}") for c in t], "quote", F.xxhash64(*t, "quote").alias("_q")), "_q").drop("_q")
+    tried = tried.join(texts.withColumn("_t", F.xxhash64(*t, "text")), "_t")
+    holds = F.contains(F.concat(F.lit(" "), "text", F.lit(" ")), F.concat(F.lit(" "), "quote", F.lit(" ")))
+    for c in t:
+        holds = holds & (F.col(c) == F.col(f"_q_{c}"))
+    return tried.where(holds).select("quote", *[c for c in texts.columns if c != "text"])
 
 
 def reply_links(posts: DataFrame, pairs: DataFrame, topic=TOPIC, bucket_size: int = DEFAULT_BUCKET) -> DataFrame:
@@ -78,14 +93,13 @@ def reply_links(posts: DataFrame, pairs: DataFrame, topic=TOPIC, bucket_size: in
                        .where("quote <> ''"), "quotes_said")
     texts = posts.join(said.select(*t).distinct(), t, "left_semi").select(*t, "pos", word_text(F.col("text")).alias("text"))
     texts = materialize(texts.where("text <> ''"), "texts_of_quoting_topics")
-    holds = cited_texts(materialize(said.select(*t, "quote").distinct(), "distinct_quotes"), materialize(texts.select(*t, "text").distinct(), "distinct_texts"), topic)
-    holds = materialize(holds.select(*t, F.xxhash64("quote").alias("_q"), "quote", "text"), "quote_holders")
-    # the latest post with such a text before the quoting post
-    places = holds.join(texts, [*t, "text"]).select(*t, "_q", "quote", "pos", F.lit(1).alias("_o"), F.col("pos").alias("_at"), F.lit(None).cast("long").alias("k"),
-                                                   F.lit(None).cast("string").alias("reply"))
-    asks = said.select(*t, F.xxhash64("quote").alias("_q"), "quote", "pos", F.lit(0).alias("_o"), F.lit(None).cast("long").alias("_at"), "k", "reply")
-    events = with_bucket(places.unionByName(asks), "pos", bucket_size)
-    cited = scan_last(events, [*t, "_q", "quote"], ["pos", "_o"], "_at", "cited_pos")
+    places = cited_texts(materialize(said.select(*t, "quote").distinct(), "distinct_quotes"), texts, topic)
+    # the latest post with such a text before the quoting post; a quote is known by its digest
+    places = places.select(*t, F.md5("quote").alias("_q"), "pos", F.lit(1).alias("_o"), F.col("pos").alias("_at"), F.lit(None).cast("long").alias("k"),
+                           F.lit(None).cast("string").alias("reply"))
+    asks = said.select(*t, F.md5("quote").alias("_q"), "pos", F.lit(0).alias("_o"), F.lit(None).cast("long").alias("_at"), "k", "reply")
+    events = materialize(with_bucket(places.unionByName(asks), "pos", bucket_size), "quote_events")
+    cited = scan_last(events, [*t, "_q"], ["pos", "_o"], "_at", "cited_pos")
     return cited.where("_o = 0 AND cited_pos IS NOT NULL").select(*t, "pos", "k", "cited_pos", "reply")
 
 
