@@ -462,3 +462,22 @@ def test_fused_evidence_equals_brute_force(spark, languages):
     got = language.identify(df, model).collect()
     assert Counter((r.host, r.declared, r.text_lang, r.lang, round(r.probability, 6)) for r in got) == Counter(fusion_brute(rows, model))
     assert {r.text_lang for r in got} == {*languages, None}
+
+
+def test_quality_counts_a_batch_in_little_memory():
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from threadloom.llm import quality_knn
+    r = random.Random(1)
+    known = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8))) for _ in range(5000)]
+    texts = [" ".join(r.choices(known, k=800)) for _ in range(2500)]
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * len(texts)), pa.array(texts)], ["label", "text"])
+    tracemalloc.start()
+    try:
+        assert sum(x.num_rows for x in quality_knn._sparse([batch])) == len(texts)
+        assert tracemalloc.get_traced_memory()[1] < 80e6
+    finally:
+        tracemalloc.stop()
