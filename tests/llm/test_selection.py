@@ -468,6 +468,7 @@ def test_quality_counts_a_batch_in_little_memory():
     import random
     import tracemalloc
 
+    import numpy as np
     import pyarrow as pa
 
     from threadloom.llm import quality_knn
@@ -479,5 +480,9 @@ def test_quality_counts_a_batch_in_little_memory():
     try:
         assert sum(x.num_rows for x in quality_knn._sparse([batch])) == len(texts)
         assert tracemalloc.get_traced_memory()[1] < 80e6
+        tracemalloc.reset_peak()
+        weights, basis = np.ones(quality_knn.FEATURES, np.float32), np.ones((quality_knn.FEATURES, 4), np.float32)
+        assert len(quality_knn._project(batch.column(1)[:800], weights, basis)) == 800
+        assert tracemalloc.get_traced_memory()[1] < 80e6
     finally:
         tracemalloc.stop()

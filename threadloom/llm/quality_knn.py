@@ -32,7 +32,8 @@ PRIOR = 0.5  # score of a text that shares no feature with any labelled one
 CUT = 0.3
 FOLDS, HELD = 5, 0
 SEED = 42
-_ROWS, _BYTES = 500, 1 << 20  # two workers of an executor hold some 40 MB each while they count a slice
+_ROWS, _BYTES = 1000, 4 << 20
+_COUNTED = 1 << 20  # bytes of text whose words are counted at a time: a worker holds some 40 MB for them
 _BLOCK = 2048  # documents a cosine product takes at a time
 
 
@@ -90,9 +91,12 @@ def feature_rows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _project(texts: pa.Array, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
     """Unit vectors of a batch of texts (zero for texts without words)."""
-    text, feature, count = feature_rows(texts)
     dense = np.zeros((len(texts), FEATURES), dtype=np.float32)
-    dense[text, feature] = (1 + np.log(count)) * weights[feature]
+    at = 0
+    for part in words.slices(pa.RecordBatch.from_arrays([texts], ["t"]), 0, _ROWS, _COUNTED):
+        text, feature, count = feature_rows(part.column(0))
+        dense[at + text, feature] = (1 + np.log(count)) * weights[feature]
+        at += part.num_rows
     out = dense @ basis
     norm = np.linalg.norm(out, axis=1, keepdims=True)
     return out / np.where(norm > 0, norm, 1)
@@ -100,7 +104,7 @@ def _project(texts: pa.Array, weights: np.ndarray, basis: np.ndarray) -> np.ndar
 
 def _sparse(batches):
     for batch in batches:
-        for part in words.slices(batch, 1, _ROWS, _BYTES):
+        for part in words.slices(batch, 1, _ROWS, _COUNTED):
             text, feature, count = feature_rows(part.column(1))
             bounds = np.searchsorted(text, np.arange(part.num_rows + 1))
             yield pa.RecordBatch.from_arrays(
