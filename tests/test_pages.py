@@ -192,3 +192,39 @@ def test_tags_of_a_megabyte(spark):
     assert {k: v for k, v in got.items() if k != 5} == {1: (2, "<"), 2: (4, "x"), 3: (5, "y"), 4: (3, "z"), 6: (5, "<|q")}
     assert got[5][0] == 100_000
     assert {r.page_id: len(r.href) for r in links.links(_pages(spark, rows)).collect()} == {3: n + 1, 4: 2}
+
+
+def _windows_by_stage(df):
+    """Window operators in a row of the physical plan, between two exchanges."""
+    prepared = df._jdf.queryExecution().executedPlan().toString()
+    counts, n = [], 0
+    for line in prepared.splitlines():
+        name = line.lstrip(" :+-*0123456789()").split("(")[0].split(" ")[0]
+        if name == "Exchange":
+            counts, n = [*counts, n], 0
+        n += name == "Window"
+    return [*counts, n]
+
+
+def test_token_windows_are_spread_over_stages(spark):
+    from threadloom.operators.extract import records
+    from threadloom.operators.quotes import quote_pair_arrays
+    pages = spark.createDataFrame([("psy_su", "1", 1, "u", "<p>t</p>")], "source string, topic_id string, page_no int, url string, html string")
+    posts = pages.selectExpr("source", "topic_id", "cast(page_no as bigint) pos", "'https://psy.su/' url", "html")
+    for out in (records(pages), quote_pair_arrays(posts)):
+        by_stage = _windows_by_stage(out)
+        assert sum(by_stage) >= 10 and max(by_stage) <= 13, by_stage
+
+
+def test_region_ids_of_many_flags_equal_region_id_of_each(spark):
+    from threadloom.operators.html_tokens import html_tokens, is_el, region_id, region_ids
+    html = "<table><tr><td>a<b>c</b></td><td>d</td></tr></table>e<td>f<p>g<tr>h</td>i<div class='x text'>j</div>k"
+    t = html_tokens(_pages(spark, [(1, "u", html), (2, "u", "plain"), (3, "u", "<p>q<p>r</p>")]), ["page_id"], ancestors=1)
+    opened = F.col("is_elem")
+    flags = {"a": opened & (F.col("tag") == "td"), "b": opened & is_el("div", cls="text")(F.col("anc0")), "c": opened & (F.col("tag") == "p")}
+    both = region_ids(t, ["page_id"], flags)
+    for n, flag in flags.items():
+        both = both.withColumn(f"one_{n}", region_id(["page_id"], flag))
+    rows = both.collect()
+    assert rows and all(r[n] == r[f"one_{n}"] for r in rows for n in flags)
+    assert any(r["a"] >= 0 for r in rows) and any(r["b"] >= 0 for r in rows)
