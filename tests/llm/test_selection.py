@@ -119,6 +119,28 @@ def test_shards_draw_their_slots_over_the_sources(spark, group):
     assert abs(np.mean(share) - p) < 0.03 and 0.5 < np.var(share) / (p * (1 - p) / 100) < 2
 
 
+@pytest.mark.parametrize("group", [1, 2, 100])
+def test_shards_of_many_ranges_draw_by_their_own_group(spark, group):
+    rows = [(0, 3_000, 6_000.0), (1, 2_500, 2_500.0), (2, 0, 0.0), (3, 300, 900.0), (4, 31, 31.0)]
+    sources = spark.createDataFrame(rows, "sid long, size long, target double")
+    plan = {sid: mixing.slot_plan(sid, size, target, 1, 3)[1] for sid, size, target in rows}
+    shards = sum(plan.values()) // 10
+    assert shards > 3 * mixing.SPAN_SHARDS
+    got = mixing.drawn_slots(sources, block=1, seed=3, shard_slots=10, group_sources=group).collect()
+    assert Counter((r.sid, r.slot) for r in got) == Counter((sid, i) for sid, n in plan.items() for i in range(n))
+    # every shard as the groups' draws have it; sources run out of slots in the order of shards
+    groups = [[s for s in plan if s // group == g and plan[s]] for g in sorted({s // group for s in plan if plan[s]})]
+    shares = np.array([sum(plan[s] for s in ids) for ids in groups], dtype=float)
+    want, used = Counter(), Counter()
+    for g, ids in enumerate(groups):
+        for shard, ns in enumerate(mixing.shard_draws(0, shards, 10, g, shares, np.array([plan[s] for s in ids], dtype=float), 3).tolist()):
+            for s, n in zip(ids, ns):
+                n = min(n, plan[s] - used[s])
+                used[s] += n
+                want[shard, s] += n
+    assert Counter((r.shard, r.sid) for r in got if r.shard < shards) == +want
+
+
 def test_slots_are_never_broadcast(spark):
     df = spark.createDataFrame([(i, "w " * 200, "ab"[i % 2]) for i in range(50)], "doc_id long, text string, source string")
     _, taken = mixing.mix(df, block=4)

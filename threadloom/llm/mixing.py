@@ -168,7 +168,8 @@ def drawn_slots(sources: DataFrame, block: int = BLOCK_WORDS, seed: int = SEED,
     shards = int(sum(shares)) // shard_slots
     grouped = plan.groupBy(group.alias("g")).agg(F.sort_array(F.collect_list(F.struct(*_PLAN))).alias("s"))
     rank = F.row_number().over(Window.orderBy("g")) - 1  # one row a group
-    spans = grouped.select(rank.cast("long").alias("group"), "s", F.explode(F.sequence(
+    grouped = grouped.select(rank.cast("long").alias("group"), "s")  # on its own: beside explode it would number the exploded rows
+    spans = grouped.select("group", "s", F.explode(F.sequence(
         F.lit(0).cast("long"), F.lit(max(0, -(-shards // SPAN_SHARDS) - 1)).cast("long"))).alias("span")).where(F.lit(shards) > 0)
     first = F.col("span") * SPAN_SHARDS
     spans = spans.select("group", "span", first.alias("first"), F.least(F.lit(SPAN_SHARDS), F.lit(shards) - first).cast("long").alias("count"),
