@@ -192,6 +192,19 @@ def test_mixing(spark, mini, docs):
     assert Counter(map(tuple, again)) == Counter(map(tuple, got))
 
 
+def test_mixing_draws_in_many_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(mixing, "SPAN_SHARDS", 1)
+    docs = [(i, "w " * 180_000, "en", "abc"[i % 3]) for i in range(24)]  # two output shards, so two ranges
+    schema = "doc_id long, text string, lang string, source string"
+    spark.createDataFrame(docs, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = REGISTRY["op4_mixing"](spark, str(tmp_path)).collect()
+    taken = Counter()
+    for r in got:
+        taken[docs[r.doc_id][3]] += r.taken
+    assert len(got) == 24 and all(r.size == 180_000 and 0 <= r.taken <= 3 * r.size for r in got)
+    assert taken == {"a": 720_000, "b": 1_440_000, "c": 2_160_000}
+
+
 def test_mixed_documents_hold_the_taken_words(spark):
     r = random.Random(4)
     texts = ["\n ".join(f"w{i}_{j}" for j in range(r.randint(1, 90))) for i in range(50)] + ["", None]
